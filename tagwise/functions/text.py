@@ -122,3 +122,12 @@ def abs_rel_change(cur, base, floor_one: bool = False) -> Column:
 
 def version_string(ts) -> Column:
     return F.date_format(_c(ts), "yyyyMMdd_HHmmss")
+
+
+def ratio_round(a, b, digits: int = 4) -> Column:
+    """round(a / b, digits) half-up on the exact ratio of two non-negative
+    integers (no binary floating-point tie artefacts); null when b = 0."""
+    a, b = _c(a), _c(b)
+    scale = 10 ** digits
+    q = (a.cast("long") * (2 * scale) + b.cast("long")) / (b.cast("long") * 2)
+    return F.when(b != 0, F.floor(q) / float(scale))

@@ -126,12 +126,13 @@ def vectors_arrays(vlong: DataFrame, part: list[str] | None = None) -> DataFrame
 # Blocked exact top-k
 # ---------------------------------------------------------------------------
 
-_KERNEL_SCHEMA = T.StructType([
+_KERNEL_FIELDS = [
     T.StructField("id", T.LongType()),
     T.StructField("other_id", T.LongType()),
     T.StructField("score", T.DoubleType()),
     T.StructField("kind", T.StringType()),
-])
+]
+_KERNEL_SCHEMA = T.StructType(_KERNEL_FIELDS)
 
 
 def _topk_rows(S: np.ndarray, row_ids: np.ndarray, col_ids: np.ndarray, k: int,
@@ -167,11 +168,11 @@ def _dense(pdf: pd.DataFrame):
     return ids, blk, M
 
 
-def _block_kernel(k: int):
+def _block_kernel(k: int, part: list[str]):
     def fn(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = int(key[0]), int(key[1])
+        pv, (lo, hi) = key[:len(part)], (int(key[-2]), int(key[-1]))
         if pdf.empty:
-            return pd.DataFrame({c: [] for c in _KERNEL_SCHEMA.fieldNames()})
+            return pd.DataFrame({c: [] for c in part + [f.name for f in _KERNEL_FIELDS]})
         ids, blk, M = _dense(pdf)
         if lo == hi:
             S = M @ M.T
@@ -182,6 +183,8 @@ def _block_kernel(k: int):
             out = _topk_rows(S, ids[la], ids[lb], k, None)
             out += _topk_rows(S.T, ids[lb], ids[la], k, None)
         res = pd.concat(out, ignore_index=True)
+        for c, v in zip(part, pv):
+            res.insert(0, c, v)
         return res.astype({"id": "int64", "other_id": "int64", "score": "float64"})
     return fn
 
@@ -191,18 +194,22 @@ def num_blocks(n_rows: int, block_rows: int) -> int:
 
 
 def block_candidates(vlong: DataFrame, k: int = TOP_K, block_rows: int = 1024,
-                     n_rows: int | None = None) -> DataFrame:
+                     n_rows: int | None = None, part: list[str] | None = None) -> DataFrame:
     """Kernel output: per row up to k candidates from every block pair
-    ('n' rows) and the best score below one ('m' rows)."""
+    ('n' rows) and the best score below one ('m' rows); ``part`` columns
+    (e.g. an ablation variant) keep independent corpora apart."""
+    part = part or []
     if n_rows is None:
-        n_rows = vlong.select("id").distinct().count()
+        n_rows = (vlong.groupBy(*part).agg(F.countDistinct("id").alias("c"))
+                  .agg(F.max("c")).first()[0] or 0)
     b = num_blocks(n_rows, block_rows)
     blk = F.pmod(F.xxhash64("id"), F.lit(b)).cast("int")
-    routed = (vlong.select("id", "term_idx", "w", blk.alias("blk"))
+    routed = (vlong.select(*part, "id", "term_idx", "w", blk.alias("blk"))
               .select("*", F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("j"))
-              .select("id", "term_idx", "w", "blk",
+              .select(*part, "id", "term_idx", "w", "blk",
                       F.least("blk", "j").alias("lo"), F.greatest("blk", "j").alias("hi")))
-    return routed.groupBy("lo", "hi").applyInPandas(_block_kernel(k), _KERNEL_SCHEMA)
+    schema = T.StructType([vlong.schema[c] for c in part] + _KERNEL_FIELDS)
+    return routed.groupBy(*part, "lo", "hi").applyInPandas(_block_kernel(k, part), schema)
 
 
 def rank_neighbours(cands: DataFrame, k: int = TOP_K, part: list[str] | None = None) -> DataFrame:
@@ -215,13 +222,14 @@ def rank_neighbours(cands: DataFrame, k: int = TOP_K, part: list[str] | None = N
 
 
 def topk_neighbours(vlong: DataFrame, k: int = TOP_K, block_rows: int = 1024,
-                    materialize: bool = True) -> DataFrame:
+                    materialize: bool = True, part: list[str] | None = None) -> DataFrame:
     """(id, rank, other_id, score): the k most similar other rows, rank 1..k.
     The vectors are written once to the checkpoint folder: the kernel reads
     them B times and a lost executor must not recompute the TF-IDF chain."""
+    part = part or []
     v = cut_lineage(vlong, "vectors") if materialize else vlong
-    cands = block_candidates(v, k, block_rows).filter(F.col("kind") == "n")
-    return rank_neighbours(cands, k).select("id", "rank", "other_id", "score")
+    cands = block_candidates(v, k, block_rows, part=part).filter(F.col("kind") == "n")
+    return rank_neighbours(cands, k, part).select(*part, "id", "rank", "other_id", "score")
 
 
 def similarity_summary(vlong: DataFrame, n_docs: DataFrame, block_rows: int = 1024,

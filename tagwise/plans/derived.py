@@ -10,7 +10,7 @@ raw catalog  <- orders JOIN lineitem JOIN part as JSON text columns
                 in line order, crew = part names with job Director when the
                 line was returned, else Producer); title = customer name.
 feedback     <- events: status error->error, view->not_found, else success;
-                latency_ms = value; query = event_type || ' ' || props.
+                latency_ms = value * 10; query = event_type || ' ' || props.
 positives    <- events with event_type = 'purchase'.
 """
 
@@ -85,7 +85,7 @@ def feedback_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id",
         F.concat_ws(" ", "event_type", "props").alias("query"),
-        status.alias("status"), F.col("value").alias("latency_ms"), "event_type")
+        status.alias("status"), (F.col("value") * 10).alias("latency_ms"), "event_type")
 
 
 def positives_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Registered queries: (spark, sf_dir) -> DataFrame, keyed like SURVEY §2 ids.
 
-Shared intermediate plans (catalog, vectors, neighbours) are built per call;
-each query reads the whole driver tables it maps onto (plans/derived.py).
+Each query reads the whole driver tables it maps onto (plans/derived.py);
+doubles are rounded to 6 digits only at the output so engines compare.
 """
 
 from __future__ import annotations
@@ -10,9 +10,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tagwise.functions import fixed as FX
+from tagwise.functions import text as tx
+from tagwise.operators import baseline as BL
+from tagwise.operators import catalog as CT
+from tagwise.operators import drift as DR
+from tagwise.operators import evaluate as EV
+from tagwise.operators import feedback as FB
+from tagwise.operators import quality as QA
+from tagwise.operators import search as SR
 from tagwise.operators import similarity as sim
 from tagwise.plans import derived
+from tagwise.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -24,14 +35,567 @@ def query(name: str):
     return deco
 
 
+def r6(c):
+    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+
+
+def ts_str(c):
+    """Timestamps leave as fixed-format strings (engine-neutral)."""
+    return F.date_format(F.col(c) if isinstance(c, str) else c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+
+
 def catalog_vectors(spark: SparkSession, sf_dir: str):
     cat = derived.documents_catalog(spark, sf_dir)
     vocab, vec = sim.build_vectors(cat, "movie_id", "tags")
     return cat, vocab, vec
 
 
+def n_docs(spark, sf_dir):
+    return table(spark, sf_dir, "documents").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------------------
+# 2.6 text features and similarity
+# ---------------------------------------------------------------------------
+
 @query("topk_neighbours")
 def q_topk_neighbours(spark, sf_dir):
     _, _, vec = catalog_vectors(spark, sf_dir)
-    top = sim.topk_neighbours(vec, 20)
-    return top.select("id", "rank", "other_id", F.round("score", 6).alias("score"))
+    top = sim.topk_neighbours(vec, FX.TOP_K)
+    return top.select("id", "rank", "other_id", r6("score").alias("score"))
+
+
+@query("build_tags")
+def q_build_tags(spark, sf_dir):
+    return derived.documents_catalog(spark, sf_dir).select("movie_id", "title", "tags")
+
+
+@query("vocabulary")
+def q_vocabulary(spark, sf_dir):
+    _, vocab, _ = catalog_vectors(spark, sf_dir)
+    return vocab.select("term", "term_idx", "df", "cf")
+
+
+@query("tfidf_vectors")
+def q_tfidf_vectors(spark, sf_dir):
+    _, _, vec = catalog_vectors(spark, sf_dir)
+    return vec.select("id", "term_idx", r6("w").alias("w"))
+
+
+@query("vocab_stats")
+def q_vocab_stats(spark, sf_dir):
+    _, vocab, vec = catalog_vectors(spark, sf_dir)
+    return sim.vocab_stats(vocab, vec, n_docs(spark, sf_dir))
+
+
+@query("similarity_summary")
+def q_similarity_summary(spark, sf_dir):
+    _, _, vec = catalog_vectors(spark, sf_dir)
+    s = sim.similarity_summary(vec, n_docs(spark, sf_dir))
+    return s.select(r6("mean_similarity").alias("mean_similarity"),
+                    r6("max_below_one").alias("max_below_one"))
+
+
+@query("similarity_footprint")
+def q_similarity_footprint(spark, sf_dir):
+    _, _, vec = catalog_vectors(spark, sf_dir)
+    return sim.similarity_footprint(n_docs(spark, sf_dir), sim.topk_neighbours(vec, FX.TOP_K))
+
+
+@query("embedding_topk")
+def q_embedding_topk(spark, sf_dir):
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    top = sim.topk_neighbours(sim.embedding_vectors(emb), FX.TOP_K)
+    return top.select("id", "rank", "other_id", r6("score").alias("score"))
+
+
+@query("cosine_topk_approx")
+def q_cosine_topk_approx(spark, sf_dir):
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return sim.cosine_topk_approx(sim.embedding_vectors(emb), dim=64, k=FX.TOP_K)
+
+
+@query("genre_match_rate")
+def q_genre_match_rate(spark, sf_dir):
+    cat, _, vec = catalog_vectors(spark, sf_dir)
+    top = sim.topk_neighbours(vec, FX.EVAL_NEIGHBOURS)
+    return EV.genre_match_rate(cat, top, FX.EVAL_SAMPLE)
+
+
+@query("genre_match_rate_all")
+def q_genre_match_rate_all(spark, sf_dir):
+    cat, _, vec = catalog_vectors(spark, sf_dir)
+    top = sim.topk_neighbours(vec, FX.EVAL_NEIGHBOURS)
+    return EV.genre_match_rate(cat, top, None)
+
+
+def ablation_rates(spark, sf_dir, sample=FX.ABLATION_SAMPLE):
+    cat = derived.documents_catalog(spark, sf_dir)
+    var = CT.build_tag_variants(cat, FX.ABLATION_FEATURES)
+    _, vec = sim.build_vectors(var, "movie_id", "tags", part=["variant"])
+    top = sim.topk_neighbours(vec, FX.EVAL_NEIGHBOURS, part=["variant"])
+    items = var.select("variant", "movie_id", "genres")
+    return EV.genre_match_rate(items, top, sample, part=["variant"])
+
+
+@query("feature_impact")
+def q_feature_impact(spark, sf_dir):
+    return EV.feature_impact(ablation_rates(spark, sf_dir))
+
+
+@query("most_important_feature")
+def q_most_important_feature(spark, sf_dir):
+    return EV.most_important_feature(EV.feature_impact(ablation_rates(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# 2.4 baselines and importance
+# ---------------------------------------------------------------------------
+
+@query("baseline_tag_length")
+def q_baseline_tag_length(spark, sf_dir):
+    b = BL.baseline_tag_length(derived.documents_catalog(spark, sf_dir))
+    return b.select(*[r6(c).alias(c) for c in b.columns])
+
+
+@query("baseline_word_count")
+def q_baseline_word_count(spark, sf_dir):
+    b = BL.baseline_word_count(derived.documents_catalog(spark, sf_dir))
+    return b.select(*[r6(c).alias(c) for c in b.columns])
+
+
+@query("baseline_list_counts")
+def q_baseline_list_counts(spark, sf_dir):
+    b = BL.baseline_list_counts(derived.documents_catalog(spark, sf_dir))
+    return b.select("feature", r6("mean_per_item").alias("mean_per_item"),
+                    r6("variance").alias("variance"), "items_empty")
+
+
+@query("baseline_director_counts")
+def q_baseline_director_counts(spark, sf_dir):
+    return BL.baseline_director_counts(derived.documents_catalog(spark, sf_dir))
+
+
+@query("baseline_top_genres")
+def q_baseline_top_genres(spark, sf_dir):
+    return BL.top_genres(derived.documents_catalog(spark, sf_dir))
+
+
+@query("baseline_statistics")
+def q_baseline_statistics(spark, sf_dir):
+    b = BL.baseline_statistics(derived.documents_catalog(spark, sf_dir))
+    return b.select("total_items", r6("tag_length.mean").alias("tag_length_mean"),
+                    r6("tag_length.median").alias("tag_length_median"),
+                    r6("word_count.variance").alias("word_count_variance"),
+                    r6("genre_counts.mean_per_item").alias("genres_mean_per_item"),
+                    "keyword_counts.items_no_keywords",
+                    "director_counts.items_with_director",
+                    F.size(F.map_keys("top_genres")).alias("top_genre_count"))
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    return BL.feature_importance(derived.documents_catalog(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# 2.1 / 2.2 / 2.9 raw catalog parsing and quality
+# ---------------------------------------------------------------------------
+
+@query("parse_catalog")
+def q_parse_catalog(spark, sf_dir):
+    raw = derived.raw_catalog_tpch(spark, sf_dir)
+    p = CT.prepare_catalog(raw)
+    return p.select("movie_id", "title",
+                    F.array_join("genres", "|").alias("genres"),
+                    F.array_join("keywords", "|").alias("keywords"),
+                    F.array_join("cast", "|").alias("cast"),
+                    F.array_join("crew", "|").alias("crew"), "tags")
+
+
+@query("catalog_merge_by_id")
+def q_catalog_merge_by_id(spark, sf_dir):
+    """orders (as items) JOIN customer (as credits) on the key."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"),
+                                             F.col("o_custkey").alias("movie_id_key"),
+                                             F.col("o_orderpriority").alias("title"))
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("movie_id_key"),
+                                               F.col("c_name").alias("cast"),
+                                               F.col("c_mktsegment").alias("crew"))
+    return o.join(c, "movie_id_key").select(F.col("id").alias("movie_id"), "title", "cast", "crew")
+
+
+def events_with_nulls(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", F.expr("nullif(event_type, 'error')").alias("event_type"),
+                    "user_id", F.expr("nullif(props, '{\"k\": 69}')").alias("props"), "value")
+
+
+@query("missing_values")
+def q_missing_values(spark, sf_dir):
+    return QA.missing_values(events_with_nulls(spark, sf_dir), "events")
+
+
+@query("drop_nulls")
+def q_drop_nulls(spark, sf_dir):
+    return CT.drop_nulls_report(events_with_nulls(spark, sf_dir))
+
+
+@query("min_rows_check")
+def q_min_rows_check(spark, sf_dir):
+    return QA.min_rows_check(table(spark, sf_dir, "part"), FX.MIN_ROWS)
+
+
+@query("duplicate_titles")
+def q_duplicate_titles(spark, sf_dir):
+    return QA.duplicate_titles(table(spark, sf_dir, "part").select(F.col("p_name").alias("title")))
+
+
+@query("empty_strings")
+def q_empty_strings(spark, sf_dir):
+    return QA.empty_strings(table(spark, sf_dir, "documents"), ["text", "lang", "source"])
+
+
+@query("rating_outliers")
+def q_rating_outliers(spark, sf_dir):
+    return QA.rating_outliers(table(spark, sf_dir, "customer"), "c_acctbal")
+
+
+@query("quality_issues")
+def q_quality_issues(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select(F.col("p_name").alias("title"), "p_brand", "p_type",
+                                           "p_retailprice")
+    return QA.quality_issues(p, "title", "p_retailprice", ["title", "p_brand", "p_type"])
+
+
+@query("quality_summary")
+def q_quality_summary(spark, sf_dir):
+    iss = q_quality_issues(spark, sf_dir)
+    return QA.quality_summary(iss).select("passed", "issue_count",
+                                          F.array_join("issues", "; ").alias("issues"))
+
+
+@query("validate_schema")
+def q_validate_schema(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    req = ["p_partkey", "p_name", "p_retailprice", "p_comment"]
+    return QA.schema_table(part, req, "part").crossJoin(part.agg(F.count(F.lit(1)).alias("rows")))
+
+
+@query("eda_profile")
+def q_eda_profile(spark, sf_dir):
+    return QA.eda_profile(table(spark, sf_dir, "lineitem"), "lineitem")
+
+
+# ---------------------------------------------------------------------------
+# 2.4 / 2.5 feedback
+# ---------------------------------------------------------------------------
+
+def fb(spark, sf_dir):
+    return derived.feedback_from_events(spark, sf_dir), derived.positives_from_events(spark, sf_dir)
+
+
+@query("feedback_stats")
+def q_feedback_stats(spark, sf_dir):
+    s, p = fb(spark, sf_dir)
+    x = FB.feedback_stats(s, p)
+    return x.select(*[r6(c).alias(c) if c in ("query_length_mean", "query_length_variance",
+                                               "avg_latency_ms", "success_rate", "not_found_rate")
+                      else F.col(c) for c in x.columns])
+
+
+@query("status_counts")
+def q_status_counts(spark, sf_dir):
+    s, _ = fb(spark, sf_dir)
+    return FB.status_counts(s, ["status"])
+
+
+@query("request_counts")
+def q_request_counts(spark, sf_dir):
+    s, _ = fb(spark, sf_dir)
+    code = F.when(F.col("status") == "error", 500).when(F.col("status") == "not_found", 404).otherwise(200)
+    return FB.status_counts(s.select(F.col("event_type").alias("endpoint"), code.alias("status_code")),
+                            ["endpoint", "status_code"])
+
+
+@query("latency_histogram")
+def q_latency_histogram(spark, sf_dir):
+    s, _ = fb(spark, sf_dir)
+    h = FB.latency_histogram(s, F.col("latency_ms") / 1000.0)
+    return h.select("le", "bucket_count", r6("sum_seconds").alias("sum_seconds"), "count")
+
+
+@query("latency_violations")
+def q_latency_violations(spark, sf_dir):
+    s, _ = fb(spark, sf_dir)
+    return FB.latency_violations(s, F.col("latency_ms"))
+
+
+@query("last_gauge")
+def q_last_gauge(spark, sf_dir):
+    s, _ = fb(spark, sf_dir)
+    g = FB.last_gauge(s, ["event_type"], "latency_ms", "ts", "event_id")
+    return g.select("event_type", r6("last_value").alias("last_value"), ts_str("last_ts").alias("last_ts"))
+
+
+@query("favorites_count")
+def q_favorites_count(spark, sf_dir):
+    _, p = fb(spark, sf_dir)
+    return FB.favorites_count(p)
+
+
+@query("distinct_queries")
+def q_distinct_queries(spark, sf_dir):
+    s, _ = fb(spark, sf_dir)
+    return s.select("query").distinct().agg(F.count(F.lit(1)).alias("distinct_queries"))
+
+
+@query("drift_checkpoints")
+def q_drift_checkpoints(spark, sf_dir):
+    s, p = fb(spark, sf_dir)
+    return FB.drift_checkpoints(s, p).withColumn("ts", ts_str("ts"))
+
+
+@query("active_requests")
+def q_active_requests(spark, sf_dir):
+    s, _ = fb(spark, sf_dir)
+    a = FB.active_requests(s, "ts", F.col("latency_ms"), "event_id")
+    return a.select("max_active", ts_str("first_peak_at").alias("first_peak_at"))
+
+
+@query("session_activity")
+def q_session_activity(spark, sf_dir):
+    s, _ = fb(spark, sf_dir)
+    a = FB.session_activity(s, "user_id", "ts", "30 minutes")
+    return a.select("user_id", ts_str("session_start").alias("session_start"),
+                    ts_str("session_end").alias("session_end"), "requests", "successes")
+
+
+# ---------------------------------------------------------------------------
+# 2.10 drift, gates, registry
+# ---------------------------------------------------------------------------
+
+def catalog_baseline(spark, sf_dir):
+    return BL.baseline_word_count(derived.documents_catalog(spark, sf_dir))
+
+
+@query("detect_drift")
+def q_detect_drift(spark, sf_dir):
+    s, p = fb(spark, sf_dir)
+    return DR.detect_drift(FB.feedback_stats(s, p), catalog_baseline(spark, sf_dir))
+
+
+@query("drift_scores")
+def q_drift_scores(spark, sf_dir):
+    s, p = fb(spark, sf_dir)
+    return DR.drift_scores(FB.feedback_stats(s, p), catalog_baseline(spark, sf_dir))
+
+
+@query("checkpoint_drift")
+def q_checkpoint_drift(spark, sf_dir):
+    s, p = fb(spark, sf_dir)
+    v = DR.checkpoint_drift(FB.drift_checkpoints(s, p), catalog_baseline(spark, sf_dir))
+    return v.select("rn", ts_str("ts").alias("ts"), "mean_drift", "variance_drift", r6("success_rate").alias("success_rate"),
+                    "positive_rate", "drift_detected")
+
+
+@query("retrain_requests")
+def q_retrain_requests(spark, sf_dir):
+    s, p = fb(spark, sf_dir)
+    v = DR.checkpoint_drift(FB.drift_checkpoints(s, p), catalog_baseline(spark, sf_dir))
+    return DR.retrain_requests(v).withColumn("ts", ts_str("ts"))
+
+
+def model_registry(spark, sf_dir):
+    """One training run per day of signup events: quality = share of the
+    day's signups with value > 20, items = signups, vocabulary = users."""
+    e = table(spark, sf_dir, "events").filter(F.col("event_type") == "signup")
+    day = F.to_date(F.col("ts").cast("timestamp"))
+    return (e.groupBy(day.alias("day")).agg(
+        tx.ratio_round(F.count_if(F.col("value") > 20), F.count(F.lit(1)), 4).alias("genre_match_rate"),
+        F.count(F.lit(1)).alias("n_items"), F.count_distinct("user_id").alias("vocabulary_size"),
+        F.max(F.col("ts").cast("timestamp")).alias("registered_at"))
+        .select(F.concat(F.lit("v_"), F.date_format("registered_at", "yyyyMMdd_HHmmss")).alias("version"),
+                "registered_at", "genre_match_rate", "n_items", "vocabulary_size"))
+
+
+@query("quality_gate")
+def q_quality_gate(spark, sf_dir):
+    return DR.quality_gate(model_registry(spark, sf_dir)).select("version", "genre_match_rate", "decision")
+
+
+@query("stage_transition")
+def q_stage_transition(spark, sf_dir):
+    return DR.stage_transitions(model_registry(spark, sf_dir)).withColumn("registered_at", ts_str("registered_at"))
+
+
+@query("registry_describe")
+def q_registry_describe(spark, sf_dir):
+    d = DR.registry_describe(model_registry(spark, sf_dir))
+    return d.select("version", "description", F.col("tags")["trained_on"].alias("trained_on"))
+
+
+@query("latest_pointer")
+def q_latest_pointer(spark, sf_dir):
+    return DR.latest_pointer(model_registry(spark, sf_dir))
+
+
+@query("promote_version")
+def q_promote_version(spark, sf_dir):
+    return DR.promote_and_rollback(model_registry(spark, sf_dir))
+
+
+@query("model_version_info")
+def q_model_version_info(spark, sf_dir):
+    _, vocab, vec = catalog_vectors(spark, sf_dir)
+    st = sim.vocab_stats(vocab, vec, n_docs(spark, sf_dir))
+    return st.select(F.lit("tfidf-cosine").alias("model"), "vocabulary_size", "matrix_rows", "nnz")
+
+
+@query("artifact_readiness")
+def q_artifact_readiness(spark, sf_dir):
+    """Required artifacts vs the per-day runs present in the registry."""
+    reg = model_registry(spark, sf_dir).select(F.date_format("registered_at", "yyyy-MM-dd").alias("artifact"))
+    days = (table(spark, sf_dir, "events")
+            .select(F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd").alias("artifact")).distinct())
+    return DR.artifact_readiness(days, reg).select("ready", "missing_count",
+                                                   F.array_join("missing", ",").alias("missing"))
+
+
+@query("experiment_metrics")
+def q_experiment_metrics(spark, sf_dir):
+    reg = model_registry(spark, sf_dir).withColumnRenamed("version", "run_id")
+    return DR.experiment_metrics(reg, {"metric": ["genre_match_rate"],
+                                       "param": ["n_items", "vocabulary_size"]})
+
+
+# ---------------------------------------------------------------------------
+# 2.3 / 2.5 / 2.7 search and recommendation
+# ---------------------------------------------------------------------------
+
+def query_batch(spark, sf_dir) -> DataFrame:
+    """Queries derived from the tables: every language (genre route), every
+    source (person route), every part name, and the titles of documents
+    labelled toxic (title route)."""
+    d = table(spark, sf_dir, "documents")
+    lab = table(spark, sf_dir, "labels").filter(F.col("toxic") == 1).select("doc_id")
+    title = F.trim(F.regexp_replace(F.substring("text", 1, 40), derived.ASCII_WS, " "))
+    return (d.select(F.lower("lang").alias("query"))
+            .unionByName(d.select(F.col("source").alias("query")))
+            .unionByName(table(spark, sf_dir, "part").select(F.col("p_name").alias("query")))
+            .unionByName(d.join(lab, "doc_id").select(F.lower(title).alias("query"))))
+
+
+def lookups(spark, cat):
+    gv = (spark.createDataFrame([(g,) for g in FX.GENRE_QUERIES], "genre_query string")
+          .unionByName(cat.select(F.explode("genres").alias("genre_query"))).distinct())
+    cm = spark.createDataFrame(list(FX.CHARACTER_TO_ACTOR.items()), "character string, actor string")
+    am = spark.createDataFrame(list(FX.GENRE_SEARCH_MAP.items()), "q string, terms array<string>")
+    return gv, cm, am
+
+
+def search_context(spark, sf_dir, with_vectors=False):
+    cat = derived.documents_catalog(spark, sf_dir)
+    words = SR.tag_words(cat)
+    index = SR.gram_index(words)
+    q = SR.prepare_queries(query_batch(spark, sf_dir))
+    gv, cm, am = lookups(spark, cat)
+    routed = SR.route_query(q, cat, gv, cm, words, index)
+    return cat, words, index, q, routed, am
+
+
+@query("route_query")
+def q_route_query(spark, sf_dir):
+    _, _, _, _, routed, _ = search_context(spark, sf_dir)
+    return routed.select("query", "route", "person_key", "matched_title")
+
+
+@query("query_item_contains")
+def q_query_item_contains(spark, sf_dir):
+    cat, words, index, q, _, _ = search_context(spark, sf_dir)
+    keys = q.filter(F.col("squeezed") != "").select("kid", F.col("squeezed").alias("key"))
+    hits = SR.contains_join(keys, words, index)
+    return hits.join(q, "kid").select("query", F.col("id").alias("movie_id"))
+
+
+@query("fuzzy_title_levenshtein")
+def q_fuzzy_title(spark, sf_dir):
+    cat, _, _, q, _, _ = search_context(spark, sf_dir)
+    fz = SR.fuzzy_title_match(q.select("kid", "q"), cat.select(F.lower("title").alias("title")))
+    return fz.join(q, "kid").select("query", "matched", r6("ratio").alias("ratio"))
+
+
+@query("search_by_genre")
+def q_search_by_genre(spark, sf_dir):
+    cat, words, index, _, routed, am = search_context(spark, sf_dir)
+    return SR.search_by_genre(routed, cat, am, words, index)
+
+
+@query("search_by_person")
+def q_search_by_person(spark, sf_dir):
+    cat, words, index, _, routed, _ = search_context(spark, sf_dir)
+    _, vec = sim.build_vectors(cat, "movie_id", "tags")
+    return SR.search_by_person(routed, cat, sim.cut_lineage(vec, "vectors"), words, index)
+
+
+@query("title_recommend")
+def q_title_recommend(spark, sf_dir):
+    cat, _, _, _, routed, _ = search_context(spark, sf_dir)
+    _, vec = sim.build_vectors(cat, "movie_id", "tags")
+    top = sim.topk_neighbours(vec, FX.TOP_K)
+    return SR.title_recommend(routed, cat, top)
+
+
+def recommend_all(spark, sf_dir):
+    cat, words, index, q, routed, am = search_context(spark, sf_dir)
+    _, vec = sim.build_vectors(cat, "movie_id", "tags")
+    v = sim.cut_lineage(vec, "vectors")
+    top = sim.topk_neighbours(v, FX.TOP_K, materialize=False)
+    res = (SR.search_by_genre(routed, cat, am, words, index)
+           .unionByName(SR.title_recommend(routed, cat, top))
+           .unionByName(SR.search_by_person(routed, cat, v, words, index)))
+    return q, res
+
+
+@query("recommend_batch")
+def q_recommend_batch(spark, sf_dir):
+    _, res = recommend_all(spark, sf_dir)
+    return SR.recommend_metrics(res)
+
+
+@query("recommend_outcome")
+def q_recommend_outcome(spark, sf_dir):
+    q, res = recommend_all(spark, sf_dir)
+    return SR.recommend_outcome(q, res)
+
+
+@query("sort_recommendations")
+def q_sort_recommendations(spark, sf_dir):
+    """Title-route results enriched with a rating (labels.quality of the
+    item, null when unlabelled), sorted for display."""
+    cat, _, _, _, routed, _ = search_context(spark, sf_dir)
+    _, vec = sim.build_vectors(cat, "movie_id", "tags")
+    top = sim.topk_neighbours(vec, FX.TOP_K)
+    res = SR.title_recommend(routed, cat, top)
+    lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    rating = (cat.select("movie_id", "title").join(lab, F.col("movie_id") == F.col("doc_id"), "left")
+              .groupBy("title").agg(F.max(F.col("quality") * 10.0 / 3).alias("rating")))
+    x = (res.join(rating, "title", "left").withColumn("is_searched", F.col("pos") == 0))
+    s = SR.sort_recommendations(x, ["query"])
+    return s.select("query", "title", "display_pos", "rating_label")
+
+
+@query("enrich_metadata")
+def q_enrich_metadata(spark, sf_dir):
+    """Titles = part names and supplier names; metadata candidates = part
+    rows of that name (poster when p_size > 25, rating = price / 200,
+    overview = type); supplier names have no candidate (error)."""
+    p = table(spark, sf_dir, "part")
+    cand = p.select(F.col("p_name").alias("title"), F.col("p_partkey").alias("cand_pos"),
+                    F.when(F.col("p_size") > 25, F.concat(F.lit("/p"), F.col("p_partkey").cast("string")))
+                    .alias("poster_path"),
+                    (F.col("p_retailprice") / 200).alias("vote_average"), F.col("p_type").alias("overview"))
+    titles = (p.select(F.col("p_name").alias("title"))
+              .unionByName(table(spark, sf_dir, "supplier").select(F.col("s_name").alias("title")))
+              .distinct())
+    return SR.enrich_metadata(titles, cand)

@@ -2,8 +2,379 @@
 
 from __future__ import annotations
 
+from tagwise.functions import fixed as FX
 from tagwise.plans import oracle as O
+from tagwise.plans.oracle import UWS, clean_name, clean_text, sql_str
+
+TS = "'%Y-%m-%d %H:%M:%S.%f'"
+
+
+def rr(a: str, b: str, digits: int = 4) -> str:
+    """Half-up rounding of an exact integer ratio (matches text.ratio_round)."""
+    sc = 10 ** digits
+    return f"(CASE WHEN ({b}) <> 0 THEN ((({a})::BIGINT * {2 * sc} + ({b})::BIGINT) // (({b})::BIGINT * 2)) / {sc}.0 END)"
+
+
+def wc(x: str) -> str:
+    return f"len(list_filter(string_split_regex({x}, '{UWS}'), lambda w: w <> ''))"
+
+
+CAT = f"WITH {O.catalog_cte()}"
+TFIDF = f"WITH {O.catalog_cte()},{O.tfidf_ctes()}"
+
+FEEDBACK = """
+fbk AS (
+  SELECT event_id, ts, user_id, event_type, concat_ws(' ', event_type, props) AS query,
+         CASE WHEN event_type = 'error' THEN 'error' WHEN event_type = 'view' THEN 'not_found'
+              ELSE 'success' END AS status,
+         value * 10 AS latency_ms
+  FROM events),
+pos AS (SELECT event_id, ts, user_id, props AS movie FROM events WHERE event_type = 'purchase')"""
+
+FSTATS = f"""
+fs AS (
+  SELECT count(*) AS total_queries,
+         avg({wc('query')}) AS query_length_mean,
+         var_pop({wc('query')}) AS query_length_variance,
+         coalesce(avg(latency_ms), 0.0) AS avg_latency_ms,
+         count_if(status = 'success') / count(*) AS success_rate,
+         count_if(status = 'not_found') / count(*) AS not_found_rate,
+         count(DISTINCT query) AS unique_queries,
+         (SELECT count(*) FROM pos) AS positive_count
+  FROM fbk),
+fs2 AS (
+  SELECT total_queries >= {FX.MIN_FEEDBACK_FOR_DRIFT} AS sufficient_data, total_queries, positive_count,
+         {rr('positive_count', 'total_queries')} AS positive_rate,
+         query_length_mean, query_length_variance, avg_latency_ms, success_rate,
+         not_found_rate, unique_queries, {FX.MIN_FEEDBACK_FOR_DRIFT} AS required
+  FROM fs),
+bl AS (
+  SELECT round(avg({wc('tags')}), 9) AS base_mean, round(coalesce(var_samp({wc('tags')}), 1.0), 9) AS base_var
+  FROM cat)"""
+
+PCT = "printf('%.1f%%', ({x}) * 100)"
+
+
+def pct(x):
+    return PCT.format(x=x)
+
+
+CHECKPOINTS = f"""
+firsts AS (SELECT query, min({{'ts': ts, 'e': event_id}}) AS f FROM fbk GROUP BY query),
+s AS (SELECT f.ts, f.event_id, 1 AS kind, {wc('f.query')}::DOUBLE AS wc, f.status,
+             CASE WHEN x.query IS NULL THEN 0 ELSE 1 END AS is_new
+      FROM fbk f LEFT JOIN firsts x ON x.f.ts = f.ts AND x.f.e = f.event_id),
+u AS (SELECT * FROM s UNION ALL
+      SELECT ts, event_id, 0, 0.0, NULL, 0 FROM pos),
+c AS (
+  SELECT *, sum(kind) OVER w AS cum_n, sum(wc) OVER w AS cum_wc, sum(wc * wc) OVER w AS cum_wc2,
+         sum(CASE WHEN status = 'success' THEN 1 ELSE 0 END) OVER w AS cum_succ,
+         sum(CASE WHEN status = 'not_found' THEN 1 ELSE 0 END) OVER w AS cum_nf,
+         sum(is_new) OVER w AS cum_new, sum(1 - kind) OVER w AS cum_pos
+  FROM u WINDOW w AS (ORDER BY ts, kind, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+cp AS (
+  SELECT cum_n AS rn, ts, event_id,
+         round(cum_wc / cum_n, 6) AS query_length_mean,
+         round(greatest(cum_wc2 / cum_n - (cum_wc / cum_n) * (cum_wc / cum_n), 0.0), 6) AS query_length_variance,
+         round(cum_succ / cum_n, 6) AS success_rate, round(cum_nf / cum_n, 6) AS not_found_rate,
+         cum_new AS unique_queries, cum_pos AS positive_count
+  FROM c WHERE kind = 1 AND cum_n % {FX.DRIFT_CHECK_EVERY} = 0)"""
+
+VERDICTS = f"""
+vd AS (
+  SELECT cp.*, abs(query_length_mean - base_mean) / base_mean AS md,
+         abs(query_length_variance - base_var) / greatest(base_var, 1.0) AS vdr,
+         {rr('positive_count', 'rn')} AS prate
+  FROM cp, bl),
+vd2 AS (
+  SELECT rn, ts, round(md, 4) AS mean_drift, round(vdr, 4) AS variance_drift, success_rate,
+         prate AS positive_rate,
+         (md > {FX.DRIFT_THRESHOLD_MEAN} OR vdr > {FX.DRIFT_THRESHOLD_VARIANCE}
+          OR success_rate < {FX.LOW_SUCCESS_RATE}
+          OR (rn > {FX.POSITIVE_RATE_MIN_TOTAL} AND prate < {FX.LOW_POSITIVE_RATE})) AS drift_detected
+  FROM vd)"""
+
+REGISTRY = f"""
+reg AS (
+  SELECT 'v_' || strftime(max(ts), '%Y%m%d_%H%M%S') AS version, max(ts) AS registered_at,
+         {rr('count_if(value > 20)', 'count(*)')} AS genre_match_rate,
+         count(*) AS n_items, count(DISTINCT user_id) AS vocabulary_size
+  FROM events WHERE event_type = 'signup' GROUP BY CAST(ts AS DATE))"""
+
+RAW_JSONLESS = f"""
+li AS (SELECT l_orderkey, l_linenumber, l_returnflag, p_name, p_brand, p_type
+       FROM lineitem JOIN part ON l_partkey = p_partkey),
+agg AS (
+  SELECT l_orderkey AS movie_id,
+         list({clean_name('p_type')} ORDER BY l_linenumber, p_type, p_brand, p_name, CASE WHEN l_returnflag = 'R' THEN 'Director' ELSE 'Producer' END) AS genres,
+         list({clean_name('p_brand')} ORDER BY l_linenumber, p_type, p_brand, p_name, CASE WHEN l_returnflag = 'R' THEN 'Director' ELSE 'Producer' END) AS keywords,
+         list({clean_name('p_name')} ORDER BY l_linenumber, p_type, p_brand, p_name, CASE WHEN l_returnflag = 'R' THEN 'Director' ELSE 'Producer' END)[1:{FX.CAST_TOP_N}] AS "cast",
+         list({clean_name('p_name')} ORDER BY l_linenumber, p_type, p_brand, p_name, CASE WHEN l_returnflag = 'R' THEN 'Director' ELSE 'Producer' END) FILTER (WHERE l_returnflag = 'R') AS dirs
+  FROM li GROUP BY l_orderkey),
+pc AS (
+  SELECT a.movie_id, c_name AS title, o_orderpriority AS overview, genres, keywords, "cast",
+         CASE WHEN dirs IS NULL THEN []::VARCHAR[] ELSE dirs[1:1] END AS crew
+  FROM agg a JOIN orders o ON o.o_orderkey = a.movie_id JOIN customer ON o_custkey = c_custkey)"""
+
+
+def _quality_part():
+    blank = lambda c: f"regexp_replace({c}, '^{UWS}|{UWS}$', '', 'g') = ''"
+    return f"""
+pq AS (SELECT p_name AS title, p_brand, p_type, p_retailprice FROM part),
+b AS (SELECT quantile_cont(p_retailprice, 0.25) AS q1, quantile_cont(p_retailprice, 0.75) AS q3 FROM pq),
+iss AS (
+  SELECT 'min_rows' AS "check", NULL::VARCHAR AS "column", count(*)::DOUBLE AS value,
+         CASE WHEN count(*) < {FX.MIN_ROWS} THEN printf('Too few rows: %d < %d', count(*), {FX.MIN_ROWS}) END AS issue
+  FROM pq
+  UNION ALL
+  SELECT 'duplicates', 'title', (count(*) - count(DISTINCT title))::DOUBLE,
+         CASE WHEN count(*) - count(DISTINCT title) > 0
+              THEN printf('%d duplicate %s values', count(*) - count(DISTINCT title), 'title') END
+  FROM pq
+  UNION ALL
+  SELECT 'empty_strings', c, n::DOUBLE, CASE WHEN n > 0 THEN printf('%d empty values in %s', n, c) END
+  FROM (SELECT 'title' AS c, count_if({blank('title')}) AS n FROM pq
+        UNION ALL SELECT 'p_brand', count_if({blank('p_brand')}) FROM pq
+        UNION ALL SELECT 'p_type', count_if({blank('p_type')}) FROM pq)
+  UNION ALL
+  SELECT 'outliers', 'p_retailprice', n::DOUBLE, CASE WHEN n > 0 THEN printf('%d outliers in %s', n, 'p_retailprice') END
+  FROM (SELECT count_if(p_retailprice < q1 - 1.5 * (q3 - q1) OR p_retailprice > q3 + 1.5 * (q3 - q1)) AS n
+        FROM pq, b))"""
+
+
+EV = """
+ev AS (SELECT event_id, nullif(event_type, 'error') AS event_type, user_id,
+              nullif(props, '{"k": 69}') AS props, value FROM events)"""
 
 ORACLE: dict[str, str] = {
-    "topk_neighbours": O.topk_sql(20),
+    "topk_neighbours": O.topk_sql(FX.TOP_K),
+    "build_tags": f"{CAT} SELECT movie_id, title, tags FROM cat",
+    "vocabulary": f"{TFIDF} SELECT term, term_idx, df, cf FROM vocab",
+    "tfidf_vectors": f"{TFIDF} SELECT id, term_idx, round(w, 6) AS w FROM nv",
+    "vocab_stats": f"""{TFIDF}
+SELECT (SELECT count(*) FROM vocab) AS vocabulary_size, (SELECT n FROM nd) AS matrix_rows,
+       count(*) AS nnz, count(DISTINCT id) AS nonzero_rows FROM nv""",
+    "baseline_tag_length": f"""{CAT}
+SELECT round(avg(length(tags)), 6) AS mean, round(var_samp(length(tags)), 6) AS variance,
+       round(min(length(tags))::DOUBLE, 6) AS min, round(max(length(tags))::DOUBLE, 6) AS max,
+       round(median(length(tags))::DOUBLE, 6) AS median FROM cat""",
+    "baseline_word_count": f"""{CAT}
+SELECT round(avg({wc('tags')}), 6) AS mean, round(var_samp({wc('tags')}), 6) AS variance,
+       round(min({wc('tags')})::DOUBLE, 6) AS min, round(max({wc('tags')})::DOUBLE, 6) AS max FROM cat""",
+    "baseline_list_counts": f"""{CAT}
+SELECT 'genres' AS feature, round(avg(len(genres)), 6) AS mean_per_item, round(var_samp(len(genres)), 6) AS variance,
+       count_if(len(genres) = 0) AS items_empty FROM cat
+UNION ALL SELECT 'cast', round(avg(len("cast")), 6), round(var_samp(len("cast")), 6), count_if(len("cast") = 0) FROM cat
+UNION ALL SELECT 'keywords', round(avg(len(keywords)), 6), round(var_samp(len(keywords)), 6),
+       count_if(len(keywords) = 0) FROM cat""",
+    "baseline_director_counts": f"""{CAT}
+SELECT count_if(len(crew) > 0) AS with_director, count_if(len(crew) = 0) AS without_director FROM cat""",
+    "baseline_top_genres": f"""{CAT}
+SELECT genre, count(*) AS count FROM (SELECT unnest(genres) AS genre FROM cat)
+GROUP BY genre ORDER BY count DESC, genre LIMIT 10""",
+    "baseline_statistics": f"""{CAT}
+SELECT count(*) AS total_items, round(avg(length(tags)), 6) AS tag_length_mean,
+       round(median(length(tags))::DOUBLE, 6) AS tag_length_median,
+       round(var_samp({wc('tags')}), 6) AS word_count_variance,
+       round(avg(len(genres)), 6) AS genres_mean_per_item,
+       count_if(len(keywords) = 0) AS items_no_keywords,
+       count_if(len(crew) > 0) AS items_with_director,
+       (SELECT least(count(DISTINCT g), 10) FROM (SELECT unnest(genres) AS g FROM cat)) AS top_genre_count
+FROM cat""",
+    "feature_importance": f"""{CAT},
+t AS (SELECT sum({wc('tags')}) AS total,
+             sum({wc('overview')}) AS overview, sum(len(genres) * 2) AS genres,
+             sum(len(keywords)) AS keywords, sum(len("cast") * 2) AS "cast", sum(len(crew) * 3) AS director
+      FROM cat)
+SELECT feature, words, round(words / total * 100, 2) AS importance FROM (
+  SELECT 'overview' AS feature, overview AS words, total FROM t UNION ALL
+  SELECT 'genres', genres, total FROM t UNION ALL SELECT 'keywords', keywords, total FROM t UNION ALL
+  SELECT 'cast', "cast", total FROM t UNION ALL SELECT 'director', director, total FROM t)""",
+    "parse_catalog": f"""WITH {RAW_JSONLESS}
+SELECT movie_id, title, array_to_string(genres, '|') AS genres, array_to_string(keywords, '|') AS keywords,
+       array_to_string("cast", '|') AS "cast", array_to_string(crew, '|') AS crew,
+       array_to_string([{clean_text('overview')}] || genres || genres || keywords || "cast" || "cast"
+                       || crew || crew || crew, ' ') AS tags
+FROM pc""",
+    "catalog_merge_by_id": """
+SELECT o_orderkey AS movie_id, o_orderpriority AS title, c_name AS "cast", c_mktsegment AS crew
+FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "missing_values": f"""WITH {EV},
+m AS (SELECT count(*) AS n, count_if(event_id IS NULL) AS event_id, count_if(event_type IS NULL) AS event_type,
+             count_if(user_id IS NULL) AS user_id, count_if(props IS NULL) AS props,
+             count_if(value IS NULL) AS value FROM ev),
+l AS (SELECT 'event_id' AS "column", event_id AS missing, n FROM m UNION ALL
+      SELECT 'event_type', event_type, n FROM m UNION ALL SELECT 'user_id', user_id, n FROM m UNION ALL
+      SELECT 'props', props, n FROM m UNION ALL SELECT 'value', value, n FROM m)
+SELECT 'events' AS source, "column", missing, {rr('missing', 'n')} AS rate,
+       CASE WHEN {rr('missing', 'n')} > {FX.MISSING_HIGH_RATE} THEN 'high' WHEN missing > 0 THEN 'some'
+            ELSE 'none' END AS level FROM l""",
+    "drop_nulls": f"""WITH {EV}
+SELECT count(*) AS rows_before,
+       count_if(event_id IS NULL OR event_type IS NULL OR user_id IS NULL OR props IS NULL OR value IS NULL)
+         AS rows_dropped,
+       count_if(NOT (event_id IS NULL OR event_type IS NULL OR user_id IS NULL OR props IS NULL OR value IS NULL))
+         AS rows_after
+FROM ev""",
+    "min_rows_check": f"""
+SELECT 'min_rows' AS "check", NULL::VARCHAR AS "column", count(*)::DOUBLE AS value,
+       CASE WHEN count(*) < {FX.MIN_ROWS} THEN printf('Too few rows: %d < %d', count(*), {FX.MIN_ROWS}) END AS issue
+FROM part""",
+    "duplicate_titles": """
+SELECT 'duplicates' AS "check", 'title' AS "column", (count(*) - count(DISTINCT p_name))::DOUBLE AS value,
+       CASE WHEN count(*) - count(DISTINCT p_name) > 0
+            THEN printf('%d duplicate %s values', count(*) - count(DISTINCT p_name), 'title') END AS issue
+FROM part""",
+    "empty_strings": f"""
+SELECT 'empty_strings' AS "check", c AS "column", n::DOUBLE AS value,
+       CASE WHEN n > 0 THEN printf('%d empty values in %s', n, c) END AS issue
+FROM (SELECT 'text' AS c, count_if(regexp_replace(text, '^{UWS}|{UWS}$', '', 'g') = '') AS n FROM documents
+      UNION ALL SELECT 'lang', count_if(regexp_replace(lang, '^{UWS}|{UWS}$', '', 'g') = '') FROM documents
+      UNION ALL SELECT 'source', count_if(regexp_replace(source, '^{UWS}|{UWS}$', '', 'g') = '') FROM documents)""",
+    "rating_outliers": """
+WITH b AS (SELECT quantile_cont(c_acctbal, 0.25) AS q1, quantile_cont(c_acctbal, 0.75) AS q3 FROM customer),
+n AS (SELECT count_if(c_acctbal < q1 - 1.5 * (q3 - q1) OR c_acctbal > q3 + 1.5 * (q3 - q1)) AS n FROM customer, b)
+SELECT 'outliers' AS "check", 'c_acctbal' AS "column", n::DOUBLE AS value,
+       CASE WHEN n > 0 THEN printf('%d outliers in %s', n, 'c_acctbal') END AS issue FROM n""",
+    "quality_issues": f"WITH {_quality_part()} SELECT * FROM iss",
+    "quality_summary": f"""WITH {_quality_part()}
+SELECT count_if(issue IS NOT NULL) = 0 AS passed, count_if(issue IS NOT NULL) AS issue_count,
+       coalesce(string_agg(issue, '; ' ORDER BY issue), '') AS issues FROM iss""",
+    "validate_schema": """
+SELECT 'part' AS source, c AS "column", c IN (SELECT column_name FROM (DESCRIBE part)) AS present,
+       (SELECT count(*) FROM part) AS rows
+FROM (VALUES ('p_partkey'), ('p_name'), ('p_retailprice'), ('p_comment')) t(c)""",
+    "eda_profile": """
+SELECT 'lineitem' AS "table", (row_number() OVER () - 1)::INTEGER AS position, column_name AS "column",
+       CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+            WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS type,
+       (SELECT count(*) FROM lineitem) AS rows
+FROM (DESCRIBE lineitem)""",
+    "feedback_stats": f"""{CAT},{FEEDBACK},{FSTATS}
+SELECT sufficient_data, total_queries, positive_count, positive_rate,
+       round(query_length_mean, 6) AS query_length_mean, round(query_length_variance, 6) AS query_length_variance,
+       round(avg_latency_ms, 6) AS avg_latency_ms, round(success_rate, 6) AS success_rate,
+       round(not_found_rate, 6) AS not_found_rate, unique_queries, required FROM fs2""",
+    "status_counts": f"WITH {FEEDBACK} SELECT status, count(*) AS count FROM fbk GROUP BY status",
+    "request_counts": f"""WITH {FEEDBACK}
+SELECT event_type AS endpoint,
+       CASE WHEN status = 'error' THEN 500 WHEN status = 'not_found' THEN 404 ELSE 200 END AS status_code,
+       count(*) AS count FROM fbk GROUP BY ALL""",
+    "latency_histogram": f"""WITH {FEEDBACK},
+h AS (SELECT {', '.join(f"count_if(latency_ms / 1000.0 <= {b}) AS b{i}" for i, b in enumerate(FX.REQUEST_LATENCY_BUCKETS))},
+             count(*) AS cnt, sum(latency_ms / 1000.0) AS total FROM fbk)
+SELECT le, bucket_count, round(total, 6) AS sum_seconds, cnt AS count FROM (
+  {' UNION ALL '.join(f"SELECT '{b}' AS le, b{i} AS bucket_count, total, cnt FROM h" for i, b in enumerate(FX.REQUEST_LATENCY_BUCKETS))}
+  UNION ALL SELECT '+Inf', cnt, total, cnt FROM h)""",
+    "latency_violations": f"""WITH {FEEDBACK}
+SELECT count_if(latency_ms > {FX.MAX_LATENCY_MS}) AS violations, count(*) AS requests FROM fbk""",
+    "last_gauge": f"""WITH {FEEDBACK}
+SELECT event_type, round(latency_ms, 6) AS last_value, strftime(ts, {TS}) AS last_ts FROM fbk
+QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) = 1""",
+    "favorites_count": f"WITH {FEEDBACK} SELECT user_id, count(DISTINCT movie) AS favorites FROM pos GROUP BY user_id",
+    "distinct_queries": f"WITH {FEEDBACK} SELECT count(DISTINCT query) AS distinct_queries FROM fbk",
+    "drift_checkpoints": f"""WITH {FEEDBACK},{CHECKPOINTS}
+SELECT rn, strftime(ts, {TS}) AS ts, event_id, query_length_mean, query_length_variance, success_rate,
+       not_found_rate, unique_queries, positive_count FROM cp""",
+    "active_requests": f"""WITH {FEEDBACK},
+ev2 AS (SELECT ts AS t, 1 AS d, 1 AS kind, event_id FROM fbk UNION ALL
+        SELECT ts + to_microseconds(round(latency_ms * 1000)::BIGINT), -1, 0, event_id FROM fbk),
+c AS (SELECT t, sum(d) OVER (ORDER BY t, kind, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS a FROM ev2)
+SELECT max(a) AS max_active, strftime(arg_min(t, {{'na': -a, 't': t}}), {TS}) AS first_peak_at FROM c""",
+    "session_activity": f"""WITH {FEEDBACK},
+g AS (SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL
+                      OR ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 30 MINUTE
+                     THEN 1 ELSE 0 END AS new_s FROM fbk),
+h AS (SELECT *, sum(new_s) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sid FROM g)
+SELECT user_id, strftime(min(ts), {TS}) AS session_start,
+       strftime(max(ts) + INTERVAL 30 MINUTE, {TS}) AS session_end,
+       count(*) AS requests, count_if(status = 'success') AS successes
+FROM h GROUP BY user_id, sid""",
+    "detect_drift": f"""{CAT},{FEEDBACK},{FSTATS},
+x AS (
+  SELECT fs2.*, abs(query_length_mean - base_mean) / base_mean AS md,
+         abs(query_length_variance - base_var) / greatest(base_var, 1.0) AS vdr FROM fs2, bl),
+y AS (
+  SELECT *, list_filter([
+      CASE WHEN md > {FX.DRIFT_THRESHOLD_MEAN} THEN 'Query length mean drifted ' || {pct('md')} END,
+      CASE WHEN vdr > {FX.DRIFT_THRESHOLD_VARIANCE} THEN 'Query length variance drifted ' || {pct('vdr')} END,
+      CASE WHEN success_rate < {FX.LOW_SUCCESS_RATE} THEN 'Low success rate: ' || {pct('success_rate')} END,
+      CASE WHEN total_queries > {FX.POSITIVE_RATE_MIN_TOTAL} AND positive_rate < {FX.LOW_POSITIVE_RATE}
+           THEN 'Low positive feedback rate: ' || {pct('positive_rate')} END], lambda s: s IS NOT NULL) AS sig
+  FROM x)
+SELECT sufficient_data AND len(sig) > 0 AS drift_detected,
+       CASE WHEN NOT sufficient_data THEN 'insufficient_data' ELSE 'evaluated' END AS reason,
+       CASE WHEN sufficient_data THEN round(md, 4) END AS mean_drift,
+       CASE WHEN sufficient_data THEN round(vdr, 4) END AS variance_drift,
+       CASE WHEN sufficient_data THEN len(sig) ELSE 0 END AS signal_count,
+       CASE WHEN sufficient_data THEN array_to_string(sig, '; ') ELSE '' END AS signals,
+       CASE WHEN sufficient_data AND len(sig) > 0 THEN 'RETRAIN' ELSE 'NO_ACTION' END AS recommendation
+FROM y""",
+    "drift_scores": f"""{CAT},{FEEDBACK},{FSTATS},
+x AS (SELECT fs2.*, abs(query_length_mean - base_mean) / base_mean AS md,
+             abs(query_length_variance - base_var) / greatest(base_var, 1.0) AS vdr FROM fs2, bl)
+SELECT feature, score FROM (
+  SELECT 'query_length_mean' AS feature, round(md, 4) AS score FROM x UNION ALL
+  SELECT 'query_length_variance', round(vdr, 4) FROM x UNION ALL
+  SELECT 'success_rate', CASE WHEN success_rate < {FX.LOW_SUCCESS_RATE} THEN round(1 - success_rate, 4) END FROM x
+  UNION ALL
+  SELECT 'positive_rate', CASE WHEN total_queries > {FX.POSITIVE_RATE_MIN_TOTAL} AND positive_rate < {FX.LOW_POSITIVE_RATE}
+                               THEN round(1 - positive_rate, 4) END FROM x)
+WHERE score IS NOT NULL""",
+    "checkpoint_drift": f"""{CAT},{FEEDBACK},{FSTATS},{CHECKPOINTS},{VERDICTS}
+SELECT rn, strftime(ts, {TS}) AS ts, mean_drift, variance_drift, round(success_rate, 6) AS success_rate,
+       positive_rate, drift_detected FROM vd2""",
+    "retrain_requests": f"""{CAT},{FEEDBACK},{FSTATS},{CHECKPOINTS},{VERDICTS}
+SELECT 'retrain_' || strftime(ts, '%Y%m%d_%H%M%S') || '_' || rn::VARCHAR AS request_id,
+       'drift_detected' AS reason, 'drift_detection' AS triggered_by, strftime(ts, {TS}) AS ts, rn
+FROM vd2 WHERE drift_detected""",
+    "quality_gate": f"""WITH {REGISTRY}
+SELECT version, genre_match_rate,
+       CASE WHEN genre_match_rate >= {FX.MIN_GENRE_MATCH} THEN 'promote' ELSE 'rollback' END AS decision FROM reg""",
+    "stage_transition": f"""WITH {REGISTRY},
+r AS (SELECT *, genre_match_rate >= {FX.MIN_GENRE_MATCH} AS p FROM reg)
+SELECT version, strftime(registered_at, {TS}) AS registered_at, genre_match_rate,
+       CASE WHEN NOT p THEN 'Staging'
+            WHEN count_if(p) OVER (ORDER BY registered_at, version ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) > 0
+            THEN 'Archived' ELSE 'Production' END AS stage,
+       CASE WHEN p THEN max(CASE WHEN p THEN version END) OVER
+            (ORDER BY registered_at, version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS replaced_version
+FROM r""",
+    "registry_describe": f"""WITH {REGISTRY}
+SELECT version, printf('Content model, genre match rate %.4f, %d items, vocabulary %d',
+                       genre_match_rate, n_items, vocabulary_size) AS description,
+       strftime(registered_at, '%Y-%m-%d') AS trained_on FROM reg""",
+    "latest_pointer": f"""WITH {REGISTRY}
+SELECT coalesce(arg_max(version, {{'t': registered_at, 'v': version}}), 'unknown') AS latest_version FROM reg""",
+    "promote_version": f"""WITH {REGISTRY},
+r AS (SELECT *, genre_match_rate >= {FX.MIN_GENRE_MATCH} AS p,
+             arg_max(CASE WHEN genre_match_rate >= {FX.MIN_GENRE_MATCH} THEN version END,
+                     CASE WHEN genre_match_rate >= {FX.MIN_GENRE_MATCH} THEN {{'t': registered_at, 'v': version}} END)
+               OVER (ORDER BY registered_at, version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev
+      FROM reg)
+SELECT version, round(genre_match_rate, 4) AS genre_match_rate,
+       CASE WHEN p THEN 'promote' ELSE 'rollback' END AS decision,
+       CASE WHEN p THEN version ELSE coalesce(prev, 'keep_current') END AS serving_version,
+       CASE WHEN p AND prev IS NOT NULL THEN 'backup/' || prev END AS backup_location
+FROM r""",
+    "artifact_readiness": f"""WITH {REGISTRY},
+d AS (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS artifact FROM events),
+m AS (SELECT artifact FROM d WHERE artifact NOT IN (SELECT strftime(registered_at, '%Y-%m-%d') FROM reg))
+SELECT count(*) = 0 AS ready, count(*) AS missing_count, coalesce(string_agg(artifact, ',' ORDER BY artifact), '') AS missing
+FROM m""",
+    "experiment_metrics": f"""WITH {REGISTRY}
+SELECT version AS run_id, 'metric' AS kind, 'genre_match_rate' AS key, genre_match_rate::DOUBLE AS value FROM reg
+UNION ALL SELECT version, 'param', 'n_items', n_items::DOUBLE FROM reg
+UNION ALL SELECT version, 'param', 'vocabulary_size', vocabulary_size::DOUBLE FROM reg""",
+    "enrich_metadata": """
+WITH cand AS (SELECT p_name AS title, p_partkey AS cand_pos,
+                     CASE WHEN p_size > 25 THEN '/p' || p_partkey::VARCHAR END AS poster_path,
+                     p_retailprice / 200 AS vote_average, p_type AS overview FROM part),
+best AS (SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY title ORDER BY poster_path IS NULL, cand_pos) = 1),
+titles AS (SELECT p_name AS title FROM part UNION SELECT s_name FROM supplier)
+SELECT t.title, CASE WHEN poster_path IS NOT NULL THEN 'https://image.example/w500' || poster_path END AS poster,
+       round(vote_average, 1) AS rating, coalesce(overview, 'No overview available.') AS overview,
+       CASE WHEN poster_path IS NOT NULL THEN 'success' WHEN cand_pos IS NOT NULL THEN 'fallback'
+            ELSE 'error' END AS outcome
+FROM titles t LEFT JOIN best b ON t.title = b.title""",
 }
