@@ -95,8 +95,8 @@ def fuzzy_title_match(queries: DataFrame, titles: DataFrame, cutoff: float = FUZ
     """queries (kid, q) x titles (title) -> (kid, matched, ratio): the best
     title with 1 - levenshtein/max_len >= cutoff; ties -> larger string."""
     def toks(df, key, s):
-        t = df.select(key, s, F.posexplode(_char_tokens(s)).alias("pos", "tok"))
-        return t
+        cols = [key] if key == s else [key, s]
+        return df.select(*cols, F.posexplode(_char_tokens(s)).alias("pos", "tok"))
     tt = toks(titles.select(F.col("title").alias("t")).distinct(), "t", "t")
     freq = tt.groupBy("tok").agg(F.count(F.lit(1)).alias("f"))
 
@@ -104,8 +104,9 @@ def fuzzy_title_match(queries: DataFrame, titles: DataFrame, cutoff: float = FUZ
         t = toks(df, key, s).join(freq, "tok", "left").fillna(0, ["f"])
         w = Window.partitionBy(key).orderBy("f", "tok")
         plen = F.char_length(s) - F.ceil(F.lit(cutoff) * F.char_length(s)) + 1
+        cols = [key] if key == s else [key, s]
         return (t.withColumn("r", F.row_number().over(w))
-                .filter(F.col("r") <= plen).select(key, s, "tok"))
+                .filter(F.col("r") <= plen).select(*cols, "tok"))
     qp = prefixes(queries, "kid", "q")
     tp = prefixes(titles.select(F.col("title").alias("t")).distinct(), "t", "t")
     cand = qp.join(tp.withColumnRenamed("t", "cand"), "tok").select("kid", "q", "cand").distinct()

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -495,9 +496,11 @@ def lookups(spark, cat):
 
 
 def search_context(spark, sf_dir, with_vectors=False):
-    cat = derived.documents_catalog(spark, sf_dir)
-    words = SR.tag_words(cat)
-    index = SR.gram_index(words)
+    # the catalog, its word table and gram index feed a dozen joins of one
+    # plan; persisted (lineage kept) so they are computed once
+    cat = derived.documents_catalog(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    words = SR.tag_words(cat).persist(StorageLevel.MEMORY_AND_DISK)
+    index = SR.gram_index(words).persist(StorageLevel.MEMORY_AND_DISK)
     q = SR.prepare_queries(query_batch(spark, sf_dir))
     gv, cm, am = lookups(spark, cat)
     routed = SR.route_query(q, cat, gv, cm, words, index)

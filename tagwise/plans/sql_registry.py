@@ -378,3 +378,221 @@ SELECT t.title, CASE WHEN poster_path IS NOT NULL THEN 'https://image.example/w5
             ELSE 'error' END AS outcome
 FROM titles t LEFT JOIN best b ON t.title = b.title""",
 }
+
+
+# ---------------------------------------------------------------------------
+# similarity summaries, evaluation, embeddings
+# ---------------------------------------------------------------------------
+
+def _topk_ranked(k: int) -> str:
+    return f"""{O.pairs_cte()},
+ranked AS (
+  SELECT id, other_id, score,
+         row_number() OVER (PARTITION BY id ORDER BY round(score, 9) DESC, other_id) AS rank
+  FROM pairs WHERE score > 0 QUALIFY rank <= {k})"""
+
+
+def _gmr(sample: int | None) -> str:
+    samp = "" if sample is None else f"QUALIFY row_number() OVER (ORDER BY md5('0|' || movie_id::VARCHAR), movie_id) <= {sample}"
+    return f"""{TFIDF},{_topk_ranked(FX.EVAL_NEIGHBOURS)},
+s AS (SELECT movie_id, genres FROM cat {samp}),
+per AS (SELECT s.movie_id, count_if(coalesce(len(list_intersect(s.genres, c2.genres)) > 0, false)) AS hits
+        FROM s LEFT JOIN ranked r ON r.id = s.movie_id LEFT JOIN cat c2 ON c2.movie_id = r.other_id
+        WHERE len(s.genres) > 0 GROUP BY s.movie_id)
+SELECT coalesce({rr('sum(hits)', f'count(*) * {FX.EVAL_NEIGHBOURS}')}, 0.0) AS genre_match_rate,
+       count(*) AS evaluated FROM per"""
+
+
+EMB = """
+ex AS (SELECT vec_id AS id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS term_idx
+       FROM embeddings),
+en AS (SELECT id, term_idx, x, sqrt(sum(x * x) OVER (PARTITION BY id)) AS nrm FROM ex),
+nv AS (SELECT id, term_idx, x / nrm AS w FROM en WHERE nrm > 0 AND x <> 0)"""
+
+ORACLE.update({
+    "similarity_summary": f"""{TFIDF},{O.pairs_cte()},
+cs AS (SELECT sum(w) AS s FROM nv GROUP BY term_idx)
+SELECT round((SELECT sum(s * s) FROM cs) / ((SELECT n FROM nd) * (SELECT n FROM nd)), 6) AS mean_similarity,
+       round((SELECT max(score) FROM pairs WHERE score > 0 AND score < 1 - 1e-9), 6) AS max_below_one""",
+    "similarity_footprint": f"""{TFIDF},{_topk_ranked(FX.TOP_K)},
+c AS (SELECT (SELECT count(*) FROM documents)::DOUBLE AS n, (SELECT count(*) FROM ranked) AS nnz)
+SELECT round(n * n * 8 / 1048576, 4) AS dense_mb,
+       round((nnz * 8 + nnz * 4 + (n + 1) * 4) / 1048576, 4) AS sparse_mb,
+       round((1 - ((nnz * 8 + nnz * 4 + (n + 1) * 4) / 1048576) / (n * n * 8 / 1048576)) * 100, 1) AS reduction_pct,
+       nnz, round(nnz / (n * n) * 100, 4) AS density_pct FROM c""",
+    "genre_match_rate": _gmr(FX.EVAL_SAMPLE),
+    "genre_match_rate_all": _gmr(None),
+    "embedding_topk": f"""WITH {EMB},{O.pairs_cte()},
+ranked AS (SELECT id, other_id, score,
+                  row_number() OVER (PARTITION BY id ORDER BY round(score, 9) DESC, other_id) AS rank
+           FROM pairs WHERE score > 0)
+SELECT id, rank, other_id, round(score, 6) AS score FROM ranked WHERE rank <= {FX.TOP_K}""",
+    "model_version_info": f"""{TFIDF}
+SELECT 'tfidf-cosine' AS model, (SELECT count(*) FROM vocab) AS vocabulary_size,
+       (SELECT n FROM nd) AS matrix_rows, count(*) AS nnz FROM nv""",
+})
+
+
+# ---------------------------------------------------------------------------
+# search
+# ---------------------------------------------------------------------------
+
+def lev(a: str, b: str) -> str:
+    """Character-level Levenshtein (DuckDB's built-in counts bytes)."""
+    sb = f"string_split({b}, '')"
+    dp = (f"list_reduce(string_split({a}, ''), lambda prev, ca: list_reduce(range(1, len({sb}) + 1), "
+          f"lambda row, j: list_append(row, least(prev[j + 1] + 1, row[len(row)] + 1, "
+          f"prev[j] + CASE WHEN ca = {sb}[j] THEN 0 ELSE 1 END)), [prev[1] + 1]), "
+          f"range(0, len({sb}) + 1))[len({sb}) + 1]")
+    return f"(CASE WHEN {a} = '' THEN length({b}) WHEN {b} = '' THEN length({a}) ELSE {dp} END)"
+
+
+def excess(a: str, b: str) -> str:
+    """Characters of a (as a multiset) that b lacks: a lower bound on the
+    edit distance."""
+    cnt = lambda x: f"(length({x}) - length(replace({x}, c, '')))"
+    return (f"list_sum(list_transform(list_distinct(string_split({a}, '')), "
+            f"lambda c: greatest({cnt(a)} - {cnt(b)}, 0)))")
+
+
+def _values(rows, cols) -> str:
+    body = ", ".join("(" + ", ".join(sql_str(v) for v in r) + ")" for r in rows)
+    return f"(VALUES {body}) t({', '.join(cols)})"
+
+
+def _alias_values() -> str:
+    body = ", ".join(f"({sql_str(k)}, {O.sql_list(v)})" for k, v in FX.GENRE_SEARCH_MAP.items())
+    return f"(VALUES {body}) am(q, terms)"
+
+
+TITLE_EXPR = f"trim(regexp_replace(substring(d.text, 1, 40), '{O.ASCII_WS}', ' ', 'g'))"
+
+ROUTE = f"""
+qraw AS (SELECT lower(lang) AS query FROM documents UNION ALL SELECT source FROM documents
+         UNION ALL SELECT p_name FROM part
+         UNION ALL SELECT lower({TITLE_EXPR}) FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+                   WHERE l.toxic = 1),
+q AS (SELECT DISTINCT query, lower(trim(query)) AS q, replace(replace(lower(trim(query)), ' ', ''), '-', '') AS sq
+      FROM qraw WHERE trim(query) <> ''),
+gv AS (SELECT unnest({O.sql_list(FX.GENRE_QUERIES)}) AS g UNION SELECT unnest(genres) FROM cat),
+cm AS (SELECT * FROM {_values(FX.CHARACTER_TO_ACTOR.items(), ['character', 'actor'])}),
+hits AS (SELECT q.query, count(*) AS hits FROM q JOIN cat ON q.sq <> '' AND contains(cat.tags, q.sq)
+         GROUP BY q.query),
+stt AS (SELECT DISTINCT replace(replace(lower(title), ' ', ''), '-', '') AS sq FROM cat),
+tl AS (SELECT DISTINCT lower(title) AS t FROM cat),
+fzc AS (SELECT q.query, q.q, tl.t FROM q, tl
+        WHERE length(tl.t) > 0 AND least(length(q.q), length(tl.t)) >= {FX.FUZZY_CUTOFF} * greatest(length(q.q), length(tl.t))
+          -- multiset bound: each edit removes at most one surplus character
+          AND greatest({excess('q.q', 'tl.t')}, {excess('tl.t', 'q.q')})
+              <= {1 - FX.FUZZY_CUTOFF} * greatest(length(q.q), length(tl.t)) + 1e-9),
+fz0 AS (SELECT query, t, 1 - (CASE WHEN strlen(q) = length(q) AND strlen(t) = length(t) THEN levenshtein(q, t)
+                                   ELSE {lev('q', 't')} END) / greatest(length(q), length(t)) AS ratio
+        FROM fzc),
+fz AS (SELECT query, t AS matched, ratio FROM fz0 WHERE ratio >= {FX.FUZZY_CUTOFF} - 1e-12
+       QUALIFY row_number() OVER (PARTITION BY query ORDER BY ratio DESC, t DESC) = 1),
+routed AS (
+  SELECT q.query, q.q, q.sq,
+         CASE WHEN q.q IN (SELECT g FROM gv) THEN 'genre'
+              WHEN cm.actor IS NOT NULL THEN 'character'
+              WHEN coalesce(h.hits, 0) >= {FX.PERSON_MIN_HITS} AND q.sq NOT IN (SELECT sq FROM stt) THEN 'person'
+              WHEN fz.matched IS NOT NULL THEN 'title'
+              WHEN q.sq <> '' THEN 'person_fallback' ELSE 'none' END AS route,
+         coalesce(cm.actor, q.sq) AS person_key, fz.matched AS matched_title, fz.ratio
+  FROM q LEFT JOIN cm ON cm.character = q.q LEFT JOIN hits h ON h.query = q.query
+         LEFT JOIN fz ON fz.query = q.query)"""
+
+GENRE = f"""
+gq AS (SELECT query, q FROM routed WHERE route = 'genre'),
+terms AS (
+  SELECT query, tpos, replace(term, ' ', '') AS term FROM (
+    SELECT gq.query, unnest(coalesce(am.terms, [gq.q])) AS term,
+           generate_subscripts(coalesce(am.terms, [gq.q]), 1) AS tpos
+    FROM gq LEFT JOIN {_alias_values()} ON am.q = gq.q)),
+bg AS (SELECT DISTINCT t.query, c.movie_id AS id FROM terms t JOIN cat c
+       ON t.term <> '' AND contains(lower(replace(array_to_string(c.genres, ''), ' ', '')), t.term)),
+need AS (SELECT * FROM terms WHERE query NOT IN (SELECT query FROM bg) AND term <> ''),
+fh AS (SELECT n.query, n.tpos, c.movie_id AS id FROM need n JOIN cat c ON contains(c.tags, n.term)),
+bt AS (SELECT query, id FROM fh WHERE (query, tpos) IN (SELECT query, min(tpos) FROM fh GROUP BY query)),
+gm AS (SELECT DISTINCT query, id FROM (SELECT * FROM bg UNION ALL SELECT * FROM bt)),
+gres AS (
+  SELECT gm.query, 'genre' AS route,
+         row_number() OVER (PARTITION BY gm.query ORDER BY md5('0|' || gm.id::VARCHAR), gm.id) - 1 AS pos,
+         c.title, NULL::DOUBLE AS score
+  FROM gm JOIN cat c ON c.movie_id = gm.id QUALIFY pos < {FX.RESULT_LIMIT})"""
+
+TITLE = f"""{_topk_ranked(FX.TOP_K)},
+tq AS (SELECT query, matched_title FROM routed WHERE route = 'title'),
+anc AS (SELECT lower(title) AS mt, arg_min(movie_id, movie_id) AS anchor, arg_min(title, movie_id) AS title
+        FROM cat GROUP BY lower(title)),
+tres AS (
+  SELECT tq.query, 'title' AS route, 0 AS pos, anc.title, NULL::DOUBLE AS score
+  FROM tq JOIN anc ON anc.mt = tq.matched_title
+  UNION ALL
+  SELECT tq.query, 'title', r.rank, c.title, round(r.score, 4)
+  FROM tq JOIN anc ON anc.mt = tq.matched_title JOIN ranked r ON r.id = anc.anchor AND r.rank <= {FX.TITLE_NEIGHBOURS}
+       JOIN cat c ON c.movie_id = r.other_id)"""
+
+PERSON = f"""
+pq AS (SELECT query, q, person_key, route FROM routed
+       WHERE route IN ('person', 'character', 'person_fallback') AND person_key <> ''),
+direct AS (SELECT pq.query, c.movie_id AS anchor FROM pq JOIN cat c ON contains(c.tags, pq.person_key)),
+nod AS (SELECT * FROM pq WHERE query NOT IN (SELECT query FROM direct)),
+wd AS (SELECT query, word, wpos FROM (
+         SELECT query, unnest(string_split_regex(q, '{UWS}')) AS word,
+                generate_subscripts(string_split_regex(q, '{UWS}'), 1) AS wpos FROM nod)
+       WHERE length(word) >= {FX.PERSON_WORD_MIN_LEN}),
+wh AS (SELECT wd.query, wd.wpos, c.movie_id AS anchor FROM wd JOIN cat c ON contains(c.tags, wd.word)),
+bw AS (SELECT query, anchor FROM wh WHERE (query, wpos) IN (SELECT query, min(wpos) FROM wh GROUP BY query)),
+anchors AS (SELECT * FROM direct UNION ALL SELECT * FROM bw),
+qv AS (SELECT a.query, nv.term_idx, sum(nv.w) AS qw FROM anchors a JOIN nv ON nv.id = a.anchor GROUP BY ALL),
+sc AS (SELECT qv.query, nv.id, sum(qv.qw * nv.w) AS score FROM qv JOIN nv USING (term_idx) GROUP BY ALL),
+scp AS (SELECT sc.query, c.title, arg_max(sc.id, {{'r': round(sc.score, 9), 'i': -sc.id}}) AS id,
+               max(sc.score) AS score
+        FROM sc JOIN cat c ON c.movie_id = sc.id WHERE sc.score > 0 GROUP BY ALL),
+fill AS (SELECT title, min(movie_id) AS id FROM cat GROUP BY title ORDER BY id LIMIT {2 * FX.RESULT_LIMIT - 1}),
+pk AS (SELECT DISTINCT a.query, p.person_key FROM anchors a JOIN pq p USING (query)),
+uu AS (SELECT * FROM scp UNION ALL SELECT pk.query, fill.title, fill.id, 0.0 FROM pk, fill),
+best AS (SELECT * FROM uu QUALIFY row_number() OVER (PARTITION BY query, title ORDER BY round(score, 9) DESC, id) = 1),
+top AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY round(score, 9) DESC, id) AS rank FROM best
+        QUALIFY rank <= {FX.RESULT_LIMIT}),
+hitq AS (SELECT top.*, contains(c.tags, pk.person_key) AS hit FROM top JOIN cat c ON c.movie_id = top.id
+         JOIN pk USING (query)),
+pres AS (SELECT h.query, p.route,
+                row_number() OVER (PARTITION BY h.query ORDER BY h.hit DESC,
+                                   CASE WHEN h.hit THEN -h.rank ELSE h.rank END) - 1 AS pos,
+                h.title, round(h.score, 4) AS score
+         FROM hitq h JOIN pq p USING (query))"""
+
+SEARCH = f"{TFIDF},{ROUTE}"
+ALLRES = f"{SEARCH},{GENRE},{TITLE},{PERSON},\nres AS (SELECT * FROM gres UNION ALL SELECT * FROM tres UNION ALL SELECT * FROM pres)"
+
+ORACLE.update({
+    "route_query": f"{CAT},{ROUTE} SELECT query, route, person_key, matched_title FROM routed",
+    "query_item_contains": f"""{CAT},{ROUTE}
+SELECT q.query, c.movie_id FROM q JOIN cat c ON q.sq <> '' AND contains(c.tags, q.sq)""",
+    "fuzzy_title_levenshtein": f"{CAT},{ROUTE} SELECT query, matched, round(ratio, 6) AS ratio FROM fz",
+    "search_by_genre": f"{CAT},{ROUTE},{GENRE} SELECT query, route, pos, title, score FROM gres",
+    "title_recommend": f"{SEARCH},{TITLE} SELECT query, route, pos, title, score FROM tres",
+    "search_by_person": f"{SEARCH},{PERSON} SELECT query, route, pos, title, score FROM pres",
+    "recommend_batch": f"""{ALLRES}
+SELECT query, route, count(*) AS recommendations_count,
+       round(coalesce(arg_min(score, pos) FILTER (WHERE score IS NOT NULL), 0.0), 4) AS top_similarity_score,
+       round(coalesce(avg(score), 0.0), 4) AS avg_similarity_score
+FROM res GROUP BY query, route""",
+    "recommend_outcome": f"""{ALLRES},
+f AS (SELECT query, title AS matched_title FROM res WHERE pos = 0),
+n AS (SELECT query, count(*) AS c FROM res GROUP BY query)
+SELECT q.query, CASE WHEN trim(coalesce(q.query, '')) = '' THEN 'error'
+                     WHEN f.matched_title IS NULL THEN 'not_found' ELSE 'success' END AS status,
+       f.matched_title, coalesce(n.c, 0) AS recommendations_count
+FROM (SELECT DISTINCT query FROM q) q LEFT JOIN f USING (query) LEFT JOIN n USING (query)""",
+    "sort_recommendations": f"""{SEARCH},{TITLE},
+rating AS (SELECT c.title, max(l.quality * 10.0 / 3) AS rating FROM cat c LEFT JOIN labels l ON l.doc_id = c.movie_id
+           GROUP BY c.title),
+x AS (SELECT tres.*, rating.rating, pos = 0 AS is_searched FROM tres LEFT JOIN rating USING (title))
+SELECT query, title,
+       row_number() OVER (PARTITION BY query ORDER BY CASE WHEN is_searched THEN 0 WHEN rating IS NOT NULL THEN 1 ELSE 2 END,
+                          rating DESC NULLS LAST, pos) - 1 AS display_pos,
+       coalesce(printf('%.1f', round(rating, 1)), 'N/A') AS rating_label
+FROM x""",
+})

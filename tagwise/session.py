@@ -16,6 +16,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.driver.memory": "16g",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     # Broadcast only what the planner can size; explicit hints are used for
     # sides whose row count is bounded by construction (vocabulary, lookups).
