@@ -45,6 +45,21 @@ def prefix_scan(df: DataFrame, order_cols: list[str], values: dict[str, Column])
                       *[(F.col(f"_o_{k}") + F.col(f"_c_{k}")).alias(f"cum_{k}") for k in names])
 
 
+def global_lag(df: DataFrame, order_cols: list[str], col: str, name: str = "prev") -> DataFrame:
+    """``lag(col)`` over the whole table in ``order_cols`` order without a
+    single-partition window: lag inside each range-sorted partition, and the
+    first row of a partition takes the last value of the partition before
+    (a per-partition table, broadcast)."""
+    base = df.orderBy(*order_cols).withColumn("_pid", F.spark_partition_id())
+    wl = Window.partitionBy("_pid").orderBy(*[F.col(c) for c in order_cols])
+    loc = base.select("*", F.lag(col).over(wl).alias("_l"),
+                      F.row_number().over(wl).alias("_r")).persist(StorageLevel.MEMORY_AND_DISK)
+    last = loc.groupBy("_pid").agg(F.max_by(col, "_r").alias("_last"))
+    prev_last = last.select("_pid", F.lag("_last").over(Window.orderBy("_pid")).alias("_pl"))
+    return (loc.join(F.broadcast(prev_last), "_pid")
+            .select(*df.columns, F.when(F.col("_r") == 1, F.col("_pl")).otherwise(F.col("_l")).alias(name)))
+
+
 def feedback_stats(search: DataFrame, positives: DataFrame,
                    min_rows: int = MIN_FEEDBACK_FOR_DRIFT) -> DataFrame:
     """One row: totals, rates, query-length mean and population variance,

@@ -374,7 +374,9 @@ def sort_recommendations(results: DataFrame, key: list[str] | None = None,
     key = key or []
     bucket = F.when(F.col("is_searched"), 0).when(F.col(rating).isNotNull(), 1).otherwise(2)
     w = Window.partitionBy(*key).orderBy(bucket, F.desc_nulls_last(rating), pos)
-    label = F.coalesce(F.format_string("%.1f", F.round(F.col(rating), 1)), F.lit("N/A"))
+    # format_string renders a null argument as the text "null", so test first
+    label = F.when(F.col(rating).isNotNull(), F.format_string("%.1f", F.round(F.col(rating), 1))) \
+        .otherwise(F.lit("N/A"))
     return results.select("*", (F.row_number().over(w) - 1).alias("display_pos"),
                           label.alias("rating_label"))
 

@@ -602,3 +602,146 @@ def q_enrich_metadata(spark, sf_dir):
               .unionByName(table(spark, sf_dir, "supplier").select(F.col("s_name").alias("title")))
               .distinct())
     return SR.enrich_metadata(titles, cand)
+
+
+# ---------------------------------------------------------------------------
+# 2.11 alerts (batch form; stream twins in tagwise/streaming)
+# ---------------------------------------------------------------------------
+
+from tagwise.operators import alerts as AL  # noqa: E402
+
+RULE_SIZES = sorted({r[2] for r in FX.ALERT_RULES if r[2] > 0})
+
+
+def alert_eval(spark, sf_dir):
+    s, _ = fb(spark, sf_dir)
+    counts = AL.window_counts(s, RULE_SIZES)
+    return AL.evaluate_rules(counts, AL.rules_table(spark))
+
+
+@query("rate_tumbling")
+def q_rate_tumbling(spark, sf_dir):
+    s, _ = fb(spark, sf_dir)
+    r = AL.rate_windows(s, "1 hour")
+    return r.select(ts_str("window_start").alias("window_start"), "status", "n", r6("rate").alias("rate"))
+
+
+@query("rate_sliding")
+def q_rate_sliding(spark, sf_dir):
+    s, _ = fb(spark, sf_dir)
+    r = AL.rate_windows(s, "1 hour", "15 minutes")
+    return r.select(ts_str("window_start").alias("window_start"), "status", "n", r6("rate").alias("rate"))
+
+
+def _rules_of(ev, kinds):
+    return ev.filter(F.col("rule").isin(kinds)).select(
+        "rule", "severity", ts_str("window_start").alias("window_start"), r6("value").alias("value"),
+        "condition")
+
+
+@query("ratio_alert")
+def q_ratio_alert(spark, sf_dir):
+    return _rules_of(alert_eval(spark, sf_dir), ["HighErrorRate", "HighRecommendationFailureRate",
+                                                 "HighNotFoundRate", "RecommendationQualityDrop",
+                                                 "ModelRetrainingRequired", "ErrorRateExceeds5Percent"])
+
+
+@query("increase_alert")
+def q_increase_alert(spark, sf_dir):
+    return _rules_of(alert_eval(spark, sf_dir), ["TooManyLatencyViolations"])
+
+
+@query("quantile_alert")
+def q_quantile_alert(spark, sf_dir):
+    return _rules_of(alert_eval(spark, sf_dir), ["InferenceP95LatencyHigh"])
+
+
+@query("absence_alert")
+def q_absence_alert(spark, sf_dir):
+    return _rules_of(alert_eval(spark, sf_dir), ["NoRecommendationsServed", "ZeroThroughput"])
+
+
+@query("alert_for_duration")
+def q_alert_for_duration(spark, sf_dir):
+    f = AL.alert_for_duration(alert_eval(spark, sf_dir))
+    return f.select("rule", "severity", ts_str("started_at").alias("started_at"),
+                    ts_str("fired_at").alias("fired_at"), "windows")
+
+
+@query("alert_labels")
+def q_alert_labels(spark, sf_dir):
+    f = AL.alert_for_duration(alert_eval(spark, sf_dir))
+    return (f.groupBy("rule", "severity").agg(F.count(F.lit(1)).alias("firings"))
+            .join(F.broadcast(AL.rules_table(spark).select("rule", "signal")), "rule"))
+
+
+@query("gauge_alert")
+def q_gauge_alert(spark, sf_dir):
+    s, _ = fb(spark, sf_dir)
+    g = AL.gauge_alert(s, "latency_ms", 500.0, 60)
+    return g.select(ts_str("started_at").alias("started_at"), ts_str("ended_at").alias("ended_at"), "samples")
+
+
+@query("up_alert")
+def q_up_alert(spark, sf_dir):
+    s, _ = fb(spark, sf_dir)
+    u = AL.up_alert(s, 15 * 60)
+    return u.select(ts_str("down_from").alias("down_from"), ts_str("up_again").alias("up_again"),
+                    r6("gap_seconds").alias("gap_seconds"))
+
+
+@query("model_not_ready_alert")
+def q_model_not_ready(spark, sf_dir):
+    """Windows (10 min) with requests but nothing served: the windows
+    anti-joined with the windows that had a success."""
+    s, _ = fb(spark, sf_dir)
+    ws = F.window("ts", "10 minutes").start
+    up = s.select(ws.alias("w")).distinct()
+    served = s.filter(F.col("status") == "success").select(ws.alias("w")).distinct()
+    return up.join(served, "w", "left_anti").select(ts_str("w").alias("window_start"))
+
+
+# ---------------------------------------------------------------------------
+# 2.11 Structured Streaming twins (file stream of events, availableNow)
+# ---------------------------------------------------------------------------
+
+from tagwise.streaming import feedback_stream as ST  # noqa: E402
+
+
+@query("stream_feedback_ingest")
+def q_stream_feedback_ingest(spark, sf_dir):
+    d = ST.stream_feedback_ingest(spark, sf_dir)
+    return d.select("event_id", ts_str("ts").alias("ts"), "user_id", "query", "status",
+                    r6("latency_ms").alias("latency_ms"))
+
+
+@query("stream_feedback_stats")
+def q_stream_feedback_stats(spark, sf_dir):
+    d = ST.stream_feedback_stats(spark, sf_dir)
+    return d.select(ts_str("window_start").alias("window_start"), ts_str("window_end").alias("window_end"),
+                    "total_queries", r6("query_length_mean").alias("query_length_mean"),
+                    r6("query_length_variance").alias("query_length_variance"),
+                    r6("avg_latency_ms").alias("avg_latency_ms"), "successes", "not_found")
+
+
+@query("stream_positive_dedup")
+def q_stream_positive_dedup(spark, sf_dir):
+    return ST.stream_positive_dedup(spark, sf_dir).select("user_id", "movie")
+
+
+@query("stream_session_activity")
+def q_stream_session_activity(spark, sf_dir):
+    d = ST.stream_session_activity(spark, sf_dir)
+    return d.select("user_id", ts_str("session_start").alias("session_start"),
+                    ts_str("session_end").alias("session_end"), "requests", "successes")
+
+
+@query("stream_alert_counts")
+def q_stream_alert_counts(spark, sf_dir):
+    d = ST.stream_alert_counts(spark, sf_dir)
+    return d.select(ts_str("window_start").alias("window_start"), "status", "n")
+
+
+@query("stream_drift")
+def q_stream_drift(spark, sf_dir):
+    return ST.stream_drift(spark, sf_dir, catalog_baseline(spark, sf_dir))

@@ -596,3 +596,160 @@ SELECT query, title,
        coalesce(printf('%.1f', round(rating, 1)), 'N/A') AS rating_label
 FROM x""",
 })
+
+
+# ---------------------------------------------------------------------------
+# alerts
+# ---------------------------------------------------------------------------
+
+RULE_SIZES = sorted({r[2] for r in FX.ALERT_RULES if r[2] > 0})
+B = FX.REQUEST_LATENCY_BUCKETS
+
+
+def _counts(w: int) -> str:
+    st = w * 1_000_000
+    bucket_cols = ", ".join(f"count_if(latency_ms / 1000.0 <= {b}) AS b{i}" for i, b in enumerate(B))
+    fill = ", ".join(f"coalesce(c.b{i}, 0) AS b{i}" for i in range(len(B)))
+    return f"""
+  SELECT {w} AS window_seconds, make_timestamp(k * {st}) AS window_start,
+         coalesce(c.total, 0) AS total, coalesce(c.n_error, 0) AS n_error,
+         coalesce(c.n_not_found, 0) AS n_not_found, coalesce(c.n_success, 0) AS n_success,
+         coalesce(c.n_violations, 0) AS n_violations, {fill}
+  FROM (SELECT unnest(range(epoch_us(t0) // {st}, epoch_us(t1) // {st} + 1)) AS k FROM span) s
+  LEFT JOIN (SELECT epoch_us(ts) // {st} AS k, count(*) AS total, count_if(status = 'error') AS n_error,
+                    count_if(status = 'not_found') AS n_not_found, count_if(status = 'success') AS n_success,
+                    count_if(latency_ms > {FX.MAX_LATENCY_MS}) AS n_violations, {bucket_cols}
+             FROM fbk GROUP BY 1) c USING (k)"""
+
+
+def _p95() -> str:
+    expr = f"{B[-1] * 1000.0}"
+    for i in reversed(range(len(B))):
+        lo = 0.0 if i == 0 else B[i - 1]
+        prev = "0" if i == 0 else f"b{i - 1}"
+        inside = f"({lo} + ({B[i]} - {lo}) * (0.95 * total - {prev}) / (b{i} - {prev})) * 1000.0"
+        expr = f"CASE WHEN b{i} >= 0.95 * total THEN {inside} ELSE {expr} END"
+    return f"CASE WHEN total > 0 THEN {expr} END"
+
+
+RULES_VALUES = "(VALUES " + ", ".join(
+    f"({sql_str(r[0])}, {sql_str(r[1])}, {r[2]}, {sql_str(r[3])}, {float(r[4])}, {r[5]}, {sql_str(r[6])})"
+    for r in FX.ALERT_RULES) + ") rules(rule, signal, window_seconds, op, threshold, for_seconds, severity)"
+
+ALERTS = f"""
+span AS (SELECT min(ts) AS t0, max(ts) AS t1 FROM fbk),
+wcnt AS ({' UNION ALL '.join(_counts(w) for w in RULE_SIZES)}),
+ev0 AS (
+  SELECT rule, severity, window_seconds, for_seconds, window_start, op, threshold,
+         CASE signal WHEN 'ratio_5xx' THEN CASE WHEN total > 0 THEN n_error / total END
+                     WHEN 'ratio_error' THEN CASE WHEN total > 0 THEN n_error / total END
+                     WHEN 'ratio_not_found' THEN CASE WHEN total > 0 THEN n_not_found / total END
+                     WHEN 'ratio_success' THEN CASE WHEN total > 0 THEN n_success / total END
+                     WHEN 'pct_4xx_5xx' THEN CASE WHEN total > 0 THEN (n_error + n_not_found) / total * 100 END
+                     WHEN 'rate_success' THEN n_success / window_seconds
+                     WHEN 'rate_requests' THEN total / window_seconds
+                     WHEN 'increase_violations' THEN n_violations::DOUBLE
+                     WHEN 'p95_latency_ms' THEN {_p95()} END AS value
+  FROM wcnt JOIN {RULES_VALUES} USING (window_seconds) WHERE window_seconds > 0),
+evr AS (
+  SELECT *, coalesce(CASE op WHEN '>' THEN value > threshold WHEN '<' THEN value < threshold
+                             WHEN '==' THEN value = threshold ELSE false END, false) AS condition
+  FROM ev0 WHERE value IS NOT NULL),
+isl0 AS (
+  SELECT *, CASE WHEN condition <> lag(condition) OVER (PARTITION BY rule ORDER BY window_start)
+                 THEN 1 ELSE 0 END AS chg FROM evr),
+isl AS (
+  SELECT *, sum(chg) OVER (PARTITION BY rule ORDER BY window_start
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM isl0),
+fired AS (
+  SELECT rule, severity, min(window_start) AS started_at, count(*) AS windows,
+         greatest(ceil(any_value(for_seconds) / any_value(window_seconds)), 1) AS need, any_value(window_seconds) AS ws
+  FROM isl WHERE condition GROUP BY rule, severity, run
+  HAVING count(*) >= greatest(ceil(any_value(for_seconds) / any_value(window_seconds)), 1))"""
+
+ALERT_BASE = f"WITH {FEEDBACK},{ALERTS}"
+
+
+def _rules_sql(rules) -> str:
+    names = ", ".join(sql_str(r) for r in rules)
+    return f"""{ALERT_BASE}
+SELECT rule, severity, strftime(window_start, {TS}) AS window_start, round(value, 6) AS value, condition
+FROM evr WHERE rule IN ({names})"""
+
+
+def _rate(slide: bool) -> str:
+    if not slide:
+        win = "SELECT epoch_us(ts) // 3600000000 * 3600000000 AS ws, status FROM fbk"
+    else:
+        win = ("SELECT (epoch_us(ts) // 900000000 - k) * 900000000 AS ws, status "
+               "FROM fbk, (SELECT unnest(range(0, 4)) AS k)")
+    return f"""WITH {FEEDBACK}
+SELECT strftime(make_timestamp(ws), {TS}) AS window_start, status, count(*) AS n, round(count(*) / 3600.0, 6) AS rate
+FROM ({win}) GROUP BY ws, status"""
+
+
+ORACLE.update({
+    "rate_tumbling": _rate(False),
+    "rate_sliding": _rate(True),
+    "ratio_alert": _rules_sql(["HighErrorRate", "HighRecommendationFailureRate", "HighNotFoundRate",
+                               "RecommendationQualityDrop", "ModelRetrainingRequired",
+                               "ErrorRateExceeds5Percent"]),
+    "increase_alert": _rules_sql(["TooManyLatencyViolations"]),
+    "quantile_alert": _rules_sql(["InferenceP95LatencyHigh"]),
+    "absence_alert": _rules_sql(["NoRecommendationsServed", "ZeroThroughput"]),
+    "alert_for_duration": f"""{ALERT_BASE}
+SELECT rule, severity, strftime(started_at, {TS}) AS started_at,
+       strftime(started_at + to_microseconds(((need - 1) * ws * 1000000)::BIGINT), {TS}) AS fired_at, windows
+FROM fired""",
+    "alert_labels": f"""{ALERT_BASE}
+SELECT f.rule, f.severity, count(*) AS firings, any_value(r.signal) AS signal
+FROM fired f JOIN {RULES_VALUES.replace(' rules(', ' r(')} ON r.rule = f.rule GROUP BY f.rule, f.severity""",
+    "gauge_alert": f"""WITH {FEEDBACK},
+g AS (SELECT ts, event_id, latency_ms > 500.0 AS c FROM fbk),
+g2 AS (SELECT *, CASE WHEN c <> lag(c) OVER (ORDER BY ts, event_id) THEN 1 ELSE 0 END AS chg FROM g),
+h AS (SELECT *, sum(chg) OVER (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM g2)
+SELECT strftime(min(ts), {TS}) AS started_at, strftime(max(ts), {TS}) AS ended_at, count(*) AS samples
+FROM h WHERE c GROUP BY run HAVING epoch_us(max(ts)) - epoch_us(min(ts)) >= 60000000""",
+    "up_alert": f"""WITH {FEEDBACK},
+g AS (SELECT ts, lag(ts) OVER (ORDER BY ts, event_id) AS prev FROM fbk)
+SELECT strftime(prev, {TS}) AS down_from, strftime(ts, {TS}) AS up_again,
+       round((epoch_us(ts) - epoch_us(prev)) / 1e6, 6) AS gap_seconds
+FROM g WHERE epoch_us(ts) - epoch_us(prev) > 900000000""",
+    "model_not_ready_alert": f"""WITH {FEEDBACK},
+w AS (SELECT DISTINCT epoch_us(ts) // 600000000 AS k FROM fbk),
+s AS (SELECT DISTINCT epoch_us(ts) // 600000000 AS k FROM fbk WHERE status = 'success')
+SELECT strftime(make_timestamp(k * 600000000), {TS}) AS window_start FROM w WHERE k NOT IN (SELECT k FROM s)""",
+})
+
+
+# ---------------------------------------------------------------------------
+# stream twins: closed windows only (end <= max event time - watermark)
+# ---------------------------------------------------------------------------
+
+WM = "(SELECT max(ts) FROM fbk) - INTERVAL 10 MINUTE"
+
+ORACLE.update({
+    "stream_feedback_ingest": f"""WITH {FEEDBACK}
+SELECT event_id, strftime(ts, {TS}) AS ts, user_id, query, status, round(latency_ms, 6) AS latency_ms FROM fbk""",
+    "stream_feedback_stats": f"""WITH {FEEDBACK},
+w AS (SELECT make_timestamp(epoch_us(ts) // 3600000000 * 3600000000) AS ws, * FROM fbk)
+SELECT strftime(ws, {TS}) AS window_start, strftime(ws + INTERVAL 1 HOUR, {TS}) AS window_end,
+       count(*) AS total_queries, round(avg({wc('query')}), 6) AS query_length_mean,
+       round(var_pop({wc('query')}), 6) AS query_length_variance, round(avg(latency_ms), 6) AS avg_latency_ms,
+       count_if(status = 'success') AS successes, count_if(status = 'not_found') AS not_found
+FROM w GROUP BY ws HAVING ws + INTERVAL 1 HOUR <= {WM}""",
+    "stream_positive_dedup": f"WITH {FEEDBACK} SELECT DISTINCT user_id, movie FROM pos",
+    "stream_session_activity": f"""WITH {FEEDBACK},
+g AS (SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL
+                      OR ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 30 MINUTE
+                     THEN 1 ELSE 0 END AS new_s FROM fbk),
+h AS (SELECT *, sum(new_s) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sid FROM g),
+s AS (SELECT user_id, min(ts) AS st, max(ts) + INTERVAL 30 MINUTE AS en, count(*) AS requests,
+             count_if(status = 'success') AS successes FROM h GROUP BY user_id, sid)
+SELECT user_id, strftime(st, {TS}) AS session_start, strftime(en, {TS}) AS session_end, requests, successes
+FROM s WHERE en <= {WM}""",
+    "stream_alert_counts": f"""WITH {FEEDBACK},
+w AS (SELECT make_timestamp(epoch_us(ts) // 3600000000 * 3600000000) AS ws, status FROM fbk)
+SELECT strftime(ws, {TS}) AS window_start, status, count(*) AS n FROM w
+GROUP BY ws, status HAVING ws + INTERVAL 1 HOUR <= {WM}""",
+})
