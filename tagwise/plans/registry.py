@@ -745,3 +745,114 @@ def q_stream_alert_counts(spark, sf_dir):
 @query("stream_drift")
 def q_stream_drift(spark, sf_dir):
     return ST.stream_drift(spark, sf_dir, catalog_baseline(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# 2.1 sinks (write, then read back what was written) and small lookups
+# ---------------------------------------------------------------------------
+
+import uuid  # noqa: E402
+
+from tagwise.session import ensure_checkpoint_dir  # noqa: E402
+from tagwise.sources import sinks as SK  # noqa: E402
+
+
+def _scratch(spark, name):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/sinks/{name}-{uuid.uuid4().hex}"
+
+
+def data_version(spark, sf_dir):
+    """Run version derived from the data: the last event time."""
+    e = table(spark, sf_dir, "events")
+    return e.agg(F.concat(F.lit("v_"), F.date_format(F.max(F.col("ts").cast("timestamp")),
+                                                     "yyyyMMdd_HHmmss")).alias("version"))
+
+
+@query("sink_feature_store")
+def q_sink_feature_store(spark, sf_dir):
+    cat = derived.documents_catalog(spark, sf_dir).select("movie_id", "title", "tags")
+    feats = cat.crossJoin(F.broadcast(data_version(spark, sf_dir)))  # one row
+    path = _scratch(spark, "feature_store")
+    feats.write.mode("append").partitionBy("version").parquet(path)
+    return spark.read.parquet(path).select("version", "movie_id", "title", "tags")
+
+
+@query("sink_validation_report")
+def q_sink_validation_report(spark, sf_dir):
+    path = SK.write_report(q_quality_issues(spark, sf_dir), _scratch(spark, "validation"))
+    return spark.read.schema("check string, column string, value double, issue string").json(path)
+
+
+@query("sink_drift_report")
+def q_sink_drift_report(spark, sf_dir):
+    d = q_detect_drift(spark, sf_dir)
+    path = SK.write_report(d, _scratch(spark, "drift"))
+    return spark.read.schema(d.schema).json(path)
+
+
+@query("feedback_append")
+def q_feedback_append(spark, sf_dir):
+    s, _ = fb(spark, sf_dir)
+    path = _scratch(spark, "search_feedback")
+    rows = s.select(ts_str("ts").alias("timestamp"), "query", F.lit(None).cast("string").alias("matched_title"),
+                    F.lit(0).alias("recommendations_count"), r6("latency_ms").alias("latency_ms"), "status")
+    SK.append_log(rows.filter(F.col("status") != "error"), path)
+    SK.append_log(rows.filter(F.col("status") == "error"), path)
+    return spark.read.parquet(path)
+
+
+@query("positive_append")
+def q_positive_append(spark, sf_dir):
+    _, p = fb(spark, sf_dir)
+    path = _scratch(spark, "positive_feedback")
+    SK.append_log(p.select(ts_str("ts").alias("timestamp"), "movie", "source"), path)
+    return spark.read.parquet(path)
+
+
+@query("alias_lookup")
+def q_alias_lookup(spark, sf_dir):
+    cat, _, _, q, _, am = search_context(spark, sf_dir)
+    x = q.join(F.broadcast(am), "q", "left")
+    return x.select("query", F.array_join(F.coalesce("terms", F.array("q")), "|").alias("terms"))
+
+
+@query("character_lookup")
+def q_character_lookup(spark, sf_dir):
+    cat, _, _, q, _, _ = search_context(spark, sf_dir)
+    _, cm, _ = lookups(spark, cat)
+    x = q.join(F.broadcast(cm.withColumnRenamed("character", "q")), "q", "left")
+    return x.select("query", F.coalesce("actor", F.translate("q", " ", "")).alias("person_key"))
+
+
+@query("poster_url_valid")
+def q_poster_url_valid(spark, sf_dir):
+    e = q_enrich_metadata(spark, sf_dir)
+    p = F.col("poster")
+    ok = (p.isNotNull() & p.startswith("http") & ~p.contains("placeholder") & ~p.contains("None")
+          & ~p.contains("null"))
+    return e.select("title", F.coalesce(ok, F.lit(False)).alias("valid"))
+
+
+@query("avg_by_instance")
+def q_avg_by_instance(spark, sf_dir):
+    s, _ = fb(spark, sf_dir)
+    return s.groupBy(F.col("user_id").alias("instance")).agg(r6(F.avg("latency_ms")).alias("avg_latency_ms"))
+
+
+@query("latest_baseline")
+def q_latest_baseline(spark, sf_dir):
+    """The model's own baseline (none here) first, else the lexically largest
+    feature-store version."""
+    reg = model_registry(spark, sf_dir).select("version",
+                                               F.concat(F.lit("feature_store/"), F.col("version"),
+                                                        F.lit("/baseline")).alias("path"))
+    empty = spark.createDataFrame([], "version string, path string")
+    return DR.latest_baseline(empty, reg)
+
+
+@query("run_summary")
+def q_run_summary(spark, sf_dir):
+    reg = DR.quality_gate(model_registry(spark, sf_dir))
+    last = reg.agg(F.max_by(F.struct("version", "genre_match_rate", "decision"),
+                            F.struct("registered_at", "version")).alias("r"))
+    return last.select("r.version", "r.genre_match_rate", "r.decision")

@@ -753,3 +753,36 @@ w AS (SELECT make_timestamp(epoch_us(ts) // 3600000000 * 3600000000) AS ws, stat
 SELECT strftime(ws, {TS}) AS window_start, status, count(*) AS n FROM w
 GROUP BY ws, status HAVING ws + INTERVAL 1 HOUR <= {WM}""",
 })
+
+
+ORACLE.update({
+    "sink_feature_store": f"""{CAT}
+SELECT (SELECT 'v_' || strftime(max(ts), '%Y%m%d_%H%M%S') FROM events) AS version, movie_id, title, tags FROM cat""",
+    "sink_validation_report": f"WITH {_quality_part()} SELECT * FROM iss",
+    "feedback_append": f"""WITH {FEEDBACK}
+SELECT strftime(ts, {TS}) AS timestamp, query, NULL::VARCHAR AS matched_title, 0 AS recommendations_count,
+       round(latency_ms, 6) AS latency_ms, status FROM fbk""",
+    "positive_append": f"""WITH {FEEDBACK}
+SELECT strftime(ts, {TS}) AS timestamp, movie, 'favorites' AS source FROM pos""",
+    "alias_lookup": f"""{CAT},{ROUTE}
+SELECT q.query, array_to_string(coalesce(am.terms, [q.q]), '|') AS terms
+FROM q LEFT JOIN {_alias_values()} ON am.q = q.q""",
+    "character_lookup": f"""{CAT},{ROUTE}
+SELECT q.query, coalesce(cm.actor, replace(q.q, ' ', '')) AS person_key FROM q LEFT JOIN cm ON cm.character = q.q""",
+    "avg_by_instance": f"WITH {FEEDBACK} SELECT user_id AS instance, round(avg(latency_ms), 6) AS avg_latency_ms FROM fbk GROUP BY 1",
+    "latest_baseline": f"""WITH {REGISTRY}
+SELECT version, 'feature_store/' || version || '/baseline' AS path FROM reg ORDER BY version DESC LIMIT 1""",
+    "run_summary": f"""WITH {REGISTRY}
+SELECT version, genre_match_rate,
+       CASE WHEN genre_match_rate >= {FX.MIN_GENRE_MATCH} THEN 'promote' ELSE 'rollback' END AS decision
+FROM reg ORDER BY registered_at DESC, version DESC LIMIT 1""",
+})
+ORACLE["poster_url_valid"] = """
+WITH cand AS (SELECT p_name AS title, p_partkey AS cand_pos,
+                     CASE WHEN p_size > 25 THEN '/p' || p_partkey::VARCHAR END AS poster_path FROM part),
+best AS (SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY title ORDER BY poster_path IS NULL, cand_pos) = 1),
+titles AS (SELECT p_name AS title FROM part UNION SELECT s_name FROM supplier),
+e AS (SELECT t.title, CASE WHEN poster_path IS NOT NULL THEN 'https://image.example/w500' || poster_path END AS poster
+      FROM titles t LEFT JOIN best b ON t.title = b.title)
+SELECT title, coalesce(poster IS NOT NULL AND starts_with(poster, 'http') AND NOT contains(poster, 'placeholder')
+                       AND NOT contains(poster, 'None') AND NOT contains(poster, 'null'), false) AS valid FROM e"""
