@@ -157,15 +157,48 @@ def _topk_rows(S: np.ndarray, row_ids: np.ndarray, col_ids: np.ndarray, k: int,
     return [nb, mx]
 
 
-def _dense(pdf: pd.DataFrame):
-    """Long rows of one or two blocks -> (ids, block of each row, dense matrix)."""
-    ids, row = np.unique(pdf["id"].to_numpy(dtype=np.int64), return_inverse=True)
+def _blocks(pdf: pd.DataFrame):
+    """Long rows of one or two blocks -> ids, block of each id, and the rows
+    in CSR form over compressed column numbers."""
+    pdf = pdf.sort_values(["id", "term_idx"], kind="stable")
+    ids, start = np.unique(pdf["id"].to_numpy(dtype=np.int64), return_index=True)
     cols, col = np.unique(pdf["term_idx"].to_numpy(dtype=np.int64), return_inverse=True)
-    M = np.zeros((len(ids), max(len(cols), 1)))
-    M[row, col] = pdf["w"].to_numpy(dtype=np.float64)
-    blk = np.zeros(len(ids), dtype=np.int64)
-    blk[row] = pdf["blk"].to_numpy(dtype=np.int64)
-    return ids, blk, M
+    indptr = np.append(start, len(pdf))
+    blk = pdf["blk"].to_numpy(dtype=np.int64)[start]
+    return ids, blk, indptr, col, pdf["w"].to_numpy(dtype=np.float64), len(cols)
+
+
+def _sparse_rows_times(indptr, col, w, rows, BT, chunk_nnz: int = 1 << 18):
+    """S[r] = sum_j w_j * BT[col_j] for the CSR rows ``rows`` (in order):
+    a sparse x dense product, chunked so the expanded (nnz x m) slab stays
+    bounded. Cost = nnz(rows) * m multiply-adds."""
+    m = BT.shape[1]
+    S = np.zeros((len(rows), m))
+    i = 0
+    while i < len(rows):
+        j, nnz = i, 0
+        while j < len(rows) and (nnz == 0 or nnz + indptr[rows[j] + 1] - indptr[rows[j]] <= chunk_nnz):
+            nnz += indptr[rows[j] + 1] - indptr[rows[j]]
+            j += 1
+        seg = [np.arange(indptr[r], indptr[r + 1]) for r in rows[i:j]]
+        lens = np.array([len(x) for x in seg])
+        if lens.sum():
+            flat = np.concatenate(seg)
+            prod = w[flat, None] * BT[col[flat]]
+            nz = lens > 0
+            starts = np.concatenate([[0], np.cumsum(lens)[:-1]])[nz]
+            S[i:j][nz] = np.add.reduceat(prod, starts, axis=0)
+        i = j
+    return S
+
+
+def _dense_T(indptr, col, w, rows, ncols):
+    """Dense (ncols x len(rows)) transpose of the CSR rows."""
+    BT = np.zeros((ncols, len(rows)))
+    for k, r in enumerate(rows):
+        sl = slice(indptr[r], indptr[r + 1])
+        BT[col[sl], k] = w[sl]
+    return BT
 
 
 def _block_kernel(k: int, part: list[str]):
@@ -173,15 +206,16 @@ def _block_kernel(k: int, part: list[str]):
         pv, (lo, hi) = key[:len(part)], (int(key[-2]), int(key[-1]))
         if pdf.empty:
             return pd.DataFrame({c: [] for c in part + [f.name for f in _KERNEL_FIELDS]})
-        ids, blk, M = _dense(pdf)
+        ids, blk, indptr, col, w, ncols = _blocks(pdf)
         if lo == hi:
-            S = M @ M.T
+            rows = np.arange(len(ids))
+            S = _sparse_rows_times(indptr, col, w, rows, _dense_T(indptr, col, w, rows, ncols))
             out = _topk_rows(S, ids, ids, k, np.eye(len(ids), dtype=bool))
         else:
-            la, lb = blk == lo, blk == hi
-            S = M[la] @ M[lb].T
-            out = _topk_rows(S, ids[la], ids[lb], k, None)
-            out += _topk_rows(S.T, ids[lb], ids[la], k, None)
+            ra, rb = np.nonzero(blk == lo)[0], np.nonzero(blk == hi)[0]
+            S = _sparse_rows_times(indptr, col, w, ra, _dense_T(indptr, col, w, rb, ncols))
+            out = _topk_rows(S, ids[ra], ids[rb], k, None)
+            out += _topk_rows(S.T, ids[rb], ids[ra], k, None)
         res = pd.concat(out, ignore_index=True)
         for c, v in zip(part, pv):
             res.insert(0, c, v)

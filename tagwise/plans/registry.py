@@ -501,9 +501,13 @@ def search_context(spark, sf_dir, with_vectors=False):
     cat = derived.documents_catalog(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     words = SR.tag_words(cat).persist(StorageLevel.MEMORY_AND_DISK)
     index = SR.gram_index(words).persist(StorageLevel.MEMORY_AND_DISK)
-    q = SR.prepare_queries(query_batch(spark, sf_dir))
+    q = SR.prepare_queries(query_batch(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
     gv, cm, am = lookups(spark, cat)
-    routed = SR.route_query(q, cat, gv, cm, words, index)
+    # every search branch starts from the routing result
+    routed = SR.route_query(q, cat, gv, cm, words, index).persist(StorageLevel.MEMORY_AND_DISK)
+    # materialise once, in order, before the branches that share them run
+    for d in (cat, words, index, q, routed):
+        d.count()
     return cat, words, index, q, routed, am
 
 

@@ -786,3 +786,56 @@ e AS (SELECT t.title, CASE WHEN poster_path IS NOT NULL THEN 'https://image.exam
       FROM titles t LEFT JOIN best b ON t.title = b.title)
 SELECT title, coalesce(poster IS NOT NULL AND starts_with(poster, 'http') AND NOT contains(poster, 'placeholder')
                        AND NOT contains(poster, 'None') AND NOT contains(poster, 'null'), false) AS valid FROM e"""
+
+
+# ---------------------------------------------------------------------------
+# feature ablation: every variant through the same TF-IDF / top-5 / sample
+# ---------------------------------------------------------------------------
+
+def _variant_tags() -> str:
+    parts = {"overview": f"[{clean_text('overview')}]", "genres": "genres || genres", "keywords": "keywords",
+             "cast": '"cast" || "cast"', "director": "crew || crew || crew"}
+    rows = []
+    for v in ["full"] + FX.ABLATION_FEATURES:
+        keep = [p for f, p in parts.items() if f != v]
+        rows.append(f"SELECT '{v}' AS variant, movie_id, genres, array_to_string({' || '.join(keep)}, ' ') AS tags FROM cat0")
+    return " UNION ALL ".join(rows)
+
+
+ABLATION = f"""WITH {O.catalog_cte()},
+var AS ({_variant_tags()}),
+tk AS (SELECT variant, movie_id AS id, {O.tokens('tags')} AS t FROM var),
+tok AS (SELECT variant, id, unnest({O.uni_bi('t')}) AS term FROM tk),
+tf AS (SELECT variant, id, term, count(*) AS tf FROM tok GROUP BY ALL),
+nd AS (SELECT variant, count(*) AS n FROM var GROUP BY variant),
+st AS (SELECT variant, term, count(*) AS df, sum(tf) AS cf FROM tf GROUP BY ALL),
+vocab AS (SELECT st.variant, term, df, n,
+                 row_number() OVER (PARTITION BY st.variant ORDER BY cf DESC, term) - 1 AS term_idx
+          FROM st JOIN nd USING (variant) WHERE df >= {FX.MIN_DF} AND df <= {FX.MAX_DF} * n
+          QUALIFY term_idx < {FX.MAX_FEATURES}),
+wt AS (SELECT tf.variant, tf.id, v.term_idx, (1 + ln(tf.tf)) * (ln((1 + v.n)::DOUBLE / (1 + v.df)) + 1) AS w
+       FROM tf JOIN vocab v USING (variant, term)),
+nv AS (SELECT variant, id, term_idx, w / sqrt(sum(w * w) OVER (PARTITION BY variant, id)) AS w FROM wt),
+pairs AS (SELECT a.variant, a.id, b.id AS other_id, sum(a.w * b.w) AS score
+          FROM nv a JOIN nv b ON a.variant = b.variant AND a.term_idx = b.term_idx AND a.id <> b.id GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY variant, id ORDER BY round(score, 9) DESC, other_id) AS rank
+           FROM pairs WHERE score > 0 QUALIFY rank <= {FX.EVAL_NEIGHBOURS}),
+s AS (SELECT variant, movie_id, genres FROM var
+      QUALIFY row_number() OVER (PARTITION BY variant ORDER BY md5('0|' || movie_id::VARCHAR), movie_id) <= {FX.ABLATION_SAMPLE}),
+per AS (SELECT s.variant, s.movie_id,
+               count_if(coalesce(len(list_intersect(s.genres, c2.genres)) > 0, false)) AS hits
+        FROM s LEFT JOIN ranked r ON r.variant = s.variant AND r.id = s.movie_id
+               LEFT JOIN cat0 c2 ON c2.movie_id = r.other_id
+        WHERE len(s.genres) > 0 GROUP BY ALL),
+rates AS (SELECT v.variant, coalesce({rr('sum(hits)', f'count(per.movie_id) * {FX.EVAL_NEIGHBOURS}')}, 0.0) AS rate
+          FROM (SELECT DISTINCT variant FROM var) v LEFT JOIN per USING (variant) GROUP BY v.variant),
+imp AS (SELECT r.variant AS feature, r.rate AS score_without, b.rate AS score_with,
+               round(b.rate - r.rate, 4) AS impact_drop,
+               CASE WHEN b.rate > 0 THEN round(round(b.rate - r.rate, 4) / b.rate * 100, 2) ELSE 0.0 END AS impact_pct
+        FROM rates r, (SELECT rate FROM rates WHERE variant = 'full') b WHERE r.variant <> 'full'),
+impr AS (SELECT *, row_number() OVER (ORDER BY impact_drop DESC, feature) AS impact_rank FROM imp)"""
+
+ORACLE.update({
+    "feature_impact": f"{ABLATION} SELECT * FROM impr",
+    "most_important_feature": f"{ABLATION} SELECT feature AS most_important_feature, impact_drop FROM impr WHERE impact_rank = 1",
+})
