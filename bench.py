@@ -32,8 +32,9 @@ HEADLINE = [
     "session_activity",
     "promote_version",
     "route_query",
-    "search_by_person",
     "enrich_metadata",
+    "alert_for_duration",
+    "stream_feedback_stats",
 ]
 
 

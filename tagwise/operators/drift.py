@@ -167,7 +167,7 @@ def latest_baseline(model_baselines: DataFrame, store_baselines: DataFrame) -> D
     """The model's own baseline first, else the lexically largest store version."""
     u = (model_baselines.select(F.lit(0).alias("prio"), "version", "path")
          .unionByName(store_baselines.select(F.lit(1).alias("prio"), "version", "path")))
-    return u.orderBy("prio", F.desc("version")).limit(1)
+    return u.orderBy("prio", F.desc("version")).limit(1).select("version", "path")
 
 
 def artifact_readiness(required: DataFrame, present: DataFrame, name: str = "artifact") -> DataFrame:

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +28,7 @@ from tagwise.functions import text as tx
 from tagwise.functions.fixed import (FUZZY_CUTOFF, PERSON_MIN_HITS, PERSON_WORD_MIN_LEN,
                                      RESULT_LIMIT, TITLE_NEIGHBOURS)
 from tagwise.operators.similarity import TIE_DIGITS, num_blocks
+from tagwise.session import cut_lineage
 
 
 # ---------------------------------------------------------------------------
@@ -34,10 +36,10 @@ from tagwise.operators.similarity import TIE_DIGITS, num_blocks
 # ---------------------------------------------------------------------------
 
 def _grams(col, n: int):
-    """All substrings of length n (n <= length)."""
+    """All overlapping substrings of n characters (a look-ahead capture, so
+    it runs in the JVM regex engine; words hold no line breaks)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.transform(F.sequence(F.lit(1), F.char_length(c) - n + 1),
-                       lambda i: F.substring(c, i, n))
+    return F.regexp_extract_all(c, F.lit("(?=(.{%d}))" % n), 1)
 
 
 def tag_words(items: DataFrame, id_col: str = "movie_id", text_col: str = "tags") -> DataFrame:
@@ -314,9 +316,12 @@ def person_anchors(routed: DataFrame, words: DataFrame, index: DataFrame,
 
 def search_by_person(routed: DataFrame, cat: DataFrame, vlong: DataFrame, words: DataFrame,
                      index: DataFrame, limit: int = RESULT_LIMIT, block_rows: int = 1024) -> DataFrame:
-    anchors = person_anchors(routed, words, index)
+    # anchors feed the query vectors, the person keys and a size count;
+    # written once so later plans scan them instead of re-planning them
+    anchors = cut_lineage(person_anchors(routed, words, index), "anchors")
     keys = anchors.select("kid", "person_key").distinct()
-    cands = person_scores(anchors.select("kid", "anchor_id"), vlong, cat, limit, block_rows)
+    cands = cut_lineage(person_scores(anchors.select("kid", "anchor_id"), vlong, cat, limit, block_rows),
+                        "person_cands")
     res = rank_person_results(cands, cat, keys, limit)
     return res.join(routed.select("kid", "query", "route"), "kid").select(
         "query", "route", "pos", "title", "score")

@@ -496,18 +496,16 @@ def lookups(spark, cat):
 
 
 def search_context(spark, sf_dir, with_vectors=False):
-    # the catalog, its word table and gram index feed a dozen joins of one
-    # plan; persisted (lineage kept) so they are computed once
-    cat = derived.documents_catalog(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-    words = SR.tag_words(cat).persist(StorageLevel.MEMORY_AND_DISK)
-    index = SR.gram_index(words).persist(StorageLevel.MEMORY_AND_DISK)
-    q = SR.prepare_queries(query_batch(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
+    """Catalog, word table, gram index, query batch and routing feed a dozen
+    joins each; they are written once to the checkpoint folder so every
+    later reference is a file scan (reusing cached plans instead makes the
+    plan tree grow with every reference)."""
+    cat = sim.cut_lineage(derived.documents_catalog(spark, sf_dir), "catalog")
+    words = sim.cut_lineage(SR.tag_words(cat), "words")
+    index = sim.cut_lineage(SR.gram_index(words), "grams")
+    q = sim.cut_lineage(SR.prepare_queries(query_batch(spark, sf_dir)), "queries")
     gv, cm, am = lookups(spark, cat)
-    # every search branch starts from the routing result
-    routed = SR.route_query(q, cat, gv, cm, words, index).persist(StorageLevel.MEMORY_AND_DISK)
-    # materialise once, in order, before the branches that share them run
-    for d in (cat, words, index, q, routed):
-        d.count()
+    routed = sim.cut_lineage(SR.route_query(q, cat, gv, cm, words, index), "routed")
     return cat, words, index, q, routed, am
 
 

@@ -839,3 +839,5 @@ ORACLE.update({
     "feature_impact": f"{ABLATION} SELECT * FROM impr",
     "most_important_feature": f"{ABLATION} SELECT feature AS most_important_feature, impact_drop FROM impr WHERE impact_rank = 1",
 })
+
+ORACLE["sink_drift_report"] = ORACLE["detect_drift"]
