@@ -86,35 +86,44 @@ def contains_join(keys: DataFrame, words: DataFrame, index: DataFrame) -> DataFr
 # fuzzy title match
 # ---------------------------------------------------------------------------
 
-def _char_tokens(col: str):
-    """Characters numbered by occurrence: 'e#1', 'e#2', ... (multiset as set)."""
-    chars = F.filter(F.split(F.col(col), ""), lambda c: c != "")
-    return F.transform(chars, lambda c, i: F.concat(
-        c, F.lit("#"), F.size(F.filter(F.slice(chars, 1, i + 1), lambda x: x == c)).cast("string")))
+def _char_tokens(df: DataFrame, key: str, s: str) -> DataFrame:
+    """(key, s, tok): characters numbered by occurrence ('e#1', 'e#2', ...),
+    i.e. the multiset of characters as a set. Numbering is a window over
+    (string, character), not a per-character lambda."""
+    cols = [key] if key == s else [key, s]
+    ch = df.select(*cols, F.posexplode(F.split(F.col(s), "")).alias("pos", "c")).filter(F.col("c") != "")
+    occ = F.row_number().over(Window.partitionBy(key, "c").orderBy("pos"))
+    return ch.select(*cols, F.concat("c", F.lit("#"), occ.cast("string")).alias("tok"))
 
 
 def fuzzy_title_match(queries: DataFrame, titles: DataFrame, cutoff: float = FUZZY_CUTOFF) -> DataFrame:
     """queries (kid, q) x titles (title) -> (kid, matched, ratio): the best
     title with 1 - levenshtein/max_len >= cutoff; ties -> larger string."""
-    def toks(df, key, s):
-        cols = [key] if key == s else [key, s]
-        return df.select(*cols, F.posexplode(_char_tokens(s)).alias("pos", "tok"))
-    tt = toks(titles.select(F.col("title").alias("t")).distinct(), "t", "t")
+    tl = titles.select(F.col("title").alias("t")).distinct()
+    tt = _char_tokens(tl, "t", "t")
     freq = tt.groupBy("tok").agg(F.count(F.lit(1)).alias("f"))
 
-    def prefixes(df, key, s):
-        t = toks(df, key, s).join(freq, "tok", "left").fillna(0, ["f"])
+    def prefixes(toks, key, s):
+        t = toks.join(freq, "tok", "left").fillna(0, ["f"])
         w = Window.partitionBy(key).orderBy("f", "tok")
         plen = F.char_length(s) - F.ceil(F.lit(cutoff) * F.char_length(s)) + 1
         cols = [key] if key == s else [key, s]
         return (t.withColumn("r", F.row_number().over(w))
                 .filter(F.col("r") <= plen).select(*cols, "tok"))
-    qp = prefixes(queries, "kid", "q")
-    tp = prefixes(titles.select(F.col("title").alias("t")).distinct(), "t", "t")
-    cand = qp.join(tp.withColumnRenamed("t", "cand"), "tok").select("kid", "q", "cand").distinct()
-    mx = F.greatest(F.char_length("q"), F.char_length("cand"))
-    scored = cand.select("kid", "cand",
-                         (1 - F.levenshtein("q", "cand") / mx).alias("ratio"))
+    qp = prefixes(_char_tokens(queries, "kid", "q"), "kid", "q")
+    tp = prefixes(tt, "t", "t")
+    lq, lt = F.char_length("q"), F.char_length("cand")
+    mx = F.greatest(lq, lt)
+    # the length band is necessary for the ratio (applied before the pairs
+    # are de-duplicated); the distance bound lets levenshtein stop early
+    band = (qp.join(tp.withColumnRenamed("t", "cand"), "tok")
+            .filter(F.least(lq, lt) >= F.lit(cutoff) * mx)
+            .select("kid", "q", "cand").distinct())
+    limit = F.floor(F.lit(1 - cutoff) * mx + 1e-9).cast("int")
+    scored = (band.select("kid", "q", "cand", mx.alias("mx"), limit.alias("lim"))
+              .select("kid", "cand", "mx", F.expr("levenshtein(q, cand, lim)").alias("d"))
+              .filter(F.col("d") >= 0)
+              .select("kid", "cand", (1 - F.col("d") / F.col("mx")).alias("ratio")))
     ok = scored.filter(F.col("ratio") >= cutoff - 1e-12)
     return (ok.groupBy("kid")
             .agg(F.max_by("cand", F.struct("ratio", "cand")).alias("matched"),
