@@ -225,7 +225,7 @@ _PERSON_SCHEMA = T.StructType([T.StructField("kid", T.LongType()), T.StructField
 
 
 def _person_kernel(limit: int):
-    def fn(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def fn(key, pdf):
         qs, ds = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
         if qs.empty or ds.empty:
             return pd.DataFrame({c: [] for c in _PERSON_SCHEMA.fieldNames()})

@@ -202,7 +202,7 @@ def _dense_T(indptr, col, w, rows, ncols):
 
 
 def _block_kernel(k: int, part: list[str]):
-    def fn(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def fn(key, pdf):
         pv, (lo, hi) = key[:len(part)], (int(key[-2]), int(key[-1]))
         if pdf.empty:
             return pd.DataFrame({c: [] for c in part + [f.name for f in _KERNEL_FIELDS]})

@@ -858,3 +858,22 @@ def q_run_summary(spark, sf_dir):
     last = reg.agg(F.max_by(F.struct("version", "genre_match_rate", "decision"),
                             F.struct("registered_at", "version")).alias("r"))
     return last.select("r.version", "r.genre_match_rate", "r.decision")
+
+
+@query("scan_feedback")
+def q_scan_feedback(spark, sf_dir):
+    """The search-feedback log written as a header CSV (the reference's log
+    format), read back through the declared-schema CSV reader."""
+    from tagwise.sources.tables import ISO_TS, scan_feedback
+    s, p = fb(spark, sf_dir)
+    base = _scratch(spark, "feedback_csv")
+    (s.select(F.col("ts").alias("timestamp"), "query", F.lit(None).cast("string").alias("matched_title"),
+              F.lit(0).alias("recommendations_count"), F.col("latency_ms").cast("string").alias("latency_ms"),
+              "status")
+     .write.option("header", True).option("escape", "\"").option("timestampFormat", ISO_TS)
+     .csv(f"{base}/search"))
+    (p.select(F.col("ts").alias("timestamp"), "movie", "source")
+     .write.option("header", True).option("timestampFormat", ISO_TS).csv(f"{base}/pos"))
+    search, pos = scan_feedback(spark, f"{base}/search", f"{base}/pos")
+    return search.select(ts_str("timestamp").alias("timestamp"), "query", "status",
+                         r6(F.col("latency_ms").try_cast("double")).alias("latency_ms"))

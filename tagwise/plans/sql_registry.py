@@ -841,3 +841,6 @@ ORACLE.update({
 })
 
 ORACLE["sink_drift_report"] = ORACLE["detect_drift"]
+
+ORACLE["scan_feedback"] = f"""WITH {FEEDBACK}
+SELECT strftime(ts, {TS}) AS timestamp, query, status, round(latency_ms, 6) AS latency_ms FROM fbk"""

@@ -54,11 +54,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+ISO_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # the logs' ISO timestamps
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Header CSV with quoted multi-line fields; fails if the path is absent."""
     return (spark.read.schema(schema)
             .option("header", True).option("multiLine", True)
             .option("quote", '"').option("escape", '"')
+            .option("timestampFormat", ISO_TS)
             .option("mode", "PERMISSIVE")
             .csv(path))
 
