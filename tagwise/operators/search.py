@@ -100,6 +100,11 @@ def fuzzy_title_match(queries: DataFrame, titles: DataFrame, cutoff: float = FUZ
     """queries (kid, q) x titles (title) -> (kid, matched, ratio): the best
     title with 1 - levenshtein/max_len >= cutoff; ties -> larger string."""
     tl = titles.select(F.col("title").alias("t")).distinct()
+    # an identical title has ratio 1, the maximum, and only it can have it:
+    # resolve those queries with an equi join and send only the rest on
+    exact = (queries.join(tl, queries["q"] == tl["t"])
+             .select("kid", F.col("t").alias("matched"), F.lit(1.0).alias("ratio")))
+    queries = queries.join(exact.select("kid"), "kid", "left_anti")
     tt = _char_tokens(tl, "t", "t")
     freq = tt.groupBy("tok").agg(F.count(F.lit(1)).alias("f"))
 
@@ -125,9 +130,10 @@ def fuzzy_title_match(queries: DataFrame, titles: DataFrame, cutoff: float = FUZ
               .filter(F.col("d") >= 0)
               .select("kid", "cand", (1 - F.col("d") / F.col("mx")).alias("ratio")))
     ok = scored.filter(F.col("ratio") >= cutoff - 1e-12)
-    return (ok.groupBy("kid")
-            .agg(F.max_by("cand", F.struct("ratio", "cand")).alias("matched"),
-                 F.max("ratio").alias("ratio")))
+    fuzzy = (ok.groupBy("kid")
+             .agg(F.max_by("cand", F.struct("ratio", "cand")).alias("matched"),
+                  F.max("ratio").alias("ratio")))
+    return exact.unionByName(fuzzy)
 
 
 # ---------------------------------------------------------------------------
