@@ -813,15 +813,16 @@ def q_positive_append(spark, sf_dir):
 
 @query("alias_lookup")
 def q_alias_lookup(spark, sf_dir):
-    cat, _, _, q, _, am = search_context(spark, sf_dir)
+    q = SR.prepare_queries(query_batch(spark, sf_dir))
+    _, _, am = lookups(spark, derived.documents_catalog(spark, sf_dir))
     x = q.join(F.broadcast(am), "q", "left")
     return x.select("query", F.array_join(F.coalesce("terms", F.array("q")), "|").alias("terms"))
 
 
 @query("character_lookup")
 def q_character_lookup(spark, sf_dir):
-    cat, _, _, q, _, _ = search_context(spark, sf_dir)
-    _, cm, _ = lookups(spark, cat)
+    q = SR.prepare_queries(query_batch(spark, sf_dir))
+    _, cm, _ = lookups(spark, derived.documents_catalog(spark, sf_dir))
     x = q.join(F.broadcast(cm.withColumnRenamed("character", "q")), "q", "left")
     return x.select("query", F.coalesce("actor", F.translate("q", " ", "")).alias("person_key"))
 
