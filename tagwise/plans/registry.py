@@ -878,3 +878,34 @@ def q_scan_feedback(spark, sf_dir):
     search, pos = scan_feedback(spark, f"{base}/search", f"{base}/pos")
     return search.select(ts_str("timestamp").alias("timestamp"), "query", "status",
                          r6(F.col("latency_ms").try_cast("double")).alias("latency_ms"))
+
+
+@query("sink_model_artifacts")
+def q_sink_model_artifacts(spark, sf_dir):
+    """Persist vocabulary, neighbour table and catalog; report what was written."""
+    cat, vocab, vec = catalog_vectors(spark, sf_dir)
+    top = sim.topk_neighbours(vec, FX.TOP_K)
+    base = SK.sink_model_artifacts(vocab.select("term", "term_idx", "df", "cf"), top,
+                                   cat.select("movie_id", "title", "tags"), _scratch(spark, "model"))
+    counts = [spark.read.parquet(f"{base}/{a}").agg(F.count(F.lit(1)).alias("rows"))
+              .select(F.lit(a).alias("artifact"), "rows") for a in ("vocabulary", "neighbours", "catalog")]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query("genre_filter")
+def q_genre_filter(spark, sf_dir):
+    """Items whose joined genre list contains a genre-routed query's term."""
+    cat, words, index, _, routed, am = search_context(spark, sf_dir)
+    gq = routed.filter(F.col("route") == "genre").select("kid", "query", "q")
+    terms = (gq.join(F.broadcast(am), "q", "left")
+             .select("kid", "query", F.explode(F.coalesce("terms", F.array("q"))).alias("term"))
+             .select("kid", "query", F.regexp_replace("term", " ", "").alias("term"))
+             .filter(F.col("term") != ""))
+    gwords = cat.select(F.col("movie_id").alias("id"),
+                        F.lower(F.regexp_replace(F.concat_ws("", "genres"), " ", "")).alias("word")) \
+        .filter(F.col("word") != "")
+    tk = terms.select(F.xxhash64("kid", "term").alias("tk"), "query", "term")
+    hits = SR.contains_join(tk.select(F.col("tk").alias("kid"), F.col("term").alias("key")),
+                            gwords, SR.gram_index(gwords))
+    return (hits.join(tk.select(F.col("tk").alias("kid"), "query"), "kid")
+            .select("query", F.col("id").alias("movie_id")).distinct())

@@ -844,3 +844,9 @@ ORACLE["sink_drift_report"] = ORACLE["detect_drift"]
 
 ORACLE["scan_feedback"] = f"""WITH {FEEDBACK}
 SELECT strftime(ts, {TS}) AS timestamp, query, status, round(latency_ms, 6) AS latency_ms FROM fbk"""
+
+ORACLE["sink_model_artifacts"] = f"""{TFIDF},{_topk_ranked(FX.TOP_K)}
+SELECT 'vocabulary' AS artifact, (SELECT count(*) FROM vocab) AS rows
+UNION ALL SELECT 'neighbours', (SELECT count(*) FROM ranked)
+UNION ALL SELECT 'catalog', (SELECT count(*) FROM cat)"""
+ORACLE["genre_filter"] = f"{CAT},{ROUTE},{GENRE} SELECT DISTINCT query, id AS movie_id FROM bg"
