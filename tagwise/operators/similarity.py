@@ -322,3 +322,38 @@ def cosine_topk_approx(vlong: DataFrame, dim: int, k: int = TOP_K, bucket_length
                           (1 - F.col("d") * F.col("d") / 2).alias("score"))
              .filter((F.col("id") != F.col("other_id")) & (F.col("score") > 0)))
     return rank_neighbours(cands, k).select("id", "rank", "other_id", "score")
+
+
+def _rows_kernel(k: int):
+    def fn(key, pdf):
+        a, b = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
+        if a.empty or b.empty:
+            return pd.DataFrame({c: [] for c in _KERNEL_SCHEMA.fieldNames()})
+        ia, ba, pa, ca, wa, _ = _blocks(a)
+        ib, bb, pb, cb, wb, _ = _blocks(b)
+        cols = np.union1d(np.unique(a["term_idx"]), np.unique(b["term_idx"]))
+        ra = np.searchsorted(cols, np.unique(a["term_idx"].to_numpy())[ca])
+        rb = np.searchsorted(cols, np.unique(b["term_idx"].to_numpy())[cb])
+        S = (_dense_T(pa, ra, wa, np.arange(len(ia)), len(cols)).T
+             @ _dense_T(pb, rb, wb, np.arange(len(ib)), len(cols)))
+        out = _topk_rows(S, ia, ib, k, ia[:, None] == ib[None, :])
+        return pd.concat(out, ignore_index=True).astype({"id": "int64", "other_id": "int64",
+                                                         "score": "float64"})
+    return fn
+
+
+def topk_for_rows(vlong: DataFrame, row_ids: DataFrame, k: int = TOP_K,
+                  block_rows: int = 1024) -> DataFrame:
+    """Top-k neighbours of a bounded set of rows (e.g. an evaluation sample)
+    against every row: the sample's vectors meet each item block once, so
+    the cost is sample x n instead of n x n."""
+    n_rows = vlong.select("id").distinct().count()
+    b = num_blocks(n_rows, block_rows)
+    blk = F.pmod(F.xxhash64("id"), F.lit(b)).cast("int")
+    left = (vlong.join(row_ids.select("id").distinct(), "id")
+            .select("id", "term_idx", "w", F.lit(0).alias("blk"), F.lit(0).alias("side"),
+                    F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("g")))
+    right = vlong.select("id", "term_idx", "w", F.lit(0).alias("blk"), F.lit(1).alias("side"), blk.alias("g"))
+    cands = (left.unionByName(right).groupBy("g").applyInPandas(_rows_kernel(k), _KERNEL_SCHEMA)
+             .filter(F.col("kind") == "n"))
+    return rank_neighbours(cands, k).select("id", "rank", "other_id", "score")

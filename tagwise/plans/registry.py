@@ -118,8 +118,10 @@ def q_cosine_topk_approx(spark, sf_dir):
 
 @query("genre_match_rate")
 def q_genre_match_rate(spark, sf_dir):
+    """Neighbours are computed for the seeded sample only (sample x n)."""
     cat, _, vec = catalog_vectors(spark, sf_dir)
-    top = sim.topk_neighbours(vec, FX.EVAL_NEIGHBOURS)
+    sample = EV.md5_sample(cat.select("movie_id"), FX.EVAL_SAMPLE).select(F.col("movie_id").alias("id"))
+    top = sim.topk_for_rows(sim.cut_lineage(vec, "vectors"), sample, FX.EVAL_NEIGHBOURS)
     return EV.genre_match_rate(cat, top, FX.EVAL_SAMPLE)
 
 

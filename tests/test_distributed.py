@@ -86,3 +86,14 @@ def test_fuzzy_match_equals_brute_force(spark):
             assert kid not in got
         else:
             assert got[kid] == (best[1], round(best[0], 9))
+
+
+def test_topk_for_rows_equals_full_kernel(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, int(t), float(rng.random())) for i in range(50) for t in rng.choice(20, size=4, replace=False)]
+    v = spark.createDataFrame(rows, "id long, term_idx int, w double")
+    sample = spark.createDataFrame([(3,), (17,), (42,)], "id long")
+    full = sim.topk_neighbours(v, 6, block_rows=8, materialize=False).join(sample, "id")
+    part = sim.topk_for_rows(v, sample, 6, block_rows=8)
+    key = lambda df: sorted((r.id, r.rank, r.other_id, round(r.score, 9)) for r in df.collect())
+    assert key(part) == key(full)
