@@ -56,6 +56,7 @@ def main():
         try:
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             times[name] = round(time.time() - t, 3)
+            print(f"[bench] {name} {times[name]}s", file=sys.stderr, flush=True)
         except Exception as e:  # report, keep going
             errors[name] = repr(e)[:300]
         finally:
