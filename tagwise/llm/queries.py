@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagwise.llm import chat, mixing, ngram_join, sharding
+from tagwise.llm import bpe, chat, gam, mixing, ngram_join, sharding
 from tagwise.llm.oracle import ORACLE  # noqa: F401
 
 
@@ -18,6 +18,13 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = gam.fit(docs, _table(spark, sf_dir, "labels"))
+    return gam.score(docs, model, ["doc_id"]).select(
+        "doc_id", gam.held_out(3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return sharding.shard(docs).select(
@@ -26,6 +33,20 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def vocab_path(name: str = "word_bpe_49k.json") -> str:
+    """Place of a public vocabulary file; only the driver opens it."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    enc = bpe.encode(_table(spark, sf_dir, "documents"), vocab_path())
+    return bpe.decode(enc, vocab_path()).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(F.coalesce("decoded", F.lit("")), 256).alias("decoded_sha256"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mixing.mixed(_table(spark, sf_dir, "documents"))
     return m.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -51,7 +72,9 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op3_quality": op3_quality,
     "op4_sharding": op4_sharding,
+    "op5_bpe": op5_bpe,
     "op7_mixing": op7_mixing,
     "op9_chat": op9_chat,
 }
