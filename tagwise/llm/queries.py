@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagwise.llm import bpe, chat, gam, mixing, ngram_join, sharding
+from tagwise.llm import bpe, chat, gam, langid, mixing, ngram_join, sharding
 from tagwise.llm.oracle import ORACLE  # noqa: F401
 
 
@@ -47,6 +47,12 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.coalesce("decoded", F.lit("")), 256).alias("decoded_sha256"))
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.learn(docs), ["doc_id"]).select(
+        "doc_id", langid.in_fold().alias("held_out"), "lang_pred", "score")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mixing.mixed(_table(spark, sf_dir, "documents"))
     return m.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -75,6 +81,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_sharding": op4_sharding,
     "op5_bpe": op5_bpe,
+    "op6_langid": op6_langid,
     "op7_mixing": op7_mixing,
     "op9_chat": op9_chat,
 }
