@@ -12,11 +12,14 @@ Plan (theta = 0.75, whole texts, every set indexed):
    back. A class that has more unshared shingles than a quarter of its set
    has no partner and leaves here; this drops nearly all unrelated texts.
 3. Index lists (shingle -> class, position) hold the order's prefix of each
-   remaining set. **Index-level skip:** lists are cut into blocks by size
-   band and keep each block's best remaining length, so a block is skipped
-   when no position in it can reach the needed overlap.
+   remaining set. The remaining sets are counted once more over the whole
+   hash range: a set can't share more than its ``cap`` shingles that other
+   sets hold. **Index-level skip:** lists are cut into blocks by size band and
+   keep each block's best remaining length and cap, so a block is skipped when
+   no position in it can reach the needed overlap.
 4. **Answer-level skip:** each set is first compared with one centre of its
-   lists only (linear, no pairs within a group); linked sets form groups.
+   lists only, the one with the least share of shingles of its own (linear, no
+   pairs within a group); linked sets form groups.
    What remains are pairs of groups that share a list: their centres are
    compared once, and the answers of the members are derived from the
    centres': |x n y| <= |cx n cy| + |x \\ cx| + |y \\ cy|. Only member pairs
@@ -64,41 +67,50 @@ def _class_rows(width: int):
     return run
 
 
+def _pack(sets, n_buckets: int) -> pa.RecordBatch:
+    """One row per bucket of packed (shingle, class); ``sets`` has (digest,
+    shingles) of distinct classes."""
+    tok = np.concatenate([u for _, u in sets]) if sets else np.zeros(0, np.uint64)
+    loc = np.repeat(np.arange(len(sets), dtype=np.uint32), [len(u) for _, u in sets])
+    bucket = (tok % np.uint64(n_buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    tok, loc, bucket = tok[order], loc[order], bucket[order]
+    cut = np.searchsorted(bucket, np.arange(n_buckets + 1))
+    ids = np.frombuffer(b"".join(d for d, _ in sets), np.uint64).reshape(-1, 2)
+    rows = []
+    for k in np.flatnonzero(np.diff(cut)):
+        s = slice(cut[k], cut[k + 1])
+        uniq, inv = np.unique(loc[s], return_inverse=True)
+        rows.append((int(k), tok[s].tobytes(), inv.astype(np.uint32).tobytes(), ids[uniq].tobytes()))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3)]],
+        ["bucket", "tok", "loc", "ids"])
+
+
 def _blob_rows(width: int, n_buckets: int):
-    """Per Arrow batch and bucket one row of packed (shingle, class)."""
+    """The counted part of each distinct set of an Arrow batch, packed."""
     def run(batches):
         for t in batches:
-            known, sids, toks, local = set(), [], [], []
+            found = {}
             for _, u in shingle_sets(t.column("text"), width):
-                if not len(u) or (d := _digest(u)) in known:
-                    continue
-                known.add(d)
-                k = max(int(np.searchsorted(u, np.uint64(LOW))), _prefix(len(u)))
-                toks.append(u[:k])
-                local.append(np.full(min(k, len(u)), len(sids), np.uint32))
-                sids.append(d)
-            if not sids:
-                continue
-            tok, loc = np.concatenate(toks), np.concatenate(local)
-            bucket = (tok % np.uint64(n_buckets)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            tok, loc, bucket = tok[order], loc[order], bucket[order]
-            cut = np.searchsorted(bucket, np.arange(n_buckets + 1))
-            ids = np.frombuffer(b"".join(sids), np.uint64).reshape(-1, 2)
-            rows = []
-            for k in np.flatnonzero(np.diff(cut)):
-                s = slice(cut[k], cut[k + 1])
-                uniq, inv = np.unique(loc[s], return_inverse=True)
-                rows.append((int(k), tok[s].tobytes(), inv.astype(np.uint32).tobytes(), ids[uniq].tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3)]],
-                ["bucket", "tok", "loc", "ids"])
+                if len(u) and (d := _digest(u)) not in found:
+                    found[d] = u[:max(int(np.searchsorted(u, np.uint64(LOW))), _prefix(len(u)))]
+            yield _pack(list(found.items()), n_buckets)
     return run
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Of one bucket: the (shingle, class) rows whose shingle two or more
-    classes hold, with that number."""
+def _packed_sets(n_buckets: int):
+    def run(batches):
+        for t in batches:
+            flat = t.column("toks").flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            offs = np.concatenate([[0], np.cumsum(t.column("n").to_numpy(zero_copy_only=False))])
+            yield _pack([(d, flat[offs[i]:offs[i + 1]]) for i, d in enumerate(t.column("sid").to_pylist())], n_buckets)
+    return run
+
+
+def _unpack(table: pa.Table):
+    """Of one bucket: class digests, and the (shingle, class, number of
+    classes that hold the shingle) entries that two classes or more share."""
     tok, cls, ids, n = [], [], [], 0
     for a, b, c in zip(*(table.column(k).to_pylist() for k in ("tok", "loc", "ids"))):
         tok.append(np.frombuffer(a, np.uint64))
@@ -112,21 +124,34 @@ def _shared(table: pa.Table) -> pa.Table:
     new[1:] = (ids[o][1:] != ids[o][:-1]).any(axis=1)
     num = np.empty(len(o), np.int64)
     num[o] = np.cumsum(new) - 1
-    ids = ids[o][new]
-    cls = num[cls]
+    ids, cls = ids[o][new], num[cls]
     o = np.lexsort((cls, tok))
     tok, cls = tok[o], cls[o]
     new = np.ones(len(tok), bool)
     new[1:] = (tok[1:] != tok[:-1]) | (cls[1:] != cls[:-1])
     tok, cls = tok[new], cls[new]
     head = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]]))
-    df = np.repeat(np.diff(np.append(head, len(tok))), np.diff(np.append(head, len(tok))))
-    keep = df >= 2
-    raw = ids[cls[keep]].tobytes()
-    return pa.table({
-        "token": pa.array(tok[keep].view(np.int64)), "df": pa.array(df[keep].astype(np.int64)),
-        "low": pa.array(tok[keep] < np.uint64(LOW)),
-        "sid": pa.Array.from_buffers(pa.binary(16), int(keep.sum()), [None, pa.py_buffer(raw)]).cast(pa.binary())})
+    size = np.diff(np.append(head, len(tok)))
+    df = np.repeat(size, size)
+    return ids, tok[df >= 2], cls[df >= 2], df[df >= 2]
+
+
+def _sids(ids: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(16), len(ids), [None, pa.py_buffer(ids.tobytes())]).cast(pa.binary())
+
+
+def _shared(table: pa.Table) -> pa.Table:
+    """Rows of the shared shingles of one bucket."""
+    ids, tok, cls, df = _unpack(table)
+    return pa.table({"token": pa.array(tok.view(np.int64)), "df": pa.array(df.astype(np.int64)),
+                     "low": pa.array(tok < np.uint64(LOW)), "sid": _sids(ids[cls])})
+
+
+def _shared_counts(table: pa.Table) -> pa.Table:
+    """How many shared shingles each class has in one bucket."""
+    ids, _, cls, _ = _unpack(table)
+    n = np.bincount(cls, minlength=len(ids))
+    return pa.table({"sid": _sids(ids), "k": pa.array(n.astype(np.int64))})
 
 
 def _set_rows(width: int):
@@ -154,9 +179,9 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).cast("long").alias("o")))
 
 
-def _reachable(rem_a, rem_b, na, nb):
-    """Positional bound: what is left behind both positions can reach the needed overlap."""
-    return (F.least(rem_a, rem_b) * 7 >= (na + nb) * 3)
+def _reachable(*caps, n):
+    """Whether the least of some bounds of the overlap reaches what sizes that sum to ``n`` need."""
+    return F.least(*caps, F.lit(1 << 60)) * 7 >= n * 3
 
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH, n_buckets: int | None = None) -> DataFrame:
@@ -197,57 +222,62 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, n_buckets: int | Non
     post = cut_lineage(pre.select("sid", "n", F.explode("pre").alias("x"))
                        .select("sid", "n", "x.token", (F.col("n") - F.col("x.pos")).alias("rem")), "lists")
 
-    # whole sets of the classes that are left
+    # whole sets of the classes that are left; what each can share at most
     left = post.select("sid").distinct().join(reps, "sid").select("at.th", F.col("at.doc_id").alias("rid"))
     texts = keyed.join(left, (keyed.th == left.th) & keyed.doc_id.eqNullSafe(left.rid), "left_semi").select("text")
     sets = cut_lineage(texts.mapInArrow(_set_rows(width), "sid binary, toks array<long>")
                        .dropDuplicates(["sid"]).withColumn("n", F.size("toks").cast("long")), "sets")
+    caps = cut_lineage(sets.mapInArrow(_packed_sets(n_buckets), "bucket int, tok binary, loc binary, ids binary")
+                       .groupBy("bucket").applyInArrow(_shared_counts, "sid binary, k long")
+                       .groupBy("sid").agg(F.sum("k").alias("cap")), "caps")
+    post = cut_lineage(post.join(caps, "sid").where(_reachable(F.col("cap"), n=F.col("n") + F.col("cap"))), "lists")
 
-    # 4a. one centre per list: linear in the lists
-    centre = post.groupBy("token").agg(F.min(F.struct("sid", "n", "rem")).alias("c"))
+    # 4a. one centre per list, the class with the least share of its own: linear in the lists
+    centre = post.groupBy("token").agg(F.min(F.struct(1 - F.col("cap") / F.col("n"), "sid", "n", "rem", "cap")).alias("c"))
     near = (post.join(centre, "token").where(F.col("sid") != F.col("c.sid"))
-            .where(_reachable(F.col("rem"), F.col("c.rem"), F.col("n"), F.col("c.n")))
+            .where(_reachable("rem", "c.rem", "cap", "c.cap", n=F.col("n") + F.col("c.n")))
             .select(F.col("c.sid").alias("a"), F.col("sid").alias("b")))
     links = cut_lineage(_overlaps(near, sets).where(_linked("o", "na", "nb")).select("a", "b"), "links")
     groups = connected_components(links)
+    # a group is named by its most central class
+    lead = (groups.join(post.select(F.col("sid").alias("node"), "cap", "n").distinct(), "node")
+            .groupBy("label").agg(F.min(F.struct(1 - F.col("cap") / F.col("n"), "node"))["node"].alias("g")))
+    groups = cut_lineage(groups.join(lead, "label").select(F.col("node").alias("sid"), "g"), "groups")
 
     # 4b. blocks of lists that hold several groups
     band = F.floor(F.log("n") / F.log(F.lit(4 / 3))).cast("int")
-    with_g = (post.join(groups.withColumnRenamed("node", "sid"), "sid", "left")
-              .withColumn("g", F.coalesce("label", "sid")).drop("label").withColumn("band", band))
+    with_g = (post.join(groups, "sid", "left").withColumn("g", F.coalesce("g", "sid")).withColumn("band", band))
     several = with_g.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("token")
     open_lists = cut_lineage(with_g.join(several, "token", "left_semi"), "open-lists")
-    block = open_lists.groupBy("token", "band", "g").agg(F.max("rem").alias("rem"), F.min("n").alias("n"))
+    block = open_lists.groupBy("token", "band", "g").agg(F.max(F.least("rem", "cap")).alias("cap"), F.min("n").alias("n"))
     b1 = block.select("token", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
-                      F.col("g").alias("a"), F.col("rem").alias("ra"), F.col("n").alias("na"))
-    b2 = block.select("token", "band", F.col("g").alias("b"), F.col("rem").alias("rb"), F.col("n").alias("nb"))
-    met = (b1.join(b2, ["token", "band"]).where("a <> b")
-           .where(_reachable(F.col("ra"), F.col("rb"), F.col("na"), F.col("nb")))
-           .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+                      F.col("g").alias("a"), F.col("cap").alias("ca"), F.col("n").alias("na"))
+    b2 = block.select("token", "band", F.col("g").alias("b"), F.col("cap").alias("cb"), F.col("n").alias("nb"))
+    met = (b1.join(b2, ["token", "band"]).where("a < b")
+           .where(_reachable("ca", "cb", n=F.col("na") + F.col("nb"))).select("a", "b"))
     centres = cut_lineage(_overlaps(met, sets), "centres")
     links = links.union(centres.where(_linked("o", "na", "nb")).select("a", "b"))
 
     # 4c. derive the members' answers from the centres' where the bound decides
-    members = (sets.select("sid", "n").join(groups.withColumnRenamed("node", "sid"), "sid")
-               .where("sid <> label"))
-    off = cut_lineage(_overlaps(members.select(F.col("sid").alias("a"), F.col("label").alias("b")), sets)
-                      .select(F.col("a").alias("sid"), F.col("b").alias("g"), (F.col("na") - F.col("o")).alias("off"), F.col("na").alias("n")), "off")
+    # off: what a member can share with anyone, outside of its group's centre
+    off = cut_lineage(_overlaps(groups.where("sid <> g").select(F.col("sid").alias("a"), F.col("g").alias("b")), sets)
+                      .select(F.col("a").alias("sid"), F.col("b").alias("g"), "o", F.col("na").alias("n")).join(caps, "sid")
+                      .select("sid", "g", "n", (F.col("cap") - F.col("o")).alias("off")), "off")
     spread = off.groupBy("g").agg(F.max("off").alias("off"), F.min("n").alias("n"))
-    c = (centres.where(~_linked("o", "na", "nb"))
-         .join(spread.select(F.col("g").alias("a"), F.col("off").alias("oa"), F.col("n").alias("ma")), "a", "left")
-         .join(spread.select(F.col("g").alias("b"), F.col("off").alias("ob"), F.col("n").alias("mb")), "b", "left")
-         .where("oa is not null or ob is not null")
-         .where((F.col("o") + F.coalesce("oa", F.lit(0)) + F.coalesce("ob", F.lit(0))) * 7
-                >= (F.least("na", F.coalesce("ma", "na")) + F.least("nb", F.coalesce("mb", "nb"))) * 3)
-         .select("a", "b", "o"))
-    undecided = cut_lineage(c, "undecided")
+    undecided = cut_lineage(
+        centres.where(~_linked("o", "na", "nb"))
+        .join(spread.select(F.col("g").alias("a"), F.col("off").alias("oa"), F.col("n").alias("ma")), "a", "left")
+        .join(spread.select(F.col("g").alias("b"), F.col("off").alias("ob"), F.col("n").alias("mb")), "b", "left")
+        .where("oa is not null or ob is not null")
+        .where(_reachable(F.col("o") + F.coalesce("oa", F.lit(0)) + F.coalesce("ob", F.lit(0)),
+                          n=F.least("na", F.coalesce("ma", "na")) + F.least("nb", F.coalesce("mb", "nb"))))
+        .select("a", "b", "o"), "undecided")
     if undecided.limit(1).count():
         each = (open_lists.join(off.select("sid", "off"), "sid", "left").withColumn("off", F.coalesce("off", F.lit(0))))
-        x = each.select("token", F.col("g").alias("a"), F.col("sid").alias("x"), F.col("n").alias("nx"), F.col("rem").alias("rx"), F.col("off").alias("ox"))
-        y = each.select("token", F.col("g").alias("b"), F.col("sid").alias("y"), F.col("n").alias("ny"), F.col("rem").alias("ry"), F.col("off").alias("oy"))
+        x, y = (each.select("token", F.col("g").alias(g), F.col("sid").alias(k), F.col("n").alias(f"n{k}"),
+                            F.least("rem", "cap").alias(f"c{k}"), F.col("off").alias(f"o{k}")) for g, k in (("a", "x"), ("b", "y")))
         pairs = (x.join(undecided, "a").join(y, ["token", "b"])
-                 .where(_reachable(F.col("rx"), F.col("ry"), F.col("nx"), F.col("ny")))
-                 .where((F.col("o") + F.col("ox") + F.col("oy")) * 7 >= (F.col("nx") + F.col("ny")) * 3)
+                 .where(_reachable("cx", "cy", F.col("o") + F.col("ox") + F.col("oy"), n=F.col("nx") + F.col("ny")))
                  .select(F.col("x").alias("a"), F.col("y").alias("b")))
         links = links.union(_overlaps(pairs, sets).where(_linked("o", "na", "nb")).select("a", "b"))
     final = connected_components(links)
