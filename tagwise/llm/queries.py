@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagwise.llm import bpe, chat, gam, langid, mixing, ngram_join, sharding
+from tagwise.llm import bpe, chat, gam, kneser_ney, langid, mixing, ngram_join, sharding
 from tagwise.llm.oracle import ORACLE  # noqa: F401
 
 
@@ -58,6 +58,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.quality_rules(_table(spark, sf_dir, "documents"), ["doc_id"]).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "log_perplexity", "lower", "upper")
+
+
 PLANTED_CHAT = "</s>[INST] ok [/INST]"
 
 
@@ -83,5 +89,6 @@ QUERIES = {
     "op5_bpe": op5_bpe,
     "op6_langid": op6_langid,
     "op7_mixing": op7_mixing,
+    "op8_quality_rules": op8_quality_rules,
     "op9_chat": op9_chat,
 }
