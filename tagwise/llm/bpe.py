@@ -37,9 +37,9 @@ SPACE = r"\p{White_Space}+"
 SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 WORD_END = "</w>"
 
-MEMO_CHUNKS = 200_000       # distinct chunks that a task remembers; then it starts afresh
-MEMO_PAIRS = 2_000_000      # tested pairs that it remembers
-SLICE_CHARS = 8 << 20       # characters of a batch worked on at once
+MEMO_CHUNKS = 150_000       # distinct chunks that a task remembers; then it starts afresh
+MEMO_PAIRS = 300_000        # tested pairs that it remembers
+SLICE_CHARS = 1 << 20       # characters of a batch worked on at once
 
 
 def byte_alphabet() -> list[str]:
@@ -279,17 +279,15 @@ def _encode_rows(shared, keep: list[str]):
         enc = Encoder(shared.get(), norm)
         for t in batches:
             text = pc.fill_null(t.column("text"), "")
-            size = pc.utf8_length(text).to_numpy(zero_copy_only=False)
-            a, ids, bounds = 0, [], [np.zeros(1, np.int64)]
-            while a < len(size):
-                b = max(a + 1, a + int(np.searchsorted(np.cumsum(size[a:]), SLICE_CHARS, "right")))
-                f, o = enc.encode(text.slice(a, b - a).to_pylist())
-                bounds.append(o[1:] + bounds[-1][-1])
-                ids.append(f)
+            ends = np.cumsum(pc.utf8_length(text).to_numpy(zero_copy_only=False), dtype=np.int64)
+            a = 0
+            while a < len(ends):            # small output batches bound the memory
+                done = ends[a - 1] if a else 0
+                b = max(a + 1, int(np.searchsorted(ends, done + SLICE_CHARS, "right")))
+                flat, bounds = enc.encode(text.slice(a, b - a).to_pylist())
+                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(flat, pa.int32()))
+                yield pa.RecordBatch.from_arrays([*[t.column(c).slice(a, b - a) for c in keep], lists], [*keep, "ids"])
                 a = b
-            flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(bounds).astype(np.int32)), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*[t.column(c) for c in keep], lists], [*keep, "ids"])
     return run
 
 
@@ -315,15 +313,13 @@ def _decode_rows(shared, keep: list[str]):
             flat = lists.flatten()
             n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             offs = np.concatenate([[0], np.cumsum(n)])
-            out, a, size = [], 0, len(n)
-            while a < size:             # joined in parts, to bound the memory
-                b = max(a + 1, int(np.searchsorted(offs, offs[a] + (1 << 20), "right")) - 1)
+            a = 0
+            while a < len(n):
+                b = max(a + 1, int(np.searchsorted(offs, offs[a] + (1 << 18), "right")) - 1)
                 words = tokens.take(flat.slice(int(offs[a]), int(offs[b] - offs[a])))
                 part = pa.ListArray.from_arrays(pa.array((offs[a:b + 1] - offs[a]).astype(np.int32)), words)
-                out.append(pc.binary_join(part, " "))
+                yield pa.RecordBatch.from_arrays([*[t.column(c).slice(a, b - a) for c in keep], pc.binary_join(part, " ")], [*keep, "decoded"])
                 a = b
-            text = pa.concat_arrays(out) if out else pa.array([], pa.string())
-            yield pa.RecordBatch.from_arrays([*[t.column(c) for c in keep], text], [*keep, "decoded"])
     return run
 
 
