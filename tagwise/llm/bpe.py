@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagwise.llm.ship import Shipped
+from tagwise.llm.vectext import SpanHasher, mix
 
 # fixed values: the vocabulary's word pattern, white space, special tokens and word end
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
@@ -37,7 +38,7 @@ SPACE = r"\p{White_Space}+"
 SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 WORD_END = "</w>"
 
-MEMO_CHUNKS = 150_000       # distinct chunks that a task remembers; then it starts afresh
+MEMO_CHUNKS = 400_000       # distinct chunks that a task remembers; then it starts afresh
 MEMO_PAIRS = 300_000        # tested pairs that it remembers
 SLICE_CHARS = 1 << 20       # characters of a batch worked on at once
 
@@ -54,109 +55,179 @@ def byte_alphabet() -> list[str]:
     return [out[b] for b in range(256)]
 
 
+def ragged(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Indices of the runs [start, start + n), one after another."""
+    ends = np.cumsum(n)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + n, n)
+
+
+def run_starts(n: np.ndarray) -> np.ndarray:
+    return np.cumsum(n) - n
+
+
+END = 256                   # symbol of the word end; 0 to 255 are bytes
+
+
 class Vocabulary:
-    """Tokens, merge ranks and special tokens of a BPE file with word ends."""
+    """Tokens, merge ranks and special tokens of a BPE file with word ends,
+    as arrays."""
 
     def __init__(self, path: str):
         model = json.load(open(path, encoding="utf-8"))
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
         model = model["model"]
-        self.ids = model["vocab"]
+        ids = model["vocab"]
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        code = np.array([self.ids[a] << 32 | self.ids[b] for a, b in pairs], np.int64)
-        self.merged = np.array([self.ids[a + b] for a, b in pairs], np.int64)
+        code = np.array([ids[a] << 32 | ids[b] for a, b in pairs], np.int64)
+        self.merged = np.array([ids[a + b] for a, b in pairs], np.int64)
         self.n_merges = len(pairs)
         self.pair_rank = np.argsort(code, kind="stable").astype(np.int32)
         self.pair_code = code[self.pair_rank]
-        size = max([*self.ids.values(), *self.special.values()]) + 1
-        self.tokens = [""] * size
-        for t, i in [*self.ids.items(), *self.special.items()]:
+        self.tokens = [""] * (max([*ids.values(), *self.special.values()]) + 1)
+        for t, i in [*ids.items(), *self.special.items()]:
             self.tokens[i] = t
-        # tokens with the word end as NUL, and the lengths to try by the first three symbols
-        self.marked = {t[:-len(WORD_END)] + "\0" if t.endswith(WORD_END) and t != WORD_END else t: i for t, i in self.ids.items()}
-        lengths: dict[str, set] = {}
-        for t in self.marked:
-            if len(t) > 2:
-                lengths.setdefault(t[:3], {1, 2}).add(len(t))
-        self.lengths = {k: tuple(sorted(x, reverse=True)) for k, x in lengths.items()}
+        byte = {c: b for b, c in enumerate(byte_alphabet())}
+        self.plain = np.array([ids.get(c, -1) for c in byte], np.int64)              # id of a byte
+        self.final = np.array([ids.get(c + WORD_END, -1) for c in byte], np.int64)   # of a word's last byte
+
+        # every token as symbols, and every prefix of one, by hash
+        self.hasher = SymbolHasher()
+        spelt = {}
+        for t, i in ids.items():
+            has_end = t.endswith(WORD_END) and t != WORD_END
+            spelt[i] = [byte[c] for c in (t[:-len(WORD_END)] if has_end else t)] + [END] * has_end
+        prefix: dict[tuple, int] = {}
+        for i, q in spelt.items():
+            for k in range(1, len(q)):
+                prefix.setdefault(tuple(q[:k]), -1)
+            prefix[tuple(q)] = i
+        flat = np.fromiter(chain.from_iterable(prefix), np.int64)
+        n = np.fromiter(map(len, prefix), np.int64, len(prefix))
+        at = run_starts(n)
+        key = self.hasher(flat, at, at + n)
+        order = np.argsort(key)
+        self.prefix_key, self.prefix_token = key[order], np.fromiter(prefix.values(), np.int64)[order]
+        # the bytes of every token as ids, where its own merges begin
+        size = np.zeros(len(self.tokens), np.int64)
+        parts = []
+        for i in range(len(self.tokens)):
+            q = spelt.get(i, [])
+            q = [int(self.plain[c]) for c in q] if not q or q[-1] != END else [*(int(self.plain[c]) for c in q[:-2]), int(self.final[q[-2]])]
+            size[i] = len(q)
+            parts.append(q)
+        self.base, self.base_n = np.fromiter(chain.from_iterable(parts), np.int64), size
+        self.base_at = run_starts(size)
+
+
+class SymbolHasher(SpanHasher):
+    """Hashes of spans of symbols 0 to 256."""
+
+    def __init__(self):
+        super().__init__()
+        self.table = mix(np.arange(1, 258, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+
+    def prepare(self, sym: np.ndarray) -> np.ndarray:
+        self._grow(len(sym))
+        out = np.zeros(len(sym) + 1, np.uint64)
+        np.cumsum(self.table[sym] * self.pw[:len(sym)], out=out[1:])
+        return out
+
+    def spans(self, sums: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (sums[b] - sums[a]) * self.inv[a] + (b - a).astype(np.uint64)
+
+    def __call__(self, sym, a, b):
+        return self.spans(self.prepare(sym), a, b)
 
 
 class Encoder:
-    def __init__(self, vocab: Vocabulary, normalizer=None):
+    def __init__(self, vocab: Vocabulary, normalizer):
         self.v = vocab
-        self.alphabet = str.maketrans({b: c for b, c in enumerate(byte_alphabet())})
         self.word = regex.compile(WORD)
         self.space = regex.compile(SPACE)
         self.odd_space = re.compile("[\x1c-\x1f]")       # str.split() cuts there, the vocabulary does not
-        self.beyond = re.compile("[^\x00-˿]")       # below, NFC changes nothing
+        self.beyond = re.compile("[^\x00-\u02ff]")       # below, NFC changes nothing
         self.cut = re.compile("(" + "|".join(map(re.escape, vocab.special)) + ")") if vocab.special else None
-        self.pair_ok: dict[int, bool] = {}
-        self.words: dict[str, tuple] = {}
         self.lower = normalizer
+        self.pair_code, self.pair_ok = np.zeros(0, np.int64), np.zeros(0, bool)
         self.reset()
 
     def reset(self) -> None:
-        """Forget the chunks; ids of all chunks lie in one growing pool."""
-        self.words.clear()
+        """Forget words and chunks. Both are numbered; their ids lie in pools."""
+        self.words: dict[str, int] = {}
         self.memo: dict[str, int] = {}
-        self.pool: list[tuple] = []
-
-    # -- one word -----------------------------------------------------------
-    def symbols(self, word: str) -> list[str]:
-        s = list(word.encode("utf-8").decode("latin-1").translate(self.alphabet))
-        s[-1] += WORD_END
-        return s
-
-    def greedy(self, s: list[str]) -> list[int] | None:
-        """Longest match from the left; the word end, written as NUL, must
-        ride on the last token."""
-        ids, lengths, out, i = self.v.marked, self.v.lengths, [], 0
-        text = "".join(s[:-1]) + s[-1][0] + "\0"
-        end = len(text)
-        while i < end:
-            for k in lengths.get(text[i:i + 3], (2, 1)):
-                j = i + k
-                if j != end - 1 and j <= end and (t := ids.get(text[i:j])) is not None:
-                    out.append(t)
-                    i = j
-                    break
-            else:
-                return None
-        return out
-
-    def merge(self, seqs: list[list[int]]) -> list[list[int]]:
-        """Exact merging by rank of many sequences at once: in each round every
-        sequence merges its best pair, the leftmost of equal ones. Grouped by
-        length, so that one very long word doesn't pad the others."""
-        out: list = [None] * len(seqs)
-        n = np.fromiter(map(len, seqs), np.int64, len(seqs))
+        self.word_ids, self.word_n = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.chunk_ids, self.chunk_n = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    # -- step 1: greedy longest match of all words at once ---------------------
+    def propose(self, sym: np.ndarray, start: np.ndarray, end: np.ndarray):
+        """Tokens (flat), their number per word (0: none fits). The word end,
+        the last symbol of each word, must ride on its last token."""
+        v = self.v
+        sums = v.hasher.prepare(sym)
+        at, alive = start.copy(), np.arange(len(start))
+        who, what, failed = [], [], np.zeros(len(start), bool)
+        while len(alive):
+            i, e = at[alive], end[alive]
+            best, step = np.full(len(alive), -1, np.int64), np.zeros(len(alive), np.int64)
+            cur, k = np.arange(len(alive)), 1
+            while len(cur):
+                j = i[cur] + k
+                key = v.hasher.spans(sums, i[cur], j)
+                p = np.minimum(np.searchsorted(v.prefix_key, key), len(v.prefix_key) - 1)
+                ok = v.prefix_key[p] == key
+                cur, j, tok = cur[ok], j[ok], v.prefix_token[p[ok]]
+                hit = (tok >= 0) & (j != e[cur] - 1)
+                best[cur[hit]], step[cur[hit]] = tok[hit], k
+                k += 1
+                cur = cur[j < e[cur]]
+            good = best >= 0
+            failed[alive[~good]] = True
+            who.append(alive[good])
+            what.append(best[good])
+            at[alive] += step
+            alive = alive[good & (at[alive] < e)]
+        who, what = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (who, what))
+        order = np.argsort(who, kind="stable")
+        who, what = who[order], what[order]
+        keep = ~failed[who]
+        return what[keep], np.bincount(who[keep], minlength=len(start))
+
+    # -- step 3, also behind step 2: exact merging by rank ---------------------
+    def merge(self, flat: np.ndarray, n: np.ndarray):
+        """Merged sequences (flat) and their lengths. In each round every
+        sequence merges its best pair, the leftmost of equal ones. Worked on
+        in groups of like length, so that a very long word doesn't pad the
+        others."""
+        start, out_n = run_starts(n), n.copy()
+        out = flat.copy()
         order = np.argsort(n, kind="stable")
-        a = 0
+        a = int(np.searchsorted(n[order], 2))
         while a < len(order):
-            width = int(n[order[a]])
-            limit = max(width + 2, width * 5 // 4)
-            b = min(int(np.searchsorted(n[order], limit, "right")), a + max(1, (1 << 20) // max(1, limit)))
+            limit = int(n[order[a]]) * 5 // 4 + 1
+            b = min(int(np.searchsorted(n[order], limit, "right")), a + max(1, (1 << 19) // limit))
             rows = order[a:b]
-            for i, r in zip(rows.tolist(), self._merge_rows([seqs[i] for i in rows])):
-                out[i] = r
+            width = int(n[rows[-1]])
+            cols = np.arange(width)
+            inside = cols < n[rows][:, None]
+            sym = np.where(inside, flat[np.minimum(start[rows][:, None] + cols, len(flat) - 1)], -1)
+            done = self._merge_rows(sym)
+            inside = done >= 0
+            out_n[rows] = inside.sum(axis=1)
+            out[ragged(start[rows], out_n[rows])] = done[inside]
             a = b
-        return out
+        return out[ragged(start, out_n)], out_n
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Row of the merge table, or its length where there is no merge."""
-        code = left.astype(np.int64) << 32 | right
-        at = np.searchsorted(self.v.pair_code, code)
-        at[at == len(self.v.pair_code)] = 0
-        return np.where((self.v.pair_code[at] == code) & (left >= 0) & (right >= 0), self.v.pair_rank[at], self.v.n_merges)
-
-    def _merge_rows(self, seqs: list[list[int]]) -> list[list[int]]:
-        none, width = self.v.n_merges, max(2, max(map(len, seqs)))
-        sym = np.full((len(seqs), width), -1, np.int64)
-        for i, q in enumerate(seqs):
-            sym[i, :len(q)] = q
-        rank = np.full((len(seqs), width), none, np.int32)
+        code = left << 32 | right
+        at = np.minimum(np.searchsorted(self.v.pair_code, code), self.v.n_merges - 1)
+        return np.where((self.v.pair_code[at] == code) & (right >= 0), self.v.pair_rank[at], self.v.n_merges)
+
+    def _merge_rows(self, sym: np.ndarray) -> np.ndarray:
+        none, width = self.v.n_merges, sym.shape[1]
+        rank = np.full(sym.shape, none, np.int32)
         rank[:, :-1] = self._rank(sym[:, :-1], sym[:, 1:])
-        done, live = sym.copy(), np.arange(len(seqs))
+        done, live = sym.copy(), np.arange(len(sym))
         cols = np.arange(width)
         while True:
             j = rank.argmin(axis=1)
@@ -166,7 +237,7 @@ class Encoder:
                 done[live[~go]] = sym[~go]
                 live, sym, rank, j, best = live[go], sym[go], rank[go], j[go], best[go]
             if not len(live):
-                break
+                return done
             r = np.arange(len(live))
             # close the gap to the right of j, then renew the two ranks beside it
             idx = np.minimum(cols + (cols > j[:, None]), width - 1)
@@ -174,59 +245,72 @@ class Encoder:
             rank = np.take_along_axis(rank, idx, 1)
             sym[:, -1], rank[:, -1] = -1, none
             sym[r, j] = self.v.merged[best]
-            nxt = np.minimum(j + 1, width - 1)
-            rank[r, j] = np.where(j + 1 < width, self._rank(sym[r, j], sym[r, nxt]), none)
+            rank[r, j] = np.where(j + 1 < width, self._rank(sym[r, j], sym[r, np.minimum(j + 1, width - 1)]), none)
             prev = np.maximum(j - 1, 0)
             rank[r, prev] = np.where(j > 0, self._rank(sym[r, prev], sym[r, j]), rank[r, prev])
-        return [q[:k].tolist() for q, k in zip(done, (done >= 0).sum(axis=1))]
-
-    def split(self, token: int) -> list[int]:
-        t, end = self.v.tokens[token], ""
-        if t.endswith(WORD_END) and len(t) > len(WORD_END):
-            t, end = t[:-len(WORD_END)], WORD_END
-        return [self.v.ids[c] for c in t[:-1]] + [self.v.ids[t[-1] + end]]
-
-    def compatible(self, codes: list[int]) -> list[bool]:
-        """Of packed pairs (left, right); right 0xFFFFFFFF stands for a token
-        alone, which its own merges must reach."""
-        want = [[c >> 32] if c & 0xFFFFFFFF == 0xFFFFFFFF else [c >> 32, c & 0xFFFFFFFF] for c in codes]
-        got = self.merge([[s for t in w for s in self.split(t)] for w in want])
-        return [g == w for g, w in zip(got, want)]
-
-    # -- the new words of a batch ---------------------------------------------
-    def learn(self, words: list[str]) -> None:
-        syms = [self.symbols(w) for w in words]
-        prop = [self.greedy(s) or [] for s in syms]
-        n = np.fromiter(map(len, prop), np.int64, len(prop))
-        flat = np.fromiter(chain.from_iterable(prop), np.int64, int(n.sum()))
+
+    # -- step 2: which pairs of tokens stand side by side ----------------------
+    def compatible(self, code: np.ndarray) -> np.ndarray:
+        """Of packed pairs (left, right): whether merging their bytes gives
+        them back. Right 0xFFFFFFFF stands for a token alone, which its own
+        merges must reach. Tested once each."""
+        uniq, inv = np.unique(code, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.pair_code, uniq), max(0, len(self.pair_code) - 1))
+        known = self.pair_code[at] == uniq if len(self.pair_code) else np.zeros(len(uniq), bool)
+        ok = np.zeros(len(uniq), bool)
+        ok[known] = self.pair_ok[at[known]]
+        new = uniq[~known]
+        if len(new):
+            a, b = new >> 32, new & 0xFFFFFFFF
+            lone = b == 0xFFFFFFFF
+            b = np.where(lone, 0, b)
+            na, nb = self.v.base_n[a], np.where(lone, 0, self.v.base_n[b])
+            take = ragged(np.column_stack([self.v.base_at[a], self.v.base_at[b]]).ravel(), np.column_stack([na, nb]).ravel())
+            got, n = self.merge(self.v.base[take], na + nb)
+            first = run_starts(n)
+            second = got[np.minimum(first + 1, len(got) - 1)]
+            ok[~known] = (got[first] == a) & np.where(lone, n == 1, (n == 2) & (second == b))
+            if len(self.pair_code) > MEMO_PAIRS:
+                self.pair_code, self.pair_ok = uniq, ok
+            else:
+                codes = np.concatenate([self.pair_code, new])
+                order = np.argsort(codes)
+                self.pair_code, self.pair_ok = codes[order], np.concatenate([self.pair_ok, ok[~known]])[order]
+        return ok[inv]
+
+    def learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of new words, and how many each has."""
+        raw = np.frombuffer(("\n".join(words) + "\n").encode("utf-8"), np.uint8).astype(np.int64)
+        raw[raw == 10] = END                    # words hold no white space
+        end = np.flatnonzero(raw == END) + 1
+        start = np.concatenate([[0], end[:-1]])
+        prop, n = self.propose(raw, start, end)
         ok = np.zeros(len(words), bool)
         some = np.flatnonzero(n)
         if len(some):
-            first = np.concatenate([[0], np.cumsum(n[some])[:-1]])
-            nxt = np.append(flat[1:], 0)
+            first = run_starts(n[some])
             last = first + n[some] - 1
+            nxt = np.append(prop[1:], 0)
             nxt[last] = 0xFFFFFFFF
-            codes = (flat << 32) | nxt
-            # the last token of a longer word is vouched for by its pair
-            lone = np.zeros(len(flat), bool)
+            lone = np.zeros(len(prop), bool)     # the last token of a longer word is vouched for by its pair
             lone[last] = n[some] > 1
-            uniq, inv = np.unique(codes, return_inverse=True)
-            test = np.zeros(len(uniq), bool)
-            need = np.ones(len(uniq), bool)
-            need[np.unique(inv[lone])] = False
-            need[np.unique(inv[~lone])] = True
-            ask = uniq[need].tolist()
-            if len(self.pair_ok) > MEMO_PAIRS:
-                self.pair_ok.clear()
-            fresh = [c for c in ask if c not in self.pair_ok]
-            self.pair_ok.update(zip(fresh, self.compatible(fresh)))
-            test[need] = [self.pair_ok[c] for c in ask]
-            ok[some] = np.logical_and.reduceat(test[inv] | lone, first)
-        failing = np.flatnonzero(~ok).tolist()
-        for i, q in zip(failing, self.merge([[self.v.ids[c] for c in syms[i]] for i in failing])):
-            prop[i] = q
-        self.words.update(zip(words, map(tuple, prop)))
-
+            good = np.ones(len(prop), bool)
+            good[~lone] = self.compatible((prop << 32 | nxt)[~lone])
+            ok[some] = np.logical_and.reduceat(good, first)
+        base = self.v.plain[np.where(raw == END, 0, raw)]
+        base[end - 2] = self.v.final[raw[end - 2]]
+        bad = np.flatnonzero(~ok)
+        size = (end - start - 1)[bad]
+        exact, exact_n = self.merge(base[ragged(start[bad], size)], size)
+        n_out = n.copy()
+        n_out[bad] = exact_n
+        out = np.empty(int(n_out.sum()), np.int32)
+        at = run_starts(n_out)
+        out[ragged(at[ok], n_out[ok])] = prop[ragged(run_starts(n)[ok], n[ok])]
+        out[ragged(at[bad], exact_n)] = exact
+        return out, n_out
+
+    # -- texts -------------------------------------------------------------------
     def chunks(self, text: str) -> list[str]:
         """Normalised chunks between white space; a special token is a chunk."""
         if self.cut and "<|" in text:
@@ -236,39 +320,44 @@ class Encoder:
         return self.chunks_plain(text)
 
     def chunks_plain(self, text: str) -> list[str]:
-        if self.beyond.search(text):
-            text = self.lower(text)
-        else:
-            text = text.lower()
+        text = self.lower(text) if self.beyond.search(text) else text.lower()
         if self.odd_space.search(text):
             return [c for c in self.space.split(text) if c]
         return text.split()
 
+    def add_chunks(self, new: list[str]) -> None:
+        special, words = self.v.special, self.words
+        cut = [[] if c in special else self.word.findall(c) for c in new]
+        flat = list(chain.from_iterable(cut))
+        fresh = [w for w in dict.fromkeys(flat) if w not in words]
+        if fresh:
+            ids, n = self.learn(fresh)
+            words.update(zip(fresh, range(len(words), len(words) + len(fresh))))
+            self.word_ids, self.word_n = np.concatenate([self.word_ids, ids]), np.concatenate([self.word_n, n])
+        at = np.fromiter(map(words.__getitem__, flat), np.int64, len(flat))
+        ids = self.word_ids[ragged(run_starts(self.word_n)[at], self.word_n[at])]
+        row = np.repeat(np.arange(len(new)), np.fromiter(map(len, cut), np.int64, len(cut)))
+        n = np.bincount(row, self.word_n[at], len(new)).astype(np.int64)
+        for k in [k for k, c in enumerate(new) if c in special]:
+            ids = np.insert(ids, int(n[:k].sum()), special[new[k]])
+            n[k] = 1
+        self.memo.update(zip(new, range(len(self.memo), len(self.memo) + len(new))))
+        self.chunk_ids, self.chunk_n = np.concatenate([self.chunk_ids, ids.astype(np.int32)]), np.concatenate([self.chunk_n, n])
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and the bounds of each text's part."""
         parts = [self.chunks(t) for t in texts]
         if len(self.memo) > MEMO_CHUNKS:
             self.reset()
-        special = self.v.special
         new = [c for c in set(chain.from_iterable(parts)) if c not in self.memo]
-        cut = {c: [c] if c in special else self.word.findall(c) for c in new}
-        unseen = list({w for ws in cut.values() for w in ws if w not in self.words and w not in special})
-        if unseen:
-            self.learn(unseen)
-        for c, ws in cut.items():
-            self.memo[c] = len(self.pool)
-            self.pool.append((special[c],) if c in special else tuple(chain.from_iterable(self.words[w] for w in ws)))
-        at = [np.fromiter(map(self.memo.__getitem__, p), np.int64, len(p)) for p in parts]
-        # gather: ids of the pool, flattened once for this batch
-        size = np.fromiter(map(len, self.pool), np.int64, len(self.pool))
-        start = np.concatenate([[0], np.cumsum(size)])
-        flat = np.fromiter(chain.from_iterable(self.pool), np.int32, int(start[-1]))
-        all_at = np.concatenate(at) if at else np.zeros(0, np.int64)
-        n = size[all_at]
+        if new:
+            self.add_chunks(new)
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        at = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(parts)), np.int64, int(size.sum()))
+        n = self.chunk_n[at]
+        ids = self.chunk_ids[ragged(run_starts(self.chunk_n)[at], n)]
         ends = np.concatenate([[0], np.cumsum(n)])
-        idx = np.arange(ends[-1]) + np.repeat(start[all_at] - ends[:-1], n)
-        bounds = ends[np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)]
-        return flat[idx], bounds
+        return ids, ends[np.concatenate([[0], np.cumsum(size)])]
 
 
 def _encode_rows(shared, keep: list[str]):
