@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagwise.llm import bpe, chat, gam, kneser_ney, langid, mixing, ngram_join, sharding
+from tagwise.llm import bpe, chat, gam, kneser_ney, langid, mixing, ngram_join, pivots, sharding
 from tagwise.llm.oracle import ORACLE  # noqa: F401
 
 
@@ -18,6 +18,10 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = gam.fit(docs, _table(spark, sf_dir, "labels"))
@@ -84,6 +88,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_quality": op3_quality,
     "op4_sharding": op4_sharding,
     "op5_bpe": op5_bpe,
