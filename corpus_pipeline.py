@@ -1,13 +1,55 @@
-"""The corpus pipeline: filters, de-duplication, mixing and encoding."""
+"""The corpus pipeline: from raw documents to token ids.
+
+Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; it is
+written as Parquet and read again as the next stage's ``docs``. All but the
+last return the columns of ``docs``.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
-ORACLE_SQL = None
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tagwise.llm import bpe, gam, langid, mixing, ngram_join
+from tagwise.llm.queries import vocab_path
+from tagwise.session import cut_lineage
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the additive model takes for good ones."""
+    return gam.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known."""
+    return langid.keep_identified(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return ngram_join.keep_first(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's target asks."""
+    return mixing.emit(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids, and the text that they decode to."""
+    ids = bpe.encode(docs, vocab_path(), ("doc_id", "lang", "source"))
+    return bpe.decode(ids, vocab_path()).select(
+        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
+
+
+STAGES = [("quality", quality), ("language", language), ("near_duplicates", near_duplicates),
+          ("mix", mix), ("encode", encode)]
+
+ORACLE_SQL = None       # a trained model and a hash-seeded draw: tested in tests/llm
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = cut_lineage(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagwise.llm.ship import Shipped
-from tagwise.llm.vectext import SpanHasher, mix
+from tagwise.llm.vectext import SymbolHasher, ragged, run_starts
 
 # fixed values: the vocabulary's word pattern, white space, special tokens and word end
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
@@ -55,16 +55,6 @@ def byte_alphabet() -> list[str]:
     return [out[b] for b in range(256)]
 
 
-def ragged(start: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Indices of the runs [start, start + n), one after another."""
-    ends = np.cumsum(n)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + n, n)
-
-
-def run_starts(n: np.ndarray) -> np.ndarray:
-    return np.cumsum(n) - n
-
-
 END = 256                   # symbol of the word end; 0 to 255 are bytes
 
 
@@ -119,26 +109,6 @@ class Vocabulary:
         self.base_at = run_starts(size)
 
 
-class SymbolHasher(SpanHasher):
-    """Hashes of spans of symbols 0 to 256."""
-
-    def __init__(self):
-        super().__init__()
-        self.table = mix(np.arange(1, 258, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
-
-    def prepare(self, sym: np.ndarray) -> np.ndarray:
-        self._grow(len(sym))
-        out = np.zeros(len(sym) + 1, np.uint64)
-        np.cumsum(self.table[sym] * self.pw[:len(sym)], out=out[1:])
-        return out
-
-    def spans(self, sums: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return (sums[b] - sums[a]) * self.inv[a] + (b - a).astype(np.uint64)
-
-    def __call__(self, sym, a, b):
-        return self.spans(self.prepare(sym), a, b)
-
-
 class Encoder:
     def __init__(self, vocab: Vocabulary, normalizer):
         self.v = vocab

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagwise.llm import bpe, chat, gam, kneser_ney, langid, mixing, ngram_join, pivots, sharding
+from tagwise.llm import bpe, chat, gam, kneser_ney, langid, lattice, mixing, ngram_join, pivots, sharding
 from tagwise.llm.oracle import ORACLE  # noqa: F401
 
 
@@ -86,6 +86,11 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score_texts(_table(spark, sf_dir, "documents"), vocab_path("piece_bpe_32k.model")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -96,4 +101,5 @@ QUERIES = {
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,
     "op9_chat": op9_chat,
+    "op10_lm_score": op10_lm_score,
 }

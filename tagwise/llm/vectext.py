@@ -97,6 +97,36 @@ class SpanHasher:
         return mix((s[we] - s[ws]) * self.inv[ws] + (we - ws).astype(np.uint64))
 
 
+class SymbolHasher(SpanHasher):
+    """Hashes of spans of symbols 0 to 256."""
+
+    def __init__(self):
+        super().__init__()
+        self.table = mix(np.arange(1, 258, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+
+    def prepare(self, sym: np.ndarray) -> np.ndarray:
+        self._grow(len(sym))
+        out = np.zeros(len(sym) + 1, np.uint64)
+        np.cumsum(self.table[sym] * self.pw[:len(sym)], out=out[1:])
+        return out
+
+    def spans(self, sums: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (sums[b] - sums[a]) * self.inv[a] + (b - a).astype(np.uint64)
+
+    def __call__(self, sym, a, b):
+        return self.spans(self.prepare(sym), a, b)
+
+
+def ragged(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Indices of the runs [start, start + n), one after another."""
+    ends = np.cumsum(n)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + n, n)
+
+
+def run_starts(n: np.ndarray) -> np.ndarray:
+    return np.cumsum(n) - n
+
+
 def shingle_hashes(word: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all ``width``-word shingles and the bounds of each row's
     part. ``first``: bounds of each row's words. A row of fewer words, but at
