@@ -19,11 +19,13 @@ Plan (theta = 0.75, whole texts, every set indexed):
    no position in it can reach the needed overlap.
 4. **Answer-level skip:** each set is first compared with one centre of its
    lists only, the one with the least share of shingles of its own (linear, no
-   pairs within a group); linked sets form groups.
-   What remains are pairs of groups that share a list: their centres are
-   compared once, and the answers of the members are derived from the
-   centres': |x n y| <= |cx n cy| + |x \\ cx| + |y \\ cy|. Only member pairs
-   that this bound can't decide are compared themselves.
+   pairs within a group); linked sets form groups. What remains are pairs of
+   groups that share a list: their centres are compared once, and the answers
+   of the members are derived from the centres':
+   |x n y| <= |cx n cy| + |x - cx| + |y - cy|, where of x - cx only shingles
+   count that some other set holds. Member pairs that this bound can't decide
+   are compared themselves, first with one member of the larger group, then,
+   where the groups are still apart, all of them.
 
 Links are verified on whole sets with ``array_intersect`` in the JVM.
 """
@@ -147,11 +149,27 @@ def _shared(table: pa.Table) -> pa.Table:
                      "low": pa.array(tok < np.uint64(LOW)), "sid": _sids(ids[cls])})
 
 
-def _shared_counts(table: pa.Table) -> pa.Table:
-    """How many shared shingles each class has in one bucket."""
-    ids, _, cls, _ = _unpack(table)
-    n = np.bincount(cls, minlength=len(ids))
-    return pa.table({"sid": _sids(ids), "k": pa.array(n.astype(np.int64))})
+def _shared_counts(n_parts: int):
+    """How many shared shingles each class has in one bucket, packed in one
+    row per part of the classes."""
+    def run(table: pa.Table) -> pa.Table:
+        ids, _, cls, _ = _unpack(table)
+        n = np.bincount(cls, minlength=len(ids)).astype(np.int64)
+        part = (ids[:, 0] % np.uint64(n_parts)).astype(np.int32)
+        rows = [(int(k), ids[part == k].tobytes(), n[part == k].tobytes()) for k in np.unique(part)]
+        return pa.table({"part": pa.array([r[0] for r in rows], pa.int32()), "ids": pa.array([r[1] for r in rows], pa.binary()),
+                         "k": pa.array([r[2] for r in rows], pa.binary())})
+    return run
+
+
+def _sum_counts(table: pa.Table) -> pa.Table:
+    """Shared shingles of each class of one part, over all buckets."""
+    ids = np.frombuffer(b"".join(table.column("ids").to_pylist()), np.uint64).reshape(-1, 2)
+    k = np.frombuffer(b"".join(table.column("k").to_pylist()), np.int64)
+    order = np.lexsort((ids[:, 1], ids[:, 0]))
+    ids, k = ids[order], k[order]
+    head = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]).any(axis=1)]))
+    return pa.table({"sid": _sids(ids[head]), "cap": pa.array(np.add.reduceat(k, head))})
 
 
 def _set_rows(width: int):
@@ -228,8 +246,8 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, n_buckets: int | Non
     sets = cut_lineage(texts.mapInArrow(_set_rows(width), "sid binary, toks array<long>")
                        .dropDuplicates(["sid"]).withColumn("n", F.size("toks").cast("long")), "sets")
     caps = cut_lineage(sets.mapInArrow(_packed_sets(n_buckets), "bucket int, tok binary, loc binary, ids binary")
-                       .groupBy("bucket").applyInArrow(_shared_counts, "sid binary, k long")
-                       .groupBy("sid").agg(F.sum("k").alias("cap")), "caps")
+                       .groupBy("bucket").applyInArrow(_shared_counts(n_buckets), "part int, ids binary, k binary")
+                       .groupBy("part").applyInArrow(_sum_counts, "sid binary, cap long"), "caps")
     post = cut_lineage(post.join(caps, "sid").where(_reachable(F.col("cap"), n=F.col("n") + F.col("cap"))), "lists")
 
     # 4a. one centre per list, the class with the least share of its own: linear in the lists
@@ -273,13 +291,33 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, n_buckets: int | Non
                           n=F.least("na", F.coalesce("ma", "na")) + F.least("nb", F.coalesce("mb", "nb"))))
         .select("a", "b", "o"), "undecided")
     if undecided.limit(1).count():
-        each = (open_lists.join(off.select("sid", "off"), "sid", "left").withColumn("off", F.coalesce("off", F.lit(0))))
-        x, y = (each.select("token", F.col("g").alias(g), F.col("sid").alias(k), F.col("n").alias(f"n{k}"),
-                            F.least("rem", "cap").alias(f"c{k}"), F.col("off").alias(f"o{k}")) for g, k in (("a", "x"), ("b", "y")))
-        pairs = (x.join(undecided, "a").join(y, ["token", "b"])
-                 .where(_reachable("cx", "cy", F.col("o") + F.col("ox") + F.col("oy"), n=F.col("nx") + F.col("ny")))
-                 .select(F.col("x").alias("a"), F.col("y").alias("b")))
-        links = links.union(_overlaps(pairs, sets).where(_linked("o", "na", "nb")).select("a", "b"))
+        size = groups.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
+        pair = (undecided.join(size.select(F.col("g").alias("a"), F.col("size").alias("sa")), "a", "left")
+                .join(size.select(F.col("g").alias("b"), F.col("size").alias("sb")), "b", "left"))
+        large = F.coalesce("sa", F.lit(1)) >= F.coalesce("sb", F.lit(1))
+        pair = pair.select(F.when(large, F.col("a")).otherwise(F.col("b")).alias("gx"),
+                           F.when(large, F.col("b")).otherwise(F.col("a")).alias("gy"), "o")
+        each = cut_lineage(
+            open_lists.groupBy("sid", "g").agg(F.first("n").alias("n"), F.max(F.least("rem", "cap")).alias("cap"), F.collect_list("token").alias("tokens"))
+            .join(off.select("sid", "off"), "sid", "left")
+            .select("g", F.struct(F.coalesce("off", F.lit(0)).alias("off"), "sid", "n", "cap", "tokens").alias("m")), "members")
+
+        def member_pairs(x, pair):
+            """Pairs that the bounds leave open and that share a list, once each."""
+            return (x.select(F.col("g").alias("gx"), F.col("m").alias("x")).join(pair, "gx")
+                    .join(each.select(F.col("g").alias("gy"), F.col("m").alias("y")), "gy")
+                    .where(_reachable("x.cap", "y.cap", F.col("o") + F.col("x.off") + F.col("y.off"), n=F.col("x.n") + F.col("y.n")))
+                    .where(F.arrays_overlap("x.tokens", "y.tokens"))
+                    .select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")))
+
+        # one member of the larger group first, the one that can share most: linear; then what still is apart
+        ahead = each.groupBy("g").agg(F.max_by("m", F.struct("m.off", "m.sid")).alias("m"))
+        some = _overlaps(member_pairs(ahead, pair), sets).where(_linked("o", "na", "nb")).select("a", "b")
+        links = cut_lineage(links.union(some), "links")
+        now = connected_components(links)
+        apart = (pair.join(now.toDF("gx", "lx"), "gx", "left").join(now.toDF("gy", "ly"), "gy", "left")
+                 .where(F.coalesce("lx", "gx") != F.coalesce("ly", "gy")).select("gx", "gy", "o"))
+        links = links.union(_overlaps(member_pairs(each, apart), sets).where(_linked("o", "na", "nb")).select("a", "b"))
     final = connected_components(links)
 
     # smallest doc_id of each component, by class first (copies combine map-side)
