@@ -150,3 +150,8 @@ ALERT_RULES = [
     ("InferenceP95LatencyHigh", "p95_latency_ms", 300, ">", 200.0, 180, "warning"),
     ("ZeroThroughput", "rate_requests", 300, "==", 0.0, 180, "critical"),
 ]
+
+# metadata display (fixed values)
+POSTER_PREFIX = "https://image.tmdb.org/t/p/w500"
+POSTER_PLACEHOLDER = "https://via.placeholder.com/300x450?text=No+Image"
+NO_DESCRIPTION = "No description available."

@@ -24,10 +24,15 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _objects(c) -> Column:
+    """The objects of a JSON list; null for anything else (a lone object too)."""
+    return F.from_json(F.when(F.ltrim(_c(c)).startswith("["), _c(c)), NAME_JOB)
+
+
 def parse_names(c) -> Column:
     """JSON text -> list of ``name``; unparseable text, or any element without
     a name, gives an empty list (never null)."""
-    arr = F.from_json(_c(c), NAME_JOB)
+    arr = _objects(c)
     names = F.transform(arr, lambda x: x["name"])
     bad = F.exists(names, lambda n: n.isNull())
     return F.when(arr.isNull() | bad, F.array().cast("array<string>")).otherwise(names)
@@ -35,7 +40,7 @@ def parse_names(c) -> Column:
 
 def parse_cast(c, top_n: int = CAST_TOP_N) -> Column:
     """First ``top_n`` names."""
-    arr = F.from_json(_c(c), NAME_JOB)
+    arr = _objects(c)
     names = F.transform(F.slice(arr, 1, top_n), lambda x: x["name"])
     bad = F.exists(names, lambda n: n.isNull())
     return F.when(arr.isNull() | bad, F.array().cast("array<string>")).otherwise(names)
@@ -43,7 +48,7 @@ def parse_cast(c, top_n: int = CAST_TOP_N) -> Column:
 
 def parse_director(c) -> Column:
     """First element whose job is Director, as a one-element list."""
-    arr = F.from_json(_c(c), NAME_JOB)
+    arr = _objects(c)
     d = F.transform(F.slice(F.filter(arr, lambda x: x["job"] == "Director"), 1, 1),
                     lambda x: x["name"])
     return F.coalesce(F.filter(d, lambda n: n.isNotNull()), F.array().cast("array<string>"))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagwise.operators.feedback import prefix_scan
 from tagwise.functions import text as tx
 
 from tagwise.functions.fixed import IQR_FACTOR, MIN_ROWS, MISSING_HIGH_RATE
@@ -96,9 +97,22 @@ def empty_strings(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def iqr_bounds(df: DataFrame, col: str, factor: float = IQR_FACTOR) -> DataFrame:
-    """Exact quartiles (linear interpolation) and the fences, one row."""
-    q = df.agg(F.percentile(F.col(col).cast("double"), F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
-    return q.select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3")).select(
+    """Exact quartiles (linear interpolation) and the fences, one row. Equal
+    values are counted first (map-side combined); a distributed prefix scan
+    over the distinct values gives their ranks, and the values at the two ranks
+    around each quartile are picked by one aggregate."""
+    per = (df.select(F.col(col).cast("double").alias("v")).where("v is not null")
+           .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
+    ranks = prefix_scan(per, ["v"], {"c": F.col("c")})
+    n = per.agg(F.sum("c").alias("n"))
+
+    def at(rank):
+        return F.min(F.when(F.col("cum_c") > rank, F.col("v")))
+    pos = {"q1": (F.col("n") - 1) * 0.25, "q3": (F.col("n") - 1) * 0.75}
+    x = ranks.crossJoin(F.broadcast(n)).agg(*[f(p).alias(f"{k}{s}") for k, p in pos.items() for s, f in (
+        ("lo", lambda p: at(F.floor(p))), ("hi", lambda p: at(F.ceil(p))), ("w", lambda p: F.max(p - F.floor(p))))])
+    q = x.select(*[(F.col(f"{k}lo") + (F.col(f"{k}hi") - F.col(f"{k}lo")) * F.col(f"{k}w")).alias(k) for k in pos])
+    return q.select(
         "q1", "q3", (F.col("q1") - factor * (F.col("q3") - F.col("q1"))).alias("lower"),
         (F.col("q3") + factor * (F.col("q3") - F.col("q1"))).alias("upper"))
 

@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagwise.functions import text as tx
-from tagwise.functions.fixed import (FUZZY_CUTOFF, PERSON_MIN_HITS, PERSON_WORD_MIN_LEN,
-                                     RESULT_LIMIT, TITLE_NEIGHBOURS)
+from tagwise.functions.fixed import (FUZZY_CUTOFF, NO_DESCRIPTION, PERSON_MIN_HITS, PERSON_WORD_MIN_LEN,
+                                     POSTER_PLACEHOLDER, POSTER_PREFIX, RESULT_LIMIT, TITLE_NEIGHBOURS)
 from tagwise.operators.similarity import TIE_DIGITS, num_blocks
 from tagwise.session import cut_lineage
 
@@ -161,13 +161,15 @@ def route_query(queries: DataFrame, cat: DataFrame, genre_vocab: DataFrame,
     hits = contains_join(keys, words, index).groupBy("kid").agg(F.count(F.lit(1)).alias("hits"))
     sq_titles = cat.select(tx.squeeze(F.lower("title")).alias("squeezed")).distinct() \
         .withColumn("is_title", F.lit(True))
-    titles = cat.select(F.lower("title").alias("title"))
-    fz = fuzzy_title_match(queries.select("kid", "q"), titles, cutoff)
-    x = (c.join(hits, "kid", "left").join(sq_titles, "squeezed", "left").join(fz, "kid", "left"))
     person_pre = (F.coalesce("hits", F.lit(0)) >= min_hits) & F.col("is_title").isNull()
+    early = cut_lineage(c.join(hits, "kid", "left").join(sq_titles, "squeezed", "left").withColumn("person_pre", person_pre), "early")
+    # titles are matched only for queries that no earlier step has taken
+    rest = early.filter(F.col("is_genre").isNull() & F.col("actor").isNull() & ~F.col("person_pre"))
+    titles = cat.select(F.lower("title").alias("title"))
+    x = early.join(fuzzy_title_match(rest.select("kid", "q"), titles, cutoff), "kid", "left")
     route = (F.when(F.col("is_genre"), "genre")
              .when(F.col("actor").isNotNull(), "character")
-             .when(person_pre, "person")
+             .when(F.col("person_pre"), "person")
              .when(F.col("matched").isNotNull(), "title")
              .when(F.col("squeezed") != "", "person_fallback")
              .otherwise("none"))
@@ -216,9 +218,10 @@ def search_by_genre(routed: DataFrame, cat: DataFrame, alias_map: DataFrame,
     m = by_genre.unionByName(by_tags)
     order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("id").cast("string")))
     w = Window.partitionBy("kid").orderBy(order, "id")
-    return (m.withColumn("pos", F.row_number().over(w) - 1).filter(F.col("pos") < limit)
+    # a filter on the row number itself lets the window keep ``limit`` rows per partition only
+    return (m.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= limit)
             .join(gq.select("kid", "query"), "kid")
-            .select("query", F.lit("genre").alias("route"), "pos", "title",
+            .select("query", F.lit("genre").alias("route"), (F.col("rn") - 1).alias("pos"), "title",
                     F.lit(None).cast("double").alias("score")))
 
 
@@ -364,8 +367,9 @@ def title_recommend(routed: DataFrame, cat: DataFrame, topk: DataFrame,
 
 
 def recommend_metrics(results: DataFrame) -> DataFrame:
-    """Per query: result count, top and mean neighbour score (4 dp; 0 when
-    the route produced no scores, as for genre and person results)."""
+    """Per query: result count, top and mean neighbour score (4 dp). Only the
+    title route reports similarity; genre and person results count 0."""
+    results = results.withColumn("score", F.when(F.col("route") == "title", F.col("score")))
     return results.groupBy("query", "route").agg(
         F.count(F.lit(1)).alias("recommendations_count"),
         F.round(F.coalesce(F.max_by("score", F.when(F.col("score").isNotNull(), -F.col("pos"))),
@@ -386,36 +390,44 @@ def recommend_outcome(queries: DataFrame, results: DataFrame) -> DataFrame:
                     "matched_title", F.coalesce("recommendations_count", F.lit(0)).alias("recommendations_count"))
 
 
-def sort_recommendations(results: DataFrame, key: list[str] | None = None,
-                         rating: str = "rating", pos: str = "pos") -> DataFrame:
-    """Searched title (``is_searched``) first, then rated items by rating
-    desc (input order on ties), then unrated ones; the rating is shown
-    rounded to 1 decimal or as 'N/A'."""
+def blank_query_guard(raw: DataFrame, col: str = "query") -> DataFrame:
+    """Adds ``accepted`` and ``status``: a null or blank query is rejected
+    with status error and never routed."""
+    ok = F.trim(F.coalesce(F.col(col), F.lit(""))) != ""
+    return raw.withColumn("accepted", ok).withColumn("status", F.when(ok, "accepted").otherwise("error"))
+
+
+def sort_recommendations(results: DataFrame, key: list[str] | None = None, rating: str = "rating",
+                         pos: str = "pos", query: str = "query", title: str = "title") -> DataFrame:
+    """Titles equal to the query (trimmed, lower case) first, then rated items
+    by rating desc (input order on ties), then the others in input order. A
+    rating of 0 or less counts as none. The rating is shown rounded to 1
+    decimal or as 'N/A'."""
     key = key or []
-    bucket = F.when(F.col("is_searched"), 0).when(F.col(rating).isNotNull(), 1).otherwise(2)
-    w = Window.partitionBy(*key).orderBy(bucket, F.desc_nulls_last(rating), pos)
-    # format_string renders a null argument as the text "null", so test first
-    label = F.when(F.col(rating).isNotNull(), F.format_string("%.1f", F.round(F.col(rating), 1))) \
-        .otherwise(F.lit("N/A"))
-    return results.select("*", (F.row_number().over(w) - 1).alias("display_pos"),
-                          label.alias("rating_label"))
+    searched = F.lower(F.trim(title)) == F.lower(F.trim(query))
+    rated = F.coalesce(F.col(rating) > 0, F.lit(False))
+    bucket = F.when(searched, 0).when(rated, 1).otherwise(2)
+    w = Window.partitionBy(*key).orderBy(bucket, F.desc_nulls_last(F.when(bucket == 1, F.col(rating))), pos)
+    label = F.when(rated, F.format_string("%.1f", F.round(F.col(rating), 1))).otherwise(F.lit("N/A"))
+    return results.select("*", (F.row_number().over(w) - 1).alias("display_pos"), label.alias("rating_label"))
 
 
-def enrich_metadata(titles: DataFrame, candidates: DataFrame, fallback_overview: str = "No overview available.",
-                    image_prefix: str = "https://image.example/w500") -> DataFrame:
+def enrich_metadata(titles: DataFrame, candidates: DataFrame, failed: str | None = None,
+                    fallback_overview: str = NO_DESCRIPTION, image_prefix: str = POSTER_PREFIX,
+                    placeholder: str = POSTER_PLACEHOLDER) -> DataFrame:
     """Per requested title: the first candidate (by ``cand_pos``) that has a
-    poster, else the first candidate, else fallback constants; outcome
-    success / fallback / error. The pick is a min_by aggregate, combined
-    map-side, so a title with very many candidates is no hot task."""
-    pick = F.min_by(F.struct("cand_pos", "poster_path", "vote_average", "overview"),
-                    F.struct(F.col("poster_path").isNull(), F.col("cand_pos")))
-    best = candidates.groupBy("title").agg(pick.alias("b")).select("title", "b.*")
-    x = titles.join(best, "title", "left")
-    return x.select(
+    poster (outcome success); else the constants (fallback): placeholder
+    poster, no rating, the default overview. Where the boolean column
+    ``failed`` of ``titles`` is true the request went wrong: the constants
+    again, outcome error. The pick is a min_by aggregate, combined map-side, so
+    a title with very many candidates is no hot task."""
+    best = (candidates.filter(F.col("poster_path").isNotNull() & (F.col("poster_path") != "")).groupBy("title")
+            .agg(F.min_by(F.struct("poster_path", "vote_average", "overview"), "cand_pos").alias("b")))
+    bad = F.coalesce(F.col(failed), F.lit(False)) if failed else F.lit(False)
+    good = F.col("b").isNotNull() & ~bad
+    return titles.join(best, "title", "left").select(
         "title",
-        F.when(F.col("poster_path").isNotNull(), F.concat(F.lit(image_prefix), F.col("poster_path")))
-         .alias("poster"),
-        F.round("vote_average", 1).alias("rating"),
-        F.coalesce("overview", F.lit(fallback_overview)).alias("overview"),
-        F.when(F.col("poster_path").isNotNull(), "success")
-         .when(F.col("cand_pos").isNotNull(), "fallback").otherwise("error").alias("outcome"))
+        F.when(good, F.concat(F.lit(image_prefix), F.col("b.poster_path"))).otherwise(F.lit(placeholder)).alias("poster"),
+        F.when(good, F.col("b.vote_average")).alias("rating"),
+        F.when(good, F.coalesce("b.overview", F.lit(fallback_overview))).otherwise(F.lit(fallback_overview)).alias("overview"),
+        F.when(bad, "error").when(good, "success").otherwise("fallback").alias("outcome"))

@@ -40,6 +40,9 @@ def _join_on(df: DataFrame, small: DataFrame, part: list[str]) -> DataFrame:
     return df.join(F.broadcast(small), part) if part else df.crossJoin(F.broadcast(small))
 
 
+VOCABULARY_BUCKETS = 64
+
+
 def term_frequencies(docs: DataFrame, id_col: str = "id", text_col: str = "tags",
                      part: list[str] | None = None,
                      stop_words: list[str] | None = STOP_WORDS) -> DataFrame:
@@ -65,6 +68,12 @@ def vocabulary(tf: DataFrame, n_docs: DataFrame, part: list[str] | None = None,
                                           F.sum("tf").alias("cf"))
     stats = _join_on(stats, n_docs, part)
     stats = stats.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * F.col("n")))
+    if part:        # a bounded number of terms per hash bucket first, so no task sorts a variant's whole vocabulary
+        pre = Window.partitionBy(*part, "bucket").orderBy(F.desc("cf"), F.asc("term"))
+        stats = (stats.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(VOCABULARY_BUCKETS)))
+                 .withColumn("rn", F.row_number().over(pre)).filter(F.col("rn") <= max_features).drop("bucket", "rn"))
+    else:           # take-ordered: each task keeps its best ``max_features``, which one task merges
+        stats = stats.orderBy(F.desc("cf"), F.asc("term")).limit(max_features)
     w = Window.partitionBy(*part).orderBy(F.desc("cf"), F.asc("term"))
     return (stats.withColumn("rn", F.row_number().over(w))
             .filter(F.col("rn") <= max_features)
@@ -282,17 +291,6 @@ def similarity_footprint(n_rows: DataFrame, topk: DataFrame) -> DataFrame:
         F.round(F.col("nnz") / (F.col("n") * F.col("n")) * 100, 4).alias("density_pct"))
 
 
-def anchor_scores(vlong: DataFrame, anchors: DataFrame, key: str = "query") -> DataFrame:
-    """Sum over a key's anchor rows of their similarity to every row:
-    sum_a cos(a, j) = (sum_a v_a) . v_j, so anchors collapse into one summed
-    vector per key before the term join (no anchor x row pair table)."""
-    a = anchors.select(key, F.col("anchor_id").alias("id"))
-    q = (a.join(vlong, "id")
-         .groupBy(key, "term_idx").agg(F.sum("w").alias("qw")))
-    return (q.join(vlong, "term_idx")
-            .groupBy(key, "id").agg(F.sum(F.col("qw") * F.col("w")).alias("score")))
-
-
 def embedding_vectors(emb: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """Dense float arrays -> L2-normalised long form (id, term_idx, w)."""
     v = F.col(vec_col)
@@ -324,11 +322,11 @@ def cosine_topk_approx(vlong: DataFrame, dim: int, k: int = TOP_K, bucket_length
     return rank_neighbours(cands, k).select("id", "rank", "other_id", "score")
 
 
-def _rows_kernel(k: int):
+def _rows_kernel(k: int, part: list[str]):
     def fn(key, pdf):
         a, b = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
         if a.empty or b.empty:
-            return pd.DataFrame({c: [] for c in _KERNEL_SCHEMA.fieldNames()})
+            return pd.DataFrame({c: [] for c in [*part, *_KERNEL_SCHEMA.fieldNames()]})
         ia, ba, pa, ca, wa, _ = _blocks(a)
         ib, bb, pb, cb, wb, _ = _blocks(b)
         cols = np.union1d(np.unique(a["term_idx"]), np.unique(b["term_idx"]))
@@ -337,23 +335,27 @@ def _rows_kernel(k: int):
         S = (_dense_T(pa, ra, wa, np.arange(len(ia)), len(cols)).T
              @ _dense_T(pb, rb, wb, np.arange(len(ib)), len(cols)))
         out = _topk_rows(S, ia, ib, k, ia[:, None] == ib[None, :])
-        return pd.concat(out, ignore_index=True).astype({"id": "int64", "other_id": "int64",
-                                                         "score": "float64"})
+        out = pd.concat(out, ignore_index=True).astype({"id": "int64", "other_id": "int64", "score": "float64"})
+        for i, c in enumerate(part):
+            out.insert(i, c, key[i])
+        return out
     return fn
 
 
 def topk_for_rows(vlong: DataFrame, row_ids: DataFrame, k: int = TOP_K,
-                  block_rows: int = 1024) -> DataFrame:
+                  block_rows: int = 1024, part: list[str] | None = None) -> DataFrame:
     """Top-k neighbours of a bounded set of rows (e.g. an evaluation sample)
     against every row: the sample's vectors meet each item block once, so
     the cost is sample x n instead of n x n."""
+    part = part or []
     n_rows = vlong.select("id").distinct().count()
     b = num_blocks(n_rows, block_rows)
     blk = F.pmod(F.xxhash64("id"), F.lit(b)).cast("int")
-    left = (vlong.join(row_ids.select("id").distinct(), "id")
-            .select("id", "term_idx", "w", F.lit(0).alias("blk"), F.lit(0).alias("side"),
+    left = (vlong.join(row_ids.select(*part, "id").distinct(), [*part, "id"])
+            .select(*part, "id", "term_idx", "w", F.lit(0).alias("blk"), F.lit(0).alias("side"),
                     F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("g")))
-    right = vlong.select("id", "term_idx", "w", F.lit(0).alias("blk"), F.lit(1).alias("side"), blk.alias("g"))
-    cands = (left.unionByName(right).groupBy("g").applyInPandas(_rows_kernel(k), _KERNEL_SCHEMA)
+    right = vlong.select(*part, "id", "term_idx", "w", F.lit(0).alias("blk"), F.lit(1).alias("side"), blk.alias("g"))
+    schema = T.StructType([vlong.schema[c] for c in part] + _KERNEL_FIELDS)
+    cands = (left.unionByName(right).groupBy(*part, "g").applyInPandas(_rows_kernel(k, part), schema)
              .filter(F.col("kind") == "n"))
-    return rank_neighbours(cands, k).select("id", "rank", "other_id", "score")
+    return rank_neighbours(cands, k, part).select(*part, "id", "rank", "other_id", "score")

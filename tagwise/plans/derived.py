@@ -1,10 +1,11 @@
 """How the operators map onto the driver tables.
 
 catalog      <- documents: movie_id = doc_id, overview = text (whole),
-                title = first 40 characters with whitespace runs collapsed,
+                title = the text's heading unit (to the first line break or
+                sentence end, whitespace runs collapsed),
                 genres = [lang], director = [source], cast = [],
-                keywords = the 5 longest distinct tokens of >= 4 characters
-                (ties alphabetical) over the whole text.
+                keywords = all distinct tokens of 10 characters or more over
+                the whole text.
 raw catalog  <- orders JOIN lineitem JOIN part as JSON text columns
                 (genres = part types, keywords = brands, cast = part names
                 in line order, crew = part names with job Director when the
@@ -20,28 +21,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagwise.functions import text as tx
-from tagwise.functions.fixed import TOKEN_PATTERN
 from tagwise.operators.catalog import build_tags
-from tagwise.session import ensure_parallel
 from tagwise.sources.tables import table
 
 ASCII_WS = "[ \t\n\r]+"
+HEADING_PATTERN = r"[^\n.!?]*[^ \t\n\r.!?][^\n.!?]*"
 
 
-def _keywords(text_col: str, n: int = 5):
-    toks = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_PATTERN), 0)
-    cand = F.array_distinct(F.filter(toks, lambda t: F.char_length(t) >= 4))
-    ordered = F.array_sort(cand, lambda a, b: F.when(F.char_length(a) > F.char_length(b), -1)
-                           .when(F.char_length(a) < F.char_length(b), 1)
-                           .when(a < b, -1).when(a > b, 1).otherwise(0))
-    return F.slice(ordered, 1, n)
+KEYWORD_CHARS = 10
+
+
+def heading(text_col: str = "text"):
+    """The heading unit of a text: what stands before its first line break or
+    sentence end (of the first unit that holds anything), white space
+    collapsed."""
+    unit = F.regexp_extract(F.col(text_col), HEADING_PATTERN, 0)
+    return F.trim(F.regexp_replace(unit, ASCII_WS, " "))
+
+
+def _keywords(text_col: str, n_chars: int = KEYWORD_CHARS):
+    """All distinct tokens of ``n_chars`` characters or more, sorted."""
+    toks = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"[\p{L}\p{N}_]{%d,}" % n_chars), 0)
+    return F.sort_array(F.array_distinct(toks))
 
 
 def documents_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = ensure_parallel(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     cat = d.select(
         F.col("doc_id").alias("movie_id"),
-        F.trim(F.regexp_replace(F.substring("text", 1, 40), ASCII_WS, " ")).alias("title"),
+        heading().alias("title"),
         F.col("text").alias("overview"),
         F.array(tx.clean_name("lang")).alias("genres"),
         _keywords("text").alias("keywords"),

@@ -43,15 +43,18 @@ def uni_bi(toks: str) -> str:
             f"lambda i: ({toks})[i] || ' ' || ({toks})[i + 1])")
 
 
+def heading(x: str) -> str:
+    unit = r"[^\n.!?]*[^ \t\n\r.!?][^\n.!?]*"
+    return f"trim(regexp_replace(regexp_extract({x}, '{unit}'), '{ASCII_WS}', ' ', 'g'))"
+
+
 def catalog_cte() -> str:
     """documents -> catalog with tags (see plans/derived.py)."""
-    kw = (f"list_transform(list_sort(list_transform(list_distinct(list_filter("
-          f"regexp_extract_all(lower(text), '{TOKEN}'), lambda t: length(t) >= 4)), "
-          f"lambda t: {{'nl': -length(t), 't': t}})), lambda s: s.t)[1:5]")
+    kw = r"list_sort(list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{10,}')))"
     return f"""
 cat0 AS (
   SELECT doc_id AS movie_id,
-         trim(regexp_replace(substring(text, 1, 40), '{ASCII_WS}', ' ', 'g')) AS title,
+         {heading('text')} AS title,
          text AS overview,
          [{clean_name('lang')}] AS genres,
          {kw} AS keywords,

@@ -136,7 +136,8 @@ def ablation_rates(spark, sf_dir, sample=FX.ABLATION_SAMPLE):
     cat = derived.documents_catalog(spark, sf_dir)
     var = CT.build_tag_variants(cat, FX.ABLATION_FEATURES)
     _, vec = sim.build_vectors(var, "movie_id", "tags", part=["variant"])
-    top = sim.topk_neighbours(vec, FX.EVAL_NEIGHBOURS, part=["variant"])
+    judged = EV.md5_sample(var.select("variant", "movie_id"), sample, part=["variant"]).select("variant", F.col("movie_id").alias("id"))
+    top = sim.topk_for_rows(sim.cut_lineage(vec, "vectors"), judged, FX.EVAL_NEIGHBOURS, part=["variant"])
     items = var.select("variant", "movie_id", "genres")
     return EV.genre_match_rate(items, top, sample, part=["variant"])
 
@@ -410,9 +411,9 @@ def q_retrain_requests(spark, sf_dir):
 
 
 def model_registry(spark, sf_dir):
-    """One training run per day of signup events: quality = share of the
-    day's signups with value > 20, items = signups, vocabulary = users."""
-    e = table(spark, sf_dir, "events").filter(F.col("event_type") == "signup")
+    """One training run per day of events: quality = share of the day's
+    events with value > 20, items = events, vocabulary = users."""
+    e = table(spark, sf_dir, "events")
     day = F.to_date(F.col("ts").cast("timestamp"))
     return (e.groupBy(day.alias("day")).agg(
         tx.ratio_round(F.count_if(F.col("value") > 20), F.count(F.lit(1)), 4).alias("genre_match_rate"),
@@ -477,21 +478,20 @@ def q_experiment_metrics(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 def query_batch(spark, sf_dir) -> DataFrame:
-    """Queries derived from the tables: every language (genre route), every
-    source (person route), every part name, and the titles of documents
-    labelled toxic (title route)."""
+    """Queries derived from the tables: every language, every source (person
+    route), every genre and character name, every part name, and the title of
+    every document (title route)."""
     d = table(spark, sf_dir, "documents")
-    lab = table(spark, sf_dir, "labels").filter(F.col("toxic") == 1).select("doc_id")
-    title = F.trim(F.regexp_replace(F.substring("text", 1, 40), derived.ASCII_WS, " "))
+    names = spark.createDataFrame([(g,) for g in [*FX.GENRE_QUERIES, *FX.CHARACTER_TO_ACTOR]], "query string")
     return (d.select(F.lower("lang").alias("query"))
             .unionByName(d.select(F.col("source").alias("query")))
             .unionByName(table(spark, sf_dir, "part").select(F.col("p_name").alias("query")))
-            .unionByName(d.join(lab, "doc_id").select(F.lower(title).alias("query"))))
+            .unionByName(names)
+            .unionByName(d.select(F.lower(derived.heading()).alias("query"))))
 
 
 def lookups(spark, cat):
-    gv = (spark.createDataFrame([(g,) for g in FX.GENRE_QUERIES], "genre_query string")
-          .unionByName(cat.select(F.explode("genres").alias("genre_query"))).distinct())
+    gv = spark.createDataFrame([(g,) for g in FX.GENRE_QUERIES], "genre_query string")     # fixed list
     cm = spark.createDataFrame(list(FX.CHARACTER_TO_ACTOR.items()), "character string, actor string")
     am = spark.createDataFrame(list(FX.GENRE_SEARCH_MAP.items()), "q string, terms array<string>")
     return gv, cm, am
@@ -514,7 +514,17 @@ def search_context(spark, sf_dir, with_vectors=False):
 @query("route_query")
 def q_route_query(spark, sf_dir):
     _, _, _, _, routed, _ = search_context(spark, sf_dir)
-    return routed.select("query", "route", "person_key", "matched_title")
+    return routed.select("query", "route", "person_key", F.when(F.col("route") == "title", F.col("matched_title")).alias("matched_title"))
+
+
+@query("blank_query_guard")
+def q_blank_query_guard(spark, sf_dir):
+    """Queries of the request log, of which errors came in blank or empty."""
+    e = table(spark, sf_dir, "events")
+    text = (F.when((F.col("event_type") == "error") & (F.col("event_id") % 2 == 0), F.lit("  "))
+            .when(F.col("event_type") != "error", F.concat_ws(" ", "event_type", "props")))
+    g = SR.blank_query_guard(e.select("event_id", text.alias("query")))
+    return g.select("event_id", "query", "accepted", "status")
 
 
 @query("query_item_contains")
@@ -587,8 +597,7 @@ def q_sort_recommendations(spark, sf_dir):
     lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
     rating = (cat.select("movie_id", "title").join(lab, F.col("movie_id") == F.col("doc_id"), "left")
               .groupBy("title").agg(F.max(F.col("quality") * 10.0 / 3).alias("rating")))
-    x = (res.join(rating, "title", "left").withColumn("is_searched", F.col("pos") == 0))
-    s = SR.sort_recommendations(x, ["query"])
+    s = SR.sort_recommendations(res.join(rating, "title", "left"), ["query"])
     return s.select("query", "title", "display_pos", "rating_label")
 
 
@@ -596,16 +605,18 @@ def q_sort_recommendations(spark, sf_dir):
 def q_enrich_metadata(spark, sf_dir):
     """Titles = part names and supplier names; metadata candidates = part
     rows of that name (poster when p_size > 25, rating = price / 200,
-    overview = type); supplier names have no candidate (error)."""
+    overview = type; names with small parts only have no poster: fallback).
+    Supplier names have no candidate: fallback, or error where the balance is
+    negative (a failed request)."""
     p = table(spark, sf_dir, "part")
     cand = p.select(F.col("p_name").alias("title"), F.col("p_partkey").alias("cand_pos"),
                     F.when(F.col("p_size") > 25, F.concat(F.lit("/p"), F.col("p_partkey").cast("string")))
                     .alias("poster_path"),
                     (F.col("p_retailprice") / 200).alias("vote_average"), F.col("p_type").alias("overview"))
-    titles = (p.select(F.col("p_name").alias("title"))
-              .unionByName(table(spark, sf_dir, "supplier").select(F.col("s_name").alias("title")))
-              .distinct())
-    return SR.enrich_metadata(titles, cand)
+    titles = (p.select(F.col("p_name").alias("title"), F.lit(False).alias("failed"))
+              .unionByName(table(spark, sf_dir, "supplier").select(F.col("s_name").alias("title"), (F.col("s_acctbal") < 0).alias("failed")))
+              .groupBy("title").agg(F.max("failed").alias("failed")))
+    return SR.enrich_metadata(titles, cand, "failed").withColumn("rating", r6("rating"))
 
 
 # ---------------------------------------------------------------------------

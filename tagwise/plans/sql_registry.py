@@ -99,7 +99,7 @@ reg AS (
   SELECT 'v_' || strftime(max(ts), '%Y%m%d_%H%M%S') AS version, max(ts) AS registered_at,
          {rr('count_if(value > 20)', 'count(*)')} AS genre_match_rate,
          count(*) AS n_items, count(DISTINCT user_id) AS vocabulary_size
-  FROM events WHERE event_type = 'signup' GROUP BY CAST(ts AS DATE))"""
+  FROM events GROUP BY CAST(ts AS DATE))"""
 
 RAW_JSONLESS = f"""
 li AS (SELECT l_orderkey, l_linenumber, l_returnflag, p_name, p_brand, p_type
@@ -370,13 +370,18 @@ UNION ALL SELECT version, 'param', 'vocabulary_size', vocabulary_size::DOUBLE FR
 WITH cand AS (SELECT p_name AS title, p_partkey AS cand_pos,
                      CASE WHEN p_size > 25 THEN '/p' || p_partkey::VARCHAR END AS poster_path,
                      p_retailprice / 200 AS vote_average, p_type AS overview FROM part),
-best AS (SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY title ORDER BY poster_path IS NULL, cand_pos) = 1),
-titles AS (SELECT p_name AS title FROM part UNION SELECT s_name FROM supplier)
-SELECT t.title, CASE WHEN poster_path IS NOT NULL THEN 'https://image.example/w500' || poster_path END AS poster,
-       round(vote_average, 1) AS rating, coalesce(overview, 'No overview available.') AS overview,
-       CASE WHEN poster_path IS NOT NULL THEN 'success' WHEN cand_pos IS NOT NULL THEN 'fallback'
-            ELSE 'error' END AS outcome
-FROM titles t LEFT JOIN best b ON t.title = b.title""",
+best AS (SELECT * FROM cand WHERE poster_path IS NOT NULL
+         QUALIFY row_number() OVER (PARTITION BY title ORDER BY cand_pos) = 1),
+titles AS (SELECT title, bool_or(failed) AS failed FROM (
+  SELECT p_name AS title, false AS failed FROM part UNION ALL SELECT s_name, s_acctbal < 0 FROM supplier) GROUP BY title),
+j AS (SELECT t.title, t.failed, b.*, NOT t.failed AND b.title IS NOT NULL AS good
+      FROM titles t LEFT JOIN best b ON t.title = b.title)
+SELECT title, CASE WHEN good THEN 'https://image.tmdb.org/t/p/w500' || poster_path
+                   ELSE 'https://via.placeholder.com/300x450?text=No+Image' END AS poster,
+       CASE WHEN good THEN round(vote_average, 6) END AS rating,
+       CASE WHEN good THEN overview ELSE 'No description available.' END AS overview,
+       CASE WHEN failed THEN 'error' WHEN good THEN 'success' ELSE 'fallback' END AS outcome
+FROM j""",
 }
 
 
@@ -465,29 +470,30 @@ def _alias_values() -> str:
     return f"(VALUES {body}) am(q, terms)"
 
 
-TITLE_EXPR = f"trim(regexp_replace(substring(d.text, 1, 40), '{O.ASCII_WS}', ' ', 'g'))"
+QUERY_NAMES = O.sql_list([*FX.GENRE_QUERIES, *FX.CHARACTER_TO_ACTOR])
 
 ROUTE = f"""
 qraw AS (SELECT lower(lang) AS query FROM documents UNION ALL SELECT source FROM documents
          UNION ALL SELECT p_name FROM part
-         UNION ALL SELECT lower({TITLE_EXPR}) FROM documents d JOIN labels l ON d.doc_id = l.doc_id
-                   WHERE l.toxic = 1),
+         UNION ALL SELECT unnest({QUERY_NAMES})
+         UNION ALL SELECT lower({O.heading('text')}) FROM documents),
 q AS (SELECT DISTINCT query, lower(trim(query)) AS q, replace(replace(lower(trim(query)), ' ', ''), '-', '') AS sq
       FROM qraw WHERE trim(query) <> ''),
-gv AS (SELECT unnest({O.sql_list(FX.GENRE_QUERIES)}) AS g UNION SELECT unnest(genres) FROM cat),
+gv AS (SELECT unnest({O.sql_list(FX.GENRE_QUERIES)}) AS g),
 cm AS (SELECT * FROM {_values(FX.CHARACTER_TO_ACTOR.items(), ['character', 'actor'])}),
 hits AS (SELECT q.query, count(*) AS hits FROM q JOIN cat ON q.sq <> '' AND contains(cat.tags, q.sq)
          GROUP BY q.query),
 stt AS (SELECT DISTINCT replace(replace(lower(title), ' ', ''), '-', '') AS sq FROM cat),
 tl AS (SELECT DISTINCT lower(title) AS t FROM cat),
+fzx AS (SELECT q.query, tl.t FROM q JOIN tl ON tl.t = q.q WHERE q.q <> ''),
 fzc AS (SELECT q.query, q.q, tl.t FROM q, tl
-        WHERE length(tl.t) > 0 AND least(length(q.q), length(tl.t)) >= {FX.FUZZY_CUTOFF} * greatest(length(q.q), length(tl.t))
+        WHERE q.query NOT IN (SELECT query FROM fzx) AND length(tl.t) > 0 AND least(length(q.q), length(tl.t)) >= {FX.FUZZY_CUTOFF} * greatest(length(q.q), length(tl.t))
           -- multiset bound: each edit removes at most one surplus character
           AND greatest({excess('q.q', 'tl.t')}, {excess('tl.t', 'q.q')})
               <= {1 - FX.FUZZY_CUTOFF} * greatest(length(q.q), length(tl.t)) + 1e-9),
 fz0 AS (SELECT query, t, 1 - (CASE WHEN strlen(q) = length(q) AND strlen(t) = length(t) THEN levenshtein(q, t)
                                    ELSE {lev('q', 't')} END) / greatest(length(q), length(t)) AS ratio
-        FROM fzc),
+        FROM fzc UNION ALL SELECT query, t, 1.0 FROM fzx),
 fz AS (SELECT query, t AS matched, ratio FROM fz0 WHERE ratio >= {FX.FUZZY_CUTOFF} - 1e-12
        QUALIFY row_number() OVER (PARTITION BY query ORDER BY ratio DESC, t DESC) = 1),
 routed AS (
@@ -567,7 +573,12 @@ SEARCH = f"{TFIDF},{ROUTE}"
 ALLRES = f"{SEARCH},{GENRE},{TITLE},{PERSON},\nres AS (SELECT * FROM gres UNION ALL SELECT * FROM tres UNION ALL SELECT * FROM pres)"
 
 ORACLE.update({
-    "route_query": f"{CAT},{ROUTE} SELECT query, route, person_key, matched_title FROM routed",
+    "route_query": f"{CAT},{ROUTE} SELECT query, route, person_key, CASE WHEN route = 'title' THEN matched_title END AS matched_title FROM routed",
+    "blank_query_guard": """
+SELECT event_id, query, trim(coalesce(query, '')) <> '' AS accepted,
+       CASE WHEN trim(coalesce(query, '')) <> '' THEN 'accepted' ELSE 'error' END AS status
+FROM (SELECT event_id, CASE WHEN event_type = 'error' AND event_id % 2 = 0 THEN '  '
+                            WHEN event_type <> 'error' THEN event_type || ' ' || props END AS query FROM events)""",
     "query_item_contains": f"""{CAT},{ROUTE}
 SELECT q.query, c.movie_id FROM q JOIN cat c ON q.sq <> '' AND contains(c.tags, q.sq)""",
     "fuzzy_title_levenshtein": f"{CAT},{ROUTE} SELECT query, matched, round(ratio, 6) AS ratio FROM fz",
@@ -576,8 +587,8 @@ SELECT q.query, c.movie_id FROM q JOIN cat c ON q.sq <> '' AND contains(c.tags,
     "search_by_person": f"{SEARCH},{PERSON} SELECT query, route, pos, title, score FROM pres",
     "recommend_batch": f"""{ALLRES}
 SELECT query, route, count(*) AS recommendations_count,
-       round(coalesce(arg_min(score, pos) FILTER (WHERE score IS NOT NULL), 0.0), 4) AS top_similarity_score,
-       round(coalesce(avg(score), 0.0), 4) AS avg_similarity_score
+       round(coalesce(arg_min(score, pos) FILTER (WHERE score IS NOT NULL AND route = 'title'), 0.0), 4) AS top_similarity_score,
+       round(coalesce(avg(score) FILTER (WHERE route = 'title'), 0.0), 4) AS avg_similarity_score
 FROM res GROUP BY query, route""",
     "recommend_outcome": f"""{ALLRES},
 f AS (SELECT query, title AS matched_title FROM res WHERE pos = 0),
@@ -589,11 +600,12 @@ FROM (SELECT DISTINCT query FROM q) q LEFT JOIN f USING (query) LEFT JOIN n USIN
     "sort_recommendations": f"""{SEARCH},{TITLE},
 rating AS (SELECT c.title, max(l.quality * 10.0 / 3) AS rating FROM cat c LEFT JOIN labels l ON l.doc_id = c.movie_id
            GROUP BY c.title),
-x AS (SELECT tres.*, rating.rating, pos = 0 AS is_searched FROM tres LEFT JOIN rating USING (title))
+x AS (SELECT tres.*, CASE WHEN rating.rating > 0 THEN rating.rating END AS rated,
+             CASE WHEN lower(trim(title)) = lower(trim(query)) THEN 0 WHEN rating.rating > 0 THEN 1 ELSE 2 END AS bucket
+      FROM tres LEFT JOIN rating USING (title))
 SELECT query, title,
-       row_number() OVER (PARTITION BY query ORDER BY CASE WHEN is_searched THEN 0 WHEN rating IS NOT NULL THEN 1 ELSE 2 END,
-                          rating DESC NULLS LAST, pos) - 1 AS display_pos,
-       coalesce(printf('%.1f', round(rating, 1)), 'N/A') AS rating_label
+       row_number() OVER (PARTITION BY query ORDER BY bucket, CASE WHEN bucket = 1 THEN rated END DESC NULLS LAST, pos) - 1 AS display_pos,
+       coalesce(printf('%.1f', round(rated, 1)), 'N/A') AS rating_label
 FROM x""",
 })
 

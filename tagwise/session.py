@@ -48,10 +48,15 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint dir; only when unset (tests, local runs)
-    create a private scratch folder so ``checkpoint()`` works."""
+    """Use the session's checkpoint dir. Only where it is unset and the
+    session runs inside one machine (tests, local runs) a private scratch
+    folder takes its place; on a cluster an unset folder is an error, as
+    executors could not share one."""
     d = checkpoint_dir(spark)
     if d is None:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tagwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
@@ -66,13 +71,3 @@ def cut_lineage(df: DataFrame, name: str = "t") -> DataFrame:
     path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """CPU-heavy per-row work (tokenising whole texts) needs at least one
-    partition per core. Large inputs already scan into many splits and are
-    left alone; a small file that scans as one split is spread round-robin."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)

@@ -10,11 +10,11 @@ the shared checkpoint folder, so a restarted job resumes exactly once.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagwise.functions import text as tx
 from tagwise.operators import drift as DR
@@ -24,18 +24,22 @@ from tagwise.session import ensure_checkpoint_dir
 WATERMARK = "10 minutes"
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = spark.read.parquet(os.path.join(sf_dir, "events.parquet")).schema
-    return (spark.readStream.schema(schema)
-            .option("pathGlobFilter", "events.parquet")
-            .option("maxFilesPerTrigger", 1)
-            .parquet(sf_dir))
+def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    """The events table as a file stream, be it one file or a folder of part
+    files. ``max_files`` bounds the files of a micro-batch (no bound unless
+    given)."""
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    # a glob of the parent matches the file itself and, for a folder, its part files
+    return reader.parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
 
 
-def feedback_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feedback_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
     """Same mapping as the batch ``feedback_from_events``; ts cast to
     TIMESTAMP (watermarks need it) and watermarked."""
-    e = event_stream(spark, sf_dir)
+    e = event_stream(spark, sf_dir, max_files)
     status = (F.when(F.col("event_type") == "error", "error")
               .when(F.col("event_type") == "view", "not_found").otherwise("success"))
     return (e.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id",
@@ -44,24 +48,30 @@ def feedback_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withWatermark("ts", WATERMARK))
 
 
-def run_available(df: DataFrame, name: str, mode: str = "append", foreach_batch=None) -> DataFrame:
+def run_available(df: DataFrame, name: str, mode: str = "append", foreach_batch=None,
+                  schema: T.StructType | None = None) -> DataFrame:
     """Drain the stream into a parquet table in the checkpoint folder and read
-    it back as a batch DataFrame."""
+    it back as a batch DataFrame with the declared schema (``schema`` is that
+    of ``foreach_batch``'s result). A batch's rows lie in a folder of its epoch
+    that a retry overwrites."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     run = f"{name}-{uuid.uuid4().hex}"
     out, ckpt = f"{base}/streams/{run}/data", f"{base}/streams/{run}/checkpoint"
     w = df.writeStream.outputMode(mode).option("checkpointLocation", ckpt).trigger(availableNow=True)
+    schema = schema or df.schema
+    empty = spark.createDataFrame([], schema)
     if foreach_batch is not None:
+        empty.write.parquet(f"{out}/batch-none")        # the table exists, also without a batch
+
         def sink(batch_df, epoch_id):
-            foreach_batch(batch_df, epoch_id).write.mode("append").parquet(out)
+            foreach_batch(batch_df, epoch_id).write.mode("overwrite").parquet(f"{out}/batch-{epoch_id}")
         q = w.foreachBatch(sink).start()
-    else:
-        q = w.format("parquet").option("path", out).start()
+        q.awaitTermination()
+        return spark.read.schema(schema).parquet(f"{out}/batch-*")
+    q = w.format("parquet").option("path", out).start()
     q.awaitTermination()
-    if not os.path.exists(out.replace("file:", "")) and "://" not in out:
-        return spark.createDataFrame([], df.schema) if foreach_batch is None else None
-    return spark.read.parquet(out)
+    return spark.read.schema(schema).parquet(out)
 
 
 def stream_feedback_ingest(spark, sf_dir) -> DataFrame:
@@ -86,10 +96,11 @@ def stream_feedback_stats(spark, sf_dir) -> DataFrame:
 
 
 def stream_positive_dedup(spark, sf_dir) -> DataFrame:
-    """A favourite counts once per (user, item) within the watermark delay."""
+    """A favourite counts once per (user, item), however far apart in time or
+    in micro-batches: the state is one key per pair that was ever seen."""
     p = (feedback_stream(spark, sf_dir).filter(F.col("event_type") == "purchase")
          .select("user_id", F.col("props").alias("movie"), "ts")
-         .dropDuplicatesWithinWatermark(["user_id", "movie"]))
+         .dropDuplicates(["user_id", "movie"]))
     return run_available(p, "dedup")
 
 
@@ -116,5 +127,7 @@ def stream_drift(spark, sf_dir, baseline: DataFrame) -> DataFrame:
     def per_batch(batch_df, epoch_id):
         pos = batch_df.filter(F.col("event_type") == "purchase")
         st = FB.feedback_stats(batch_df, pos)
-        return DR.detect_drift(st, baseline).withColumn("epoch", F.lit(epoch_id))
-    return run_available(feedback_stream(spark, sf_dir), "drift", foreach_batch=per_batch)
+        return DR.detect_drift(st, baseline).withColumn("epoch", F.lit(epoch_id).cast("long"))
+    stream = feedback_stream(spark, sf_dir)
+    schema = per_batch(spark.createDataFrame([], stream.schema), 0).schema
+    return run_available(stream, "drift", foreach_batch=per_batch, schema=schema)

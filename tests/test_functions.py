@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tagwise.functions import fixed as FX
 from tagwise.functions import text as tx
 from tagwise.operators import catalog as CT
 from tagwise.operators import drift as DR
@@ -89,15 +90,52 @@ def test_duplicate_titles(spark):
 
 
 def _sorted(spark, rows):
-    df = spark.createDataFrame(rows, "query string, pos int, title string, rating double, is_searched boolean")
+    df = spark.createDataFrame(rows, "query string, pos int, title string, rating double")
     out = SR.sort_recommendations(df, ["query"]).orderBy("display_pos").collect()
     return [(r["title"], r["rating_label"]) for r in out]
 
 
 def test_sort_searched_first_then_rating_then_unrated(spark):
-    rows = [("q", 0, "S", 5.0, True), ("q", 1, "L", 6.0, False), ("q", 2, "H", 9.0, False),
-            ("q", 3, "N", None, False), ("q", 4, "R", 8.432, False)]
-    assert _sorted(spark, rows) == [("S", "5.0"), ("H", "9.0"), ("R", "8.4"), ("L", "6.0"), ("N", "N/A")]
+    rows = [(" s ", 0, "Z", 0.0), (" s ", 1, "L", 6.0), (" s ", 2, "H", 9.0), (" s ", 3, "N", None),
+            (" s ", 4, "R", 8.432), (" s ", 5, "S", 5.0)]
+    assert _sorted(spark, rows) == [("S", "5.0"), ("H", "9.0"), ("R", "8.4"), ("L", "6.0"), ("Z", "N/A"), ("N", "N/A")]
+
+
+def test_enrich_metadata_outcomes(spark):
+    titles = spark.createDataFrame([("a", False), ("b", False), ("c", False), ("d", True)], "title string, failed boolean")
+    cand = spark.createDataFrame([("a", 2, "/2", 7.25, "two"), ("a", 1, None, 1.0, "one"), ("a", 3, "/3", 9.0, "three"),
+                                  ("b", 1, None, 8.0, "no poster"), ("d", 1, "/4", 5.0, "late")],
+                                 "title string, cand_pos int, poster_path string, vote_average double, overview string")
+    got = {r["title"]: tuple(r)[1:] for r in SR.enrich_metadata(titles, cand, "failed").collect()}
+    none = (FX.POSTER_PLACEHOLDER, None, FX.NO_DESCRIPTION)
+    assert got["a"] == (FX.POSTER_PREFIX + "/2", 7.25, "two", "success")
+    assert got["b"] == (*none, "fallback") and got["c"] == (*none, "fallback") and got["d"] == (*none, "error")
+
+
+def test_only_the_title_route_reports_similarity(spark):
+    rows = [("q", "person", 0, "A", 14.7), ("t", "title", 0, "T", None), ("t", "title", 1, "U", 0.5), ("t", "title", 2, "V", 0.25)]
+    df = spark.createDataFrame(rows, "query string, route string, pos int, title string, score double")
+    got = {r["query"]: tuple(r)[2:] for r in SR.recommend_metrics(df).collect()}
+    assert got == {"q": (1, 0.0, 0.0), "t": (3, 0.5, 0.375)}
+
+
+def test_a_lone_object_is_no_list(spark):
+    df = spark.createDataFrame([('{"name": "A", "job": "Director"}',), (' [{"name": "A", "job": "Director"}]',)], "j string")
+    got = df.select(tx.parse_names("j").alias("a"), tx.parse_cast("j").alias("b"), tx.parse_director("j").alias("c")).collect()
+    assert tuple(got[0]) == ([], [], []) and tuple(got[1]) == (["A"], ["A"], ["A"])
+
+
+def test_blank_queries_are_rejected(spark):
+    df = spark.createDataFrame([(None,), ("",), ("  ",), ("x",)], "query string")
+    assert [(r["accepted"], r["status"]) for r in SR.blank_query_guard(df).collect()] == [(False, "error")] * 3 + [(True, "accepted")]
+
+
+def test_quartiles_by_rank(spark):
+    import numpy as np
+    x = [float(v) for v in np.random.default_rng(0).integers(0, 40, 501)] + [None]
+    r = QA.iqr_bounds(spark.createDataFrame([(v,) for v in x], "v double"), "v").first()
+    q1, q3 = np.percentile([v for v in x if v is not None], [25, 75])
+    assert (r["q1"], r["q3"]) == (q1, q3)
 
 
 def test_drift_without_baseline(spark):

@@ -30,3 +30,16 @@ def test_stream_dedup_equals_distinct(spark):
     want = {(r.user_id, r.movie) for r in derived.positives_from_events(spark, SF)
             .select("user_id", "movie").distinct().collect()}
     assert got == want
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables absent")
+def test_streams_read_files_and_folders_alike(spark, tmp_path):
+    """The events table as one file, as a folder, and as two files of several micro-batches."""
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    events.repartition(2).write.parquet(str(tmp_path / "events.parquet"))
+    want = ST.stream_positive_dedup(spark, SF).select("user_id", "movie").collect()
+    got = ST.stream_positive_dedup(spark, str(tmp_path)).select("user_id", "movie").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) > 0
+    p = (ST.feedback_stream(spark, str(tmp_path), max_files=1).filter("event_type = 'purchase'")
+         .select("user_id", "props").dropDuplicates())
+    assert ST.run_available(p, "two").count() == len(want)
