@@ -3,7 +3,7 @@
 catalog      <- documents: movie_id = doc_id, overview = text (whole),
                 title = the text's heading unit (to the first line break or
                 sentence end, whitespace runs collapsed),
-                genres = [lang], director = [source], cast = [],
+                genres = [the language's genre], director = [source], cast = [],
                 keywords = all distinct tokens of 10 characters or more over
                 the whole text.
 raw catalog  <- orders JOIN lineitem JOIN part as JSON text columns
@@ -29,6 +29,14 @@ HEADING_PATTERN = r"[^\n.!?]*[^ \t\n\r.!?][^\n.!?]*"
 
 
 KEYWORD_CHARS = 10
+LANG_GENRE = {"en": "drama", "de": "action", "fr": "romance", "es": "comedy"}
+
+
+def genre_of(lang: str):
+    """The genre that stands for a language in this mapping; others keep their name."""
+    name = tx.clean_name(lang)
+    known = F.create_map(*[F.lit(x) for kv in LANG_GENRE.items() for x in kv])
+    return F.coalesce(known[name], name)
 
 
 def heading(text_col: str = "text"):
@@ -51,7 +59,7 @@ def documents_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("movie_id"),
         heading().alias("title"),
         F.col("text").alias("overview"),
-        F.array(tx.clean_name("lang")).alias("genres"),
+        F.array(genre_of("lang")).alias("genres"),
         _keywords("text").alias("keywords"),
         F.array().cast("array<string>").alias("cast"),
         F.array(tx.clean_name("source")).alias("crew"),

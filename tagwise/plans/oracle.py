@@ -8,6 +8,7 @@ operators use, so both sides read one definition of the fixed values.
 from __future__ import annotations
 
 from tagwise.functions.fixed import (MAX_DF, MAX_FEATURES, MIN_DF, STOP_WORDS, TOP_K)
+from tagwise.plans.derived import LANG_GENRE
 
 # Java's (?U)\s, spelled out for RE2.
 UWS = r"[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
@@ -48,6 +49,11 @@ def heading(x: str) -> str:
     return f"trim(regexp_replace(regexp_extract({x}, '{unit}'), '{ASCII_WS}', ' ', 'g'))"
 
 
+def genre_of(x: str) -> str:
+    cases = " ".join(f"WHEN {sql_str(k)} THEN {sql_str(v)}" for k, v in LANG_GENRE.items())
+    return f"(CASE {clean_name(x)} {cases} ELSE {clean_name(x)} END)"
+
+
 def catalog_cte() -> str:
     """documents -> catalog with tags (see plans/derived.py)."""
     kw = r"list_sort(list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{10,}')))"
@@ -56,7 +62,7 @@ cat0 AS (
   SELECT doc_id AS movie_id,
          {heading('text')} AS title,
          text AS overview,
-         [{clean_name('lang')}] AS genres,
+         [{genre_of('lang')}] AS genres,
          {kw} AS keywords,
          []::VARCHAR[] AS "cast",
          [{clean_name('source')}] AS crew
