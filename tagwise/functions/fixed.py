@@ -123,32 +123,32 @@ REQUEST_LATENCY_BUCKETS = [0.05, 0.1, 0.2, 0.5, 1.0, 2.0, 5.0]
 METADATA_LATENCY_BUCKETS = [0.1, 0.5, 1.0, 2.0, 5.0]
 
 # ---- FIXED VALUES: alert rules ---------------------------------------------
-# (rule, signal, window_seconds, op, threshold, for_seconds, severity)
+# (rule, signal, window_seconds, op, threshold, for_seconds, severity, team, reason)
 ALERT_RULES = [
-    ("HighErrorRate", "ratio_5xx", 300, ">", 0.05, 120, "critical"),
-    ("APIDown", "up_api", 0, "==", 0.0, 60, "critical"),
-    ("InferenceLatencyHigh", "last_latency_ms", 0, ">", 200.0, 120, "warning"),
-    ("InferenceLatencyCritical", "last_latency_ms", 0, ">", 500.0, 60, "critical"),
-    ("TooManyLatencyViolations", "increase_violations", 600, ">", 5.0, 300, "warning"),
-    ("NoRecommendationsServed", "rate_success", 600, "==", 0.0, 300, "warning"),
-    ("HighRecommendationFailureRate", "ratio_error", 300, ">", 0.10, 180, "warning"),
-    ("TMDBHighFailureRate", "ratio_metadata_error", 300, ">", 0.20, 180, "warning"),
-    ("TooManyActiveRequests", "active_requests", 0, ">", 50.0, 120, "warning"),
-    ("HighCPUWarning", "cpu_used_pct", 120, ">", 70.0, 300, "warning"),
-    ("HighCPUCritical", "cpu_used_pct", 120, ">", 90.0, 180, "critical"),
-    ("HighMemoryWarning", "memory_used_pct", 0, ">", 75.0, 300, "warning"),
-    ("HighMemoryCritical", "memory_used_pct", 0, ">", 90.0, 180, "critical"),
-    ("HighDiskUsage", "disk_used_pct", 0, ">", 80.0, 300, "warning"),
-    ("HighNetworkReceive", "rate_rx_bytes", 300, ">", 1e8, 300, "warning"),
-    ("ModelNotReady", "model_not_ready", 0, "==", 1.0, 600, "warning"),
-    ("PrometheusDown", "up_monitor", 0, "==", 0.0, 60, "critical"),
-    ("HighNotFoundRate", "ratio_not_found", 600, ">", 0.30, 300, "warning"),
-    ("RecommendationQualityDrop", "ratio_success", 1800, "<", 0.70, 600, "warning"),
-    ("ModelRetrainingRequired", "ratio_not_found", 3600, ">", 0.50, 900, "critical"),
-    ("TMDBFallbackRateHigh", "ratio_fallback", 600, ">", 0.40, 300, "warning"),
-    ("ErrorRateExceeds5Percent", "pct_4xx_5xx", 300, ">", 5.0, 120, "critical"),
-    ("InferenceP95LatencyHigh", "p95_latency_ms", 300, ">", 200.0, 180, "warning"),
-    ("ZeroThroughput", "rate_requests", 300, "==", 0.0, 180, "critical"),
+    ("HighErrorRate", "ratio_5xx", 300, ">", 0.05, 120, "critical", "backend", None),
+    ("APIDown", "up_api", 0, "==", 0.0, 60, "critical", "backend", None),
+    ("InferenceLatencyHigh", "last_latency_ms", 0, ">", 200.0, 120, "warning", "ml", None),
+    ("InferenceLatencyCritical", "last_latency_ms", 0, ">", 500.0, 60, "critical", "ml", None),
+    ("TooManyLatencyViolations", "increase_violations", 600, ">", 5.0, 300, "warning", "ml", None),
+    ("NoRecommendationsServed", "rate_success", 600, "==", 0.0, 300, "warning", "backend", None),
+    ("HighRecommendationFailureRate", "ratio_error", 300, ">", 0.10, 180, "warning", "backend", None),
+    ("TMDBHighFailureRate", "ratio_metadata_error", 300, ">", 0.20, 180, "warning", "backend", None),
+    ("TooManyActiveRequests", "active_requests", 0, ">", 50.0, 120, "warning", "backend", None),
+    ("HighCPUWarning", "cpu_used_pct", 120, ">", 70.0, 300, "warning", "infrastructure", "high_cpu"),
+    ("HighCPUCritical", "cpu_used_pct", 120, ">", 90.0, 180, "critical", "infrastructure", "high_cpu"),
+    ("HighMemoryWarning", "memory_used_pct", 0, ">", 75.0, 300, "warning", "infrastructure", "high_memory"),
+    ("HighMemoryCritical", "memory_used_pct", 0, ">", 90.0, 180, "critical", "infrastructure", "high_memory"),
+    ("HighDiskUsage", "disk_used_pct", 0, ">", 80.0, 300, "warning", "infrastructure", "high_disk"),
+    ("HighNetworkReceive", "rate_rx_bytes", 300, ">", 1e8, 300, "warning", "infrastructure", "high_network"),
+    ("ModelNotReady", "model_not_ready", 0, "==", 1.0, 600, "warning", "ml", None),
+    ("PrometheusDown", "up_monitor", 0, "==", 0.0, 60, "critical", "infrastructure", None),
+    ("HighNotFoundRate", "ratio_not_found", 600, ">", 0.30, 300, "warning", "ml", "data_drift"),
+    ("RecommendationQualityDrop", "ratio_success", 1800, "<", 0.70, 600, "warning", "ml", "data_drift"),
+    ("ModelRetrainingRequired", "ratio_not_found", 3600, ">", 0.50, 900, "critical", "ml", "data_drift"),
+    ("TMDBFallbackRateHigh", "ratio_fallback", 600, ">", 0.40, 300, "warning", "ml", "data_drift"),
+    ("ErrorRateExceeds5Percent", "pct_4xx_5xx", 300, ">", 5.0, 120, "critical", "backend", None),
+    ("InferenceP95LatencyHigh", "p95_latency_ms", 300, ">", 200.0, 180, "warning", "ml", None),
+    ("ZeroThroughput", "rate_requests", 300, "==", 0.0, 180, "critical", "backend", None),
 ]
 
 # metadata display (fixed values)

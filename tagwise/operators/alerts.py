@@ -1,14 +1,16 @@
-"""Alert rules over the request log, evaluated as windowed aggregations.
+"""Alert rules over the request log, evaluated on sliding steps.
 
-* ``window_counts``: per tumbling window of each rule size, request counts by
-  outcome, latency violations and cumulative latency-bucket counts; a time
-  spine (min..max of the log, one row per window) makes empty windows count
-  as zero, so absence rules can fire. The spine size is span / window, not
-  data size.
+* ``step_counts``: the log is counted once per step (one minute); every step's
+  counts are added to the windows (the last w steps) that hold it, so windows
+  slide by a step with one scan of the log and no ordered window over time. A
+  time spine (one row per step of the log's span, not of its rows) gives the
+  empty windows, which have zero counts and no ratio.
 * ``evaluate_rules``: one generic evaluator; the fixed rule table (24 rows) is
-  broadcast and every rule's signal is a CASE over the window columns.
-* ``alert_for_duration``: gaps-and-islands per rule; a rule fires once its
-  condition has held over consecutive windows for at least ``for`` seconds.
+  broadcast and every rule's signal is a CASE over the window columns. A signal
+  without value makes the condition false.
+* ``alert_for_duration``: runs of consecutive true steps per rule (and
+  instance); a rule fires at the first step that lies ``for`` seconds after the
+  run's first one.
 """
 
 from __future__ import annotations
@@ -20,45 +22,44 @@ from tagwise.functions.fixed import ALERT_RULES, MAX_LATENCY_MS, REQUEST_LATENCY
 from tagwise.operators.feedback import global_lag, prefix_scan
 
 RULE_SCHEMA = ("rule string, signal string, window_seconds int, op string, threshold double, "
-               "for_seconds int, severity string")
+               "for_seconds int, severity string, team string, reason string")
+LOG_SIGNALS = ["ratio_5xx", "ratio_error", "ratio_not_found", "ratio_success", "pct_4xx_5xx", "rate_success",
+               "rate_requests", "increase_violations", "p95_latency_ms"]
+HOST_SIGNALS = ["cpu_used_pct", "memory_used_pct", "disk_used_pct", "rate_rx_bytes"]
 
 
 def rules_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(ALERT_RULES, RULE_SCHEMA)
 
 
-def _bucket_start(ts: str, seconds: int):
-    us = F.unix_micros(F.col(ts))
-    step = seconds * 1_000_000
-    return F.timestamp_micros(F.floor(us / step) * step)
+STEP = 60
 
 
-def window_counts(log: DataFrame, sizes: list[int], ts: str = "ts",
-                  buckets: list[float] | None = None) -> DataFrame:
-    """(window_seconds, window_start, total, n_error, n_not_found, n_success,
-    n_violations, b0..bk) with zero rows for empty windows."""
+def step_counts(log: DataFrame, sizes: list[int], ts: str = "ts",
+                buckets: list[float] | None = None, step: int = STEP) -> DataFrame:
+    """(window_seconds, evaluated_at, total, n_error, n_not_found, n_success,
+    n_violations, b0..bk): evaluated_at = end of a step, counts over the
+    ``window_seconds`` before it."""
     buckets = buckets or REQUEST_LATENCY_BUCKETS
-    parts = []
-    span = log.agg(F.min(ts).alias("t0"), F.max(ts).alias("t1"))
-    for w in sizes:
-        ws = _bucket_start(ts, w)
-        counts = log.groupBy(ws.alias("window_start")).agg(
-            F.count(F.lit(1)).alias("total"),
-            F.count_if(F.col("status") == "error").alias("n_error"),
-            F.count_if(F.col("status") == "not_found").alias("n_not_found"),
-            F.count_if(F.col("status") == "success").alias("n_success"),
-            F.count_if(F.col("latency_ms") > MAX_LATENCY_MS).alias("n_violations"),
-            *[F.count_if(F.col("latency_ms") / 1000.0 <= b).alias(f"b{i}") for i, b in enumerate(buckets)])
-        step = w * 1_000_000
-        spine = span.select(F.explode(F.sequence(
-            F.floor(F.unix_micros("t0") / step), F.floor(F.unix_micros("t1") / step))).alias("k")) \
-            .select(F.timestamp_micros(F.col("k") * step).alias("window_start"))
-        filled = spine.join(counts, "window_start", "left").na.fill(0)
-        parts.append(filled.withColumn("window_seconds", F.lit(w)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    us = step * 1_000_000
+    k = F.floor(F.unix_micros(F.col(ts)) / us)
+    per = log.groupBy(k.alias("k")).agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("status") == "error").alias("n_error"),
+        F.count_if(F.col("status") == "not_found").alias("n_not_found"),
+        F.count_if(F.col("status") == "success").alias("n_success"),
+        F.count_if(F.col("latency_ms") > MAX_LATENCY_MS).alias("n_violations"),
+        *[F.count_if(F.col("latency_ms") / 1000.0 <= b).alias(f"b{i}") for i, b in enumerate(buckets)])
+    names = [c for c in per.columns if c != "k"]
+    span = log.agg(F.floor(F.unix_micros(F.min(ts)) / us).alias("k0"), F.floor(F.unix_micros(F.max(ts)) / us).alias("k1"))
+    all_sizes = F.explode(F.array(*[F.lit(w) for w in sizes])).alias("window_seconds")
+    spine = (span.where("k0 is not null").select(all_sizes, "k0", "k1")
+             .select("window_seconds", F.explode(F.sequence("k0", "k1")).alias("k")))
+    held = (per.select("*", all_sizes)
+            .select("window_seconds", *names, F.explode(F.sequence(F.col("k"), F.col("k") + (F.col("window_seconds") / step).cast("long") - 1)).alias("k"))
+            .groupBy("window_seconds", "k").agg(*[F.sum(c).alias(c) for c in names]))
+    return (spine.join(held, ["window_seconds", "k"], "left").na.fill(0, names)
+            .select("window_seconds", F.timestamp_micros((F.col("k") + 1) * us).alias("evaluated_at"), *names))
 
 
 def p95_from_buckets(buckets: list[float] | None = None, q: float = 0.95):
@@ -76,10 +77,16 @@ def p95_from_buckets(buckets: list[float] | None = None, q: float = 0.95):
     return F.when(F.col("total") > 0, expr)
 
 
+def compare(value, op="op", threshold="threshold"):
+    """The rule's condition; false where there is no value."""
+    o, t = F.col(op), F.col(threshold)
+    return F.coalesce(F.when(o == ">", value > t).when(o == "<", value < t).when(o == "==", value == t), F.lit(False))
+
+
 def evaluate_rules(counts: DataFrame, rules: DataFrame) -> DataFrame:
-    """(rule, severity, window_start, value, condition) for every windowed
+    """(rule, severity, for_seconds, evaluated_at, value, condition) for every windowed
     rule whose signal the log carries."""
-    r = rules.filter(F.col("window_seconds") > 0)
+    r = rules.filter(F.col("signal").isin(LOG_SIGNALS))
     x = counts.join(F.broadcast(r), "window_seconds")
     tot = F.col("total")
     ratio = lambda n: F.when(tot > 0, F.col(n) / tot)
@@ -93,33 +100,48 @@ def evaluate_rules(counts: DataFrame, rules: DataFrame) -> DataFrame:
              .when(F.col("signal") == "rate_requests", tot / F.col("window_seconds"))
              .when(F.col("signal") == "increase_violations", F.col("n_violations").cast("double"))
              .when(F.col("signal") == "p95_latency_ms", p95_from_buckets()))
-    op, th = F.col("op"), F.col("threshold")
-    v = F.col("value")
-    cond = (F.when(op == ">", v > th).when(op == "<", v < th).when(op == "==", v == th)
-            .otherwise(F.lit(False)))
-    return (x.select("rule", "severity", "window_seconds", "for_seconds", "window_start",
-                     value.alias("value"), "op", "threshold")
-            .filter(F.col("value").isNotNull())
-            .withColumn("condition", F.coalesce(cond, F.lit(False))))
-
-
-def alert_for_duration(evaluated: DataFrame) -> DataFrame:
-    """Runs of consecutive true windows per rule; one row per run that lasted
-    at least ``for_seconds``: (rule, severity, fired_at, started_at,
-    windows). ``fired_at`` = start of the first window at which the run had
-    covered the duration."""
-    w = Window.partitionBy("rule").orderBy("window_start")
-    x = evaluated.withColumn("chg", F.when(F.col("condition") != F.lag("condition").over(w), 1)
-                             .otherwise(0))
-    x = x.withColumn("run", F.sum("chg").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = (x.filter("condition").groupBy("rule", "severity", "run", "window_seconds", "for_seconds")
-            .agg(F.min("window_start").alias("started_at"), F.count(F.lit(1)).alias("windows")))
-    need = F.greatest(F.ceil(F.col("for_seconds") / F.col("window_seconds")), F.lit(1))
-    fired = runs.filter(F.col("windows") >= need)
-    return fired.select("rule", "severity", "started_at",
-                        (F.col("started_at") + F.make_dt_interval(
-                            secs=((need - 1) * F.col("window_seconds")).cast("decimal(18,6)")))
-                        .alias("fired_at"), "windows")
+    return (x.withColumn("value", value).withColumn("condition", compare(F.col("value")))
+            .select("rule", "severity", "for_seconds", "evaluated_at", "value", "condition"))
+
+
+def host_threshold(samples: DataFrame, rules: DataFrame, ts: str = "ts", step: int = STEP) -> DataFrame:
+    """Samples (instance, ts, one column per host signal) -> the rules on host
+    signals: per instance and step the mean of the samples in the rule's
+    window (of the step itself where the rule has none)."""
+    us = step * 1_000_000
+    k = F.floor(F.unix_micros(F.col(ts)) / us)
+    long = samples.select("instance", k.alias("k"), F.explode(F.array(*[
+        F.struct(F.lit(s).alias("signal"), F.col(s).cast("double").alias("v")) for s in HOST_SIGNALS])).alias("s"))
+    per = long.groupBy("instance", "k", "s.signal").agg(F.sum("s.v").alias("sum"), F.count("s.v").alias("n"))
+    r = rules.filter(F.col("signal").isin(HOST_SIGNALS))
+    w = (F.greatest(F.col("window_seconds"), F.lit(step)) / step).cast("long")
+    x = (per.join(F.broadcast(r), "signal")
+         .withColumn("k", F.explode(F.sequence(F.col("k"), F.col("k") + w - 1)))
+         .groupBy("rule", "severity", "for_seconds", "op", "threshold", "instance", "k")
+         .agg((F.sum("sum") / F.sum("n")).alias("value")))
+    return x.select("rule", "severity", "for_seconds", "instance", F.timestamp_micros((F.col("k") + 1) * us).alias("evaluated_at"),
+                    "value", compare(F.col("value")).alias("condition"))
+
+
+def alert_for_duration(evaluated: DataFrame, by: list[str] | None = None, step: int = STEP) -> DataFrame:
+    """Runs of consecutive true steps per rule and ``by`` columns; one row per
+    run whose last step lies at least ``for_seconds`` after its first:
+    (rule, severity, by.., started_at, fired_at, steps)."""
+    by = ["rule", "severity", "for_seconds", *(by or [])]
+    us = step * 1_000_000
+    true = evaluated.filter("condition").withColumn("k", F.floor(F.unix_micros("evaluated_at") / us))
+    # consecutive steps keep the same distance to their rank; a gap or a false step changes it
+    x = true.withColumn("run", F.col("k") - F.row_number().over(Window.partitionBy(*by).orderBy("k")))
+    runs = x.groupBy(*by, "run").agg(F.min("evaluated_at").alias("started_at"), F.count(F.lit(1)).alias("steps"))
+    return (runs.filter((F.col("steps") - 1) * step >= F.col("for_seconds"))
+            .withColumn("fired_at", F.timestamp_micros(F.unix_micros("started_at") + F.col("for_seconds") * 1_000_000))
+            .select(*[c for c in by if c != "for_seconds"], "started_at", "fired_at", "steps"))
+
+
+def alert_labels(fired: DataFrame, rules: DataFrame) -> DataFrame:
+    """Firings per rule with the rule's labels (severity, team, reason)."""
+    n = fired.groupBy("rule").agg(F.count(F.lit(1)).alias("firings"))
+    return n.join(F.broadcast(rules.select("rule", "severity", "team", "reason", "signal")), "rule")
 
 
 def rate_windows(log: DataFrame, size: str, slide: str | None = None, ts: str = "ts",

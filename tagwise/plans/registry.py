@@ -625,13 +625,22 @@ def q_enrich_metadata(spark, sf_dir):
 
 from tagwise.operators import alerts as AL  # noqa: E402
 
-RULE_SIZES = sorted({r[2] for r in FX.ALERT_RULES if r[2] > 0})
+RULE_SIZES = sorted({r[2] for r in FX.ALERT_RULES if r[1] in AL.LOG_SIGNALS})
 
 
 def alert_eval(spark, sf_dir):
     s, _ = fb(spark, sf_dir)
-    counts = AL.window_counts(s, RULE_SIZES)
-    return AL.evaluate_rules(counts, AL.rules_table(spark))
+    return AL.evaluate_rules(AL.step_counts(s, RULE_SIZES), AL.rules_table(spark))
+
+
+def host_eval(spark, sf_dir):
+    """Host metrics from event values: instance = user_id modulo 3."""
+    e = table(spark, sf_dir, "events")
+    v = F.col("value")
+    samples = e.select(F.col("ts").cast("timestamp").alias("ts"), (F.col("user_id") % 3).alias("instance"),
+                       F.least(v * 2, F.lit(100.0)).alias("cpu_used_pct"), F.least(v * 3, F.lit(100.0)).alias("memory_used_pct"),
+                       F.least(v * 4, F.lit(100.0)).alias("disk_used_pct"), (v * 5e6).alias("rate_rx_bytes"))
+    return AL.host_threshold(samples, AL.rules_table(spark))
 
 
 @query("rate_tumbling")
@@ -650,8 +659,7 @@ def q_rate_sliding(spark, sf_dir):
 
 def _rules_of(ev, kinds):
     return ev.filter(F.col("rule").isin(kinds)).select(
-        "rule", "severity", ts_str("window_start").alias("window_start"), r6("value").alias("value"),
-        "condition")
+        "rule", "severity", ts_str("evaluated_at").alias("evaluated_at"), r6("value").alias("value"), "condition")
 
 
 @query("ratio_alert")
@@ -676,25 +684,39 @@ def q_absence_alert(spark, sf_dir):
     return _rules_of(alert_eval(spark, sf_dir), ["NoRecommendationsServed", "ZeroThroughput"])
 
 
+def _fired(f, *by):
+    return f.select("rule", "severity", *by, ts_str("started_at").alias("started_at"),
+                    ts_str("fired_at").alias("fired_at"), "steps")
+
+
 @query("alert_for_duration")
 def q_alert_for_duration(spark, sf_dir):
-    f = AL.alert_for_duration(alert_eval(spark, sf_dir))
-    return f.select("rule", "severity", ts_str("started_at").alias("started_at"),
-                    ts_str("fired_at").alias("fired_at"), "windows")
+    return _fired(AL.alert_for_duration(alert_eval(spark, sf_dir)))
+
+
+@query("host_threshold_alert")
+def q_host_threshold_alert(spark, sf_dir):
+    return _fired(AL.alert_for_duration(host_eval(spark, sf_dir), ["instance"]), "instance")
 
 
 @query("alert_labels")
 def q_alert_labels(spark, sf_dir):
-    f = AL.alert_for_duration(alert_eval(spark, sf_dir))
-    return (f.groupBy("rule", "severity").agg(F.count(F.lit(1)).alias("firings"))
-            .join(F.broadcast(AL.rules_table(spark).select("rule", "signal")), "rule"))
+    f = AL.alert_for_duration(alert_eval(spark, sf_dir)).select("rule")
+    h = AL.alert_for_duration(host_eval(spark, sf_dir), ["instance"]).select("rule")
+    return AL.alert_labels(f.unionByName(h), AL.rules_table(spark))
 
 
 @query("gauge_alert")
 def q_gauge_alert(spark, sf_dir):
+    """Both rules on the last latency."""
     s, _ = fb(spark, sf_dir)
-    g = AL.gauge_alert(s, "latency_ms", 500.0, 60)
-    return g.select(ts_str("started_at").alias("started_at"), ts_str("ended_at").alias("ended_at"), "samples")
+    out = None
+    for r in FX.ALERT_RULES:
+        if r[1] == "last_latency_ms":
+            g = AL.gauge_alert(s, "latency_ms", r[4], r[5]).select(
+                F.lit(r[0]).alias("rule"), ts_str("started_at").alias("started_at"), ts_str("ended_at").alias("ended_at"), "samples")
+            out = g if out is None else out.unionByName(g)
+    return out
 
 
 @query("up_alert")

@@ -614,24 +614,30 @@ FROM x""",
 # alerts
 # ---------------------------------------------------------------------------
 
-RULE_SIZES = sorted({r[2] for r in FX.ALERT_RULES if r[2] > 0})
+LOG_RULES = [r for r in FX.ALERT_RULES if r[1].startswith(("ratio_5xx", "ratio_error", "ratio_not_found", "ratio_success", "pct_",
+                                                           "rate_success", "rate_requests", "increase_", "p95_"))]
+HOST_RULES = [r for r in FX.ALERT_RULES if r[1].endswith("_used_pct") or r[1] == "rate_rx_bytes"]
+RULE_SIZES = sorted({r[2] for r in LOG_RULES})
 B = FX.REQUEST_LATENCY_BUCKETS
 
 
 def _counts(w: int) -> str:
-    st = w * 1_000_000
-    bucket_cols = ", ".join(f"count_if(latency_ms / 1000.0 <= {b}) AS b{i}" for i, b in enumerate(B))
-    fill = ", ".join(f"coalesce(c.b{i}, 0) AS b{i}" for i in range(len(B)))
+    """Counts of the ``w`` seconds before the end of each minute, by a window
+    over one row per minute."""
+    names = ["total", "n_error", "n_not_found", "n_success", "n_violations", *(f"b{i}" for i in range(len(B)))]
+    sums = ", ".join(f"CAST(sum({c}) OVER sl AS BIGINT) AS {c}" for c in names)
     return f"""
-  SELECT {w} AS window_seconds, make_timestamp(k * {st}) AS window_start,
-         coalesce(c.total, 0) AS total, coalesce(c.n_error, 0) AS n_error,
-         coalesce(c.n_not_found, 0) AS n_not_found, coalesce(c.n_success, 0) AS n_success,
-         coalesce(c.n_violations, 0) AS n_violations, {fill}
-  FROM (SELECT unnest(range(epoch_us(t0) // {st}, epoch_us(t1) // {st} + 1)) AS k FROM span) s
-  LEFT JOIN (SELECT epoch_us(ts) // {st} AS k, count(*) AS total, count_if(status = 'error') AS n_error,
-                    count_if(status = 'not_found') AS n_not_found, count_if(status = 'success') AS n_success,
-                    count_if(latency_ms > {FX.MAX_LATENCY_MS}) AS n_violations, {bucket_cols}
-             FROM fbk GROUP BY 1) c USING (k)"""
+  SELECT {w} AS window_seconds, make_timestamp((k + 1) * 60000000) AS evaluated_at, {sums} FROM minutes
+  WINDOW sl AS (ORDER BY k ROWS BETWEEN {w // 60 - 1} PRECEDING AND CURRENT ROW)"""
+
+
+def _minutes() -> str:
+    bucket_cols = ", ".join(f"count(*) FILTER (WHERE latency_ms / 1000.0 <= {b}) AS b{i}" for i, b in enumerate(B))
+    return f"""
+  SELECT s.k, count(f.ts) AS total, count(*) FILTER (WHERE status = 'error') AS n_error, count(*) FILTER (WHERE status = 'not_found') AS n_not_found,
+         count(*) FILTER (WHERE status = 'success') AS n_success, count(*) FILTER (WHERE latency_ms > {FX.MAX_LATENCY_MS}) AS n_violations, {bucket_cols}
+  FROM (SELECT unnest(range(epoch_us(min(ts)) // 60000000, epoch_us(max(ts)) // 60000000 + 1)) AS k FROM fbk) s
+  LEFT JOIN fbk f ON epoch_us(f.ts) // 60000000 = s.k GROUP BY s.k"""
 
 
 def _p95() -> str:
@@ -644,15 +650,35 @@ def _p95() -> str:
     return f"CASE WHEN total > 0 THEN {expr} END"
 
 
-RULES_VALUES = "(VALUES " + ", ".join(
-    f"({sql_str(r[0])}, {sql_str(r[1])}, {r[2]}, {sql_str(r[3])}, {float(r[4])}, {r[5]}, {sql_str(r[6])})"
-    for r in FX.ALERT_RULES) + ") rules(rule, signal, window_seconds, op, threshold, for_seconds, severity)"
+def _rules_values(rules, alias: str = "rules") -> str:
+    nul = lambda x: "NULL" if x is None else sql_str(x)
+    return "(VALUES " + ", ".join(
+        f"({sql_str(r[0])}, {sql_str(r[1])}, {r[2]}, {sql_str(r[3])}, {float(r[4])}, {r[5]}, {sql_str(r[6])}, {nul(r[7])}, {nul(r[8])})"
+        for r in rules) + f") {alias}(rule, signal, window_seconds, op, threshold, for_seconds, severity, team, reason)"
+
+
+CONDITION = """coalesce(CASE op WHEN '>' THEN value > threshold WHEN '<' THEN value < threshold
+                             WHEN '==' THEN value = threshold ELSE false END, false)"""
+
+
+def _runs(src: str, out: str, *by: str) -> str:
+    """A run ends at a false step or a missing one; it fires once its steps span ``for``."""
+    keys = ", ".join(["rule", "severity", "for_seconds", *by])
+    return f"""
+{out}_p AS (SELECT *, lag(evaluated_at) OVER (PARTITION BY {keys} ORDER BY evaluated_at) AS prev,
+                   lag(condition) OVER (PARTITION BY {keys} ORDER BY evaluated_at) AS prevc FROM {src}),
+{out}_r AS (SELECT *, sum(CASE WHEN prevc AND evaluated_at - prev = INTERVAL 1 MINUTE THEN 0 ELSE 1 END)
+                      OVER (PARTITION BY {keys} ORDER BY evaluated_at ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
+            FROM {out}_p WHERE condition),
+{out} AS (SELECT {keys}, min(evaluated_at) AS started_at, count(*) AS steps FROM {out}_r GROUP BY {keys}, run
+          HAVING epoch_us(max(evaluated_at)) - epoch_us(min(evaluated_at)) >= for_seconds::BIGINT * 1000000)"""
+
 
 ALERTS = f"""
-span AS (SELECT min(ts) AS t0, max(ts) AS t1 FROM fbk),
+minutes AS ({_minutes()}),
 wcnt AS ({' UNION ALL '.join(_counts(w) for w in RULE_SIZES)}),
 ev0 AS (
-  SELECT rule, severity, window_seconds, for_seconds, window_start, op, threshold,
+  SELECT rule, severity, for_seconds, evaluated_at, op, threshold,
          CASE signal WHEN 'ratio_5xx' THEN CASE WHEN total > 0 THEN n_error / total END
                      WHEN 'ratio_error' THEN CASE WHEN total > 0 THEN n_error / total END
                      WHEN 'ratio_not_found' THEN CASE WHEN total > 0 THEN n_not_found / total END
@@ -662,22 +688,18 @@ ev0 AS (
                      WHEN 'rate_requests' THEN total / window_seconds
                      WHEN 'increase_violations' THEN n_violations::DOUBLE
                      WHEN 'p95_latency_ms' THEN {_p95()} END AS value
-  FROM wcnt JOIN {RULES_VALUES} USING (window_seconds) WHERE window_seconds > 0),
-evr AS (
-  SELECT *, coalesce(CASE op WHEN '>' THEN value > threshold WHEN '<' THEN value < threshold
-                             WHEN '==' THEN value = threshold ELSE false END, false) AS condition
-  FROM ev0 WHERE value IS NOT NULL),
-isl0 AS (
-  SELECT *, CASE WHEN condition <> lag(condition) OVER (PARTITION BY rule ORDER BY window_start)
-                 THEN 1 ELSE 0 END AS chg FROM evr),
-isl AS (
-  SELECT *, sum(chg) OVER (PARTITION BY rule ORDER BY window_start
-                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM isl0),
-fired AS (
-  SELECT rule, severity, min(window_start) AS started_at, count(*) AS windows,
-         greatest(ceil(any_value(for_seconds) / any_value(window_seconds)), 1) AS need, any_value(window_seconds) AS ws
-  FROM isl WHERE condition GROUP BY rule, severity, run
-  HAVING count(*) >= greatest(ceil(any_value(for_seconds) / any_value(window_seconds)), 1))"""
+  FROM wcnt JOIN {_rules_values(LOG_RULES)} USING (window_seconds)),
+evr AS (SELECT *, {CONDITION} AS condition FROM ev0),{_runs('evr', 'fired')}"""
+
+HOST = f"""
+smp AS (SELECT user_id % 3 AS instance, epoch_us(ts) // 60000000 AS k, least(value * 2, 100.0) AS cpu_used_pct,
+               least(value * 3, 100.0) AS memory_used_pct, least(value * 4, 100.0) AS disk_used_pct, value * 5e6 AS rate_rx_bytes FROM events),
+lng AS (UNPIVOT smp ON cpu_used_pct, memory_used_pct, disk_used_pct, rate_rx_bytes INTO NAME signal VALUE v),
+hst AS (
+  SELECT rule, severity, for_seconds, instance, make_timestamp((k + o + 1) * 60000000) AS evaluated_at, op, threshold, sum(v) / count(v) AS value
+  FROM lng JOIN {_rules_values(HOST_RULES)} USING (signal), (SELECT unnest(range(0, 60)) AS o)
+  WHERE o < greatest(window_seconds, 60) // 60 GROUP BY ALL),
+hev AS (SELECT *, {CONDITION} AS condition FROM hst),{_runs('hev', 'hfired', 'instance')}"""
 
 ALERT_BASE = f"WITH {FEEDBACK},{ALERTS}"
 
@@ -685,7 +707,7 @@ ALERT_BASE = f"WITH {FEEDBACK},{ALERTS}"
 def _rules_sql(rules) -> str:
     names = ", ".join(sql_str(r) for r in rules)
     return f"""{ALERT_BASE}
-SELECT rule, severity, strftime(window_start, {TS}) AS window_start, round(value, 6) AS value, condition
+SELECT rule, severity, strftime(evaluated_at, {TS}) AS evaluated_at, round(value, 6) AS value, condition
 FROM evr WHERE rule IN ({names})"""
 
 
@@ -711,17 +733,21 @@ ORACLE.update({
     "absence_alert": _rules_sql(["NoRecommendationsServed", "ZeroThroughput"]),
     "alert_for_duration": f"""{ALERT_BASE}
 SELECT rule, severity, strftime(started_at, {TS}) AS started_at,
-       strftime(started_at + to_microseconds(((need - 1) * ws * 1000000)::BIGINT), {TS}) AS fired_at, windows
-FROM fired""",
-    "alert_labels": f"""{ALERT_BASE}
-SELECT f.rule, f.severity, count(*) AS firings, any_value(r.signal) AS signal
-FROM fired f JOIN {RULES_VALUES.replace(' rules(', ' r(')} ON r.rule = f.rule GROUP BY f.rule, f.severity""",
-    "gauge_alert": f"""WITH {FEEDBACK},
-g AS (SELECT ts, event_id, latency_ms > 500.0 AS c FROM fbk),
+       strftime(started_at + to_seconds(for_seconds), {TS}) AS fired_at, steps FROM fired""",
+    "host_threshold_alert": f"""WITH {HOST}
+SELECT rule, severity, instance, strftime(started_at, {TS}) AS started_at,
+       strftime(started_at + to_seconds(for_seconds), {TS}) AS fired_at, steps FROM hfired""",
+    "alert_labels": f"""{ALERT_BASE},{HOST}
+SELECT f.rule, r.severity, r.team, r.reason, r.signal, count(*) AS firings
+FROM (SELECT rule FROM fired UNION ALL SELECT rule FROM hfired) f JOIN {_rules_values(FX.ALERT_RULES, 'r')} ON r.rule = f.rule
+GROUP BY ALL""",
+    "gauge_alert": " UNION ALL ".join(f"""SELECT * FROM (WITH {FEEDBACK},
+g AS (SELECT ts, event_id, latency_ms > {r[4]} AS c FROM fbk),
 g2 AS (SELECT *, CASE WHEN c <> lag(c) OVER (ORDER BY ts, event_id) THEN 1 ELSE 0 END AS chg FROM g),
 h AS (SELECT *, sum(chg) OVER (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM g2)
-SELECT strftime(min(ts), {TS}) AS started_at, strftime(max(ts), {TS}) AS ended_at, count(*) AS samples
-FROM h WHERE c GROUP BY run HAVING epoch_us(max(ts)) - epoch_us(min(ts)) >= 60000000""",
+SELECT '{r[0]}' AS rule, strftime(min(ts), {TS}) AS started_at, strftime(max(ts), {TS}) AS ended_at, count(*) AS samples
+FROM h WHERE c GROUP BY run HAVING epoch_us(max(ts)) - epoch_us(min(ts)) >= {r[5] * 1000000})"""
+                                      for r in FX.ALERT_RULES if r[1] == "last_latency_ms"),
     "up_alert": f"""WITH {FEEDBACK},
 g AS (SELECT ts, lag(ts) OVER (ORDER BY ts, event_id) AS prev FROM fbk)
 SELECT strftime(prev, {TS}) AS down_from, strftime(ts, {TS}) AS up_again,
