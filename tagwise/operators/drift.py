@@ -163,6 +163,19 @@ def promote_and_rollback(registry: DataFrame, score_col: str = "genre_match_rate
                F.concat(F.lit("backup/"), F.col("_prev"))).alias("backup_location"))
 
 
+def rollback_version(registry: DataFrame, score_col: str = "genre_match_rate",
+                     threshold: float = MIN_GENRE_MATCH) -> DataFrame:
+    """Per version as the serving one: what a rollback restores, the last
+    promoted version before it; status ``rolled_back``, or ``no_backup`` where
+    none was promoted before (the pointer stays)."""
+    w = Window.orderBy("registered_at", "version").rowsBetween(Window.unboundedPreceding, -1)     # one row per version
+    passing = F.col(score_col) >= threshold
+    prev = F.max_by(F.when(passing, F.col("version")), F.when(passing, F.struct("registered_at", "version"))).over(w)
+    return registry.select("version", prev.alias("prev")).select(
+        "version", F.coalesce("prev", "version").alias("serving_version"),
+        F.when(F.col("prev").isNull(), "no_backup").otherwise("rolled_back").alias("status"))
+
+
 def latest_baseline(model_baselines: DataFrame, store_baselines: DataFrame) -> DataFrame:
     """The model's own baseline first, else the lexically largest store version."""
     u = (model_baselines.select(F.lit(0).alias("prio"), "version", "path")

@@ -148,6 +148,36 @@ def quality_summary(issues: DataFrame) -> DataFrame:
     ).select((F.col("issue_count") == 0).alias("passed"), "issue_count", "issues")
 
 
+def validation_report(movies: DataFrame, credits: DataFrame, merged: DataFrame, title: str = "title",
+                      rating: str = "vote_average", string_cols: list[str] | None = None) -> DataFrame:
+    """The load's report as rows (section, source, name, value, note): row
+    counts before and after the merge, missing values and quality checks of
+    both sides, and the status."""
+    def rows(df, source):
+        return df.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
+            F.lit("rows").alias("section"), F.lit(source).alias("source"), F.lit("rows").alias("name"), "value",
+            F.lit(None).cast("string").alias("note"))
+
+    def missing(df, source):
+        return missing_values(df, source).select(F.lit("missing").alias("section"), "source", F.col("column").alias("name"),
+                                                 F.col("missing").cast("double").alias("value"), F.col("level").alias("note"))
+
+    def quality(issues, source):
+        return issues.select(F.lit("quality").alias("section"), F.lit(source).alias("source"),
+                             F.concat_ws(":", "check", "column").alias("name"), "value", F.col("issue").alias("note"))
+    credits_issues = (min_rows_check(credits).unionByName(duplicate_titles(credits, title))
+                      .unionByName(empty_strings(credits, [title])))
+    parts = [rows(movies, "movies"), rows(credits, "credits"), rows(merged, "merged"),
+             missing(movies, "movies"), missing(credits, "credits"),
+             quality(quality_issues(movies, title, rating, string_cols or [title]), "movies"), quality(credits_issues, "credits")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    status = movies.sparkSession.createDataFrame([("status", "load", "status", None, "passed")],
+                                                 "section string, source string, name string, value double, note string")
+    return out.unionByName(status)
+
+
 def eda_profile(df: DataFrame, name: str) -> DataFrame:
     """(table, column, type, rows): shape and column list."""
     spark = df.sparkSession

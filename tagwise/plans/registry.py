@@ -229,6 +229,49 @@ def q_catalog_merge_by_id(spark, sf_dir):
     return o.join(c, "movie_id_key").select(F.col("id").alias("movie_id"), "title", "cast", "crew")
 
 
+def title_catalogs(spark, sf_dir):
+    """Movies = line items titled by their supplier's name; credits =
+    suppliers, whose names are unique, so a merge on title multiplies nothing."""
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
+    movies = li.join(sup.select("s_suppkey", "s_name"), li.l_suppkey == sup.s_suppkey).select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("s_name").alias("title"), F.col("l_quantity").alias("vote_average"))
+    credits = sup.select(F.col("s_suppkey").alias("movie_id"), F.col("s_name").alias("title"),
+                         F.when(F.col("s_acctbal") > 0, F.col("s_acctbal")).alias("balance"))
+    return movies, credits
+
+
+@query("catalog_merge")
+def q_catalog_merge(spark, sf_dir):
+    m = CT.catalog_merge(*title_catalogs(spark, sf_dir))
+    return m.select("movie_id", "title", "vote_average", r6("balance").alias("balance"))
+
+
+@query("validation_report")
+def q_validation_report(spark, sf_dir):
+    movies, credits = title_catalogs(spark, sf_dir)
+    return QA.validation_report(movies, credits, CT.catalog_merge(movies, credits))
+
+
+@query("scan_catalog")
+def q_scan_catalog(spark, sf_dir):
+    """Two catalog files written as header CSV, with quotes, commas and line
+    breaks in the texts, and read back with the declared schemas."""
+    from tagwise.sources.tables import scan_catalog
+    o = table(spark, sf_dir, "orders")
+    base = _scratch(spark, "catalog_csv")
+    text = F.concat(F.lit('a, "quoted"\n'), "o_orderstatus")
+    (o.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("title"), text.alias("overview"), F.lit("[]").alias("genres"),
+              F.lit(None).cast("string").alias("keywords"), F.col("o_totalprice").alias("vote_average"), F.col("o_custkey").cast("long").alias("vote_count"),
+              F.lit(0.5).alias("popularity"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("release_date"))
+     .write.option("header", True).option("escape", "\"").csv(f"{base}/movies"))
+    (o.select(F.col("o_orderkey").alias("movie_id"), F.col("o_orderpriority").alias("title"), F.lit("[]").alias("cast"), text.alias("crew"))
+     .write.option("header", True).option("escape", "\"").csv(f"{base}/credits"))
+    movies, credits = scan_catalog(spark, f"{base}/movies", f"{base}/credits")
+    return (CT.catalog_merge_by_id(CT.rename_id(movies), credits)
+            .select("movie_id", "title", "overview", r6("vote_average").alias("vote_average"), "vote_count", "release_date", "crew"))
+
+
 def events_with_nulls(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     return e.select("event_id", F.expr("nullif(event_type, 'error')").alias("event_type"),
@@ -449,6 +492,11 @@ def q_promote_version(spark, sf_dir):
     return DR.promote_and_rollback(model_registry(spark, sf_dir))
 
 
+@query("rollback_version")
+def q_rollback_version(spark, sf_dir):
+    return DR.rollback_version(model_registry(spark, sf_dir))
+
+
 @query("model_version_info")
 def q_model_version_info(spark, sf_dir):
     _, vocab, vec = catalog_vectors(spark, sf_dir)
@@ -898,8 +946,8 @@ def q_run_summary(spark, sf_dir):
 
 @query("scan_feedback")
 def q_scan_feedback(spark, sf_dir):
-    """The search-feedback log written as a header CSV (the reference's log
-    format), read back through the declared-schema CSV reader."""
+    """Both feedback logs written as header CSV and read back through the
+    declared-schema reader."""
     from tagwise.sources.tables import ISO_TS, scan_feedback
     s, p = fb(spark, sf_dir)
     base = _scratch(spark, "feedback_csv")
@@ -909,10 +957,12 @@ def q_scan_feedback(spark, sf_dir):
      .write.option("header", True).option("escape", "\"").option("timestampFormat", ISO_TS)
      .csv(f"{base}/search"))
     (p.select(F.col("ts").alias("timestamp"), "movie", "source")
-     .write.option("header", True).option("timestampFormat", ISO_TS).csv(f"{base}/pos"))
+     .write.option("header", True).option("escape", "\"").option("timestampFormat", ISO_TS).csv(f"{base}/pos"))
     search, pos = scan_feedback(spark, f"{base}/search", f"{base}/pos")
-    return search.select(ts_str("timestamp").alias("timestamp"), "query", "status",
-                         r6(F.col("latency_ms").try_cast("double")).alias("latency_ms"))
+    return (search.select(ts_str("timestamp").alias("timestamp"), "query", "status",
+                          r6(F.col("latency_ms").try_cast("double")).alias("latency_ms"))
+            .unionByName(pos.select(ts_str("timestamp").alias("timestamp"), F.col("movie").alias("query"),
+                                    F.lit("positive").alias("status"), F.lit(None).cast("double").alias("latency_ms"))))
 
 
 @query("sink_model_artifacts")

@@ -881,10 +881,59 @@ ORACLE.update({
 ORACLE["sink_drift_report"] = ORACLE["detect_drift"]
 
 ORACLE["scan_feedback"] = f"""WITH {FEEDBACK}
-SELECT strftime(ts, {TS}) AS timestamp, query, status, round(latency_ms, 6) AS latency_ms FROM fbk"""
+SELECT strftime(ts, {TS}) AS timestamp, query, status, round(latency_ms, 6) AS latency_ms FROM fbk
+UNION ALL SELECT strftime(ts, {TS}), movie, 'positive', NULL FROM pos"""
 
 ORACLE["sink_model_artifacts"] = f"""{TFIDF},{_topk_ranked(FX.TOP_K)}
 SELECT 'vocabulary' AS artifact, (SELECT count(*) FROM vocab) AS rows
 UNION ALL SELECT 'neighbours', (SELECT count(*) FROM ranked)
 UNION ALL SELECT 'catalog', (SELECT count(*) FROM cat)"""
 ORACLE["genre_filter"] = f"{CAT},{ROUTE},{GENRE} SELECT DISTINCT query, id AS movie_id FROM bg"
+
+
+MV = """
+mv AS (SELECT l_orderkey * 10 + l_linenumber AS id, s_name AS title, l_quantity AS vote_average
+       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
+cr AS (SELECT s_suppkey AS movie_id, s_name AS title, CASE WHEN s_acctbal > 0 THEN s_acctbal END AS balance FROM supplier)"""
+
+
+def _missing_sql(src: str, name: str, cols) -> str:
+    return " UNION ALL ".join(f"""SELECT 'missing', '{name}', '{c}', count_if({c} IS NULL)::DOUBLE,
+  CASE WHEN round(count_if({c} IS NULL) / count(*), 4) > {FX.MISSING_HIGH_RATE} THEN 'high' WHEN count_if({c} IS NULL) > 0 THEN 'some' ELSE 'none' END
+FROM {src}""" for c in cols)
+
+
+def _checks_sql(src: str, name: str) -> str:
+    return f"""SELECT 'quality', '{name}', 'min_rows', count(*)::DOUBLE,
+  CASE WHEN count(*) < {FX.MIN_ROWS} THEN printf('Too few rows: %d < %d', count(*), {FX.MIN_ROWS}) END FROM {src}
+UNION ALL SELECT 'quality', '{name}', 'duplicates:title', (count(*) - count(DISTINCT title))::DOUBLE,
+  CASE WHEN count(*) > count(DISTINCT title) THEN printf('%d duplicate %s values', count(*) - count(DISTINCT title), 'title') END FROM {src}
+UNION ALL SELECT 'quality', '{name}', 'empty_strings:title', count_if(trim(title) = '')::DOUBLE,
+  CASE WHEN count_if(trim(title) = '') > 0 THEN printf('%d empty values in %s', count_if(trim(title) = ''), 'title') END FROM {src}"""
+
+
+ORACLE.update({
+    "catalog_merge": f"""WITH {MV}
+SELECT mv.id AS movie_id, title, vote_average, round(balance, 6) AS balance FROM mv JOIN cr USING (title)""",
+    "validation_report": f"""WITH {MV},
+b AS (SELECT quantile_cont(vote_average, 0.25) AS q1, quantile_cont(vote_average, 0.75) AS q3 FROM mv)
+SELECT 'rows' AS section, 'movies' AS source, 'rows' AS name, count(*)::DOUBLE AS value, NULL::VARCHAR AS note FROM mv
+UNION ALL SELECT 'rows', 'credits', 'rows', count(*), NULL FROM cr
+UNION ALL SELECT 'rows', 'merged', 'rows', count(*), NULL FROM mv JOIN cr USING (title)
+UNION ALL {_missing_sql('mv', 'movies', ['id', 'title', 'vote_average'])}
+UNION ALL {_missing_sql('cr', 'credits', ['movie_id', 'title', 'balance'])}
+UNION ALL {_checks_sql('mv', 'movies')}
+UNION ALL SELECT 'quality', 'movies', 'outliers:vote_average', n::DOUBLE, CASE WHEN n > 0 THEN printf('%d outliers in %s', n, 'vote_average') END
+FROM (SELECT count_if(vote_average < q1 - 1.5 * (q3 - q1) OR vote_average > q3 + 1.5 * (q3 - q1)) AS n FROM mv, b)
+UNION ALL {_checks_sql('cr', 'credits')}
+UNION ALL SELECT 'status', 'load', 'status', NULL, 'passed'""",
+    "scan_catalog": """
+SELECT o_orderkey AS movie_id, o_orderpriority AS title, 'a, "quoted"' || chr(10) || o_orderstatus AS overview,
+       round(o_totalprice, 6) AS vote_average, o_custkey::BIGINT AS vote_count, strftime(o_orderdate, '%Y-%m-%d') AS release_date,
+       'a, "quoted"' || chr(10) || o_orderstatus AS crew FROM orders""",
+    "rollback_version": f"""WITH {REGISTRY},
+r AS (SELECT version, arg_max(CASE WHEN genre_match_rate >= {FX.MIN_GENRE_MATCH} THEN version END,
+                              CASE WHEN genre_match_rate >= {FX.MIN_GENRE_MATCH} THEN {{'t': registered_at, 'v': version}} END)
+               OVER (ORDER BY registered_at, version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM reg)
+SELECT version, coalesce(prev, version) AS serving_version, CASE WHEN prev IS NULL THEN 'no_backup' ELSE 'rolled_back' END AS status FROM r""",
+})

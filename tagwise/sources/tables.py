@@ -57,10 +57,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 ISO_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # the logs' ISO timestamps
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV with quoted multi-line fields; fails if the path is absent."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """Header CSV; fails if the path is absent. ``multi_line`` allows quoted
+    line breaks, at the price of one task per file."""
     return (spark.read.schema(schema)
-            .option("header", True).option("multiLine", True)
+            .option("header", True).option("multiLine", multi_line)
             .option("quote", '"').option("escape", '"')
             .option("timestampFormat", ISO_TS)
             .option("mode", "PERMISSIVE")
@@ -69,7 +70,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def scan_catalog(spark: SparkSession, movies_path: str, credits_path: str):
     """Read the two raw catalog files (error if either is absent)."""
-    return read_csv(spark, movies_path, MOVIES_SCHEMA), read_csv(spark, credits_path, CREDITS_SCHEMA)
+    return (read_csv(spark, movies_path, MOVIES_SCHEMA, multi_line=True),
+            read_csv(spark, credits_path, CREDITS_SCHEMA, multi_line=True))
 
 
 def scan_feedback(spark: SparkSession, search_path: str, positive_path: str):
