@@ -305,18 +305,23 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, n_buckets: int | Non
         def member_pairs(x, pair):
             """Pairs that the bounds leave open and that share a list, once each."""
             return (x.select(F.col("g").alias("gx"), F.col("m").alias("x")).join(pair, "gx")
+                    .where(_reachable("x.cap", "cap_y", F.col("o") + F.col("x.off") + F.col("off_y"), n=F.col("x.n") + F.col("n_y")))
                     .join(each.select(F.col("g").alias("gy"), F.col("m").alias("y")), "gy")
                     .where(_reachable("x.cap", "y.cap", F.col("o") + F.col("x.off") + F.col("y.off"), n=F.col("x.n") + F.col("y.n")))
                     .where(F.arrays_overlap("x.tokens", "y.tokens"))
                     .select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")))
 
+        # what the best member of the smaller group could do drops most members of the larger one at once
+        best = each.groupBy(F.col("g").alias("gy")).agg(F.max("m.off").alias("off_y"), F.max("m.cap").alias("cap_y"), F.min("m.n").alias("n_y"))
+        pair = pair.join(best, "gy")
+
         # one member of the larger group first, the one that can share most: linear; then what still is apart
         ahead = each.groupBy("g").agg(F.max_by("m", F.struct("m.off", "m.sid")).alias("m"))
         some = _overlaps(member_pairs(ahead, pair), sets).where(_linked("o", "na", "nb")).select("a", "b")
         links = cut_lineage(links.union(some), "links")
         now = connected_components(links)
         apart = (pair.join(now.toDF("gx", "lx"), "gx", "left").join(now.toDF("gy", "ly"), "gy", "left")
-                 .where(F.coalesce("lx", "gx") != F.coalesce("ly", "gy")).select("gx", "gy", "o"))
+                 .where(F.coalesce("lx", "gx") != F.coalesce("ly", "gy")).drop("lx", "ly"))
         links = links.union(_overlaps(member_pairs(each, apart), sets).where(_linked("o", "na", "nb")).select("a", "b"))
     final = connected_components(links)
 
