@@ -69,7 +69,9 @@ def mixed(docs: DataFrame, weights=WEIGHTS, max_repeat: float = MAX_REPEAT, seed
     if targets.count() <= BROADCAST_SOURCES:
         t = F.broadcast(t)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.crc32(F.coalesce(F.col("text"), F.lit("")))), F.lit(1 << 53)) / float(1 << 53)
+    # 52 bits of an md5 that other engines compute alike
+    key = F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("text"), F.lit("")))
+    draw = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / float(1 << 52)
     return (base.join(t, base["source"].cast("string").eqNullSafe(F.col("_mix_source")), "left").drop("_mix_source")
             .withColumn("copies", (F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")).cast("long")))
 

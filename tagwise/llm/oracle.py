@@ -1,8 +1,24 @@
 """DuckDB SQL for the operators that SQL can express."""
 
-# Same law in SQL terms: words per document, per-source sums, water filling.
-# The seeded draw is Spark's own hash, so op7 and op4 are tested by their
-# laws instead (tests/llm).
+# Words per document, per-source sums, water filling, and the seeded draw.
+OP7 = r"""
+WITH s AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+                  CAST('0x' || substr(md5('20011|' || coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')), 1, 13) AS BIGINT)::DOUBLE
+                    / 4503599627370496.0 AS draw FROM documents),
+per AS (SELECT source, sum(size)::BIGINT AS source_size FROM s GROUP BY source),
+wgt AS (SELECT *, [5.0, 2.0, 1.0][CAST((row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1 AS BIGINT)]::DOUBLE AS weight,
+               source_size * 3.0::DOUBLE AS ceiling FROM per),
+lvl AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(ceiling) OVER (f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+                  / sum(weight) OVER (f ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+        FROM wgt WINDOW f AS (ORDER BY ceiling / weight, source IS NULL, source)),
+fre AS (SELECT min(ceiling / weight) AS r, arg_min(level, ceiling / weight) AS level FROM lvl WHERE ceiling > level * weight),
+tgt AS (SELECT l.source, l.source_size, CASE WHEN l.ceiling <= l.level * l.weight THEN l.ceiling
+                                             ELSE least(f.level * l.weight, l.ceiling) END AS target FROM lvl l, fre f),
+rat AS (SELECT s.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate
+        FROM s JOIN tgt t ON s.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       (size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM rat
+"""
 
 _ESC = r"replace(replace({c}, '\', '\\'), '<|', '<\|')"
 _ROLE, _TEXT = _ESC.format(c="role"), _ESC.format(c="text")
@@ -29,4 +45,4 @@ SELECT conv_id, count(*) AS n_turns,
 FROM s GROUP BY conv_id
 """
 
-ORACLE = {"op9_chat": OP9}
+ORACLE = {"op7_mixing": OP7, "op9_chat": OP9}
