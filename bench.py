@@ -35,6 +35,10 @@ HEADLINE = [
     "enrich_metadata",
     "alert_for_duration",
     "stream_feedback_stats",
+    "feature_impact",
+    "title_recommend",
+    "search_by_person",
+    "similarity_summary",
 ]
 
 
