@@ -113,7 +113,8 @@ def q_embedding_topk(spark, sf_dir):
 @query("cosine_topk_approx")
 def q_cosine_topk_approx(spark, sf_dir):
     emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return sim.cosine_topk_approx(sim.embedding_vectors(emb), dim=64, k=FX.TOP_K)
+    top = sim.cosine_topk_approx(emb, dim=64, k=FX.TOP_K)
+    return top.select("id", "rank", "other_id", r6("score").alias("score"))
 
 
 @query("genre_match_rate")

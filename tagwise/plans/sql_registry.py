@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tagwise.functions import fixed as FX
+from tagwise.operators.similarity import LSH_BITS, LSH_TABLES, sign_plane
 from tagwise.plans import oracle as O
 from tagwise.plans.oracle import UWS, clean_name, clean_text, sql_str
 
@@ -937,3 +938,19 @@ r AS (SELECT version, arg_max(CASE WHEN genre_match_rate >= {FX.MIN_GENRE_MATCH}
                OVER (ORDER BY registered_at, version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM reg)
 SELECT version, coalesce(prev, version) AS serving_version, CASE WHEN prev IS NULL THEN 'no_backup' ELSE 'rolled_back' END AS status FROM r""",
 })
+
+
+def _planes() -> str:
+    rows = ", ".join(f"({t}, {b}, {sign_plane(t, b, 64)})" for t in range(LSH_TABLES) for b in range(LSH_BITS))
+    return f"(VALUES {rows}) pl(t, b, p)"
+
+
+ORACLE["cosine_topk_approx"] = f"""
+WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings WHERE list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
+sg AS (SELECT id, t, string_agg(CASE WHEN list_inner_product(v, p::DOUBLE[]) > 0 THEN '1' ELSE '0' END, '' ORDER BY b) AS sig
+       FROM v, {_planes()} GROUP BY id, t),
+pr AS (SELECT DISTINCT a.id, b.id AS other_id FROM sg a JOIN sg b ON a.t = b.t AND a.sig = b.sig AND a.id <> b.id),
+sc AS (SELECT pr.id, pr.other_id, list_inner_product(a.v, b.v) / sqrt(list_inner_product(a.v, a.v)) / sqrt(list_inner_product(b.v, b.v)) AS score
+       FROM pr JOIN v a ON a.id = pr.id JOIN v b ON b.id = pr.other_id)
+SELECT id, row_number() OVER (PARTITION BY id ORDER BY round(score, 9) DESC, other_id) AS rank, other_id, round(score, 6) AS score
+FROM sc WHERE score > 0 QUALIFY rank <= {FX.TOP_K}"""
