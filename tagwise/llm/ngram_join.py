@@ -336,9 +336,9 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, n_buckets: int | Non
 
 
 def keep_first(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """All columns of ``docs``, one document of each component: its smallest
-    doc_id (of repeated rows with that id, one). Rows without an id are never
-    dropped."""
+    """All columns of ``docs``, one document of each component: the one with
+    its smallest doc_id. Rows that repeat this doc_id are the same document and
+    stay; rows without an id are never dropped."""
     comp = jaccard_components(docs, width)
     drop = comp.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(drop, "doc_id", "left_anti")
