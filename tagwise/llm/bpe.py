@@ -40,7 +40,7 @@ WORD_END = "</w>"
 
 MEMO_CHUNKS = 400_000       # distinct chunks that a task remembers; then it starts afresh
 MEMO_PAIRS = 300_000        # tested pairs that it remembers
-SLICE_CHARS = 1 << 20       # characters of a batch worked on at once
+SLICE_CHARS = 1 << 19       # characters of a batch worked on at once
 
 
 def byte_alphabet() -> list[str]:

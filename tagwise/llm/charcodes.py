@@ -6,7 +6,7 @@ import numpy as np
 
 from tagwise.llm.vectext import slices, utf8
 
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 
 def code_points(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

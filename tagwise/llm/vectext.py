@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20       # bytes worked on at once inside a task; one longer text is taken alone
+SLICE_BYTES = 1 << 19       # bytes worked on at once inside a task; one longer text is taken alone
 MULT = 0x9E3779B97F4A7C15 | 1
 MULT_INV = pow(MULT, -1, 1 << 64)
 
