@@ -17,6 +17,15 @@ vectors are one entry of the index (keyed by a 64-bit hash of the vector). Of
 verified links a task hands on each vector's number of links, and edges of a
 spanning forest of its block pair, so a crowd of near copies costs as many rows
 as it has members, not as it has pairs.
+
+Where more than ``N_NEAR`` pivots lie close together, a crowd of the table holds
+them, and its members' nearest pivots are a draw among almost equal ones. Such
+pivots are put under one centre (their mean direction), centres being apart from
+one another. A vector within ``HOME`` of a centre has its home there and leaves
+the pivot lists; a centre's list holds its homes and, as visitors, the vectors
+within ``HOME`` plus the angle of the least cosine. By the triangle inequality
+these are all that can link with a home, so every pair with a home is compared,
+in the list of the smaller home, without the test on shared pivots.
 """
 
 from __future__ import annotations
@@ -33,6 +42,8 @@ from tagwise.session import cut_lineage
 MIN_COSINE = 0.9
 MAX_PIVOTS = 1024
 N_NEAR, MIN_SHARED = 20, 2
+CLOSE = 0.6                     # cosine of pivots that count as close together
+HOME = np.arccos(np.sqrt(0.5))  # a crowd's members are this near to its centre
 BLOCK = 2048
 SEED = 4_242
 
@@ -55,26 +66,58 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _describe(shared, dim: int, kind: str):
-    """Usable vectors (packed) with their nearest pivots, nearest first."""
+def _centres(pivots: np.ndarray) -> np.ndarray:
+    """Centres of the groups of more than ``N_NEAR`` pivots that are close to
+    one of them; the largest group first, its pivots taken out."""
+    close, out = pivots @ pivots.T >= CLOSE, []
+    while True:
+        size = close.sum(axis=1)
+        if not len(size) or size.max() <= N_NEAR:
+            return np.array(out).reshape(len(out), pivots.shape[1])
+        group = close[size.argmax()].copy()
+        out.append(_unit(pivots[group].sum(axis=0)[None, :])[0])
+        close[group] = False
+        close[:, group] = False
+
+
+def _int_lists(rows: np.ndarray, values: np.ndarray, n: int) -> pa.Array:
+    """``values`` as one list per row; ``rows`` ascend."""
+    ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))])
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.astype(np.int32)))
+
+
+def _describe(shared, dim: int, kind: str, least: float):
+    """Usable vectors (packed) with their nearest pivots, nearest first, their
+    home (-1: none) and the centres they visit."""
+    reach = min(np.pi, HOME + np.arccos(np.clip(least, -1, 1)) + 1e-6)
+
     def run(batches):
-        pivots = shared.get()
+        pivots, centres = shared.get()
         k = min(N_NEAR, len(pivots))
         for t in batches:
             x, ok = _matrix(t.column("embedding"), dim)
             x = x[ok]
-            sim = (_unit(x) if len(x) else x) @ pivots.T
-            near = np.argsort(-sim, axis=1, kind="stable")[:, :k]
+            u = _unit(x) if len(x) else x
+            near = np.argsort(-(u @ pivots.T), axis=1, kind="stable")[:, :k]
+            home, visits = np.full(len(x), -1), np.zeros((len(x), len(centres)), bool)
+            if len(centres) and len(x):
+                at = u @ centres.T
+                best = at.argmax(axis=1)
+                home = np.where(at[np.arange(len(x)), best] >= np.cos(HOME), best, -1)
+                # a pair of two homes belongs to the smaller one
+                visits = (at >= np.cos(reach)) & ((home < 0)[:, None] | (np.arange(len(centres)) < home[:, None]))
             yield pa.RecordBatch.from_arrays(
                 [t.column("key").filter(pa.array(ok)), t.column("size").filter(pa.array(ok)),
                  pa.array([v.tobytes() for v in x.astype(kind)], pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(np.arange(0, k * len(x) + 1, k, dtype=np.int32)), pa.array(near.ravel().astype(np.int32)))],
-                ["key", "size", "vec", "near"])
+                 _int_lists(np.repeat(np.arange(len(x)), k), near.ravel(), len(x)),
+                 pa.array(home.astype(np.int32)), _int_lists(*np.nonzero(visits), len(x))],
+                ["key", "size", "vec", "near", "home", "visits"])
     return run
 
 
 def _verify(least: float, kind: str):
-    """Verified links of one pair of blocks of one list."""
+    """Verified links of one pair of blocks of one list; lists of centres have
+    numbers below zero."""
     def run(key, table):
         pivot, i, j = (k.as_py() for k in key)
         side = table.column("block").to_numpy()
@@ -92,10 +135,12 @@ def _verify(least: float, kind: str):
         hit = np.zeros(len(r), bool)
         for k in range(0, len(r), 20_000):
             p, q = r[k:k + 20_000], c[k:k + 20_000]
+            hit[k:k + 20_000] = np.einsum("ij,ij->i", x[p], x[q]) >= least
+            if pivot < 0:
+                continue
             common = (near[p][:, :, None] == near[q][:, None, :]).any(axis=2)
             first = np.where(common, near[p], 1 << 30).min(axis=1)       # the list that works on this pair
-            hit[k:k + 20_000] = ((common.sum(axis=1) >= min(MIN_SHARED, near.shape[1])) & (first == pivot)
-                                 & (np.einsum("ij,ij->i", x[p], x[q]) >= least))
+            hit[k:k + 20_000] &= (common.sum(axis=1) >= min(MIN_SHARED, near.shape[1])) & (first == pivot)
         r, c = r[hit], c[hit]
         linked = np.bincount(r, size[c], len(ids)) + np.bincount(c, size[r], len(ids))
         root = _forest(len(ids), r, c)
@@ -144,13 +189,22 @@ def near_duplicates(vectors: DataFrame, least: float = MIN_COSINE, max_pivots: i
     pivots = _unit(x[ok]) if ok.any() else np.zeros((1, max(dim, 1)))
     kind = "<f4" if dict(vectors.dtypes)["embedding"] == "array<float>" else "<f8"
     index = cut_lineage(usable.select("key", "size", "embedding").mapInArrow(
-        _describe(Shipped(spark, pivots), max(dim, 1), kind), "key long, size long, vec binary, near array<int>"), "index")
-
-    lists = index.select("key", "size", "vec", "near", F.explode("near").alias("pivot"))
-    sizes = lists.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).select("pivot", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    lists = (lists.join(F.broadcast(sizes), "pivot")      # one row per pivot
-             .withColumn("block", F.pmod(F.xxhash64("key", F.lit(SEED)), F.col("blocks")).cast("int")))
-    work = lists.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        _describe(Shipped(spark, (pivots, _centres(pivots))), max(dim, 1), kind, least),
+        "key long, size long, vec binary, near array<int>, home int, visits array<int>"), "index")
+
+    # lists of pivots (0, 1, ..) and of centres (-1, -2, ..); visitors meet homes only
+    centre = F.transform("visits", lambda c: F.struct((-1 - c).alias("pivot"), F.lit(True).alias("visitor")))
+    own = F.when(F.col("home") < 0, F.transform("near", lambda p: F.struct(p.alias("pivot"), F.lit(False).alias("visitor")))).otherwise(
+        F.array(F.struct((-1 - F.col("home")).alias("pivot"), F.lit(False).alias("visitor"))))
+    lists = index.select("key", "size", "vec", "near", F.inline(F.concat(own, centre)))
+    blocks = lambda n: F.ceil(F.count_if(n) / BLOCK).cast("int")
+    sizes = lists.groupBy("pivot").agg(blocks(~F.col("visitor")).alias("own"), blocks(F.col("visitor")).alias("visiting")).where("own > 0")
+    hashed = F.xxhash64("key", F.lit(SEED))
+    lists = (lists.join(F.broadcast(sizes), "pivot")      # one row per list
+             .withColumn("block", F.when(F.col("visitor"), F.col("own") + F.pmod(hashed, F.col("visiting")))
+                         .otherwise(F.pmod(hashed, F.col("own"))).cast("int"))
+             .withColumn("others", F.col("own") + F.when(F.col("visitor"), 0).otherwise(F.col("visiting"))))
+    work = lists.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("others") - 1))).select(
         "pivot", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "key", "size", "vec", "near")
     found = cut_lineage(work.groupBy("pivot", "i", "j").applyInArrow(_verify(least, kind), "key long, linked long, root long"), "links")
     links = found.groupBy("key").agg(F.sum("linked").alias("linked"))

@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pytest
 
 from tagwise.llm import ngram_join, pivots
 from tagwise.llm.graph import connected_components
@@ -117,6 +118,24 @@ def test_index_recall(spark):
     assert 0.9 * total <= found <= total
 
 
+@pytest.mark.parametrize("share, noise", [(3, 0.25), (3, 0.4), (1, 0.25)])
+def test_index_recall_in_a_crowd(spark, monkeypatch, share, noise):
+    """A crowd of a third of all rows, or of all, of near (not equal) vectors."""
+    monkeypatch.setattr(pivots, "BLOCK", 300)
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(3000, 64))
+    m = len(x) // share
+    x[:m] = x[0] + noise * rng.normal(size=(m, 64))
+    x[m // 2:m:5] = x[:m][m // 2::5] + 0.5 * rng.normal(size=x[m // 2:m:5].shape)       # stragglers around it
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    want = (u @ u.T >= 0.9).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in pivots.near_duplicates(df).collect()}
+    recall = sum(got.values()) / want.sum()
+    print(f"crowd of 1/{share}, noise {noise}: recall {recall:.4f} of {want.sum() // 2} links")
+    assert all(got[i] <= want[i] for i in got) and recall >= 0.999
+
+
 def test_index_on_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert pivots.near_duplicates(df).collect() == []
