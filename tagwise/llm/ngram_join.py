@@ -28,6 +28,12 @@ Plan (theta = 0.75, whole texts, every set indexed):
    where the groups are still apart, all of them.
 
 Links are verified on whole sets with ``array_intersect`` in the JVM.
+
+5. The number of links of each class: every link lies inside a component, and
+   its two sizes are in the same or in neighbouring bands (powers of 4/3). A
+   component's band is cut into blocks, which meet one another and the blocks of
+   the next band; each pair of blocks is one unit of work, counts all its
+   intersections at once, and hands on one row per class, not per pair.
 """
 
 from __future__ import annotations
@@ -42,6 +48,8 @@ from tagwise.llm.vectext import mix, shingle_sets
 from tagwise.session import cut_lineage
 
 WIDTH = 5
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20      # classes and shingles of a block of a component
+FEW, COLUMNS = 12, 4096
 LOW = (1 << 64) // 8 * 3          # hashes below are counted: 3/8, above the quarter that the prefix needs
 
 
@@ -202,6 +210,75 @@ def _reachable(*caps, n):
     return F.least(*caps, F.lit(1 << 60)) * 7 >= n * 3
 
 
+def _intersections(rows: np.ndarray, toks: np.ndarray, n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets ``a`` with sets ``b`` (row numbers);
+    (``rows``, ``toks``) are the entries of ``n`` sets."""
+    order = np.lexsort((rows, toks))
+    rows, toks = rows[order], toks[order]
+    head = np.flatnonzero(np.concatenate([[True], toks[1:] != toks[:-1]]))
+    df = np.diff(np.append(head, len(toks)))
+    col, held = np.repeat(np.arange(len(df)), df), np.repeat(df, df)
+    # shingles of few sets: their pairs one by one
+    out = np.zeros((n, n), np.int32)
+    few = (held >= 2) & (held <= FEW)
+    r, c = rows[few], col[few]
+    for d in range(1, FEW if len(r) else 0):
+        same = c[d:] == c[:-d]
+        np.add.at(out, (r[:-d][same], r[d:][same]), 1)
+    out = (out + out.T)[np.ix_(a, b)].astype(np.float64)
+    # the others: products of 0/1 matrices, some columns at a time
+    r, c = rows[held > FEW], np.unique(col[held > FEW], return_inverse=True)[1]
+    cuts = np.searchsorted(c, np.arange(0, (c[-1] if len(c) else -1) + 1 + COLUMNS, COLUMNS))
+    for k in range(len(cuts) - 1):
+        m = np.zeros((n, COLUMNS), np.float32)
+        m[r[cuts[k]:cuts[k + 1]], c[cuts[k]:cuts[k + 1]] - k * COLUMNS] = 1
+        out += m[a] @ m[b].T
+    return out
+
+
+def _count_links(key, table):
+    """Rows that link with each class of one pair of blocks."""
+    i, j = key[2].as_py(), key[3].as_py()
+    side, size = table.column("block").to_numpy(), table.column("size").to_numpy().astype(np.float64)
+    toks = table.column("toks").combine_chunks()
+    n = toks.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    a, b = np.flatnonzero(side == i), np.flatnonzero(side == j)
+    o = _intersections(np.repeat(np.arange(len(n)), n), toks.flatten().to_numpy(zero_copy_only=False), len(n), a, b)
+    ok = 7 * o >= 3 * (n[a][:, None] + n[b][None, :])
+    linked = np.zeros(len(n))
+    if i == j:
+        np.fill_diagonal(ok, False)
+    else:
+        linked[b] = size[a] @ ok
+    linked[a] = ok @ size[b]
+    some = np.flatnonzero(linked)
+    return pa.table({"sid": table.column("sid").take(pa.array(some)), "linked": pa.array(linked[some].astype(np.int64))})
+
+
+def _links_by_class(members: DataFrame) -> DataFrame:
+    """``sid, linked``: rows of other classes that link with each class of
+    ``members`` (``label, sid, n, size, toks``); classes without a link may lack."""
+    band = F.floor(F.log("n") / F.log(F.lit(4 / 3))).cast("int")
+    lists = members.withColumn("own_band", band).select("label", "sid", "n", "size", "toks", F.inline(F.array(
+        F.struct(F.col("own_band").alias("band"), F.lit(False).alias("visitor")),
+        F.struct((F.col("own_band") - 1).alias("band"), F.lit(True).alias("visitor")))))
+
+    def blocks(which):
+        return F.ceil(F.greatest(F.count_if(which) / BLOCK, F.sum(F.when(which, F.col("n")).otherwise(0)) / BLOCK_SHINGLES)).cast("int")
+    sizes = (lists.groupBy("label", "band")
+             .agg(blocks(~F.col("visitor")).alias("own"), blocks(F.col("visitor")).alias("visiting"), F.count(F.lit(1)).alias("rows"))
+             .where("own > 0 and rows > 1").drop("rows"))
+    hashed = F.xxhash64("sid", F.lit(WIDTH))
+    lists = (lists.join(sizes, ["label", "band"])
+             .withColumn("block", F.when(F.col("visitor"), F.col("own") + F.pmod(hashed, F.col("visiting")))
+                         .otherwise(F.pmod(hashed, F.col("own"))).cast("int"))
+             .withColumn("others", F.col("own") + F.when(F.col("visitor"), 0).otherwise(F.col("visiting"))))
+    work = lists.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("others") - 1))).select(
+        "label", "band", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "sid", "size", "toks")
+    return (work.groupBy("label", "band", "i", "j").applyInArrow(_count_links, "sid binary, linked long")
+            .groupBy("sid").agg(F.sum("linked").alias("linked")))
+
+
 def jaccard_components(docs: DataFrame, width: int = WIDTH, n_buckets: int | None = None) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row of ``docs``
     (``doc_id``, ``text``; other columns are ignored, so names can't clash).
@@ -212,6 +289,30 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, n_buckets: int | Non
     row whose doc_id is null counts for links, but never names a component
     (null where no member has an id, as for an unlinked row). Empty table:
     empty result."""
+    return _by_row(*_join(docs, width, n_buckets)[:2])
+
+
+def jaccard_links(docs: DataFrame, width: int = WIDTH, n_buckets: int | None = None) -> DataFrame:
+    """``doc_id, n_shingles, component_id, n_links`` for each row of ``docs``:
+    the rows of ``jaccard_components`` with the number of other rows that each
+    links with, copies counted one by one (0 for null or blank text)."""
+    rows, by_class, sets = _join(docs, width, n_buckets)
+    by_class = cut_lineage(by_class, "components")
+    linked = _links_by_class(by_class.where("in_group").select("label", "sid", "size").join(sets, "sid"))
+    by_class = (by_class.join(linked, "sid", "left")
+                .withColumn("n_links", F.coalesce("linked", F.lit(0)) + F.col("size") - 1))
+    return _by_row(rows, by_class, F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def _by_row(rows: DataFrame, by_class: DataFrame, *more) -> DataFrame:
+    return (rows.join(by_class, "sid", "left")
+            .select("doc_id", rows.n.alias("n_shingles"),
+                    F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), *more))
+
+
+def _join(docs: DataFrame, width: int, n_buckets: int | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with their class; classes with rows, component and its least id;
+    whole sets of the classes that may link."""
     spark = docs.sparkSession
     n_buckets = n_buckets or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -220,7 +321,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, n_buckets: int | Non
         _class_rows(width), "doc_id long, th long, n long, n_low long, sid binary"), "classes")
     reps = (rows.where("sid is not null").groupBy("sid")
             .agg(F.min("doc_id").alias("least_id"), F.min(F.struct("th", "doc_id")).alias("at"),
-                 F.first("n").alias("n"), F.first("n_low").alias("n_low")))
+                 F.first("n").alias("n"), F.first("n_low").alias("n_low"), F.count(F.lit(1)).alias("size")))
 
     # 2. document frequencies of the low range; only shared shingles return
     shared = (text.select("text").mapInArrow(_blob_rows(width, n_buckets), "bucket int, tok binary, loc binary, ids binary")
@@ -326,13 +427,10 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, n_buckets: int | Non
     final = connected_components(links)
 
     # smallest doc_id of each component, by class first (copies combine map-side)
-    named = (reps.select("sid", "least_id").join(final.withColumnRenamed("node", "sid"), "sid", "left")
-             .withColumn("label", F.coalesce("label", "sid")))
+    named = (reps.select("sid", "least_id", "size").join(final.withColumnRenamed("node", "sid"), "sid", "left")
+             .withColumn("in_group", F.col("label").isNotNull()).withColumn("label", F.coalesce("label", "sid")))
     least = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    by_class = named.join(least, "label").select("sid", "component_id")
-    return (rows.join(by_class, "sid", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+    return rows, named.join(least, "label").select("sid", "label", "in_group", "size", "component_id"), sets
 
 
 def keep_first(docs: DataFrame, width: int = WIDTH) -> DataFrame:

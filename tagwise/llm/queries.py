@@ -15,7 +15,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
+    return ngram_join.jaccard_links(_table(spark, sf_dir, "documents"))
 
 
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,8 +64,32 @@ def test_chain_of_edits(spark, words):
     assert got == expect(rows)
 
 
+@pytest.mark.parametrize("block, held, few", [(1024, 1 << 20, 12), (3, 500, 2)])
+def test_jaccard_links_equal_brute_force(spark, docs, rows, words, monkeypatch, block, held, few):
+    """Every link of every row: copies, a star and a chain of edits, a dense group."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", held)
+    monkeypatch.setattr(ngram_join, "FEW", few)
+    more, cur = [], [f"w{i}" for i in range(60)]
+    for k in range(40):
+        cur = list(cur)
+        cur[(7 * k) % 60] = f"x{k}"
+        more.append((1000 + k, " ".join(cur[:60 - k % 9])))
+    dense = [words[(3 * i) % 400] for i in range(90)]
+    more += [(2000 + k, " ".join([*dense[:(5 * k) % 90], f"own{k}", *dense[(5 * k) % 90 + 1:]])) for k in range(50)]
+    both = [*((r[0], r[1]) for r in rows), *more]
+    sets = [shingles(r[1]) for r in both]
+    n = [sum(jaccard(a, b) for j, b in enumerate(sets) if j != i) for i, a in enumerate(sets)]
+    want = sorted(((*r[:1], len(x), m) for r, x, m in zip(both, sets, n)), key=key)
+    df = docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string"))
+    got = ngram_join.jaccard_links(df, n_buckets=5)
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
+    assert sorted(((r["doc_id"], r["n_shingles"], r["n_links"]) for r in got.collect()), key=key) == want
+
+
 def test_join_on_empty_table(empty):
     assert ngram_join.jaccard_components(empty).collect() == []
+    assert ngram_join.jaccard_links(empty).collect() == []
     assert ngram_join.keep_first(empty).columns == empty.columns
 
 
