@@ -20,10 +20,12 @@ from pyspark.sql import functions as F
 
 from tagwise.llm.charcodes import Folded, counted, point_slices
 from tagwise.llm.ship import Shipped
+from tagwise.session import cut_lineage
 
 PROFILE = 300
 MAX_LANGS = 256
-REJECT = 0.15           # a document below this score has no sure language
+REJECT = 0.15           # a document below this score has no sure language, whatever its language's own limit
+LOW_SCORE, MARGIN = 0.05, 0.15      # a language's own limit: this quantile of its learning texts' scores, less the margin
 FOLD_MOD, FOLD_REST = 5, 0
 
 
@@ -174,6 +176,19 @@ def predict(docs: DataFrame, profiles: Profiles, keep: list[str] | None = None)
     return src.select(*dict.fromkeys([*keep, "text"])).mapInArrow(_predict_rows(shared, keep), schema)
 
 
+def score_limits(scored: DataFrame) -> dict[str, float]:
+    """The least sure score of each language, from the scores of the rows that
+    profiles are learned from and that are recognised. Short clean texts score
+    lower than long ones; the margin is for them."""
+    rows = (scored.where((F.col("lang").cast("string") == F.col("lang_pred")) & ~in_fold()).groupBy("lang_pred")
+            .agg(F.percentile_approx("score", LOW_SCORE, 10_000).alias("low")).collect())
+    return {r["lang_pred"]: r["low"] - MARGIN for r in rows}
+
+
 def keep_identified(docs: DataFrame, least: float = REJECT) -> DataFrame:
-    """Rows of ``docs`` with a sure language, all columns."""
-    return predict(docs, learn(docs)).where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*docs.columns)
+    """Rows of ``docs`` with a sure language, all columns: the score reaches
+    ``least`` and the limit of the language found (``score_limits``)."""
+    scored = cut_lineage(predict(docs, learn(docs)), "languages")
+    limits = [F.lit(x) for lang, low in score_limits(scored).items() for x in (lang, max(least, low))]
+    limit = F.coalesce(F.create_map(*limits)[F.col("lang_pred")], F.lit(least)) if limits else F.lit(least)
+    return scored.where((F.col("lang_pred") != "und") & (F.col("score") >= limit)).select(*docs.columns)

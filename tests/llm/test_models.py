@@ -84,6 +84,22 @@ def test_language_profiles(tongues, empty):
     assert {r["lang_pred"] for r in langid.predict(tongues, langid.learn(empty)).collect()} == {"und"}
 
 
+def test_keep_identified_rejects_unlearned_text(spark, tongues):
+    """Random letters and a language that was not learned, of the learned letters."""
+    rng = random.Random(8)
+    letters, strange = "abilmo", ["ab", "ol", "im"]
+    rows = [(2000 + i, " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(40)), None) for i in range(40)]
+    rows += [(3000 + i, " ".join("".join(rng.choice(strange) for _ in range(rng.randint(1, 4))) for _ in range(40)), None) for i in range(40)]
+    more = tongues.union(spark.createDataFrame(rows, tongues.schema))
+    scores = {r["doc_id"]: r["score"] for r in langid.predict(more, langid.learn(more)).collect()}
+    print("passed by the one limit for all:", sum(scores[r[0]] >= langid.REJECT for r in rows), "of", len(rows))
+    assert sum(scores[r[0]] >= langid.REJECT for r in rows) > len(rows) / 2
+    kept = {r["doc_id"] for r in langid.keep_identified(more).collect()}
+    clean, wrong = sum(i in kept for i in range(300)) / 300, sum(r[0] in kept for r in rows) / len(rows)
+    print(f"clean texts kept {clean:.4f}, others kept {wrong:.4f}")
+    assert clean >= 0.99 and wrong <= 0.05
+
+
 def test_out_of_place_distance_by_hand():
     """Against a plain count of n-grams and ranks."""
     import pyarrow as pa
