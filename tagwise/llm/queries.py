@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagwise.llm import bpe, chat, gam, kneser_ney, langid, lattice, mixing, ngram_join, pivots, sharding
+from tagwise.llm import (bpe, chat, fim, gam, kneser_ney, langid, lattice, merkle, mixing, ngram_join, pivots,
+                         sharding, topk)
 from tagwise.llm.oracle import ORACLE  # noqa: F401
 
 
@@ -91,6 +92,25 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    even = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(2)) == 0
+    claim = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    m = merkle.manifest(_table(spark, sf_dir, "documents"), {"text": claim})
+    return merkle.verify(m).select(F.col("key").alias("doc_id"), "leaf", "subroot", "root",
+                                   F.sha2(F.lower(F.hex("proof")), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = fim.transform(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars",
+                       F.sha2("fim.output", 256).alias("output_sha256"),
+                       F.sha2(fim.restore(F.col("fim.output"), F.col("fim.form")), 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -102,4 +122,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_chat": op9_chat,
     "op10_lm_score": op10_lm_score,
+    "op11_merkle": op11_merkle,
+    "op12_topk": op12_topk,
+    "op13_fim": op13_fim,
 }
