@@ -5,10 +5,12 @@ A batch of queries is a DataFrame end to end; nothing is collected.
 Containment (``contains(tags, key)``): keys hold no spaces, so every match
 lies inside one space-separated word of the tags. Matching runs as equi
 joins: each key picks its rarest character n-gram (n = min(3, len)), joins
-the n-gram index of the distinct tag words, verifies ``contains`` on the
-candidate words, then maps words to items through the (item, word) table.
+the distinct tag words that hold it and verifies ``contains`` on them. Results
+stay (key, word) as long as an operator needs no items; words are mapped to
+items through the (item, word) table.
 
-Fuzzy titles (Levenshtein ratio >= cutoff): a ratio >= c needs at least
+Fuzzy titles: the best title by common blocks (``fuzzy_title_ratio``), which
+all searches use, or by edits. For the latter (Levenshtein ratio >= cutoff): a ratio >= c needs at least
 ceil(c * |s|) shared characters (as multisets), so by the prefix-filter
 principle two matching strings share a character-occurrence token among
 their first |s| - ceil(c*|s|) + 1 rarest tokens. Candidates come from an
@@ -17,6 +19,9 @@ equi join on those tokens; ``levenshtein`` verifies them.
 
 from __future__ import annotations
 
+import math
+from difflib import SequenceMatcher
+
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
@@ -49,37 +54,56 @@ def tag_words(items: DataFrame, id_col: str = "movie_id", text_col: str = "tags"
             .filter(F.col("word") != ""))
 
 
-def gram_index(words: DataFrame) -> DataFrame:
-    """(word, g, n, gdf): 1-, 2- and 3-grams of every distinct word with the
-    number of distinct words holding each gram."""
-    dw = words.select("word").distinct()
-    parts = []
-    for n in (1, 2, 3):
-        parts.append(dw.filter(F.char_length("word") >= n)
-                     .select("word", F.explode(F.array_distinct(_grams("word", n))).alias("g"),
-                             F.lit(n).alias("n")))
-    idx = parts[0].unionByName(parts[1]).unionByName(parts[2])
+def word_table(words: DataFrame) -> DataFrame:
+    """(word, items, len): every distinct word, the items that hold it, and
+    its length."""
+    return (words.groupBy("word").agg(F.count(F.lit(1)).alias("items"))
+            .withColumn("len", F.char_length("word")))
+
+
+def contains_words(keys: DataFrame, index: DataFrame) -> DataFrame:
+    """keys (kid, key) x distinct words -> (kid, word, items) for words that
+    contain the key. Keys must be non-empty and hold no space.
+
+    Only words reach the result, so a key in a third of all items costs no
+    (key, item) rows; keys longer than the longest word and grams that no key
+    asks for are dropped before the join."""
+    longest = index.agg(F.max("len")).first()[0] or 0
+    keys = keys.filter(F.char_length("key") <= longest)
+    width = F.least(F.char_length("key"), F.lit(3))
+    kg = cut_lineage(keys.select("kid", "key", F.explode(F.array_distinct(F.when(F.char_length("key") < 3, F.array("key"))
+                                                                          .otherwise(_grams("key", 3)))).alias("g"), width.alias("n")), "key_grams")
+    asked = kg.select("g").distinct()
+    idx = index.select("word", "items", F.lit(None).cast("string").alias("g")).limit(0)
+    for r in kg.select("n").distinct().orderBy("n").collect():      # 1, 2, 3 at most
+        idx = idx.unionByName(index.filter(F.col("len") >= r["n"])
+                              .select("word", "items", F.explode(F.array_distinct(_grams("word", r["n"]))).alias("g")))
+    idx = cut_lineage(idx.join(asked, "g", "left_semi"), "grams")
     gdf = idx.groupBy("g").agg(F.count(F.lit(1)).alias("gdf"))
-    return idx.join(gdf, "g")
-
-
-def contains_join(keys: DataFrame, words: DataFrame, index: DataFrame) -> DataFrame:
-    """keys (kid, key) x items -> (kid, id) for items whose text contains key.
-    Keys must be non-empty and hold no space."""
-    gd = index.select("g", "gdf").distinct()
-    kn = F.least(F.char_length("key"), F.lit(3))
-    kg = (keys.select("kid", "key", F.explode(F.array_distinct(_grams("key", 3))).alias("g"))
-          .unionByName(keys.filter(F.char_length("key") < 3)
-                       .select("kid", "key", F.col("key").alias("g"))))
-    kg = kg.filter(F.char_length("g") == kn).join(gd, "g", "left")
     # a gram that no word holds means no match at all
-    best = (kg.groupBy("kid", "key")
+    best = (kg.join(gdf, "g", "left").groupBy("kid", "key")
             .agg(F.min_by("g", F.struct(F.coalesce("gdf", F.lit(0)), "g")).alias("g"),
                  F.min(F.coalesce("gdf", F.lit(0))).alias("gdf"))
             .filter(F.col("gdf") > 0))
-    cand = best.join(index.select("g", "word"), "g")
-    hit_words = cand.filter(F.col("word").contains(F.col("key"))).select("kid", "word")
-    return hit_words.join(words, "word").select("kid", "id").distinct()
+    return best.join(idx, "g").filter(F.col("word").contains(F.col("key"))).select("kid", "word", "items")
+
+
+def contains_join(keys: DataFrame, words: DataFrame, index: DataFrame) -> DataFrame:
+    """keys (kid, key) x items -> (kid, id) for items whose text contains key."""
+    return contains_words(keys, index).join(words, "word").select("kid", "id").distinct()
+
+
+def keys_in_items(keys: DataFrame, words: DataFrame, index: DataFrame, least: int) -> DataFrame:
+    """(kid) of the keys that at least ``least`` items contain. A word held
+    by so many items decides alone; items are counted only for keys whose
+    words are all rarer, so no key meets more than ``least`` items per word."""
+    hit = cut_lineage(contains_words(keys, index), "hit_words")
+    per = hit.groupBy("kid").agg(F.max("items").alias("most"), F.sum("items").alias("total"))
+    sure = per.filter(F.col("most") >= least).select("kid")
+    rare = hit.join(per.filter((F.col("most") < least) & (F.col("total") >= least)).select("kid"), "kid", "left_semi")
+    few = (rare.join(words, "word").groupBy("kid").agg(F.count_distinct("id").alias("n"))
+           .filter(F.col("n") >= least).select("kid"))
+    return sure.unionByName(few)
 
 
 # ---------------------------------------------------------------------------
@@ -136,6 +160,93 @@ def fuzzy_title_match(queries: DataFrame, titles: DataFrame, cutoff: float = FUZ
     return exact.unionByName(fuzzy)
 
 
+LENGTH_BAND = 1.25      # titles whose lengths lie within this factor share a join key
+
+
+def _shared(counts: str, title: str):
+    """Characters that the title shares with the query's (character, count)
+    list, as multisets: the most that common blocks can hold."""
+    held = lambda c: F.char_length(title) - F.char_length(F.replace(F.col(title), c, F.lit("")))
+    return F.aggregate(counts, F.lit(0), lambda a, x: a + F.least(x["n"], held(x["c"])))
+
+
+_BEST = T.StructType([T.StructField("kid", T.LongType()), T.StructField("matched", T.StringType()),
+                      T.StructField("ratio", T.DoubleType()), T.StructField("candidates", T.LongType()),
+                      T.StructField("scored", T.LongType())])
+
+
+def _best_title(cutoff: float):
+    """Rows sorted by query and falling bound -> each query's best title here.
+    A bound below the best ratio so far ends the query's scoring; an equal one
+    does not, as equal ratios go to the larger title."""
+    def fn(batches):
+        kid = matched = None
+        ratio, seen, scored, blocks = 0.0, 0, 0, SequenceMatcher(None)
+        for pdf in batches:
+            out = []
+            for k, q, title, bound in zip(pdf["kid"], pdf["q"], pdf["cand"], pdf["bound"]):
+                if k != kid:
+                    if kid is not None:
+                        out.append((kid, matched, ratio, seen, scored))
+                    kid, matched, ratio, seen, scored = k, None, 0.0, 0, 0
+                    blocks.set_seq2(q)
+                seen += 1
+                if bound < ratio:
+                    continue
+                blocks.set_seq1(title)
+                scored += 1
+                r = blocks.ratio()
+                if r >= cutoff and (r, title) > (ratio, matched or ""):
+                    ratio, matched = r, title
+            if out:
+                yield pd.DataFrame(out, columns=_BEST.fieldNames())
+        if kid is not None:
+            yield pd.DataFrame([(kid, matched, ratio, seen, scored)], columns=_BEST.fieldNames())
+    return fn
+
+
+def fuzzy_title_ratio(queries: DataFrame, titles: DataFrame, cutoff: float = FUZZY_CUTOFF) -> DataFrame:
+    """queries (kid, q) x titles (title) -> (kid, matched, ratio, candidates,
+    scored): the best title by the ratio 2 * M / (length + length), M = the
+    characters in common blocks (longest block first, then left and right of
+    it), ratio >= cutoff; ties -> larger string.
+
+    An identical title is the best one and is found by an equi join. For the
+    other queries M is bounded by the shorter string and by the characters
+    shared as multisets: the first bound is an equi join on bands of the
+    admissible lengths, the second an expression on its rows, and only pairs that pass
+    both (``candidates``) reach a task's scoring. There they are scored by falling bound,
+    and a bound below the best ratio so far saves the scoring (``scored``
+    counts the others). Each task returns its best title per query, so no group
+    of titles of one query or one length is ever collected. Queries or titles
+    that are null or empty match nothing."""
+    tl = titles.select(F.col("title").alias("t")).filter("t <> ''").distinct()
+    queries = queries.select("kid", "q").filter("q <> ''")
+    exact = queries.join(tl, queries["q"] == tl["t"]).select(
+        "kid", F.col("t").alias("matched"), F.lit(1.0).alias("ratio"), F.lit(0).cast("long").alias("candidates"),
+        F.lit(0).cast("long").alias("scored"))
+    rest = queries.join(exact.select("kid"), "kid", "left_anti")
+    lq = F.char_length("q")
+    spread = (2 - cutoff) / cutoff      # the longer string's length over the shorter one's, at most
+    band = lambda n: F.floor(F.log(F.greatest(n, F.lit(1)).cast("double")) / F.lit(math.log(LENGTH_BAND))).cast("int")
+    chars = F.array_distinct(F.filter(F.split("q", ""), lambda c: c != ""))
+    counts = F.transform(chars, lambda c: F.struct(c.alias("c"), (lq - F.char_length(F.replace(F.col("q"), c, F.lit("")))).alias("n")))
+    asked = rest.select("kid", "q", lq.alias("lq"), counts.alias("counts"),
+                        F.explode(F.sequence(band(F.floor(lq / spread)), band(F.ceil(lq * spread)))).alias("band"))
+    bound = lambda most: F.lit(2.0) * most / (F.col("lq") + F.col("lt"))
+    lt = F.char_length("t")
+    pairs = (asked.join(tl.select(F.col("t").alias("cand"), lt.alias("lt"), band(lt).alias("band")), "band")
+             .filter(bound(F.least("lq", "lt")) >= cutoff)
+             .withColumn("bound", bound(_shared("counts", "cand"))).filter(F.col("bound") >= cutoff)
+             .select("kid", "q", "cand", "bound"))
+    best = pairs.sortWithinPartitions("kid", F.desc("bound")).mapInPandas(_best_title(cutoff), _BEST)
+    fuzzy = (best.groupBy("kid")
+             .agg(F.max_by("matched", F.struct("ratio", "matched")).alias("matched"), F.max("ratio").alias("ratio"),
+                  F.sum("candidates").alias("candidates"), F.sum("scored").alias("scored"))
+             .filter(F.col("matched").isNotNull()))
+    return exact.unionByName(fuzzy)
+
+
 # ---------------------------------------------------------------------------
 # routing
 # ---------------------------------------------------------------------------
@@ -158,15 +269,15 @@ def route_query(queries: DataFrame, cat: DataFrame, genre_vocab: DataFrame,
                                                     F.lit(True).alias("is_genre"))), "q", "left")
     c = g.join(F.broadcast(char_map.select(F.col("character").alias("q"), "actor")), "q", "left")
     keys = queries.filter(F.col("squeezed") != "").select("kid", F.col("squeezed").alias("key"))
-    hits = contains_join(keys, words, index).groupBy("kid").agg(F.count(F.lit(1)).alias("hits"))
+    hits = keys_in_items(keys, words, index, min_hits).withColumn("is_held", F.lit(True))
     sq_titles = cat.select(tx.squeeze(F.lower("title")).alias("squeezed")).distinct() \
         .withColumn("is_title", F.lit(True))
-    person_pre = (F.coalesce("hits", F.lit(0)) >= min_hits) & F.col("is_title").isNull()
+    person_pre = F.col("is_held").isNotNull() & F.col("is_title").isNull()
     early = cut_lineage(c.join(hits, "kid", "left").join(sq_titles, "squeezed", "left").withColumn("person_pre", person_pre), "early")
     # titles are matched only for queries that no earlier step has taken
     rest = early.filter(F.col("is_genre").isNull() & F.col("actor").isNull() & ~F.col("person_pre"))
     titles = cat.select(F.lower("title").alias("title"))
-    x = early.join(fuzzy_title_match(rest.select("kid", "q"), titles, cutoff), "kid", "left")
+    x = early.join(fuzzy_title_ratio(rest.select("kid", "q"), titles, cutoff), "kid", "left")
     route = (F.when(F.col("is_genre"), "genre")
              .when(F.col("actor").isNotNull(), "character")
              .when(F.col("person_pre"), "person")
@@ -200,7 +311,7 @@ def search_by_genre(routed: DataFrame, cat: DataFrame, alias_map: DataFrame,
     gkeys = terms.filter(F.col("term") != "").select(
         F.xxhash64("kid", "tpos").alias("tk"), "kid", "term")
     gh = contains_join(gkeys.select(F.col("tk").alias("kid"), F.col("term").alias("key")),
-                       gwords, gram_index(gwords))
+                       gwords, word_table(gwords))
     by_genre = (gh.join(gkeys.select(F.col("tk").alias("kid"), F.col("kid").alias("qk")), "kid")
                 .select(F.col("qk").alias("kid"), "id").distinct()
                 .join(cat.select(F.col("movie_id").alias("id"), "title"), "id")

@@ -546,15 +546,17 @@ def lookups(spark, cat):
     return gv, cm, am
 
 
-def search_context(spark, sf_dir, with_vectors=False):
-    """Catalog, word table, gram index, query batch and routing feed a dozen
+def search_context(spark, sf_dir, route=True):
+    """Catalog, (item, word) rows, distinct words, query batch and routing feed a dozen
     joins each; they are written once to the checkpoint folder so every
     later reference is a file scan (reusing cached plans instead makes the
     plan tree grow with every reference)."""
     cat = sim.cut_lineage(derived.documents_catalog(spark, sf_dir), "catalog")
     words = sim.cut_lineage(SR.tag_words(cat), "words")
-    index = sim.cut_lineage(SR.gram_index(words), "grams")
+    index = sim.cut_lineage(SR.word_table(words), "word_table")
     q = sim.cut_lineage(SR.prepare_queries(query_batch(spark, sf_dir)), "queries")
+    if not route:
+        return cat, words, index, q, None, None
     gv, cm, am = lookups(spark, cat)
     routed = sim.cut_lineage(SR.route_query(q, cat, gv, cm, words, index), "routed")
     return cat, words, index, q, routed, am
@@ -578,7 +580,7 @@ def q_blank_query_guard(spark, sf_dir):
 
 @query("query_item_contains")
 def q_query_item_contains(spark, sf_dir):
-    cat, words, index, q, _, _ = search_context(spark, sf_dir)
+    cat, words, index, q, _, _ = search_context(spark, sf_dir, route=False)
     keys = q.filter(F.col("squeezed") != "").select("kid", F.col("squeezed").alias("key"))
     hits = SR.contains_join(keys, words, index)
     return hits.join(q, "kid").select("query", F.col("id").alias("movie_id"))
@@ -586,11 +588,20 @@ def q_query_item_contains(spark, sf_dir):
 
 @query("fuzzy_title_levenshtein")
 def q_fuzzy_title(spark, sf_dir):
-    cat, _, _, q, _, _ = search_context(spark, sf_dir)
+    cat, _, _, q, _, _ = search_context(spark, sf_dir, route=False)
     fz = SR.fuzzy_title_match(q.select("kid", "q"), cat.select(F.lower("title").alias("title")))
     return fz.join(q, "kid").select("query", "matched", r6("ratio").alias("ratio"))
 
 
+@query("fuzzy_title_ratio")
+def q_fuzzy_ratio(spark, sf_dir):
+    """Best title of every query by common blocks; ``candidates`` = the pairs
+    that both bounds leave (0 where the title itself is in the catalog)."""
+    cat, _, _, q, _, _ = search_context(spark, sf_dir, route=False)
+    fz = SR.fuzzy_title_ratio(q.select("kid", "q"), cat.select(F.lower("title").alias("title")))
+    return fz.join(q, "kid").select("query", "matched", r6("ratio").alias("ratio"), "candidates")
+
+
 @query("search_by_genre")
 def q_search_by_genre(spark, sf_dir):
     cat, words, index, _, routed, am = search_context(spark, sf_dir)
@@ -992,6 +1003,6 @@ def q_genre_filter(spark, sf_dir):
         .filter(F.col("word") != "")
     tk = terms.select(F.xxhash64("kid", "term").alias("tk"), "query", "term")
     hits = SR.contains_join(tk.select(F.col("tk").alias("kid"), F.col("term").alias("key")),
-                            gwords, SR.gram_index(gwords))
+                            gwords, SR.word_table(gwords))
     return (hits.join(tk.select(F.col("tk").alias("kid"), "query"), "kid")
             .select("query", F.col("id").alias("movie_id")).distinct())

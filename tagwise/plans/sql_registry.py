@@ -20,8 +20,8 @@ def wc(x: str) -> str:
     return f"len(list_filter(string_split_regex({x}, '{UWS}'), lambda w: w <> ''))"
 
 
-CAT = f"WITH {O.catalog_cte()}"
-TFIDF = f"WITH {O.catalog_cte()},{O.tfidf_ctes()}"
+CAT = f"WITH RECURSIVE {O.catalog_cte()}"
+TFIDF = f"WITH RECURSIVE {O.catalog_cte()},{O.tfidf_ctes()}"
 
 FEEDBACK = """
 fbk AS (
@@ -487,15 +487,31 @@ hits AS (SELECT q.query, count(*) AS hits FROM q JOIN cat ON q.sq <> '' AND cont
 stt AS (SELECT DISTINCT replace(replace(lower(title), ' ', ''), '-', '') AS sq FROM cat),
 tl AS (SELECT DISTINCT lower(title) AS t FROM cat),
 fzx AS (SELECT q.query, tl.t FROM q JOIN tl ON tl.t = q.q WHERE q.q <> ''),
-fzc AS (SELECT q.query, q.q, tl.t FROM q, tl
-        WHERE q.query NOT IN (SELECT query FROM fzx) AND length(tl.t) > 0 AND least(length(q.q), length(tl.t)) >= {FX.FUZZY_CUTOFF} * greatest(length(q.q), length(tl.t))
-          -- multiset bound: each edit removes at most one surplus character
-          AND greatest({excess('q.q', 'tl.t')}, {excess('tl.t', 'q.q')})
-              <= {1 - FX.FUZZY_CUTOFF} * greatest(length(q.q), length(tl.t)) + 1e-9),
-fz0 AS (SELECT query, t, 1 - (CASE WHEN strlen(q) = length(q) AND strlen(t) = length(t) THEN levenshtein(q, t)
-                                   ELSE {lev('q', 't')} END) / greatest(length(q), length(t)) AS ratio
-        FROM fzc UNION ALL SELECT query, t, 1.0 FROM fzx),
-fz AS (SELECT query, t AS matched, ratio FROM fz0 WHERE ratio >= {FX.FUZZY_CUTOFF} - 1e-12
+-- pairs within the two bounds of the ratio: lengths, and characters shared as multisets
+fzc AS (SELECT row_number() OVER () AS pair, * FROM (
+          SELECT q.query, q.q, tl.t FROM q, tl
+          WHERE q.query NOT IN (SELECT query FROM fzx) AND length(tl.t) > 0
+            AND 2.0 * least(length(q.q), length(tl.t)) / (length(q.q) + length(tl.t)) >= {FX.FUZZY_CUTOFF}
+            AND 2.0 * (length(tl.t) - {excess('tl.t', 'q.q')}) / (length(q.q) + length(tl.t)) >= {FX.FUZZY_CUTOFF})),
+-- equal characters, in diagonal runs (i: in the title, j: in the query)
+fzg AS (SELECT pair, d, min(i) AS s, max(i) + 1 AS e FROM (
+          SELECT pair, i, i - j AS d, i - row_number() OVER (PARTITION BY pair, i - j ORDER BY i) AS run FROM (
+            SELECT a.pair, a.i, b.j FROM (SELECT pair, unnest(string_split(t, '')) AS c, generate_subscripts(string_split(t, ''), 1) AS i FROM fzc) a
+            JOIN (SELECT pair, unnest(string_split(q, '')) AS c, generate_subscripts(string_split(q, ''), 1) AS j FROM fzc) b ON a.pair = b.pair AND a.c = b.c))
+        GROUP BY pair, d, run),
+-- the longest run inside a range (first in the title, then in the query), then the ranges left and right of it
+fzb AS (
+  SELECT pair, 1 AS alo, length(t) + 1 AS ahi, 1 AS blo, length(q) + 1 AS bhi, 0 AS n FROM fzc
+  UNION ALL
+  SELECT pair, CASE side WHEN 0 THEN alo ELSE best.i - best.len END, CASE side WHEN 0 THEN best.i ELSE ahi END,
+         CASE side WHEN 0 THEN blo ELSE best.j - best.len END, CASE side WHEN 0 THEN best.j ELSE bhi END, CASE side WHEN 0 THEN -best.len ELSE 0 END
+  FROM (SELECT pair, alo, ahi, blo, bhi, min({{'len': -len, 'i': i, 'j': i - d}}) AS best FROM (
+          SELECT b.*, g.d, greatest(g.s, b.alo, b.blo + g.d) AS i, least(g.e, b.ahi, b.bhi + g.d) - greatest(g.s, b.alo, b.blo + g.d) AS len
+          FROM fzb b JOIN fzg g ON g.pair = b.pair) WHERE len > 0
+        GROUP BY pair, alo, ahi, blo, bhi), (VALUES (0), (1)) sides(side)),
+fz0 AS (SELECT c.query, c.t, 2.0 * m.n / (length(c.q) + length(c.t)) AS ratio
+        FROM fzc c JOIN (SELECT pair, sum(n)::DOUBLE AS n FROM fzb GROUP BY pair) m USING (pair) UNION ALL SELECT query, t, 1.0 FROM fzx),
+fz AS (SELECT query, t AS matched, ratio FROM fz0 WHERE ratio >= {FX.FUZZY_CUTOFF}
        QUALIFY row_number() OVER (PARTITION BY query ORDER BY ratio DESC, t DESC) = 1),
 routed AS (
   SELECT q.query, q.q, q.sq,
@@ -508,6 +524,18 @@ routed AS (
   FROM q LEFT JOIN cm ON cm.character = q.q LEFT JOIN hits h ON h.query = q.query
          LEFT JOIN fz ON fz.query = q.query)"""
 
+LEVENSHTEIN = f"""
+lvc AS (SELECT q.query, q.q, tl.t FROM q, tl
+        WHERE q.query NOT IN (SELECT query FROM fzx) AND length(tl.t) > 0 AND least(length(q.q), length(tl.t)) >= {FX.FUZZY_CUTOFF} * greatest(length(q.q), length(tl.t))
+          -- multiset bound: each edit removes at most one surplus character
+          AND greatest({excess('q.q', 'tl.t')}, {excess('tl.t', 'q.q')})
+              <= {1 - FX.FUZZY_CUTOFF} * greatest(length(q.q), length(tl.t)) + 1e-9),
+lv0 AS (SELECT query, t, 1 - (CASE WHEN strlen(q) = length(q) AND strlen(t) = length(t) THEN levenshtein(q, t)
+                                   ELSE {lev('q', 't')} END) / greatest(length(q), length(t)) AS ratio
+        FROM lvc UNION ALL SELECT query, t, 1.0 FROM fzx),
+lv AS (SELECT query, t AS matched, ratio FROM lv0 WHERE ratio >= {FX.FUZZY_CUTOFF} - 1e-12
+       QUALIFY row_number() OVER (PARTITION BY query ORDER BY ratio DESC, t DESC) = 1)"""
+
 GENRE = f"""
 gq AS (SELECT query, q FROM routed WHERE route = 'genre'),
 terms AS (
@@ -582,7 +610,10 @@ FROM (SELECT event_id, CASE WHEN event_type = 'error' AND event_id % 2 = 0 THEN
                             WHEN event_type <> 'error' THEN event_type || ' ' || props END AS query FROM events)""",
     "query_item_contains": f"""{CAT},{ROUTE}
 SELECT q.query, c.movie_id FROM q JOIN cat c ON q.sq <> '' AND contains(c.tags, q.sq)""",
-    "fuzzy_title_levenshtein": f"{CAT},{ROUTE} SELECT query, matched, round(ratio, 6) AS ratio FROM fz",
+    "fuzzy_title_levenshtein": f"{CAT},{ROUTE},{LEVENSHTEIN} SELECT query, matched, round(ratio, 6) AS ratio FROM lv",
+    "fuzzy_title_ratio": f"""{CAT},{ROUTE}
+SELECT fz.query, matched, round(ratio, 6) AS ratio, coalesce(n, 0)::BIGINT AS candidates
+FROM fz LEFT JOIN (SELECT query, count(*) AS n FROM fzc GROUP BY query) USING (query)""",
     "search_by_genre": f"{CAT},{ROUTE},{GENRE} SELECT query, route, pos, title, score FROM gres",
     "title_recommend": f"{SEARCH},{TITLE} SELECT query, route, pos, title, score FROM tres",
     "search_by_person": f"{SEARCH},{PERSON} SELECT query, route, pos, title, score FROM pres",

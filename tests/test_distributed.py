@@ -65,7 +65,7 @@ def test_contains_join_equals_brute_force(spark):
                                   "movie_id long, tags string")
     keys = spark.createDataFrame([(1, "beta"), (2, "a"), (3, "zz"), (4, "q"), (5, "ammag")], "kid long, key string")
     words = SR.tag_words(items)
-    got = {(r.kid, r.id) for r in SR.contains_join(keys, words, SR.gram_index(words)).collect()}
+    got = {(r.kid, r.id) for r in SR.contains_join(keys, words, SR.word_table(words)).collect()}
     want = {(k, i) for k, key in keys.collect() for i, t in items.collect() if key in t}
     assert got == want
 
