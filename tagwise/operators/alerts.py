@@ -35,21 +35,24 @@ def rules_table(spark: SparkSession) -> DataFrame:
 STEP = 60
 
 
+def count_columns(buckets: list[float] | None = None) -> list:
+    """What a step counts of the log."""
+    return [F.count(F.lit(1)).alias("total"),
+            F.count_if(F.col("status") == "error").alias("n_error"),
+            F.count_if(F.col("status") == "not_found").alias("n_not_found"),
+            F.count_if(F.col("status") == "success").alias("n_success"),
+            F.count_if(F.col("latency_ms") > MAX_LATENCY_MS).alias("n_violations"),
+            *[F.count_if(F.col("latency_ms") / 1000.0 <= b).alias(f"b{i}") for i, b in enumerate(buckets or REQUEST_LATENCY_BUCKETS)]]
+
+
 def step_counts(log: DataFrame, sizes: list[int], ts: str = "ts",
                 buckets: list[float] | None = None, step: int = STEP) -> DataFrame:
     """(window_seconds, evaluated_at, total, n_error, n_not_found, n_success,
     n_violations, b0..bk): evaluated_at = end of a step, counts over the
     ``window_seconds`` before it."""
-    buckets = buckets or REQUEST_LATENCY_BUCKETS
     us = step * 1_000_000
     k = F.floor(F.unix_micros(F.col(ts)) / us)
-    per = log.groupBy(k.alias("k")).agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("status") == "error").alias("n_error"),
-        F.count_if(F.col("status") == "not_found").alias("n_not_found"),
-        F.count_if(F.col("status") == "success").alias("n_success"),
-        F.count_if(F.col("latency_ms") > MAX_LATENCY_MS).alias("n_violations"),
-        *[F.count_if(F.col("latency_ms") / 1000.0 <= b).alias(f"b{i}") for i, b in enumerate(buckets)])
+    per = log.groupBy(k.alias("k")).agg(*count_columns(buckets))
     names = [c for c in per.columns if c != "k"]
     span = log.agg(F.floor(F.unix_micros(F.min(ts)) / us).alias("k0"), F.floor(F.unix_micros(F.max(ts)) / us).alias("k1"))
     all_sizes = F.explode(F.array(*[F.lit(w) for w in sizes])).alias("window_seconds")

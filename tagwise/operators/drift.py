@@ -95,12 +95,19 @@ def checkpoint_drift(checkpoints: DataFrame, baseline: DataFrame) -> DataFrame:
                     "success_rate", prate.alias("positive_rate"), drifted.alias("drift_detected"))
 
 
+def retrain_reason(verdicts: DataFrame) -> DataFrame:
+    """``verdicts`` with the reason of the retraining that each asks for (null:
+    none)."""
+    return verdicts.withColumn("retrain_reason", F.when(
+        F.col("drift_detected"), F.concat(F.lit("auto_drift_"), F.col("rn").cast("string"), F.lit("_requests"))))
+
+
 def retrain_requests(verdicts: DataFrame, triggered_by: str = "drift_detection") -> DataFrame:
     """Outbox rows for every drifted checkpoint (delivery is not built)."""
-    return (verdicts.filter("drift_detected")
+    return (retrain_reason(verdicts).filter("drift_detected")
             .select(F.concat(F.lit("retrain_"), F.date_format("ts", "yyyyMMdd_HHmmss"),
                              F.lit("_"), F.col("rn").cast("string")).alias("request_id"),
-                    F.lit("drift_detected").alias("reason"), F.lit(triggered_by).alias("triggered_by"),
+                    F.col("retrain_reason").alias("reason"), F.lit(triggered_by).alias("triggered_by"),
                     "ts", "rn"))
 
 

@@ -123,31 +123,60 @@ def favorites_count(pos: DataFrame, user: str = "user_id", item: str = "movie")
     return pos.groupBy(user).agg(F.count_distinct(item).alias("favorites"))
 
 
-def drift_checkpoints(search: DataFrame, positives: DataFrame, every: int = 10) -> DataFrame:
-    """Statistics over everything logged so far, evaluated at every
-    ``every``-th search row (order: time, then event id): running count,
-    query-length mean and population variance, success and not-found rates,
-    distinct queries so far and positives logged up to that time. Both logs
-    go through one prefix scan (positives sort first at equal times)."""
+LOG_TOTALS = ("n", "wc", "wc2", "succ", "nf", "new", "pos")
+LOG_TOTALS_SCHEMA = "n long, wc double, wc2 double, succ long, nf long, new long, pos long"
+
+
+def first_queries(search: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """(query, ts, event_id) of each query's first row, without queries of
+    ``seen``: a min aggregate (combined map-side, so a hot query is no hot
+    task)."""
+    f = search.groupBy("query").agg(F.min(F.struct("ts", "event_id")).alias("f"))
+    if seen is not None:
+        f = f.join(seen.select("query"), "query", "left_anti")
+    return f.select("query", F.col("f.ts").alias("ts"), F.col("f.event_id").alias("event_id"))
+
+
+def log_rows(search: DataFrame, positives: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Both logs in one table of what each row adds to the running totals
+    (positives sort first at equal times)."""
     wc = tx.word_count("query").cast("double")
-    # first occurrence of each query: a min aggregate (combined map-side, so a
-    # hot query is no hot task), joined back on the unique (ts, event_id)
-    firsts = (search.groupBy("query").agg(F.min(F.struct("ts", "event_id")).alias("f"))
-              .select(F.col("f.ts").alias("ts"), F.col("f.event_id").alias("event_id"),
-                      F.lit(1).cast("long").alias("is_new")))
-    srch = (search.join(firsts, ["ts", "event_id"], "left")
-            .select("ts", "event_id", F.lit(1).alias("kind"), wc.alias("wc"), F.col("status"),
-                    F.coalesce("is_new", F.lit(0).cast("long")).alias("is_new")))
-    pos = positives.select("ts", "event_id", F.lit(0).alias("kind"), F.lit(0.0).alias("wc"),
-                           F.lit(None).cast("string").alias("status"), F.lit(0).cast("long").alias("is_new"))
-    s = prefix_scan(srch.unionByName(pos), ["ts", "kind", "event_id"], {
-        "n": F.col("kind").cast("long"),
-        "wc": F.col("wc"), "wc2": F.col("wc") * F.col("wc"),
-        "succ": (F.col("status") == "success").cast("long"),
-        "nf": (F.col("status") == "not_found").cast("long"),
-        "new": F.col("is_new"),
-        "pos": (1 - F.col("kind")).cast("long")})
-    cp = s.filter((F.col("kind") == 1) & (F.col("cum_n") % every == 0))
+    new = firsts.select("ts", "event_id", F.lit(1).cast("long").alias("new"))      # joined back on the unique (ts, event_id)
+    srch = (search.join(new, ["ts", "event_id"], "left")
+            .select("ts", "event_id", F.lit(1).alias("kind"), F.lit(1).cast("long").alias("n"), wc.alias("wc"), (wc * wc).alias("wc2"),
+                    (F.col("status") == "success").cast("long").alias("succ"), (F.col("status") == "not_found").cast("long").alias("nf"),
+                    F.coalesce("new", F.lit(0).cast("long")).alias("new"), F.lit(0).cast("long").alias("pos")))
+    zero = [F.lit(0).cast("double" if c.startswith("wc") else "long").alias(c) for c in LOG_TOTALS[:-1]]
+    return srch.unionByName(positives.select("ts", "event_id", F.lit(0).alias("kind"), *zero, F.lit(1).cast("long").alias("pos")))
+
+
+def log_totals(rows: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """One row: the totals over ``rows`` and those ``before`` them."""
+    all_rows = rows.select(*LOG_TOTALS)
+    if before is not None:
+        all_rows = all_rows.unionByName(before.select(*LOG_TOTALS))
+    return all_rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("double" if c.startswith("wc") else "long").alias(c) for c in LOG_TOTALS])
+
+
+def drift_checkpoints(search: DataFrame, positives: DataFrame, every: int = 10, before: DataFrame | None = None,
+                      seen: DataFrame | None = None) -> DataFrame:
+    """Statistics over everything logged so far, at every ``every``-th search
+    row that is a success (only a success reaches the check; order: time, then
+    event id): running count, query-length mean and population variance,
+    success and not-found rates, distinct queries so far and positives logged
+    up to that time. Both logs go through one prefix scan.
+
+    A log that comes in pieces goes on from the totals ``before`` it (one
+    row) and the queries already ``seen``."""
+    return checkpoints_of(log_rows(search, positives, first_queries(search, seen)), every, before)
+
+
+def checkpoints_of(rows: DataFrame, every: int = 10, before: DataFrame | None = None) -> DataFrame:
+    s = prefix_scan(rows, ["ts", "kind", "event_id"], {c: F.col(c) for c in LOG_TOTALS})
+    if before is not None:      # one row
+        b = before.select(*[F.col(c).alias(f"before_{c}") for c in LOG_TOTALS])
+        s = s.crossJoin(F.broadcast(b)).withColumns({f"cum_{c}": F.col(f"cum_{c}") + F.col(f"before_{c}") for c in LOG_TOTALS})
+    cp = s.filter((F.col("kind") == 1) & (F.col("succ") == 1) & (F.col("cum_n") % every == 0))
     n = F.col("cum_n").cast("double")
     mean = F.col("cum_wc") / n
     return cp.select(

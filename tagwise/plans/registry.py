@@ -779,10 +779,13 @@ def q_gauge_alert(spark, sf_dir):
     return out
 
 
+UP_GAP_SECONDS = 15 * 60
+
+
 @query("up_alert")
 def q_up_alert(spark, sf_dir):
     s, _ = fb(spark, sf_dir)
-    u = AL.up_alert(s, 15 * 60)
+    u = AL.up_alert(s, UP_GAP_SECONDS)
     return u.select(ts_str("down_from").alias("down_from"), ts_str("up_again").alias("up_again"),
                     r6("gap_seconds").alias("gap_seconds"))
 
@@ -802,6 +805,7 @@ def q_model_not_ready(spark, sf_dir):
 # 2.11 Structured Streaming twins (file stream of events, availableNow)
 # ---------------------------------------------------------------------------
 
+from tagwise.streaming import alert_stream as AS  # noqa: E402
 from tagwise.streaming import feedback_stream as ST  # noqa: E402
 
 
@@ -841,7 +845,28 @@ def q_stream_alert_counts(spark, sf_dir):
 
 @query("stream_drift")
 def q_stream_drift(spark, sf_dir):
-    return ST.stream_drift(spark, sf_dir, catalog_baseline(spark, sf_dir))
+    """One verdict at each tenth request that is a success."""
+    d = ST.stream_drift(spark, sf_dir, catalog_baseline(spark, sf_dir))
+    return d.select("rn", ts_str("ts").alias("ts"), "mean_drift", "variance_drift", r6("success_rate").alias("success_rate"),
+                    "positive_rate", "drift_detected", "retrain_reason")
+
+
+@query("stream_alert_for_duration")
+def q_stream_alert_for_duration(spark, sf_dir):
+    """Rules on the log, fired on the stream."""
+    d = AS.alert_stream(ST.feedback_stream(spark, sf_dir), AL.rules_table(spark), RULE_SIZES)
+    return d.select("rule", "severity", ts_str("started_at").alias("started_at"), ts_str("fired_at").alias("fired_at"))
+
+
+@query("stream_up_alert")
+def q_stream_up_alert(spark, sf_dir):
+    """Silent targets: the backend (heartbeat: any request) and the monitor
+    (heartbeat: a sample of host 0, on which it runs)."""
+    e = ST.feedback_stream(spark, sf_dir)
+    target = F.explode(F.array_compact(F.array(F.lit("up_api"), F.when(F.col("user_id") % 3 == 0, "up_monitor"))))
+    d = AS.heartbeat_stream(e.select("ts", target.alias("target")), UP_GAP_SECONDS)
+    rules = AL.rules_table(spark).select(F.col("signal").alias("target"), "rule", "severity")
+    return d.join(F.broadcast(rules), "target").select("rule", "severity", ts_str("down_from").alias("down_from"), ts_str("fired_at").alias("fired_at"))
 
 
 # ---------------------------------------------------------------------------

@@ -79,7 +79,7 @@ cp AS (
          round(greatest(cum_wc2 / cum_n - (cum_wc / cum_n) * (cum_wc / cum_n), 0.0), 6) AS query_length_variance,
          round(cum_succ / cum_n, 6) AS success_rate, round(cum_nf / cum_n, 6) AS not_found_rate,
          cum_new AS unique_queries, cum_pos AS positive_count
-  FROM c WHERE kind = 1 AND cum_n % {FX.DRIFT_CHECK_EVERY} = 0)"""
+  FROM c WHERE kind = 1 AND status = 'success' AND cum_n % {FX.DRIFT_CHECK_EVERY} = 0)"""
 
 VERDICTS = f"""
 vd AS (
@@ -327,7 +327,7 @@ SELECT rn, strftime(ts, {TS}) AS ts, mean_drift, variance_drift, round(success_r
        positive_rate, drift_detected FROM vd2""",
     "retrain_requests": f"""{CAT},{FEEDBACK},{FSTATS},{CHECKPOINTS},{VERDICTS}
 SELECT 'retrain_' || strftime(ts, '%Y%m%d_%H%M%S') || '_' || rn::VARCHAR AS request_id,
-       'drift_detected' AS reason, 'drift_detection' AS triggered_by, strftime(ts, {TS}) AS ts, rn
+       'auto_drift_' || rn || '_requests' AS reason, 'drift_detection' AS triggered_by, strftime(ts, {TS}) AS ts, rn
 FROM vd2 WHERE drift_detected""",
     "quality_gate": f"""WITH {REGISTRY}
 SELECT version, genre_match_rate,
@@ -818,6 +818,19 @@ s AS (SELECT user_id, min(ts) AS st, max(ts) + INTERVAL 30 MINUTE AS en, count(*
              count_if(status = 'success') AS successes FROM h GROUP BY user_id, sid)
 SELECT user_id, strftime(st, {TS}) AS session_start, strftime(en, {TS}) AS session_end, requests, successes
 FROM s WHERE en <= {WM}""",
+    "stream_alert_for_duration": f"""{ALERT_BASE},
+closed AS (SELECT max(k) AS k FROM (SELECT epoch_us(ts) // 60000000 + 1 AS k FROM fbk) WHERE make_timestamp(k * 60000000) <= {WM})
+SELECT rule, severity, strftime(started_at, {TS}) AS started_at, strftime(started_at + to_seconds(for_seconds), {TS}) AS fired_at
+FROM fired, closed WHERE started_at + to_seconds(for_seconds) <= make_timestamp(closed.k * 60000000)""",
+    "stream_up_alert": f"""WITH {FEEDBACK},
+t AS (SELECT 'APIDown' AS rule, ts, event_id FROM events UNION ALL SELECT 'PrometheusDown', ts, event_id FROM events WHERE user_id % 3 = 0),
+g AS (SELECT rule, ts, lead(ts) OVER (PARTITION BY rule ORDER BY ts, event_id) AS nxt FROM t)
+SELECT rule, 'critical' AS severity, strftime(ts, {TS}) AS down_from, strftime(ts + INTERVAL 15 MINUTE, {TS}) AS fired_at FROM g
+WHERE (nxt IS NULL OR nxt > ts + INTERVAL 15 MINUTE)
+  AND make_timestamp((epoch_us(ts + INTERVAL 15 MINUTE) // 60000000 + 1) * 60000000) <= {WM}""",
+    "stream_drift": f"""{CAT},{FEEDBACK},{FSTATS},{CHECKPOINTS},{VERDICTS}
+SELECT rn, strftime(ts, {TS}) AS ts, mean_drift, variance_drift, round(success_rate, 6) AS success_rate,
+       positive_rate, drift_detected, CASE WHEN drift_detected THEN 'auto_drift_' || rn || '_requests' END AS retrain_reason FROM vd2""",
     "stream_alert_counts": f"""WITH {FEEDBACK},
 w AS (SELECT make_timestamp(epoch_us(ts) // 3600000000 * 3600000000) AS ws, status FROM fbk)
 SELECT strftime(ws, {TS}) AS window_start, status, count(*) AS n FROM w

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from tagwise.functions import text as tx
 from tagwise.operators import drift as DR
 from tagwise.operators import feedback as FB
-from tagwise.session import ensure_checkpoint_dir
+from tagwise.session import cut_lineage, ensure_checkpoint_dir
 
 WATERMARK = "10 minutes"
 
@@ -49,11 +49,22 @@ def feedback_stream(spark: SparkSession, sf_dir: str, max_files: int | None = No
 
 
 def run_available(df: DataFrame, name: str, mode: str = "append", foreach_batch=None,
-                  schema: T.StructType | None = None) -> DataFrame:
+                  schema: T.StructType | str | None = None,
+                  provider: str | None = None) -> DataFrame:
     """Drain the stream into a parquet table in the checkpoint folder and read
     it back as a batch DataFrame with the declared schema (``schema`` is that
     of ``foreach_batch``'s result). A batch's rows lie in a folder of its epoch
-    that a retry overwrites."""
+    that a retry overwrites. ``provider`` names the state store the query needs,
+    if it isn't the session's."""
+    if provider:
+        conf = df.sparkSession.conf
+        key = "spark.sql.streaming.stateStore.providerClass"
+        before = conf.get(key)
+        conf.set(key, provider)
+        try:
+            return run_available(df, name, mode, foreach_batch, schema)
+        finally:
+            conf.set(key, before)
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     run = f"{name}-{uuid.uuid4().hex}"
@@ -121,13 +132,38 @@ def stream_alert_counts(spark, sf_dir, size: str = "1 hour") -> DataFrame:
     return run_available(c, "alert_counts")
 
 
-def stream_drift(spark, sf_dir, baseline: DataFrame) -> DataFrame:
-    """Per micro-batch: feedback statistics of the batch and the drift verdict
-    against the (batch-computed) catalog baseline."""
-    def per_batch(batch_df, epoch_id):
+def stream_drift(spark, sf_dir, baseline: DataFrame, max_files: int | None = None) -> DataFrame:
+    """One drift verdict at every tenth logged request that is a success, with
+    the reason of the retraining that it asks for.
+
+    The running statistics are state: after each micro-batch the totals (one
+    row) and the queries first seen in it are written under the batch's epoch in
+    the checkpoint folder, and the next batch's prefix scan goes on from them. A
+    retried batch reads the epochs before its own and overwrites its own, so
+    every request counts once. Requests are in time order inside a batch, and
+    batches in order of arrival: a log cut into files by time gives the same
+    verdicts as one file."""
+    state = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/drift-state-{uuid.uuid4().hex}"
+    baseline = cut_lineage(baseline, "drift-baseline")
+    none = {"totals": spark.createDataFrame([], FB.LOG_TOTALS_SCHEMA), "seen": spark.createDataFrame([], "query string")}
+
+    def earlier(kind, epoch):       # epochs before this one
+        return spark.read.parquet(f"{state}/{kind}").filter(F.col("epoch") < epoch) if epoch else none[kind]
+
+    def keep(df, kind, epoch):
+        df.write.mode("overwrite").parquet(f"{state}/{kind}/epoch={epoch}")
+
+    def per_batch(batch_df, epoch):
+        last = earlier("totals", epoch) if epoch == 0 else earlier("totals", epoch).filter(F.col("epoch") == epoch - 1)
+        before = FB.log_totals(none["totals"], last)
         pos = batch_df.filter(F.col("event_type") == "purchase")
-        st = FB.feedback_stats(batch_df, pos)
-        return DR.detect_drift(st, baseline).withColumn("epoch", F.lit(epoch_id).cast("long"))
-    stream = feedback_stream(spark, sf_dir)
-    schema = per_batch(spark.createDataFrame([], stream.schema), 0).schema
-    return run_available(stream, "drift", foreach_batch=per_batch, schema=schema)
+        firsts = cut_lineage(FB.first_queries(batch_df, earlier("seen", epoch)), "drift-firsts")
+        rows = cut_lineage(FB.log_rows(batch_df, pos, firsts), "drift-rows")
+        keep(FB.log_totals(rows, before), "totals", epoch)
+        keep(firsts.select("query"), "seen", epoch)
+        verdict = DR.checkpoint_drift(FB.checkpoints_of(rows, before=before), baseline)
+        return DR.retrain_reason(verdict).withColumn("epoch", F.lit(epoch).cast("long"))
+
+    schema = ("rn long, ts timestamp, mean_drift double, variance_drift double, success_rate double, positive_rate double, "
+              "drift_detected boolean, retrain_reason string, epoch long")
+    return run_available(feedback_stream(spark, sf_dir, max_files), "drift", foreach_batch=per_batch, schema=schema)
