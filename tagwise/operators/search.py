@@ -460,14 +460,19 @@ def search_by_person(routed: DataFrame, cat: DataFrame, vlong: DataFrame, words:
 # title search, batch, outcome, sorting, enrichment
 # ---------------------------------------------------------------------------
 
-def title_recommend(routed: DataFrame, cat: DataFrame, topk: DataFrame,
-                    n: int = TITLE_NEIGHBOURS) -> DataFrame:
-    """Matched title (its first item) followed by its n nearest neighbours."""
+def title_anchors(routed: DataFrame, cat: DataFrame) -> DataFrame:
+    """(query, anchor, title): the first item of each matched title."""
     t = routed.filter(F.col("route") == "title").select("kid", "query", "matched_title")
     first = (cat.select(F.lower("title").alias("matched_title"), F.col("movie_id").alias("id"), "title")
              .groupBy("matched_title").agg(F.min_by(F.struct("id", "title"), "id").alias("a"))
              .select("matched_title", F.col("a.id").alias("anchor"), F.col("a.title").alias("title")))
-    a = t.join(first, "matched_title")
+    return t.join(first, "matched_title").select("query", "anchor", "title")
+
+
+def title_recommend(a: DataFrame, cat: DataFrame, topk: DataFrame,
+                    n: int = TITLE_NEIGHBOURS) -> DataFrame:
+    """Anchors of ``title_anchors``: the matched title followed by its
+    anchor's n nearest neighbours."""
     head = a.select("query", F.lit(0).alias("pos"), "title", F.lit(None).cast("double").alias("score"))
     nb = (a.join(topk.filter(F.col("rank") <= n), F.col("anchor") == F.col("id"))
           .join(cat.select(F.col("movie_id").alias("other_id"), F.col("title").alias("ntitle")), "other_id")

@@ -7,19 +7,20 @@ Plan shape (docs = n rows, V = vocabulary cap):
        -> agg term (df, cf), top-V by cf (per-partition top-k)       [shuffle 2]
        -> broadcast join vocabulary (<= V rows by construction)
        -> L2 norm per doc by a window on the same id partitioning (no shuffle)
-  top-k: docs hashed into B blocks of ~block_rows; every vector row is routed
-  to the B block pairs its doc takes part in; one task per block pair builds
-  two dense blocks, multiplies them with NumPy and keeps only k candidates
+  top-k: docs cut into B blocks of ~block_rows in the order of their leading
+  term; every vector (one row of arrays) is routed to the B block pairs its doc
+  takes part in; one task per block pair builds two dense blocks over their
+  common columns, multiplies them with NumPy and keeps only k candidates
   per row; a window (WindowGroupLimit) merges <= B*k candidates per doc.
 
 No task ever holds more than two blocks, no pair table is materialised and
-no key can be hot: block ids come from a hash of the unique doc id.
+no block can be hot: a group of any size is cut into blocks by a hash of the
+unique doc id.
 """
 
 from __future__ import annotations
 
 import hashlib
-
 import math
 
 import numpy as np
@@ -154,12 +155,13 @@ def _topk_rows(S: np.ndarray, row_ids: np.ndarray, col_ids: np.ndarray, k: int,
     valid = S > 0
     if self_mask is not None:
         valid &= ~self_mask
-    key = np.where(valid, -np.round(S, TIE_DIGITS), np.inf)
-    cid = np.broadcast_to(col_ids, S.shape)
-    order = np.lexsort((cid, key), axis=1)[:, :k]
-    r = np.repeat(np.arange(S.shape[0]), order.shape[1])
-    c = order.ravel()
-    keep = valid[r, c]
+    key = np.where(valid, np.round(S, TIE_DIGITS), -np.inf)
+    # all entries from the k-th best on (ties included), then ranked
+    kth = np.partition(key, -k, axis=1)[:, -k] if key.shape[1] > k else np.full(key.shape[0], -np.inf)
+    r, c = np.nonzero(valid & (key >= kth[:, None]))
+    order = np.lexsort((col_ids[c], -key[r, c], r))
+    r, c = r[order], c[order]
+    keep = np.arange(len(r)) - np.searchsorted(r, r) < k
     nb = pd.DataFrame({"id": row_ids[r[keep]], "other_id": col_ids[c[keep]],
                        "score": S[r[keep], c[keep]], "kind": "n"})
     below = np.where(valid & (S < 1 - SELF_EPS), S, -np.inf)
@@ -169,24 +171,31 @@ def _topk_rows(S: np.ndarray, row_ids: np.ndarray, col_ids: np.ndarray, k: int,
     return [nb, mx]
 
 
-def _blocks(pdf: pd.DataFrame):
-    """Long rows of one or two blocks -> ids, block of each id, and the rows
-    in CSR form over compressed column numbers."""
-    pdf = pdf.sort_values(["id", "term_idx"], kind="stable")
-    ids, start = np.unique(pdf["id"].to_numpy(dtype=np.int64), return_index=True)
-    cols, col = np.unique(pdf["term_idx"].to_numpy(dtype=np.int64), return_inverse=True)
-    indptr = np.append(start, len(pdf))
-    blk = pdf["blk"].to_numpy(dtype=np.int64)[start]
-    return ids, blk, indptr, col, pdf["w"].to_numpy(dtype=np.float64), len(cols)
-
-
-def _dense_T(indptr, col, w, rows, ncols):
-    """Dense (ncols x len(rows)) transpose of the CSR rows."""
-    BT = np.zeros((ncols, len(rows)))
-    for k, r in enumerate(rows):
-        sl = slice(indptr[r], indptr[r + 1])
-        BT[col[sl], k] = w[sl]
-    return BT
+def _flat(side: pd.DataFrame):
+    """(row, column, weight) of every entry of a block."""
+    size = np.fromiter(map(len, side["idx"]), np.int64, len(side))
+    cat = lambda c, kind: np.concatenate(side[c].to_list()) if size.sum() else np.zeros(0, kind)
+    return np.repeat(np.arange(len(side)), size), cat("idx", np.int64), cat("w", np.float64)
+
+
+def _product(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
+    """Dot products of two blocks. They are densified over the columns that
+    both use (no other adds to a product) and multiplied with BLAS, which at ~2%
+    density is still faster than a NumPy sparse x dense product."""
+    fa, fb = _flat(a), _flat(b)
+    width = 1 + max((int(f[1].max()) for f in (fa, fb) if len(f[1])), default=0)
+    used = [np.zeros(width, bool), np.zeros(width, bool)]
+    used[0][fa[1]] = used[1][fb[1]] = True
+    both = used[0] & used[1]
+    place = np.cumsum(both) - 1
+
+    def dense(side, f):
+        out = np.zeros((len(side), int(both.sum())))
+        keep = both[f[1]]
+        out[f[0][keep], place[f[1][keep]]] = f[2][keep]
+        return out
+    A = dense(a, fa)
+    return A @ (A if a is b else dense(b, fb)).T
 
 
 def _block_kernel(k: int, part: list[str]):
@@ -194,20 +203,14 @@ def _block_kernel(k: int, part: list[str]):
         pv, (lo, hi) = key[:len(part)], (int(key[-2]), int(key[-1]))
         if pdf.empty:
             return pd.DataFrame({c: [] for c in part + [f.name for f in _KERNEL_FIELDS]})
-        ids, blk, indptr, col, w, ncols = _blocks(pdf)
-        # blocks are densified over the columns they use and multiplied with
-        # BLAS: at ~2% density the dense product is still faster than a
-        # NumPy sparse x dense product, which is memory-bound
+        a, b = pdf[pdf["blk"] == lo], pdf[pdf["blk"] == hi]
+        ia, ib = a["id"].to_numpy(np.int64), b["id"].to_numpy(np.int64)
         if lo == hi:
-            rows = np.arange(len(ids))
-            AT = _dense_T(indptr, col, w, rows, ncols)
-            S = AT.T @ AT
-            out = _topk_rows(S, ids, ids, k, np.eye(len(ids), dtype=bool))
+            out = _topk_rows(_product(a, a), ia, ia, k, np.eye(len(ia), dtype=bool))
         else:
-            ra, rb = np.nonzero(blk == lo)[0], np.nonzero(blk == hi)[0]
-            S = _dense_T(indptr, col, w, ra, ncols).T @ _dense_T(indptr, col, w, rb, ncols)
-            out = _topk_rows(S, ids[ra], ids[rb], k, None)
-            out += _topk_rows(S.T, ids[rb], ids[ra], k, None)
+            S = _product(a, b)
+            out = _topk_rows(S, ia, ib, k, None)
+            out += _topk_rows(S.T, ib, ia, k, None)
         res = pd.concat(out, ignore_index=True)
         for c, v in zip(part, pv):
             res.insert(0, c, v)
@@ -219,20 +222,34 @@ def num_blocks(n_rows: int, block_rows: int) -> int:
     return max(1, math.ceil(n_rows / block_rows))
 
 
+def with_blocks(arrays: DataFrame, block_rows: int, part: list[str]) -> tuple[DataFrame, int]:
+    """Rows (part.., id, idx, w) with their block ``blk``, and the number of
+    blocks. Rows are put in the order of their most frequent term and their
+    number of terms (both rounded into groups, by hash inside a group), and
+    blocks are cut from that order: rows of one language and length share a
+    block, so two blocks share few columns and their product is small. The
+    groups are at most the vocabulary x the binary lengths."""
+    group = [*part, "lead", "log_len"]
+    rows = (arrays.withColumn("lead", F.element_at("idx", 1))
+            .withColumn("log_len", F.floor(F.log2(F.size("idx").cast("double"))).cast("int")))
+    per = cut_lineage(rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n")), "block_groups")
+    before = Window.partitionBy(*part).orderBy("lead", "log_len").rowsBetween(Window.unboundedPreceding, -1)
+    start = per.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    most = per.groupBy(*part).agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0
+    at = F.col("start") + F.pmod(F.xxhash64("id"), F.col("n"))
+    return rows.join(start, group).select(*arrays.columns, F.floor(at / block_rows).cast("int").alias("blk")), num_blocks(most, block_rows)
+
+
 def block_candidates(vlong: DataFrame, k: int = TOP_K, block_rows: int = 1024,
-                     n_rows: int | None = None, part: list[str] | None = None) -> DataFrame:
+                     part: list[str] | None = None) -> DataFrame:
     """Kernel output: per row up to k candidates from every block pair
     ('n' rows) and the best score below one ('m' rows); ``part`` columns
     (e.g. an ablation variant) keep independent corpora apart."""
     part = part or []
-    if n_rows is None:
-        n_rows = (vlong.groupBy(*part).agg(F.countDistinct("id").alias("c"))
-                  .agg(F.max("c")).first()[0] or 0)
-    b = num_blocks(n_rows, block_rows)
-    blk = F.pmod(F.xxhash64("id"), F.lit(b)).cast("int")
-    routed = (vlong.select(*part, "id", "term_idx", "w", blk.alias("blk"))
+    blocked, b = with_blocks(cut_lineage(vectors_arrays(vlong, part), "vector_arrays"), block_rows, part)
+    routed = (blocked
               .select("*", F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("j"))
-              .select(*part, "id", "term_idx", "w", "blk",
+              .select(*part, "id", "idx", "w", "blk",
                       F.least("blk", "j").alias("lo"), F.greatest("blk", "j").alias("hi")))
     schema = T.StructType([vlong.schema[c] for c in part] + _KERNEL_FIELDS)
     return routed.groupBy(*part, "lo", "hi").applyInPandas(_block_kernel(k, part), schema)
@@ -340,13 +357,8 @@ def _rows_kernel(k: int, part: list[str]):
         a, b = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
         if a.empty or b.empty:
             return pd.DataFrame({c: [] for c in [*part, *_KERNEL_SCHEMA.fieldNames()]})
-        ia, ba, pa, ca, wa, _ = _blocks(a)
-        ib, bb, pb, cb, wb, _ = _blocks(b)
-        cols = np.union1d(np.unique(a["term_idx"]), np.unique(b["term_idx"]))
-        ra = np.searchsorted(cols, np.unique(a["term_idx"].to_numpy())[ca])
-        rb = np.searchsorted(cols, np.unique(b["term_idx"].to_numpy())[cb])
-        S = (_dense_T(pa, ra, wa, np.arange(len(ia)), len(cols)).T
-             @ _dense_T(pb, rb, wb, np.arange(len(ib)), len(cols)))
+        ia, ib = a["id"].to_numpy(np.int64), b["id"].to_numpy(np.int64)
+        S = _product(a, b)
         out = _topk_rows(S, ia, ib, k, ia[:, None] == ib[None, :])
         out = pd.concat(out, ignore_index=True).astype({"id": "int64", "other_id": "int64", "score": "float64"})
         for i, c in enumerate(part):
@@ -357,18 +369,18 @@ def _rows_kernel(k: int, part: list[str]):
 
 def topk_for_rows(vlong: DataFrame, row_ids: DataFrame, k: int = TOP_K,
                   block_rows: int = 1024, part: list[str] | None = None) -> DataFrame:
-    """Top-k neighbours of a bounded set of rows (e.g. an evaluation sample)
-    against every row: the sample's vectors meet each item block once, so
-    the cost is sample x n instead of n x n."""
+    """Top-k neighbours of some rows (an evaluation sample, matched titles)
+    against every row: blocks of these rows meet blocks of all rows, so the
+    cost is rows x n instead of n x n, and a task holds two blocks however
+    many rows are asked for."""
     part = part or []
-    n_rows = vlong.select("id").distinct().count()
-    b = num_blocks(n_rows, block_rows)
-    blk = F.pmod(F.xxhash64("id"), F.lit(b)).cast("int")
-    left = (vlong.join(row_ids.select(*part, "id").distinct(), [*part, "id"])
-            .select(*part, "id", "term_idx", "w", F.lit(0).alias("blk"), F.lit(0).alias("side"),
-                    F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("g")))
-    right = vlong.select(*part, "id", "term_idx", "w", F.lit(0).alias("blk"), F.lit(1).alias("side"), blk.alias("g"))
+    v = cut_lineage(vectors_arrays(vlong, part), "vector_arrays")
+    rows = cut_lineage(v.join(row_ids.select(*part, "id").distinct(), [*part, "id"], "left_semi"), "asked_arrays")
+    (asked, ba), (held, bb) = with_blocks(rows, block_rows, part), with_blocks(v, block_rows, part)
+    every = lambda b: F.explode(F.sequence(F.lit(0), F.lit(b - 1)))
+    left = asked.select(*part, "id", "idx", "w", F.lit(0).alias("side"), F.col("blk").alias("g"), every(bb).alias("h"))
+    right = held.select(*part, "id", "idx", "w", F.lit(1).alias("side"), every(ba).alias("g"), F.col("blk").alias("h"))
     schema = T.StructType([vlong.schema[c] for c in part] + _KERNEL_FIELDS)
-    cands = (left.unionByName(right).groupBy(*part, "g").applyInPandas(_rows_kernel(k, part), schema)
+    cands = (left.unionByName(right).groupBy(*part, "g", "h").applyInPandas(_rows_kernel(k, part), schema)
              .filter(F.col("kind") == "n"))
     return rank_neighbours(cands, k, part).select(*part, "id", "rank", "other_id", "score")

@@ -615,21 +615,26 @@ def q_search_by_person(spark, sf_dir):
     return SR.search_by_person(routed, cat, sim.cut_lineage(vec, "vectors"), words, index)
 
 
+def title_results(routed, cat, vec):
+    """Neighbours are computed for the matched titles' items only."""
+    a = sim.cut_lineage(SR.title_anchors(routed, cat), "title_anchors")
+    top = sim.topk_for_rows(vec, a.select(F.col("anchor").alias("id")), FX.TITLE_NEIGHBOURS)
+    return SR.title_recommend(a, cat, top)
+
+
 @query("title_recommend")
 def q_title_recommend(spark, sf_dir):
     cat, _, _, _, routed, _ = search_context(spark, sf_dir)
     _, vec = sim.build_vectors(cat, "movie_id", "tags")
-    top = sim.topk_neighbours(vec, FX.TOP_K)
-    return SR.title_recommend(routed, cat, top)
+    return title_results(routed, cat, vec)
 
 
 def recommend_all(spark, sf_dir):
     cat, words, index, q, routed, am = search_context(spark, sf_dir)
     _, vec = sim.build_vectors(cat, "movie_id", "tags")
     v = sim.cut_lineage(vec, "vectors")
-    top = sim.topk_neighbours(v, FX.TOP_K, materialize=False)
     res = (SR.search_by_genre(routed, cat, am, words, index)
-           .unionByName(SR.title_recommend(routed, cat, top))
+           .unionByName(title_results(routed, cat, v))
            .unionByName(SR.search_by_person(routed, cat, v, words, index)))
     return q, res
 
@@ -642,8 +647,9 @@ def q_recommend_batch(spark, sf_dir):
 
 @query("recommend_outcome")
 def q_recommend_outcome(spark, sf_dir):
-    q, res = recommend_all(spark, sf_dir)
-    return SR.recommend_outcome(q, res)
+    """Outcome of every query as it came in, blank ones included."""
+    _, res = recommend_all(spark, sf_dir)
+    return SR.recommend_outcome(query_batch(spark, sf_dir), res)
 
 
 @query("sort_recommendations")
@@ -652,8 +658,7 @@ def q_sort_recommendations(spark, sf_dir):
     item, null when unlabelled), sorted for display."""
     cat, _, _, _, routed, _ = search_context(spark, sf_dir)
     _, vec = sim.build_vectors(cat, "movie_id", "tags")
-    top = sim.topk_neighbours(vec, FX.TOP_K)
-    res = SR.title_recommend(routed, cat, top)
+    res = title_results(routed, cat, vec)
     lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
     rating = (cat.select("movie_id", "title").join(lab, F.col("movie_id") == F.col("doc_id"), "left")
               .groupBy("title").agg(F.max(F.col("quality") * 10.0 / 3).alias("rating")))

@@ -628,7 +628,7 @@ n AS (SELECT query, count(*) AS c FROM res GROUP BY query)
 SELECT q.query, CASE WHEN trim(coalesce(q.query, '')) = '' THEN 'error'
                      WHEN f.matched_title IS NULL THEN 'not_found' ELSE 'success' END AS status,
        f.matched_title, coalesce(n.c, 0) AS recommendations_count
-FROM (SELECT DISTINCT query FROM q) q LEFT JOIN f USING (query) LEFT JOIN n USING (query)""",
+FROM (SELECT DISTINCT query FROM qraw) q LEFT JOIN f USING (query) LEFT JOIN n USING (query)""",
     "sort_recommendations": f"""{SEARCH},{TITLE},
 rating AS (SELECT c.title, max(l.quality * 10.0 / 3) AS rating FROM cat c LEFT JOIN labels l ON l.doc_id = c.movie_id
            GROUP BY c.title),
