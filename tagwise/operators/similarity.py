@@ -20,7 +20,6 @@ unique doc id.
 
 from __future__ import annotations
 
-import hashlib
 import math
 
 import numpy as np
@@ -44,7 +43,6 @@ def _join_on(df: DataFrame, small: DataFrame, part: list[str]) -> DataFrame:
 
 
 VOCABULARY_BUCKETS = 64
-LSH_TABLES, LSH_BITS = 6, 5
 
 
 def term_frequencies(docs: DataFrame, id_col: str = "id", text_col: str = "tags",
@@ -322,36 +320,6 @@ def embedding_vectors(emb: DataFrame, id_col: str = "vec_id", vec_col: str = "em
                     (F.col("x").cast("double") / F.col("nrm")).alias("w")))
 
 
-def sign_plane(table: int, bit: int, dim: int) -> list[float]:
-    """A +1/-1 direction from md5, so that any engine draws the same planes."""
-    return [1.0 if int(hashlib.md5(f"{table}|{bit}|{d}".encode()).hexdigest()[0], 16) < 8 else -1.0 for d in range(dim)]
-
-
-def _dot(a, b):
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
-
-
-def cosine_topk_approx(emb: DataFrame, dim: int, k: int = TOP_K, id_col: str = "vec_id", vec_col: str = "embedding",
-                       tables: int = LSH_TABLES, bits: int = LSH_BITS) -> DataFrame:
-    """Approximate variant for very large catalogs: sign hashes. Two rows meet
-    when all ``bits`` signs of one of ``tables`` tables agree; each met pair is
-    scored exactly. A pair at angle a meets with probability
-    1 - (1 - (1 - a / pi) ** bits) ** tables, so recall < 1 by design and is
-    highest for the nearest rows; ``bits`` grows with log2 of the rows."""
-    v = emb.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
-    v = v.where(_dot(F.col("v"), F.col("v")) > 0)
-    sig = [F.concat_ws("", F.lit(f"{t}:"), *[
-        (_dot(F.col("v"), F.array(*[F.lit(x) for x in sign_plane(t, b, dim)])) > 0).cast("int").cast("string")
-        for b in range(bits)]) for t in range(tables)]
-    met = cut_lineage(v.select("id", F.explode(F.array(*sig)).alias("sig")), "signatures")
-    pairs = (met.join(met.select(F.col("id").alias("other_id"), "sig"), "sig").where("id <> other_id")
-             .select("id", "other_id").distinct())
-    unit = v.select("id", F.transform("v", lambda x: x / F.sqrt(_dot(F.col("v"), F.col("v")))).alias("u"))
-    cands = (pairs.join(unit, "id").join(unit.select(F.col("id").alias("other_id"), F.col("u").alias("w")), "other_id")
-             .select("id", "other_id", _dot(F.col("u"), F.col("w")).alias("score")).where("score > 0"))
-    return rank_neighbours(cands, k).select("id", "rank", "other_id", "score")
-
-
 def _rows_kernel(k: int, part: list[str]):
     def fn(key, pdf):
         a, b = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tagwise.functions import fixed as FX
 from tagwise.functions import text as tx
+from tagwise.operators import approx as AX
 from tagwise.operators import baseline as BL
 from tagwise.operators import catalog as CT
 from tagwise.operators import drift as DR
@@ -113,7 +114,7 @@ def q_embedding_topk(spark, sf_dir):
 @query("cosine_topk_approx")
 def q_cosine_topk_approx(spark, sf_dir):
     emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    top = sim.cosine_topk_approx(emb, dim=64, k=FX.TOP_K)
+    top = AX.cosine_topk_approx(emb, k=FX.TOP_K)
     return top.select("id", "rank", "other_id", r6("score").alias("score"))
 
 

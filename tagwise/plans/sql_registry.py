@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tagwise.functions import fixed as FX
-from tagwise.operators.similarity import LSH_BITS, LSH_TABLES, sign_plane
+from tagwise.operators import approx as AX
 from tagwise.plans import oracle as O
 from tagwise.plans.oracle import UWS, clean_name, clean_text, sql_str
 
@@ -984,17 +984,22 @@ SELECT version, coalesce(prev, version) AS serving_version, CASE WHEN prev IS NU
 })
 
 
-def _planes() -> str:
-    rows = ", ".join(f"({t}, {b}, {sign_plane(t, b, 64)})" for t in range(LSH_TABLES) for b in range(LSH_BITS))
-    return f"(VALUES {rows}) pl(t, b, p)"
-
-
+# Pivot lists, and as many probes as find the wished share of a sample's true
+# neighbours.
 ORACLE["cosine_topk_approx"] = f"""
 WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings WHERE list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
-sg AS (SELECT id, t, string_agg(CASE WHEN list_inner_product(v, p::DOUBLE[]) > 0 THEN '1' ELSE '0' END, '' ORDER BY b) AS sig
-       FROM v, {_planes()} GROUP BY id, t),
-pr AS (SELECT DISTINCT a.id, b.id AS other_id FROM sg a JOIN sg b ON a.t = b.t AND a.sig = b.sig AND a.id <> b.id),
-sc AS (SELECT pr.id, pr.other_id, list_inner_product(a.v, b.v) / sqrt(list_inner_product(a.v, a.v)) / sqrt(list_inner_product(b.v, b.v)) AS score
-       FROM pr JOIN v a ON a.id = pr.id JOIN v b ON b.id = pr.other_id)
+u AS (SELECT id, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS u FROM v),
+pv AS (SELECT row_number() OVER (ORDER BY md5('pivot|' || id), id) AS no, u FROM u
+       QUALIFY no <= least({AX.MAX_PIVOTS}, ceil({AX.PIVOTS_PER_ROOT} * sqrt((SELECT count(*) FROM u))))),
+od AS (SELECT u.id, pv.no, row_number() OVER (PARTITION BY u.id ORDER BY round(list_inner_product(u.u, pv.u), 9) DESC, pv.no) AS r FROM u, pv),
+sm AS (SELECT id, u FROM u ORDER BY md5('sample|' || id), id LIMIT {AX.SAMPLE}),
+tr AS (SELECT s.id, o.id AS other_id FROM sm s JOIN u o ON s.id <> o.id WHERE list_inner_product(s.u, o.u) > 0
+       QUALIFY row_number() OVER (PARTITION BY s.id ORDER BY round(list_inner_product(s.u, o.u), 9) DESC, o.id) <= {FX.TOP_K}),
+fd AS (SELECT tr.id, tr.other_id, min(q.r) AS probes FROM tr JOIN od a ON a.id = tr.other_id AND a.r <= {AX.ASSIGN}
+       JOIN od q ON q.id = tr.id AND q.no = a.no GROUP BY tr.id, tr.other_id),
+pb AS (SELECT min(probes) AS probes FROM (SELECT probes, sum(count(*)) OVER (ORDER BY probes) AS c, sum(count(*)) OVER () AS n FROM fd GROUP BY probes)
+       WHERE c >= {AX.RECALL} * n),
+pr AS (SELECT DISTINCT q.id, a.id AS other_id FROM od q JOIN od a ON q.no = a.no AND a.r <= {AX.ASSIGN} AND q.id <> a.id, pb WHERE q.r <= pb.probes),
+sc AS (SELECT pr.id, pr.other_id, list_inner_product(a.u, b.u) AS score FROM pr JOIN u a ON a.id = pr.id JOIN u b ON b.id = pr.other_id)
 SELECT id, row_number() OVER (PARTITION BY id ORDER BY round(score, 9) DESC, other_id) AS rank, other_id, round(score, 6) AS score
 FROM sc WHERE score > 0 QUALIFY rank <= {FX.TOP_K}"""
