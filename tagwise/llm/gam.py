@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagwise.llm.docstats import statistics
+from tagwise.llm.columns import set_aside
 from tagwise.llm.ship import Shipped
 
 FEATURES = ("log_words", "word_len", "upper", "symbols", "exclaim", "pipes", "digits", "stops",
@@ -186,5 +187,7 @@ def score(docs: DataFrame, model: Gam, keep: list[str] | None = None) -> DataFra
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, cut: float = 0.5) -> DataFrame:
-    """Rows of ``docs`` that the classifier takes for label 1, all columns."""
-    return score(docs, fit(docs, labels)).where(F.col("score") >= cut).select(*docs.columns)
+    """Rows of ``docs`` that the classifier takes for label 1, all columns as
+    they are, one named score included."""
+    aside, back = set_aside(docs, ["score"])
+    return score(aside, fit(aside, labels)).where(F.col("score") >= cut).select(*back)

@@ -7,8 +7,8 @@ out-of-place distance: the sum of rank differences, ``PROFILE`` for an n-gram
 that the profile lacks. The nearest language wins, ties by code point.
 
 n-grams are counted inside tasks first; Spark sums them per language. The
-profiles (languages x 300 n-grams) are broadcast; at most ``MAX_LANGS``
-languages are learned, those with most documents.
+profiles (languages x 300 n-grams) are broadcast and compared in blocks of
+``LANG_BLOCK`` languages; every language that a text has is learned.
 """
 
 from __future__ import annotations
@@ -19,11 +19,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagwise.llm.charcodes import Folded, counted, point_slices
+from tagwise.llm.columns import set_aside
 from tagwise.llm.ship import Shipped
 from tagwise.session import cut_lineage
 
 PROFILE = 300
-MAX_LANGS = 256
+LANG_BLOCK = 256        # languages compared at a time
 REJECT = 0.15           # a document below this score has no sure language, whatever its language's own limit
 LOW_SCORE, MARGIN = 0.05, 0.15      # a language's own limit: this quantile of its learning texts' scores, less the margin
 FOLD_MOD, FOLD_REST = 5, 0
@@ -99,28 +100,51 @@ def _count_rows(langs: list[str]):
 
 
 class Profiles:
+    """Profiles of any number of languages, in blocks of ``LANG_BLOCK``: the
+    n-grams of a block, sorted, with their rank in each of its profiles."""
+
     def __init__(self, langs: list[str], grams: list[np.ndarray]):
-        self.langs = langs
-        self.codes = np.unique(np.concatenate(grams)) if grams else np.zeros(0, np.int64)
-        self.rank = np.full((len(self.codes), len(langs)), -1, np.int64)
-        for k, g in enumerate(grams):
-            self.rank[np.searchsorted(self.codes, g), k] = np.arange(len(g))
+        self.langs, self.blocks = langs, []
+        for begin in range(0, len(langs), LANG_BLOCK):
+            part = grams[begin:begin + LANG_BLOCK]
+            codes = np.unique(np.concatenate(part))
+            rank = np.full((len(codes), len(part)), -1, np.int64)
+            for k, g in enumerate(part):
+                rank[np.searchsorted(codes, g), k] = np.arange(len(g))
+            self.blocks.append((codes, rank))
 
     def distances(self, rows, codes, n, n_rows: int):
-        """Out-of-place distance per row and language, and the number of n-grams compared."""
+        """Per block of languages: out-of-place distance per row and language;
+        and the number of n-grams compared per row."""
         order = np.lexsort((codes, -n, rows))
         rows, codes = rows[order], codes[order]
         first = np.searchsorted(rows, np.arange(n_rows))
         place = np.arange(len(rows)) - first[rows]
         top = place < PROFILE
         rows, codes, place = rows[top], codes[top], place[top]
-        at = np.minimum(np.searchsorted(self.codes, codes), max(0, len(self.codes) - 1))
-        known = self.codes[at] == codes if len(self.codes) else np.zeros(len(codes), bool)
-        out = np.zeros((n_rows, len(self.langs)))
-        for k in range(len(self.langs)):
-            rank = np.where(known, self.rank[at, k], -1)
-            out[:, k] = np.bincount(rows, np.where(rank < 0, PROFILE, np.abs(rank - place)), n_rows)
-        return out, np.bincount(rows, minlength=n_rows)
+
+        def blocks():
+            for held, ranks in self.blocks:
+                at = np.minimum(np.searchsorted(held, codes), max(0, len(held) - 1))
+                known = held[at] == codes if len(held) else np.zeros(len(codes), bool)
+                out = np.zeros((n_rows, ranks.shape[1]))
+                for k in range(ranks.shape[1]):
+                    rank = np.where(known, ranks[at, k], -1) if len(held) else np.full(len(codes), -1)
+                    out[:, k] = np.bincount(rows, np.where(rank < 0, PROFILE, np.abs(rank - place)), n_rows)
+                yield out
+        return blocks(), np.bincount(rows, minlength=n_rows)
+
+    def nearest(self, rows, codes, n, n_rows: int):
+        """Per row the nearest language (ties: the first), its distance, and the
+        number of n-grams compared."""
+        blocks, compared = self.distances(rows, codes, n, n_rows)
+        best, near, begin = np.zeros(n_rows, np.int64), np.full(n_rows, np.inf), 0
+        for dist in blocks:
+            k = dist.argmin(axis=1)
+            d = dist[np.arange(n_rows), k]
+            best, near = np.where(d < near, begin + k, best), np.minimum(d, near)
+            begin += dist.shape[1]
+        return best, near, compared
 
 
 def _predict_rows(shared, keep: list[str]):
@@ -130,12 +154,9 @@ def _predict_rows(shared, keep: list[str]):
             langs, scores = [], []
             for a, b, cp, bounds in point_slices(t.column("text")):
                 rows, codes = _grams(fold(cp), bounds)
-                dist, n = prof.distances(*_distinct(rows, codes), b - a)
+                best, near, n = prof.nearest(*_distinct(rows, codes), b - a)
                 if not prof.langs:
-                    n[:] = 0
-                    dist = np.zeros((b - a, 1))
-                best = dist.argmin(axis=1)
-                near = dist[np.arange(b - a), best]
+                    n[:], near = 0, np.zeros(b - a)
                 score = np.where(n > 0, 1 - near / np.maximum(1, n * PROFILE), 0.0)
                 langs += [prof.langs[k] if m else "und" for k, m in zip(best, n)]
                 scores.append(score)
@@ -151,17 +172,16 @@ def in_fold(mod: int = FOLD_MOD, rest: int = FOLD_REST):
 
 def learn(docs: DataFrame) -> Profiles:
     """Profiles from ``text`` and non-null ``lang`` of the rows outside the
-    held-out fold."""
+    held-out fold, of every language there is: 300 n-grams each."""
     src = (docs.where("lang is not null and text is not null").where(~in_fold())
            .select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")))
-    langs = sorted((r["lang"] for r in src.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-                    .orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()), key=lambda x: x.encode())
+    langs = sorted((r["lang"] for r in src.select("lang").distinct().collect()), key=lambda x: x.encode())
     counts = (src.mapInArrow(_count_rows(langs), "lang string, code long, n long")
               .groupBy("lang", "code").agg(F.sum("n").alias("n")))
     w = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     top = counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= PROFILE).toPandas()
-    top = top.sort_values(["lang", "rank"])
-    return Profiles(langs, [top.code[top.lang == x].to_numpy(np.int64) for x in langs])
+    of = dict(list(top.sort_values(["lang", "rank"]).groupby("lang")["code"]))
+    return Profiles(langs, [of[x].to_numpy(np.int64) if x in of else np.zeros(0, np.int64) for x in langs])
 
 
 def predict(docs: DataFrame, profiles: Profiles, keep: list[str] | None = None) -> DataFrame:
@@ -186,9 +206,11 @@ def score_limits(scored: DataFrame) -> dict[str, float]:
 
 
 def keep_identified(docs: DataFrame, least: float = REJECT) -> DataFrame:
-    """Rows of ``docs`` with a sure language, all columns: the score reaches
-    ``least`` and the limit of the language found (``score_limits``)."""
-    scored = cut_lineage(predict(docs, learn(docs)), "languages")
+    """Rows of ``docs`` with a sure language, all columns as they are (also ones
+    named score or lang_pred): the score reaches ``least`` and the limit of the
+    language found (``score_limits``)."""
+    aside, back = set_aside(docs, ["score", "lang_pred"])
+    scored = cut_lineage(predict(aside, learn(aside)), "languages")
     limits = [F.lit(x) for lang, low in score_limits(scored).items() for x in (lang, max(least, low))]
     limit = F.coalesce(F.create_map(*limits)[F.col("lang_pred")], F.lit(least)) if limits else F.lit(least)
-    return scored.where((F.col("lang_pred") != "und") & (F.col("score") >= limit)).select(*docs.columns)
+    return scored.where((F.col("lang_pred") != "und") & (F.col("score") >= limit)).select(*back)

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagwise.llm.columns import set_aside
 from tagwise.session import cut_lineage
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -78,6 +79,7 @@ def mixed(docs: DataFrame, weights=WEIGHTS, max_repeat: float = MAX_REPEAT, seed
 
 def emit(docs: DataFrame, **kw) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken, with the
-    columns of ``docs`` alone."""
-    m = mixed(docs, **kw).where("copies > 0")
-    return m.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    columns of ``docs`` alone, as they are, whatever their names."""
+    aside, back = set_aside(docs, ["size", "source_size", "target", "copies", "_copy", "_mix_source"])
+    m = mixed(aside, **kw).where("copies > 0")
+    return m.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*back)

@@ -18,10 +18,37 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagwise.llm.columns import set_aside
+
 N_SHARDS = 40
 SEED = 7_001
 
 
+NUMPY_MOST = 1_000_000_000      # numpy's sampler takes populations below this
+WINDOW = 40                     # standard deviations; beyond lies less than doubles can tell from 0
+
+
+def hypergeometric(rng, good: int, bad: int, n: int, most: int = NUMPY_MOST) -> int:
+    """How many of ``n`` draws without replacement are good, for a population of
+    any size. Beyond numpy's range the law's own probabilities are summed
+    around the mode, each from its neighbour by their exact ratio, and one
+    uniform number picks among them."""
+    if not bad:
+        return n
+    if good + bad < most:
+        return int(rng.hypergeometric(good, bad, n))
+    lo, hi = max(0, n - bad), min(n, good)
+    mode = min(hi, max(lo, (n + 1) * (good + 1) // (good + bad + 2)))
+    p = good / (good + bad)
+    reach = int(WINDOW * (n * p * (1 - p) * (good + bad - n) / max(1, good + bad - 1)) ** 0.5) + WINDOW
+    k = np.arange(max(lo, mode - reach), min(hi, mode + reach) + 1)
+    a = k[:-1].astype(np.float64)
+    step = np.log((good - a) * (n - a)) - np.log((a + 1) * (float(bad - n) + a + 1))       # log of p(k + 1) / p(k)
+    logp = np.concatenate([[0.0], np.cumsum(step)])
+    upto = np.cumsum(np.exp(logp - logp.max()))
+    return int(k[min(len(k) - 1, np.searchsorted(upto, rng.random() * upto[-1], side="right"))])
+
+
 def communication_matrix(counts: np.ndarray, n_shards: int, seed: int) -> np.ndarray:
     """Rows per (partition, shard): row sums are ``counts``, column sums are
     at most one apart."""
@@ -36,11 +63,7 @@ def communication_matrix(counts: np.ndarray, n_shards: int, seed: int) -> np.nda
         for s in range(n_shards):       # conditional draws, one shard after another
             pool -= int(places[s])
             if places[s] and left:
-                # numpy's sampler takes populations below 1e9; beyond, the normal limit of the law
-                if pool + places[s] < 1_000_000_000:
-                    k = int(rng.hypergeometric(int(places[s]), pool, left)) if pool else left
-                else:
-                    k = _large_draw(rng, int(places[s]), pool, left)
+                k = hypergeometric(rng, int(places[s]), pool, left)
             else:
                 k = 0
             out[i, s] = k
@@ -49,25 +72,20 @@ def communication_matrix(counts: np.ndarray, n_shards: int, seed: int) -> np.nda
     return out
 
 
-def _large_draw(rng, good: int, bad: int, n: int) -> int:
-    t = good + bad
-    p = good / t
-    sd = (n * p * (1 - p) * (t - n) / max(1, t - 1)) ** 0.5
-    return int(np.clip(round(rng.normal(n * p, sd)), max(0, n - bad), min(n, good)))
-
-
 def shard(docs: DataFrame, n_shards: int = N_SHARDS, n_parts: int | None = None, seed: int = SEED) -> DataFrame:
     """``docs`` with ``shard`` (0 to n_shards - 1) and ``slot`` (gapless from
-    0 within the shard); columns of these names are replaced.
+    0 within the shard); columns of these names are replaced, all others
+    come back as they are.
 
     Null ids and texts take part like any value. Rows that are equal in
     doc_id and text are interchangeable, and each keeps a place of its own.
     Empty table: empty result."""
     spark = docs.sparkSession
     n_parts = n_parts or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    aside, back = set_aside(docs.drop("shard", "slot"), ["_crc", "_part", "_first", "_again", "_at", "_upto", "_cell", "_in", "_start"])
     crc = F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")))
     h = lambda k: F.xxhash64(F.lit(seed + k), F.col("doc_id"), F.col("_crc"))
-    base = (docs.drop("shard", "slot").withColumn("_crc", crc)
+    base = (aside.withColumn("_crc", crc)
             .withColumn("_part", F.pmod(h(0), F.lit(n_parts)).cast("int"))
             .withColumn("_first", h(1)).withColumn("_again", h(2)))
     per = {r["_part"]: r["n"] for r in base.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -91,4 +109,4 @@ def shard(docs: DataFrame, n_shards: int = N_SHARDS, n_parts: int | None = None,
     return (cell.withColumn("_in", F.row_number().over(inner) - 1)
             .join(F.broadcast(start), ["shard", "_cell"])   # about n_parts rows
             .withColumn("slot", (F.col("_start") + F.col("_in")).cast("long"))
-            .select(*[c for c in docs.columns if c not in ("shard", "slot")], "shard", "slot"))
+            .select(*back, "shard", "slot"))

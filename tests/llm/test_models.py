@@ -118,7 +118,7 @@ def test_out_of_place_distance_by_hand():
     for k, t in enumerate((a, b)):
         assert dict(zip(codes[rows == k].tolist(), n[rows == k].tolist())) == {code(g): m for g, m in grams(t).items()}
     prof = langid.Profiles(["x"], [np.array([code(g) for g in order(a)])])
-    dist, _ = prof.distances(rows, codes, n, 2)
+    (dist,), _ = prof.distances(rows, codes, n, 2)
     place = {g: i for i, g in enumerate(order(a))}
     assert dist[0, 0] == 0
     assert dist[1, 0] == sum(abs(i - place[g]) if g in place else langid.PROFILE for i, g in enumerate(order(b)))

@@ -31,5 +31,5 @@ def test_stages_keep_columns_and_effects(spark):
 def test_queries_are_registered():
     import __spark_entry__ as e
     names = e.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {k.split("_")[0] + "_" for k in names if k.startswith("op") and k[2].isdigit()}
+    assert {f"op{n}_" for n in range(1, 14)} == {k.split("_")[0] + "_" for k in names if k.startswith("op") and k[2].isdigit()}
     assert "pipeline" in names
