@@ -24,13 +24,24 @@ def unescape(c: Column) -> Column:
     return F.replace(F.replace(c, F.lit("<\\|"), F.lit("<|")), F.lit("\\\\"), F.lit("\\"))
 
 
-def _merge(acc: Column, t: Column) -> Column:
-    last = F.element_at(acc, -1)
-    one = F.array(F.struct(t["role"].alias("role"), F.array(t["text"]).alias("texts")))
-    grown = F.array(F.struct(last["role"].alias("role"), F.concat(last["texts"], F.array(t["text"])).alias("texts")))
-    return (F.when(F.size(acc) == 0, one)
-            .when(last["role"] == t["role"], F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), grown))
-            .otherwise(F.concat(acc, one)))
+CHUNK = 128
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _ends(sizes: Column) -> Column:
+    """Running sums of an array of numbers: sums of chunks first, then inside
+    the chunks, so no array is grown by one element per turn."""
+    zero = F.lit(0).cast("long")
+    total = lambda a: F.aggregate(a, zero, lambda x, y: x + y)
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / CHUNK).cast("int")),
+                         lambda c: total(F.slice(sizes, c * CHUNK + 1, F.lit(CHUNK))))
+    before = F.aggregate(chunks, F.array(zero), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+    return _let(before, lambda b: F.transform(sizes, lambda _, i: (
+        F.get(b, F.floor(i / CHUNK).cast("int")) + total(F.slice(sizes, i - i % CHUNK + 1, i % CHUNK + 1)))))
 
 
 def format_chat(turns: DataFrame, loss_role: str = LOSS_ROLE) -> DataFrame:
@@ -46,24 +57,22 @@ def format_chat(turns: DataFrame, loss_role: str = LOSS_ROLE) -> DataFrame:
         F.col("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).alias("t"))
     conv = t.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("ts"))
-    empty = F.array().cast("array<struct<role:string,texts:array<string>>>")
-    conv = conv.select("conv_id", F.size("ts").cast("long").alias("n_turns"), F.aggregate(
-        F.transform("ts", lambda x: F.struct(escape(x["role"]).alias("role"), escape(x["text"]).alias("text"))),
-        empty, _merge).alias("runs"))
-    # one segment per text; the markers before and after it belong to the run
-    seg = F.flatten(F.transform("runs", lambda r: F.transform(r["texts"], lambda x, i: F.struct(
-        F.when(i == 0, F.concat(F.lit(TURN), r["role"], F.lit(TEXT))).otherwise(F.lit(NEXT)).alias("head"),
-        x.alias("body"),
-        F.when(i == F.size(r["texts"]) - 1, F.lit(END)).otherwise(F.lit("")).alias("tail"),
-        (r["role"] == F.lit(loss_role)).alias("loss")))))
-    conv = conv.select("conv_id", "n_turns", seg.alias("seg"))
-    ends = F.aggregate("seg", F.array().cast("array<long>"), lambda acc, s: F.concat(acc, F.array(
-        F.when(F.size(acc) == 0, F.lit(0).cast("long")).otherwise(F.element_at(acc, -1))
-        + F.length(s["head"]) + F.length(s["body"]) + F.length(s["tail"]))))
-    conv = conv.withColumn("ends", ends)
-    spans = F.transform(F.filter(F.arrays_zip("seg", "ends"), lambda z: z["seg"]["loss"]), lambda z: F.struct(
-        (z["ends"] - F.length(z["seg"]["tail"]) - F.length(z["seg"]["body"])).alias("start"),
-        F.length(z["seg"]["body"]).cast("long").alias("length")))
+    # merged runs: a turn opens one where the role before is another, and closes
+    # one where the role behind is another; each turn only looks at its neighbours
+    role = lambda i: F.get(F.col("ts"), i)["role"]
+    seg = F.transform("ts", lambda x, i: F.struct(
+        F.when((i > 0) & (role(i - 1) == x["role"]), F.lit(NEXT))
+        .otherwise(F.concat(F.lit(TURN), escape(x["role"]), F.lit(TEXT))).alias("head"),
+        escape(x["text"]).alias("body"),
+        F.when((i < F.size("ts") - 1) & (role(i + 1) == x["role"]), F.lit("")).otherwise(F.lit(END)).alias("tail"),
+        (x["role"] == F.lit(loss_role)).alias("loss")))
+    conv = conv.select("conv_id", F.size("ts").cast("long").alias("n_turns"), seg.alias("seg"))
+    sizes = F.transform("seg", lambda s: (F.length(s["head"]) + F.length(s["body"]) + F.length(s["tail"])).cast("long"))
+    ends = _let(sizes, _ends)
+    marked = _let(ends, lambda e: F.transform("seg", lambda s, i: F.struct(
+        (F.get(e, i) - F.length(s["tail"]) - F.length(s["body"])).alias("start"),
+        F.length(s["body"]).cast("long").alias("length"), s["loss"].alias("loss"))))
+    spans = F.transform(F.filter(marked, lambda m: m["loss"]), lambda m: F.struct(m["start"].alias("start"), m["length"].alias("length")))
     text = F.array_join(F.transform("seg", lambda s: F.concat(s["head"], s["body"], s["tail"])), "")
     return conv.select("conv_id", "n_turns", text.alias("formatted"), spans.alias("loss_spans"))
 
@@ -71,13 +80,23 @@ def format_chat(turns: DataFrame, loss_role: str = LOSS_ROLE) -> DataFrame:
 def read_turns(formatted: Column) -> Column:
     """Turns (role, text) read back from a formatted conversation."""
     runs = F.filter(F.split(formatted, r"<\|turn\|>"), lambda x: x != "")
-    parse = lambda r: F.transform(
-        F.split(F.regexp_replace(F.element_at(F.split(r, r"<\|text\|>"), 2), r"<\|end\|>$", ""), r"<\|next\|>", -1),
-        lambda x: F.struct(unescape(F.element_at(F.split(r, r"<\|text\|>"), 1)).alias("role"), unescape(x).alias("text")))
-    return F.flatten(F.transform(runs, parse))
+    texts = lambda parts: F.transform(
+        F.split(F.regexp_replace(F.element_at(parts, 2), r"<\|end\|>$", ""), r"<\|next\|>", -1),
+        lambda x: F.struct(unescape(F.element_at(parts, 1)).alias("role"), unescape(x).alias("text")))
+    return F.flatten(F.transform(runs, lambda r: _let(F.split(r, r"<\|text\|>"), texts)))
 
 
 def loss_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, nothing between."""
-    return F.array_join(F.transform(spans, lambda s: unescape(
-        F.substring(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
+    """All text under the loss mask, unescaped, nothing between. Spans are
+    cut in chunks of neighbours from one piece of the text each, as finding a
+    code point means counting from the beginning."""
+    def cut(text, begin, length):
+        return F.substring(text, (begin + 1).cast("int"), length.cast("int"))
+
+    def chunk(b):
+        first, last = b[0]["start"], F.element_at(b, -1)
+        piece = cut(formatted, first, last["start"] + last["length"] - first)
+        return _let(piece, lambda p: F.array_join(F.transform(b, lambda s: unescape(cut(p, s["start"] - first, s["length"]))), ""))
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / CHUNK).cast("int")),
+                         lambda c: _let(F.slice(spans, c * CHUNK + 1, F.lit(CHUNK)), chunk))
+    return F.when(F.size(spans) > 0, F.array_join(chunks, "")).otherwise("")

@@ -117,3 +117,28 @@ def test_no_python_in_native_plans(docs):
     for df in (mixing.emit(docs), sharding.shard(docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_long_conversations_take_linear_time(spark):
+    """Many turns, long runs of one role and no loss text at all."""
+    import time
+
+    from pyspark.sql import functions as F
+    took = []
+    for n in (1000, 12_000):
+        roles = F.when(F.col("id") < n // 2, F.when(F.col("id") % 3 == 0, "user").otherwise("assistant")).otherwise("user")
+        df = spark.range(n).select((F.col("id") % 1).alias("conv_id"), F.col("id").alias("turn"), roles.alias("role"),
+                                   F.concat(F.lit("é<|text|>"), F.col("id").cast("string")).alias("text"))
+        f = chat.format_chat(df).select("n_turns", chat.read_turns(F.col("formatted")).alias("turns"),
+                                        chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+        f.collect()
+        begin = time.time()
+        r = f.collect()[0]
+        took.append(time.time() - begin)
+        want = [("user" if i >= n // 2 or i % 3 == 0 else "assistant", f"é<|text|>{i}") for i in range(n)]
+        assert [(x["role"], x["text"]) for x in r["turns"]] == want and r["n_turns"] == n
+        assert r["loss"] == "".join(t for role, t in want if role == "assistant")
+    assert took[1] < 5
+    quiet = spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string")
+    f = chat.format_chat(quiet)
+    assert f.select(chat.loss_text(F.col("formatted"), F.col("loss_spans"))).first()[0] == ""
