@@ -433,10 +433,19 @@ def _join(docs: DataFrame, width: int, n_buckets: int | None) -> tuple[DataFrame
     return rows, named.join(least, "label").select("sid", "label", "in_group", "size", "component_id"), sets
 
 
+BUCKET_BYTES = 4 << 20      # text whose shingles one bucket takes
+
+
+def buckets_for(docs: DataFrame) -> int:
+    """Buckets that follow the data, so that what one task holds does not."""
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    return max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+
+
 def keep_first(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """All columns of ``docs``, one document of each component: the one with
     its smallest doc_id. Rows that repeat this doc_id are the same document and
     stay; rows without an id are never dropped."""
-    comp = jaccard_components(docs, width)
+    comp = jaccard_components(docs, width, buckets_for(docs))
     drop = comp.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(drop, "doc_id", "left_anti")
