@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tagwise.llm import gam, kneser_ney, langid, lattice
@@ -155,18 +156,56 @@ def test_quality_rules_on_empty_table(empty):
     assert kneser_ney.quality_rules(empty).collect() == []
 
 
-def test_kneser_ney_sums_to_one():
+@pytest.mark.parametrize("bits,order", [(6, 3), (10, 2)])
+def test_kneser_ney_sums_to_one(bits, order):
     rng = np.random.default_rng(1)
     sym = rng.integers(1, 12, 4000)
-    row, code = kneser_ney._codes(sym, np.array([0, 2500, 4000]))
+    row, code = kneser_ney._codes(sym, np.array([0, 2500, 4000]), bits, order)
     c, n = np.unique(code, return_counts=True)
-    model = kneser_ney.KneserNey()
+    model = kneser_ney.KneserNey(bits, order)
     model.add("x", c, n)
-    for ctx in (0, 3 << 6 | 5, 11 << 6 | 11, 50 << 6 | 60, 60):
-        p = 10 ** model.log10("x", (ctx << 6) + np.arange(64))
+    for ctx in (0, 3 << bits | 5, 11 << bits | 11, 50 << bits | 60, 60)[:5 if order == 3 else 1] + (11, 700)[:order - 1]:
+        p = 10 ** model.log10("x", (ctx << bits) + np.arange(1 << bits))
         assert abs(p.sum() - 1) < 1e-6 and p.min() > 0
 
 
+def test_tokens_of_slices(monkeypatch):
+    texts = ["Don't stop, É é.", None, "", " \t", "a\nB  c", "##x", "日本 ok"]
+    want = ["Don ' t stop , É é .", "", "", "", "a B c", "# # x", "日本 ok"]
+    cells = {}
+    for limit in (1 << 18, 1):
+        monkeypatch.setattr(kneser_ney, "SLICE", limit)
+        got, n = [], []
+        for a, b, cell, cls, bounds in kneser_ney.token_slices(pa.array(texts, pa.string())):
+            got += list(zip(cell.tolist(), cls.tolist()))
+            n += np.diff(bounds).tolist()
+        assert n == [len(w.split()) for w in want]
+        for w, (cell, cls) in zip(" ".join(want).split(), got, strict=True):
+            assert cells.setdefault(w, cell) == cell and 1 <= cls <= kneser_ney.CLASSES
+            assert (cls > kneser_ney.CLASSES // 2) == (w in ("Don", "É", "B"))
+    assert len(set(cells.values())) == len(cells)
+
+
+def test_quality_rules_reject_shuffled_words(spark):
+    """Sentences of a small grammar, two texts in a hundred with their words shuffled."""
+    rng = random.Random(12)
+    nouns, verbs = ([f"{x}{y}" for x in s.split() for y in ("ta", "ri", "mo", "lu", "ne")] for s in ("ba ke do si fu ga he", "pol mir tan vus jek"))
+
+    def sentence():
+        w = ["The", rng.choice(nouns), rng.choice(verbs), rng.choice(["a", "the", "some"]), rng.choice(nouns)]
+        return " ".join(w + (["of", "the", rng.choice(nouns)] if rng.random() < 0.4 else [])) + "."
+    rows = []
+    for i in range(1500):
+        w = " ".join(sentence() for _ in range(rng.randint(15, 40))).split()
+        if i % 50 == 7:
+            rng.shuffle(w)
+        rows.append((i, " ".join(w), "xx"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = [r for r in kneser_ney.quality_rules(docs).collect() if not r.base_failed]
+    bad, good = ([r.kept for r in got if (r.doc_id % 50 == 7) == x] for x in (True, False))
+    assert len(bad) > 20 and np.mean(bad) < 0.1 and np.mean(good) > 0.98
+
+
 @pytest.fixture(scope="module")
 def pieces():
     return lattice.Pieces(vocab_path("piece_bpe_32k.model"))
