@@ -66,7 +66,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.quality_rules(_table(spark, sf_dir, "documents"), ["doc_id"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "log_perplexity", "lower", "upper")
+        *kneser_ney.SPREADS, *kneser_ney.LIMITS)
 
 
 PLANTED_CHAT = "</s>[INST] ok [/INST]"

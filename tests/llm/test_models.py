@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tagwise.llm import gam, kneser_ney, langid, lattice
 from tagwise.llm.queries import vocab_path
@@ -156,6 +157,17 @@ def test_quality_rules_on_empty_table(empty):
     assert kneser_ney.quality_rules(empty).collect() == []
 
 
+def test_quality_rules_replace_columns_of_their_own_names(labelled):
+    docs, _ = labelled
+    clash = docs
+    for c in (*kneser_ney.SPREADS, *kneser_ney.LIMITS, "kept", "_lang", "lower"):
+        clash = clash.withColumn(c, F.lit("mine"))
+    got, plain = ({(r.doc_id, r.text): r for r in kneser_ney.quality_rules(x).collect()} for x in (clash, docs))
+    for key, r in got.items():
+        assert r._lang == r["lower"] == "mine"
+        assert all(r[c] == v for c, v in plain[key].asDict().items())
+
+
 @pytest.mark.parametrize("bits,order", [(6, 3), (10, 2)])
 def test_kneser_ney_sums_to_one(bits, order):
     rng = np.random.default_rng(1)
