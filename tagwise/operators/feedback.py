@@ -159,24 +159,26 @@ def log_totals(rows: DataFrame, before: DataFrame | None = None) -> DataFrame:
 
 
 def drift_checkpoints(search: DataFrame, positives: DataFrame, every: int = 10, before: DataFrame | None = None,
-                      seen: DataFrame | None = None) -> DataFrame:
+                      seen: DataFrame | None = None, success_only: bool = True) -> DataFrame:
     """Statistics over everything logged so far, at every ``every``-th search
-    row that is a success (only a success reaches the check; order: time, then
+    row (with ``success_only``: where that row is a success; order: time, then
     event id): running count, query-length mean and population variance,
     success and not-found rates, distinct queries so far and positives logged
     up to that time. Both logs go through one prefix scan.
 
     A log that comes in pieces goes on from the totals ``before`` it (one
     row) and the queries already ``seen``."""
-    return checkpoints_of(log_rows(search, positives, first_queries(search, seen)), every, before)
+    return checkpoints_of(log_rows(search, positives, first_queries(search, seen)), every, before, success_only)
 
 
-def checkpoints_of(rows: DataFrame, every: int = 10, before: DataFrame | None = None) -> DataFrame:
+def checkpoints_of(rows: DataFrame, every: int = 10, before: DataFrame | None = None, success_only: bool = True) -> DataFrame:
     s = prefix_scan(rows, ["ts", "kind", "event_id"], {c: F.col(c) for c in LOG_TOTALS})
     if before is not None:      # one row
         b = before.select(*[F.col(c).alias(f"before_{c}") for c in LOG_TOTALS])
         s = s.crossJoin(F.broadcast(b)).withColumns({f"cum_{c}": F.col(f"cum_{c}") + F.col(f"before_{c}") for c in LOG_TOTALS})
-    cp = s.filter((F.col("kind") == 1) & (F.col("succ") == 1) & (F.col("cum_n") % every == 0))
+    cp = s.filter((F.col("kind") == 1) & (F.col("cum_n") % every == 0))
+    if success_only:
+        cp = cp.filter(F.col("succ") == 1)
     n = F.col("cum_n").cast("double")
     mean = F.col("cum_wc") / n
     return cp.select(
