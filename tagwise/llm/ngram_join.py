@@ -50,6 +50,7 @@ from tagwise.session import cut_lineage
 WIDTH = 5
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 20      # classes and shingles of a block of a component
 FEW, COLUMNS = 12, 4096
+PIECE = 1 << 19         # shingles that a task packs at a time
 LOW = (1 << 64) // 8 * 3          # hashes below are counted: 3/8, above the quarter that the prefix needs
 
 
@@ -98,14 +99,20 @@ def _pack(sets, n_buckets: int) -> pa.RecordBatch:
 
 
 def _blob_rows(width: int, n_buckets: int):
-    """The counted part of each distinct set of an Arrow batch, packed."""
+    """The counted part of each distinct set, packed by pieces of a bounded
+    number of shingles however long the texts of an Arrow batch are."""
     def run(batches):
         for t in batches:
-            found = {}
+            found, held = {}, 0
             for _, u in shingle_sets(t.column("text"), width):
                 if len(u) and (d := _digest(u)) not in found:
-                    found[d] = u[:max(int(np.searchsorted(u, np.uint64(LOW))), _prefix(len(u)))]
-            yield _pack(list(found.items()), n_buckets)
+                    found[d] = u[:max(int(np.searchsorted(u, np.uint64(LOW))), _prefix(len(u)))].copy()
+                    held += len(found[d])
+                    if held >= PIECE:
+                        yield _pack(list(found.items()), n_buckets)
+                        found, held = {}, 0
+            if found:
+                yield _pack(list(found.items()), n_buckets)
     return run
 
 
