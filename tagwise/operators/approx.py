@@ -8,10 +8,13 @@ neighbours is taken. So clustered vectors are searched in a few lists, and
 vectors without near neighbours in many (the number is part of the result's
 cost, not of its quality).
 
-Lists and their queries meet in blocks: a list of any length is cut into chunks
-of ``LIST_ROWS`` rows on either side, so a pivot in the middle of a crowd makes
-more tasks, not longer ones. Only the pivots, the sample and one row per pivot
-are broadcast; their sizes are bounded by parameters and sqrt(n).
+Rows are packed into blocks of ``LIST_ROWS`` in the order of their nearest
+pivot, written once, and the table of blocks meets itself in a cartesian
+product: nothing is shuffled per list or probe. A task works out the lists that
+a block's rows probe, passes over blocks that stand in none of them, and keeps
+the best of the rows that do. A pivot in the middle of a crowd makes more
+blocks, not longer ones. Only the pivots, the sample and one row per pivot are
+broadcast; their sizes are bounded by parameters and sqrt(n).
 """
 
 from __future__ import annotations
@@ -20,11 +23,12 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagwise.functions.fixed import TOP_K
-from tagwise.operators.similarity import _KERNEL_SCHEMA, TIE_DIGITS, _topk_rows, rank_neighbours
+from tagwise.operators.similarity import _KERNEL_SCHEMA, NO_ID, TIE_DIGITS, _Best, _topk_rows, num_blocks, rank_neighbours
 from tagwise.session import cut_lineage
 
 ASSIGN = 4              # lists that hold a row
@@ -96,13 +100,50 @@ def probes_needed(listed: DataFrame, unit: DataFrame, pivots: np.ndarray, k: int
     return int(per["probes"][np.argmax(per["count"].cumsum() >= recall * per["count"].sum())])
 
 
-def _list_kernel(k: int):
-    def run(key, pdf):
-        q, m = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
-        if q.empty or m.empty:
-            return pd.DataFrame({c: [] for c in _KERNEL_SCHEMA.fieldNames()})
-        a, b = q["id"].to_numpy(np.int64), m["id"].to_numpy(np.int64)
-        return _topk_rows(np.stack(q["u"].to_list()) @ np.stack(m["u"].to_list()).T, a, b, k, a[:, None] == b[None, :])[0]
+def packed_lists(listed: DataFrame) -> DataFrame:
+    """One row per block of ``LIST_ROWS`` rows (different ones; in the order of
+    their nearest pivot, by hash among its rows): ids, vectors and lists."""
+    rows = listed.dropDuplicates(["id", "u"]).withColumn("first", F.element_at("lists", 1))
+    per = cut_lineage(rows.groupBy("first").agg(F.count(F.lit(1)).alias("n")), "first_pivots")     # one row per pivot
+    before = Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    start = per.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    at = F.col("start") + F.pmod(F.xxhash64("id"), F.col("n"))
+    blocked = rows.join(F.broadcast(start), "first").select("id", "u", "lists", F.floor(at / LIST_ROWS).cast("int").alias("blk"))
+    e = blocked.groupBy("blk").agg(F.collect_list(F.struct("id", "u", "lists")).alias("e"))
+    return cut_lineage(e.select("blk", F.col("e.id").alias("ids"), F.flatten("e.u").alias("u"), F.flatten("e.lists").alias("lists")), "list_blocks")
+
+
+def _list_kernel(k: int, pivots: np.ndarray, probes: int):
+    """Pairs of blocks -> candidates. A row is compared with the rows of the
+    lists that it probes; a task hands on ``k`` per row that it met, at its end."""
+    def column(t, name, i, kind):
+        return np.asarray(t.column(name)[i].values.fill_null(NO_ID if kind is np.int64 else 0), kind)
+
+    def run(batches):
+        best: dict = {}
+        seen, ids, u, asks = None, None, None, None
+        for t in batches:
+            for i, lo in enumerate(t.column("a_blk").to_pylist()):
+                if seen != lo:
+                    seen, ids = lo, column(t, "a_ids", i, np.int64)
+                    u = column(t, "a_u", i, np.float64).reshape(len(ids), -1)
+                    asks = np.zeros((len(ids), len(pivots)), bool)
+                    asks[np.arange(len(ids))[:, None], _order(u, pivots, probes)] = True
+                other = column(t, "b_ids", i, np.int64)
+                lists = column(t, "b_lists", i, np.int32).reshape(len(other), -1)
+                if not asks[:, np.unique(lists)].any():
+                    continue
+                met = asks[:, lists[:, 0]]
+                for c in range(1, lists.shape[1]):
+                    met |= asks[:, lists[:, c]]
+                S = u @ column(t, "b_u", i, np.float64).reshape(len(other), -1).T
+                S[~met] = 0.0
+                best.setdefault(lo, _Best(ids, k, False)).add(S, other, ids[:, None] == other[None, :])
+        for found in best.values():
+            cols = found.rows()
+            if len(cols[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64()),
+                                                  pa.array(cols[3], pa.string())], _KERNEL_SCHEMA.fieldNames())
     return run
 
 
@@ -119,16 +160,9 @@ def cosine_topk_approx(emb: DataFrame, k: int = TOP_K, id_col: str = "vec_id", v
     pivots = np.stack(_drawn(unit, "pivot", min(MAX_PIVOTS, math.ceil(PIVOTS_PER_ROOT * math.sqrt(n))))["u"].to_list())
     listed = cut_lineage(with_pivots(unit, pivots, min(len(pivots), ASSIGN)), "pivot_lists")
     probes = probes_needed(listed, unit, pivots, k, recall, sample)
-    asking = with_pivots(unit, pivots, probes).select("id", "u", F.explode("lists").alias("pivot"))
-    held = listed.select("id", "u", F.explode("lists").alias("pivot"))
-    asking = cut_lineage(asking, "pivot_queries")
-    # chunks per pivot on either side: one row per pivot
-    chunks = lambda side, name: side.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / LIST_ROWS).cast("int").alias(name))
-    per = F.broadcast(chunks(asking, "qs").join(chunks(held, "ms"), "pivot"))
-    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    one = lambda c: F.pmod(F.xxhash64("id"), F.col(c)).cast("int")
-    left = asking.join(per, "pivot").select("pivot", "id", "u", F.lit(0).alias("side"), one("qs").alias("q"), every("ms").alias("m"))
-    right = held.join(per, "pivot").select("pivot", "id", "u", F.lit(1).alias("side"), every("qs").alias("q"), one("ms").alias("m"))
-    met = left.unionByName(right).groupBy("pivot", "q", "m").applyInPandas(_list_kernel(k), _KERNEL_SCHEMA)
-    cands = met.groupBy("id", "other_id").agg(F.max("score").alias("score"))     # a row may be met in several lists
+    blocks = packed_lists(listed)
+    side = lambda name: blocks.select(*[F.col(c).alias(f"{name}_{c}") for c in blocks.columns])
+    asking = side("a").repartition(min(num_blocks(n, LIST_ROWS), 4 * spark.sparkContext.defaultParallelism), "a_blk")
+    met = asking.crossJoin(side("b")).mapInArrow(_list_kernel(k, pivots, probes), _KERNEL_SCHEMA)
+    cands = met.groupBy("id", "other_id").agg(F.max("score").alias("score"))     # an id may stand on several rows
     return rank_neighbours(cands, k).select("id", "rank", "other_id", "score")
