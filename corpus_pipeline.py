@@ -36,8 +36,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids, and the text that they decode to."""
-    ids = bpe.encode(docs, vocab_path(), ("doc_id", "lang", "source"))
+    """Token ids, and the text that they decode to. The ids are written first:
+    a task then runs one Python worker with the vocabulary at a time."""
+    ids = cut_lineage(bpe.encode(docs, vocab_path(), ("doc_id", "lang", "source")), "ids")
     return bpe.decode(ids, vocab_path()).select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
