@@ -44,3 +44,51 @@ def test_empty_table_and_null_ids(empty, spark):
     assert bpe.encode(empty, vocab_path(), tuple(empty.columns)).collect() == []
     r, = bpe.decode(spark.createDataFrame([(1, None)], "doc_id long, ids array<int>"), vocab_path()).collect()
     assert (r["doc_id"], r["decoded"]) == (1, "")
+
+
+def encoder():
+    from tokenizers import normalizers
+    norm = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()]).normalize_str
+    return bpe.Encoder(bpe.Vocabulary(vocab_path()), norm)
+
+
+def names(n):
+    """Different words of letters only."""
+    return ["".join(chr(97 + k // 26 ** i % 26) for i in range(4)) for k in range(n)]
+
+
+def test_a_word_is_learned_once():
+    """120 000 words, seen twice; a hundred thousand were too many to remember."""
+    enc, seen = encoder(), []
+    learn = enc.learn
+    enc.learn = lambda *a: seen.append(1) or learn(*a)
+    many = names(120_000)
+    texts = [" ".join(many[k:k + 20_000]) for k in range(0, len(many), 20_000)]
+    first = [enc.encode([t])[0].tolist() for t in texts]
+    assert len(seen) == len(texts)
+    assert [enc.encode([t])[0].tolist() for t in texts] == first
+    assert len(seen) == len(texts)
+
+
+def test_words_met_again_are_kept(monkeypatch):
+    enc, lib = encoder(), Tokenizer.from_file(vocab_path())
+    monkeypatch.setattr(bpe, "MEMO_CHUNKS", 40)
+    many = names(400)
+    for k in range(0, 400, 20):
+        text = " ".join(["often", "met", *many[k:k + 20], "again"])
+        assert enc.encode([text])[0].tolist() == lib.encode(text, add_special_tokens=False).ids
+        assert len(enc.raw_n) <= 40 + 23
+        assert k < 20 or enc.again.sum() >= 3
+
+
+def test_quotes_specials_and_bounds_against_the_library():
+    rng = random.Random(7)
+    parts = [*"'''strevlmda1 \n\t!.<|>", "é", "\u00a0", "\x85", "\x1c", "\u0307", "İ", "Σ", "日", "½", "\U00010400", "\0", "\u2003", "\u0301",
+             *bpe.Vocabulary(vocab_path()).special, "<|ENDOFTEXT|>"]
+    enc, lib = encoder(), Tokenizer.from_file(vocab_path())
+    assert [x.tolist() for x in enc.encode(["", ""])] == [[], [0, 0, 0]]
+    for _ in range(150):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.choice([0, 1, 2, 3, 8, 40]))) for _ in range(rng.choice([1, 5, 20]))]
+        ids, b = enc.encode(texts)
+        for i, t in enumerate(texts):
+            assert ids[b[i]:b[i + 1]].tolist() == lib.encode(t, add_special_tokens=False).ids, t

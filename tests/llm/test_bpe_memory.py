@@ -65,3 +65,18 @@ def test_many_different_words_do_not_add_up():
         tracemalloc.stop()
     assert n == len(texts)
     assert peak < 64e6, peak
+
+
+def test_remembered_words_take_little():
+    vocab = bpe.Vocabulary(vocab_path())
+    name = ["".join(chr(97 + k // 26 ** i % 26) for i in range(4)) for k in range(300_000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(150)), "text": [" ".join(name[k:k + 2000]) for k in range(0, len(name), 2000)]})
+    del name
+    tracemalloc.start()
+    try:
+        n = sum(b.num_rows for b in bpe._encode_rows(Here(vocab), ["doc_id"])(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 150
+    assert peak < 96e6, peak
