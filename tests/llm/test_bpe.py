@@ -81,6 +81,15 @@ def test_words_met_again_are_kept(monkeypatch):
         assert k < 20 or enc.again.sum() >= 3
 
 
+def test_long_words_are_bounded_by_their_bytes(monkeypatch):
+    enc, lib = encoder(), Tokenizer.from_file(vocab_path())
+    monkeypatch.setattr(bpe, "MEMO_BYTES", 2000)
+    for w in names(40):
+        text = f"{w * 100} often"
+        assert enc.encode([text])[0].tolist() == lib.encode(text, add_special_tokens=False).ids
+        assert len(enc.raw) + enc.ids.nbytes < 2000 + 5 * len(text)
+
+
 def test_quotes_specials_and_bounds_against_the_library():
     rng = random.Random(7)
     parts = [*"'''strevlmda1 \n\t!.<|>", "é", "\u00a0", "\x85", "\x1c", "\u0307", "İ", "Σ", "日", "½", "\U00010400", "\0", "\u2003", "\u0301",
